@@ -1,0 +1,25 @@
+"""Where intermediate results go: the folder that all machines share."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below spark.checkpoint.dir; only where that is unset, a folder of our own."""
+    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not top:
+        top = tempfile.mkdtemp(prefix="seriesloom-")
+        spark.conf.set("spark.checkpoint.dir", top)
+        spark.sparkContext.setCheckpointDir(top)
+    return f"{top}/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder and read it again; lineage ends there."""
+    folder = folder or shared_folder(df.sparkSession)
+    df.write.mode("overwrite").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
