@@ -1,8 +1,9 @@
 """The queries of this subpackage and their SQL."""
 
-from seriesloom.llm import decontaminate, mixing, quality, token_ids, url_filter
+from seriesloom.llm import decontaminate, mixing, ngram_join, quality, token_ids, url_filter
 
 QUERIES = {
+    "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
     "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination,
     "op6_token_ids": token_ids.op6_token_ids,
     "op8_source_mixing": mixing.op8_source_mixing,
@@ -11,6 +12,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_ngram_jaccard_join": ngram_join.SQL,
     "op5_benchmark_decontamination": decontaminate.SQL,
     "op8_source_mixing": mixing.SQL,
     "op9_quality_rules": quality.SQL,
