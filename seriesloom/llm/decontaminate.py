@@ -139,7 +139,7 @@ def _counts(documents: DataFrame, index: _Index) -> dict[int, np.ndarray]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), k)), pa.array(some), pa.array(x[some])], ["k", "code", "n"])
 
     counts = {k: np.zeros(len(v), dtype=np.int64) for k, v in index.shingles.items()}
-    for r in documents.select(F.col("text")).mapInArrow(count, "k bigint, code bigint, n bigint").groupBy("k", "code").agg(F.sum("n").alias("n")).toLocalIterator():
+    for r in documents.select(F.col("text")).mapInArrow(count, "k bigint, code bigint, n bigint").groupBy("k", "code").agg(F.sum("n").alias("n")).collect():
         counts[r.k][r.code] = r.n
     return counts
 

@@ -1,9 +1,10 @@
 """The queries of this subpackage and their SQL."""
 
-from seriesloom.llm import decontaminate, mixing, ngram_join, quality, token_ids, url_filter
+from seriesloom.llm import decontaminate, mixing, ngram_join, quality, token_ids, toxicity, url_filter
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination,
     "op6_token_ids": token_ids.op6_token_ids,
     "op8_source_mixing": mixing.op8_source_mixing,
