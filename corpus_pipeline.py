@@ -1,11 +1,59 @@
-"""Corpus pipeline: toxicity, near copies, benchmark passages, mixing, token ids."""
+"""Corpus pipeline: toxicity, near copies, benchmark passages, mixing, token ids.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet
+and read again as the next stage's ``docs``.  All but the last return the columns of
+``documents``.  Where SQL can't express a stage (toxicity is fitted, tokens need the
+tokenizer), tests compare with brute force.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from seriesloom.llm.decontaminate import without_contaminated
+from seriesloom.llm.mixing import mixed_documents
+from seriesloom.llm.ngram_join import ngram_jaccard
+from seriesloom.llm.store import written
+from seriesloom.llm.token_ids import tokenized
+from seriesloom.llm.toxicity import train, without_toxic
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the ordinal model, fitted on ``labels``, doesn't reject."""
+    return without_toxic(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each component, once; rows without an id stay."""
+    drop = ngram_jaccard(docs).filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    kept = docs.join(drop, "doc_id", "left_anti")
+    # rows that repeat a kept id stand for one document; this reuses the join's partitioning
+    once = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    return kept.withColumn("row_of_id_", once).filter((F.col("row_of_id_") == 1) | F.col("doc_id").isNull()).select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any benchmark window."""
+    return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: documents as often as their source's slots take them."""
+    return mixed_documents(docs)
+
+
+def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token shards, read back: (doc_id, start, n_tokens, ids_crc32)."""
+    return tokenized(spark, docs)
+
+
+STAGES = [("toxicity", drop_toxic), ("ngram_jaccard_join", one_of_each_group), ("decontamination", drop_contaminated), ("mixing", mix_sources), ("token_ids", write_token_ids)]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

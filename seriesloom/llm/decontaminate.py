@@ -148,6 +148,54 @@ def index_lookup(value, among, flags):
     return _Index.lookup(None, 0, value, among, flags)
 
 
+def occurrences(index: _Index, flags: dict, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text number of each word, words of each text, and first word and window of each occurrence."""
+    n = len(offs) - 1
+    start, end, doc = K.words(buf, offs, K.ALNUM)
+    hashes = K.span_hashes(buf, start, end, True)
+    count = np.bincount(doc, minlength=n)
+    last = np.cumsum(count)
+    hit_at, hit_row = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for k, (among, first, many, rows, offset) in index.prefix.items():
+        value, at, _ = K.window_hashes(hashes, doc, n, k, short=False)
+        near, place = index_lookup(value, among, flags[k])
+        pick = K.take_pieces(np.arange(len(rows)), first[place], many[place])
+        found = np.repeat(at[near], many[place])
+        begin, row, own = found - offset[pick], rows[pick], doc[found]
+        fits = (begin >= last[own] - count[own]) & (begin + index.length[row] <= last[own])  # length and position
+        begin, row = begin[fits], row[fits]
+        same = np.ones(len(begin), dtype=bool)
+        for j in range(index.size):
+            check = index.length[row] > j
+            same[check] &= hashes[begin[check] + j] == index.words[row[check], j]
+        hit_at.append(begin[same])
+        hit_row.append(row[same])
+    return doc, count, np.concatenate(hit_at), np.concatenate(hit_row)
+
+
+def without_contaminated(documents: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 10, index_words: int = INDEX_WORDS) -> DataFrame:
+    """The rows of ``documents`` in which no benchmark window occurs, as they are."""
+    at, kept = documents.columns.index(text_col), documents
+    texts = documents.select(F.col(text_col).cast("string").alias("text"))
+    for index in _blocks(benchmark, item_col, item_text_col, size, index_words):
+        index.choose(_counts(texts, index))
+        kept = kept.mapInArrow(_keeper(documents.sparkSession.sparkContext.broadcast((index, {k: _flags(p[0]) for k, p in index.prefix.items()})), at), documents.schema)
+    return kept
+
+
+def _keeper(shared, at: int):
+    def keep(batches):
+        index, flags = shared.value
+        for batch in batches:
+            for lo, hi, buf, offs in K.chunks(batch.column(at)):
+                doc, _, begin, _ = occurrences(index, flags, buf, offs)
+                clean = np.ones(hi - lo, dtype=bool)
+                clean[doc[begin]] = False
+                yield batch.slice(lo, hi - lo).filter(pa.array(clean))
+
+    return keep
+
+
 def _matches(documents: DataFrame, index: _Index) -> DataFrame:
     """Merged hit spans (in words) and item ids of every document row."""
     shared = documents.sparkSession.sparkContext.broadcast((index, {k: _flags(p[0]) for k, p in index.prefix.items()}))
@@ -158,26 +206,8 @@ def _matches(documents: DataFrame, index: _Index) -> DataFrame:
         for batch in batches:
             for lo, hi, buf, offs in K.chunks(batch.column(2)):
                 n = hi - lo
-                start, end, doc = K.words(buf, offs, K.ALNUM)
-                hashes = K.span_hashes(buf, start, end, True)
-                count = np.bincount(doc, minlength=n)
+                doc, count, begin, row = occurrences(index, flags, buf, offs)
                 last = np.cumsum(count)
-                hit_at, hit_row = [], []
-                for k, (among, first, many, rows, offset) in index.prefix.items():
-                    value, at, _ = K.window_hashes(hashes, doc, n, k, short=False)
-                    near, place = index_lookup(value, among, flags[k])
-                    pick = K.take_pieces(np.arange(len(rows)), first[place], many[place])
-                    begin, row = np.repeat(at[near], many[place]) - offset[pick], rows[pick]
-                    own = doc[np.repeat(at[near], many[place])]
-                    fits = (begin >= last[own] - count[own]) & (begin + index.length[row] <= last[own])
-                    begin, row = begin[fits], row[fits]
-                    same = np.ones(len(begin), dtype=bool)
-                    for j in range(index.size):
-                        check = index.length[row] > j
-                        same[check] &= hashes[begin[check] + j] == index.words[row[check], j]
-                    hit_at.append(begin[same])
-                    hit_row.append(row[same])
-                begin, row = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (hit_at, hit_row))
                 covered = np.zeros(len(doc) + 1, dtype=np.int64)
                 np.add.at(covered, begin, 1)
                 np.add.at(covered, begin + index.length[row], -1)
