@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from seriesloom.plans import base, quality_queries, series_queries  # noqa: F401
+
 FLAGSHIP = "series_monthly_state"
-QUERIES: dict = {}
-SQL: dict = {}
+QUERIES, SQL = base.QUERIES, base.SQL
