@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from seriesloom.llm import bloom
 from seriesloom.llm import textkit as K
 from seriesloom.llm.store import written
 
@@ -151,13 +152,14 @@ def _sketch(docs: DataFrame, n: int) -> np.ndarray:
                     total[at.astype(np.int64)] += times.astype(np.uint32)
         for k, part in enumerate(total.reshape(slices, -1)):
             if part.any():
+                part = part.astype(np.uint8) if part.max() < 256 else part  # told apart by their length
                 yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([part.tobytes()])], ["slice", "counts"])
 
     def add(batches):
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                x = np.frombuffer(part, dtype=np.uint32).astype(np.int64)
+                x = np.frombuffer(part, dtype=np.uint8 if len(part) == 1 << SLICE_BITS else np.uint32).astype(np.int64)
                 total[k] = total[k] + x if k in total else x
         for k, x in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([np.minimum(8 * np.log2(1 + x), 255).astype(np.uint8).tobytes()])], ["slice", "classes"])
@@ -238,88 +240,107 @@ def _units(groups: DataFrame, percent: int) -> DataFrame:
     return g.join(places, ["pivot", "block"]).select("pivot", "i", "j", "block", "member")
 
 
-def _bloom(ids: DataFrame) -> np.ndarray:
-    """Bits of the ids, to leave out most other documents before a shuffle; at most 32 MB."""
-    size = 1 << min(28, max(20, (16 * ids.count()).bit_length()))
-    width = 1 << 16
-
-    def mark(batches):
-        bits = np.zeros(size, dtype=bool)
-        for batch in batches:
-            for k in (1, 2):
-                bits[_bloom_at(batch.column(0).to_numpy(), k, size)] = True
-        for k, part in enumerate(np.packbits(bits).reshape(-1, width // 8)):
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([part.tobytes()])], ["slice", "bits"])
-
-    def unite(batches):
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                x = np.frombuffer(part, dtype=np.uint8)
-                total[k] = total[k] | x if k in total else x
-        for k, x in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([x.tobytes()])], ["slice", "bits"])
-
-    total = np.zeros((size // width, width // 8), dtype=np.uint8)
-    for r in ids.mapInArrow(mark, "slice bigint, bits binary").repartition("slice").mapInArrow(unite, "slice bigint, bits binary").collect():
-        total[r.slice] = np.frombuffer(r.bits, dtype=np.uint8)
-    return total.reshape(-1)
+def bucket_counts(grams: np.ndarray) -> bytes:
+    """How many n-grams fall in each of 2**k buckets (one or two a bucket), a byte each; empty
+    if a count doesn't fit."""
+    buckets = 1 << min(14, max(4, (len(grams) // 2).bit_length()))
+    count = np.bincount((grams & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return count.astype(np.uint8).tobytes() if count.max() < 256 else b""
 
 
-def _bloom_at(ids: np.ndarray, k: int, size: int) -> np.ndarray:
-    step = K.GOLDEN * np.full(1, k, dtype=np.uint64)
-    return (K.mix(ids.astype(np.int64).view(np.uint64) + step) & np.uint64(size - 1)).astype(np.int64)
+def may_link(sizes: np.ndarray, counts: list[bytes], side: np.ndarray | None, percent: int) -> np.ndarray:
+    """Which sets, given in order of size, can link with another (on the other side).
 
-
-def _sets_of(docs: DataFrame, members: DataFrame, n: int) -> DataFrame:
-    """(member, grams): the sets of the documents with these ids, and of a few others."""
-    shared = docs.sparkSession.sparkContext.broadcast(_bloom(members))
+    The intersection is at most the sum over buckets of the smaller count.
+    """
+    kept = np.zeros(len(sizes), dtype=bool)
+    width = np.array([len(c) for c in counts])
+    tables = {int(w): np.frombuffer(b"".join(c for c in counts if len(c) == w), dtype=np.uint8).reshape(-1, w) for w in np.unique(width) if w}
+    halved = {w: t.reshape(len(t), 2, -1).astype(np.uint16).sum(axis=1).astype(np.uint16) for w, t in tables.items() if w // 2 in tables}
+    row = np.zeros(len(sizes), dtype=np.int64)
+    for w in tables:
+        row[width == w] = np.arange((width == w).sum())
+    last = np.searchsorted(sizes * percent, sizes * 100, "right")  # sets of up to 100/percent times the size
+    for i in range(len(sizes)):
+        near = np.arange(i + 1, last[i])
+        if side is not None:
+            near = near[side[near] != side[i]]
+        if kept[i]:
+            near = near[~kept[near]]
+        if not len(near):
+            continue
+        fits = np.ones(len(near), dtype=bool)
+        w = int(width[i])
+        for table, of in ((tables, w), (halved, 2 * w)):
+            here = width[near] == of
+            if w and of in table and here.any():
+                shared = np.minimum(table[of][row[near[here]]], tables[w][row[i]]).sum(axis=1, dtype=np.int64)
+                fits[here] = (100 + percent) * shared >= percent * (sizes[i] + sizes[near[here]])
+        if fits.any():
+            kept[i] = True
+            kept[near[fits]] = True
+    return kept
+
+
+def _members(docs: DataFrame, members: DataFrame, n: int, payload, name: str) -> DataFrame:
+    """(member, size, payload of the set) for the documents with these ids, and for a few others."""
+    shared = docs.sparkSession.sparkContext.broadcast(bloom.bits_of(members))
 
     def rows(batches):
         bits = shared.value
-        size = len(bits) * 8
         for batch in batches:
-            ids = batch.column(0).fill_null(-1).to_numpy()
-            want = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
-            for k in (1, 2):
-                at = _bloom_at(ids, k, size)
-                want &= (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+            want = batch.column(0).is_valid().to_numpy(zero_copy_only=False) & bloom.may_hold(bits, batch.column(0).fill_null(-1).to_numpy())
             batch = batch.filter(pa.array(want))
             for lo, hi, buf, offs in K.chunks(batch.column(1)):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([s.tobytes() for s in gram_sets(buf, offs, n)], pa.binary())], ["member", "grams"])
+                sets = gram_sets(buf, offs, n)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array([payload(s) for s in sets], pa.binary())], ["member", "size", name])
+
+    return docs.mapInArrow(rows, f"member bigint, size bigint, {name} binary")
+
+
+def _by_unit(batches, handle):
+    """Calls handle((pivot, i, j), rows) for each unit; rows come in order of unit and are
+    (block, member, size, payload)."""
+    key, held = None, []
+    for batch in batches:
+        for pivot, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            if (pivot, i, j) != key:
+                if held:
+                    yield handle(key, held)
+                key, held = (pivot, i, j), []
+            held.append(row)
+    if held:
+        yield handle(key, held)
+
 
-    return docs.mapInArrow(rows, "member bigint, grams binary")
+def _placed(units: DataFrame, members: DataFrame, order: list[str]) -> DataFrame:
+    d = units.join(members, "member").select("pivot", "i", "j", "block", "member", "size", members.columns[-1])
+    return d.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j", *order)
+
+
+def _pruned(units: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The rows of ``units`` whose set can link with another in the unit, by bucket counts."""
+
+    def keep(key, rows):
+        sizes, blocks = np.array([r[2] for r in rows]), np.array([r[0] for r in rows])
+        kept = may_link(sizes, [r[3] for r in rows], None if key[1] == key[2] else blocks, percent)
+        rows = [r for r, k in zip(rows, kept) if k]
+        return pa.RecordBatch.from_arrays([*(pa.array([x] * len(rows), pa.int64()) for x in key), *(pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1))], ["pivot", "i", "j", "block", "member"])
+
+    counts = _members(docs, units.select("member").distinct(), n, bucket_counts, "counts")
+    return _placed(units, counts, ["size", "member"]).mapInArrow(lambda batches: _by_unit(batches, keep), "pivot bigint, i bigint, j bigint, block bigint, member bigint")
 
 
 def _walker(percent: int, shared):
     def walk(batches):
         classes = shared.value
-        key, held = None, []
-
-        def close():
-            i, j = key[1], key[2]
-            left = [(m, g) for b, m, g in held if b == i]
-            right = None if i == j else [(m, g) for b, m, g in held if b == j]
-            split = lambda x: ([m for m, _ in x], [g for _, g in x])
-            return unit_links(split(left), None if right is None else split(right), percent)
 
-        def send(links):
-            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], ["a", "b"])
+        def links(key, rows):
+            sides = [([r[1] for r in rows if r[0] == k], [ordered(np.frombuffer(r[3], dtype=np.uint64), classes) for r in rows if r[0] == k]) for k in dict.fromkeys(key[1:])]
+            found = unit_links(sides[0], sides[1] if len(sides) > 1 else None, percent)
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-        links = []
-        for batch in batches:
-            for pivot, i, j, block, member, grams in zip(*(c.to_pylist() for c in batch.columns)):
-                if (pivot, i, j) != key:
-                    if held:
-                        links += close()
-                    key, held = (pivot, i, j), []
-                held.append((block, member, ordered(np.frombuffer(grams, dtype=np.uint64), classes)))
-            if links:
-                yield send(links)
-                links = []
-        if held:
-            yield send(close())
+        yield from _by_unit(batches, links)
 
     return walk
 
@@ -347,10 +368,9 @@ def jaccard_links(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
     """Links (a, b) between class representatives that give the join's components; ``docs`` is (doc_id, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(_sketch(docs, n))  # 4 MB at any size
     units = written(_units(_groups(docs, n, percent, shared), percent))
-    sets = _sets_of(docs, units.select("member").distinct(), n)
-    placed = units.join(sets, "member").select("pivot", "i", "j", "block", "member", "grams")
-    placed = placed.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j", "block", "member")
-    return placed.mapInArrow(_walker(percent, shared), "a bigint, b bigint").distinct()
+    units = written(_pruned(units, docs, n, percent))
+    sets = _members(docs, units.select("member").distinct(), n, np.ndarray.tobytes, "grams")
+    return _placed(units, sets, ["block", "member"]).mapInArrow(_walker(percent, shared), "a bigint, b bigint").distinct()
 
 
 def ngram_jaccard(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
