@@ -44,22 +44,25 @@ SPACED[[9, 10, 11, 12, 13, 32]] = False
 ALNUM = np.zeros(256, dtype=bool)
 ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
 
+#: Longest run of bytes whose powers a worker keeps (two tables of 32 MB).
+KEPT_POWERS = 1 << 22
 _powers = np.ones(1, dtype=np.uint64)
 _inverse = np.ones(1, dtype=np.uint64)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i modulo 2**64 for i < n, kept for the next call."""
+    """BASE**i and BASE**-i modulo 2**64 for i < n; those of usual lengths are kept for the next call."""
     global _powers, _inverse
-    if len(_powers) < n:
-        size = 1 << (n - 1).bit_length()
-        both = []
-        for base in (BASE, BASE_INVERSE):
-            x = np.full(size, base, dtype=np.uint64)
-            x[0] = 1
-            both.append(np.multiply.accumulate(x))
+    if len(_powers) >= n:
+        return _powers[:n], _inverse[:n]
+    both = []
+    for base in (BASE, BASE_INVERSE):
+        x = np.full(n if n > KEPT_POWERS else 1 << (n - 1).bit_length(), base, dtype=np.uint64)
+        x[0] = 1
+        both.append(np.multiply.accumulate(x))
+    if n <= KEPT_POWERS:
         _powers, _inverse = both
-    return _powers[:n], _inverse[:n]
+    return both[0][:n], both[1][:n]
 
 
 def chunks(column: pa.Array, target: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
