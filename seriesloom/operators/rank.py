@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 def top(df: DataFrame, key: list[str], value: Column, n: int) -> DataFrame:
     """The n largest groups with their share of everything; ties by key."""
     g = df.groupBy(*key).agg(value.alias("value"))
-    total = g.agg(F.sum("value").alias("total"))  # one row
-    return g.crossJoin(total).withColumn("share", F.col("value").cast("double") / F.col("total")).drop("total").orderBy(F.desc("value"), *key).limit(n)
+    total = g.agg(F.sum("value")).scalar()
+    return g.withColumn("share", F.col("value").cast("double") / total).orderBy(F.desc("value"), *key).limit(n)
 
 
 def ranked(df: DataFrame, order: list[Column], n: int, partition: list[str] | None = None, name: str = "rank") -> DataFrame:

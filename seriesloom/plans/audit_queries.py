@@ -171,9 +171,9 @@ def audit_span_totals(spark, d):
 @query("figures_quantity", f"""WITH {OBS}, m AS (SELECT month, sum(volume) AS v FROM obs GROUP BY 1), p AS (SELECT product, sum(volume) AS v FROM obs GROUP BY 1) SELECT CAST(sum(volume) AS BIGINT) AS total, count(DISTINCT product) AS products, CAST(max(day) AS VARCHAR) AS last_day, (SELECT month FROM m ORDER BY v DESC, month LIMIT 1) AS peak_month, (SELECT product FROM p ORDER BY v DESC, product LIMIT 1) AS top_product FROM obs""")
 def figures_quantity(spark, d):
     o = observations(spark, d)
-    best = lambda key, name: R.ranked(o.groupBy(key).agg(F.sum("volume").alias("v")), [F.desc("v"), F.col(key)], 1).select(F.col(key).alias(name))
+    best = lambda key: o.groupBy(key).agg(F.sum("volume").alias("v")).orderBy(F.desc("v"), key).limit(1).select(key).scalar()
     one = o.agg(F.sum("volume").alias("total"), F.countDistinct("product").alias("products"), F.max("day").cast("string").alias("last_day"))
-    return one.crossJoin(best("month", "peak_month")).crossJoin(best("product", "top_product"))  # one row each
+    return one.withColumn("peak_month", best("month")).withColumn("top_product", best("product"))
 
 
 @query("figures_totals", f"""WITH {OBS} SELECT month, variety, CAST(sum(volume) AS BIGINT) AS volume, count(DISTINCT product) AS products FROM obs GROUP BY ALL""")

@@ -219,8 +219,8 @@ def filter_quarantine(spark, d):
 @query("filter_trailing_months", f"""WITH {OBS} SELECT event_id, line, product, market, price_c FROM obs WHERE day >= (SELECT max(day) - INTERVAL 6 MONTH FROM obs)""")
 def filter_trailing_months(spark, d):
     o = observations(spark, d)
-    edge = o.agg(F.add_months(F.max("day"), -6).alias("edge"))  # one row
-    return o.join(F.broadcast(edge), F.col("day") >= F.col("edge")).select("event_id", "line", "product", "market", "price_c")
+    edge = o.agg(F.add_months(F.max("day"), -6)).scalar()
+    return o.filter(F.col("day") >= edge).select("event_id", "line", "product", "market", "price_c")
 
 
 @query("filter_publication_subset", f"""WITH {OBS} SELECT product, market, month, CAST(sum(volume) AS BIGINT) AS volume FROM obs WHERE NOT (variety = 'PROMO' OR price_c < 20000) AND market = (SELECT min(market) FROM obs) AND condition = 'F' GROUP BY ALL""")

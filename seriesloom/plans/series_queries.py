@@ -201,8 +201,8 @@ def series_latest_revision(spark, d):
  SELECT year, {', '.join(f'max(CASE WHEN m = {k} THEN x END) AS m{k}' for k in range(1, 13))} FROM n GROUP BY year""")
 def series_year_grid(spark, d):
     t = observations(spark, d).groupBy("year", (F.col("month_idx") % 12 + 1).alias("m")).agg(F.sum("volume").alias("v"))
-    edge = t.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))  # one row
-    n = t.crossJoin(edge).withColumn("x", (F.col("v") - F.col("lo")).cast("double") / (F.col("hi") - F.col("lo")))
+    low, high = t.agg(F.min("v")).scalar(), t.agg(F.max("v")).scalar()
+    n = t.withColumn("x", (F.col("v") - low).cast("double") / (high - low))
     p = n.groupBy("year").pivot("m", list(range(1, 13))).agg(F.max("x"))
     return p.select("year", *[F.col(str(k)).alias(f"m{k}") for k in range(1, 13)])
 
