@@ -35,7 +35,7 @@ MAX_LABELLED = 20_000
 N_FEATURES = 2048
 #: Lengths in bytes of the word beginnings that are features.
 PREFIXES = (4, 5, 6, 7, 8, 9)
-CUT = 0.35
+CUT = 0.2
 
 
 def text_features(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -121,7 +121,7 @@ def severity_grades(label: np.ndarray, share: np.ndarray) -> np.ndarray:
     return grade
 
 
-def fit(features: np.ndarray, marked: np.ndarray, rows: list, graded: bool, steps: int = 300, rate: float = 0.05, decay: float = 1e-3) -> OrdinalModel:
+def fit(features: np.ndarray, marked: np.ndarray, rows: list, graded: bool, steps: int = 300, rate: float = 0.05, decay: float = 3e-3) -> OrdinalModel:
     """Fit on collected (grade, n, features, times) rows of the bounded sample."""
     label = np.array([r.grade for r in rows], dtype=np.int64)
     if not len(features) or not len(label) or (label > 0).all() or (label == 0).all():
