@@ -74,10 +74,28 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.zeros(0, dtype=np.uint64)
-        self.at = np.zeros(0, dtype=np.int64)
-        self.n = np.zeros(0, dtype=np.int64)
-        self.ids = np.zeros(0, dtype=np.uint32)
+        """Forget all words.  Two sorted tables of (hash, where its ids begin, how many): a large
+        one, and a small one for new words, so that learning doesn't sort the large one anew."""
+        none = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.old, self.new, self.ids = none, none, np.zeros(0, dtype=np.uint32)
+
+    @staticmethod
+    def _merged(a, b):
+        keys = np.concatenate([a[0], b[0]])
+        order = np.argsort(keys, kind="stable")
+        return keys[order], np.concatenate([a[1], b[1]])[order], np.concatenate([a[2], b[2]])[order]
+
+    def _find(self, unique: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether each hash is known, and where its ids are."""
+        known, at, n = np.zeros(len(unique), dtype=bool), np.zeros(len(unique), np.int64), np.zeros(len(unique), np.int64)
+        for keys, begin, count in (self.old, self.new):
+            if len(keys):
+                place = np.searchsorted(keys, unique)
+                place[place == len(keys)] = 0
+                here = keys[place] == unique
+                known |= here
+                at[here], n[here] = begin[place[here]], count[place[here]]
+        return known, at, n
 
     def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, joined, and their number in each text."""
@@ -106,17 +124,15 @@ class WordEncoder:
             is_plain = np.zeros(len(start), dtype=bool)
         unique, first, code = np.unique(hashes, return_index=True, return_inverse=True)
         self._learn(buf, unique, start[first], end[first], is_plain[first])
-        slot = np.searchsorted(self.keys, unique)
-        n = self.n[slot][code]
-        ids = K.take_pieces(self.ids, self.at[slot][code], n)
+        _, at, length = self._find(unique)
+        n = length[code]
+        ids = K.take_pieces(self.ids, at[code], n)
         return ids, np.bincount(doc, n, minlength=len(offs) - 1).astype(np.int64)
 
     def _learn(self, buf, unique, start, end, is_plain) -> None:
-        if len(self.keys) > WORDS_KEPT:
+        if len(self.old[0]) + len(self.new[0]) > WORDS_KEPT:
             self.clear()
-        place = np.searchsorted(self.keys, unique)
-        place[place == len(self.keys)] = 0
-        new = np.flatnonzero(self.keys[place] != unique) if len(self.keys) else np.arange(len(unique))
+        new = np.flatnonzero(~self._find(unique)[0])
         if not len(new):
             return
         text, tokenize = buf.tobytes(), self.tokenizer.model.tokenize
@@ -133,9 +149,9 @@ class WordEncoder:
         n = np.array([len(x) for x in found], dtype=np.int64)
         at = len(self.ids) + np.cumsum(n) - n
         self.ids = np.concatenate([self.ids, np.array([i for x in found for i in x], dtype=np.uint32)])
-        keys = np.concatenate([self.keys, unique[new]])
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.at, self.n = keys[order], np.concatenate([self.at, at])[order], np.concatenate([self.n, n])[order]
+        self.new = self._merged(self.new, (unique[new], at, n))
+        if len(self.new[0]) > 50_000 + len(self.old[0]) // 8:
+            self.old, self.new = self._merged(self.old, self.new), tuple(x[:0] for x in self.new)
 
 
 _encoders: dict[str, WordEncoder] = {}
