@@ -306,7 +306,7 @@ def write_tokens(documents: DataFrame, folder: str, tokenizer: str, end_id: int
 
 def read_shards(spark: SparkSession, folder: str) -> DataFrame:
     """(path, content): one row per shard file."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path", "content")
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).filter("length > 0").select("path", "content")
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
