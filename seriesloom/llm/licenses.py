@@ -1,14 +1,20 @@
 """License scans by conditional compression.
 
-Method: lines with a word that license notices use are cut into candidate blocks around
-it.  Each block is compressed alone and with every template as a raw zstandard dictionary;
-templates are ranked by how much the size falls.  The winner is confirmed by the exact
-wording differences: words of the template that the block lacks (after the best alignment
-of word sequences), and whether every word that tells this license from its kin is there.
-
-Defined results: null or empty texts have no candidates; each line of a text counts by
-itself; repeated rows each get a row; the templates are a parameter; other columns are
-ignored.  Whole texts are searched; nothing is shuffled.
+Method: around each word that license notices use, windows of about each template's length
+are cut, across line ends: the template is laid with each of its own such words on the one
+in the text, and given no, some or its own length of slack on either side; the line's block
+of words is one window more.  Each window is compressed alone and with the templates as raw
+zstandard dictionaries; templates are ranked by how much the size falls.  The winner is
+confirmed by the exact wording differences: words of the template that the window lacks
+(after the best alignment of word sequences), and whether every word that tells this license
+from its kin is there.  Of winners that overlap, the one with most words in common, less the
+missing and the extra ones, stays; all others are reported.
+
+Templates that a window's words can't confirm are not compressed with it, which changes no
+verdict.  Defined results: null or empty texts have no candidates; line ends, with comment
+marks after them, count as a space; ``n_candidates`` counts the blocks of words in a line
+around triggers; repeated rows each get a row; the templates are a parameter; other columns
+are ignored.  Whole texts are searched; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -45,66 +51,105 @@ TEMPLATES = [
     ("Proprietary", "Copyright. All rights reserved."),
 ]
 #: Words that make a line a candidate, and words that name a license.
-TRIGGER = rb"licen[cs]|copyright|all rights reserved|permission is hereby granted|redistribution and use|creative commons"
+TRIGGER = rb"licen[cs]|copyright|all rights reserved|permission is hereby granted|redistribution and use|creative commons".replace(b" ", rb"[^0-9a-z\x80-\xff]+")
 NAMING = {"apache", "mit", "gnu", "general", "lesser", "affero", "public", "mozilla", "cc", "by", "nc", "nd", "sa", "cc0", "creative", "commons", "redistribution", "rights", "reserved", "permission", "1", "2", "3", "4", "0"}
-#: Words on either side of a trigger that belong to its block.
+#: Words on either side of a trigger that belong to its block in a line.
 AROUND = 40
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+#: A line end with the comment marks behind it, or white space: one space in a window.
+_BREAK = re.compile(rb"\s*\n[\s*#/;>-]*|\s{2,}")
 _SCHEMA = "doc_id bigint, n_candidates bigint, found array<struct<license: string, start: bigint, end: bigint, reduction: double, missing: bigint, extra: bigint>>"
 
 
 def common_words(a: list[bytes], b: list[bytes]) -> list[int]:
     """Places in ``a`` of a longest common subsequence with ``b``."""
-    best = np.zeros((len(a) + 1, len(b) + 1), dtype=np.int32)
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
-            best[i, j] = best[i + 1, j + 1] + 1 if a[i] == b[j] else max(best[i + 1, j], best[i, j + 1])
+            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
     i = j = 0
     places = []
     while i < len(a) and j < len(b):
         if a[i] == b[j]:
             places.append(i)
             i, j = i + 1, j + 1
-        elif best[i + 1, j] >= best[i, j + 1]:
+        elif best[i + 1][j] >= best[i][j + 1]:
             i += 1
         else:
             j += 1
     return places
 
 
+def closest_words(a: list[bytes], b: list[bytes]) -> list[int]:
+    """:func:`common_words` from the begin or from the end, whichever spans less of ``a``."""
+    ahead, back = common_words(a, b), [len(a) - 1 - i for i in reversed(common_words(a[::-1], b[::-1]))]
+    return min(ahead, back, key=lambda places: places[-1] - places[0] if places else 0)
+
+
 class Scanner:
     """Templates with their compressors."""
 
     def __init__(self, templates: list[tuple[str, str]], max_missing: float, min_reduction: float):
         self.max_missing, self.min_reduction = max_missing, min_reduction
         self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False)
-        self.templates = []
+        self.templates, self.laid = [], []
         for name, wording in templates:
             text = wording.encode().lower()
             # a raw dictionary needs a few bytes of its own before the wording
             raw = zstandard.ZstdCompressionDict(b"\n" * 8 + text, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             words = _WORD.findall(text)
+            places = [(m.group()[:5], len(_WORD.findall(text[: m.start()]))) for m in re.finditer(TRIGGER, text)]
+            self.laid.append(places)
             self.templates.append((name, words, {w.decode() for w in words} & NAMING, zstandard.ZstdCompressor(level=3, dict_data=raw, write_content_size=False, write_checksum=False, write_dict_id=False)))
+        #: No window goes further from its trigger.
+        self.reach = max([2 * len(words) for _, words, _, _ in self.templates], default=0)
         self.judge = lru_cache(maxsize=50_000)(self._judge)
 
+    def _may_confirm(self, i: int, words: set[bytes]) -> bool:
+        """Whether a window of these words can hold enough of the template."""
+        _, wording, naming, _ = self.templates[i]
+        return len(set(wording) - words) <= self.max_missing * len(wording) and all(w.encode() in words for w in naming)
+
+    def windows(self, kind: bytes, near: list[bytes], at: int) -> set[tuple[int, int]]:
+        """Begin and end, in ``near``, of the windows of the trigger of this kind at word ``at``."""
+        found = set()
+        for i, (_, wording, _, _) in enumerate(self.templates):
+            n = len(wording)
+            for own, q in self.laid[i]:
+                begin = at - q
+                if own == kind and self._may_confirm(i, set(near[max(0, begin - n) : max(0, begin + 2 * n)])):
+                    slack = (0, -(-n // 4), n)
+                    found |= {(max(0, begin - x), min(len(near), begin + n + y)) for x in slack for y in slack}
+        return found
+
     def _judge(self, block: bytes) -> tuple | None:
-        """(license, reduction, missing, extra, first word, end word) of a block, or None."""
-        alone = len(self.plain.compress(block))
-        ranked = sorted((len(c.compress(block)), -len(words), i) for i, (_, words, _, c) in enumerate(self.templates))
+        """(license, reduction, bytes saved, missing, extra, first word, end word) of a window, or None."""
         words = _WORD.findall(block)
+        there = set(words)
+        ranked = sorted((len(self.templates[i][3].compress(block)), -len(self.templates[i][1]), i) for i in range(len(self.templates)) if self._may_confirm(i, there))
+        alone = len(self.plain.compress(block)) if ranked else 0
         for size, _, i in ranked:
             reduction = 1 - size / alone
             if reduction < self.min_reduction:
                 return None
             name, wording, naming, _ = self.templates[i]
-            places = common_words(words, wording)
+            places = closest_words(words, wording)
             missing = len(wording) - len(places)
             there = {words[p].decode(errors="replace") for p in places}
             if places and missing <= self.max_missing * len(wording) and naming <= there:
-                return name, reduction, missing, places[-1] + 1 - places[0] - len(places), places[0], places[-1] + 1
+                return name, reduction, alone - size, missing, places[-1] + 1 - places[0] - len(places), places[0], places[-1] + 1
         return None
 
 
+def _apart(verdicts: set[tuple]) -> list[tuple]:
+    """The best of the (license, reduction, saved, missing, extra, first word, end word) that overlap, in order."""
+    kept = []
+    for v in sorted(verdicts, key=lambda v: (2 * v[4] + v[3] - (v[6] - v[5]), -v[2], -v[1], v[5], v[0])):
+        if all(v[6] <= k[5] or k[6] <= v[5] for k in kept):
+            kept.append(v)
+    return sorted(kept, key=lambda v: v[5])
+
+
 def _rows(templates, max_missing, min_reduction):
     def rows(batches):
         scanner, trigger = Scanner(templates, max_missing, min_reduction), re.compile(TRIGGER)
@@ -112,26 +157,32 @@ def _rows(templates, max_missing, min_reduction):
             for lo, hi, buf, offs in K.chunks(batch.column(1)):
                 n = hi - lo
                 text = buf.tobytes().lower()
-                count, found, done = np.zeros(n, dtype=np.int64), [[] for _ in range(n)], -1
+                count, found, verdicts, done = np.zeros(n, dtype=np.int64), [[] for _ in range(n)], {}, -1
+                start, end, doc = K.words(buf, offs, K.ALNUM)
+                bounds = K.bounds(doc, n)
                 for m in trigger.finditer(text):
                     own = int(np.searchsorted(offs, m.start(), "right")) - 1
-                    if m.end() > offs[own + 1] or m.start() < done:
+                    if m.end() > offs[own + 1]:
                         continue
-                    begin = max(int(offs[own]), text.rfind(b"\n", int(offs[own]), m.start()) + 1)
-                    end = text.find(b"\n", m.end(), int(offs[own + 1]))
-                    end = int(offs[own + 1]) if end < 0 else end
-                    before = [w.start() for w in _WORD.finditer(text, begin, m.start())][-AROUND:]
-                    begin = before[0] if before else m.start()
-                    for k, w in enumerate(_WORD.finditer(text, m.start(), end)):
-                        done = w.end()
-                        if k == AROUND:
-                            break
-                    count[own] += 1
-                    if verdict := scanner.judge(text[begin:done]):
-                        name, reduction, missing, extra, first, last = verdict
-                        spans = [w.span() for w in _WORD.finditer(text, begin, done)]
-                        a, b = spans[first][0], spans[last - 1][1]
-                        points = [int(((buf[offs[own] : x] & 0xC0) != 0x80).sum()) for x in (a, b)]
+                    first, last = int(bounds[own]), int(bounds[own + 1])
+                    at = int(np.searchsorted(start, m.start(), "right")) - 1
+                    # the block: words of the line, or of the lines that the trigger is in
+                    a, b = max(first, at - AROUND), min(last, at + AROUND)
+                    begin, stop = text.rfind(b"\n", int(start[a]), m.start()), text.find(b"\n", m.end(), int(end[b - 1]))
+                    a = a if begin < 0 else int(np.searchsorted(start, begin))
+                    b = b if stop < 0 else int(np.searchsorted(start, stop))
+                    if m.start() >= done:
+                        count[own] += 1
+                        done = int(end[b - 1])
+                    x, y = max(first, at - scanner.reach), min(last, at + scanner.reach)
+                    near = [text[s:e] for s, e in zip(start[x:y].tolist(), end[x:y].tolist())]
+                    for a, b in {(a, b)} | {(x + a, x + b) for a, b in scanner.windows(m.group()[:5], near, at - x)}:
+                        if verdict := scanner.judge(_BREAK.sub(b" ", text[start[a] : end[b - 1]])):
+                            *what, i, j = verdict
+                            verdicts.setdefault(own, set()).add((*what, a + i, a + j))
+                for own, each in verdicts.items():
+                    for name, reduction, _, missing, extra, a, b in _apart(each):
+                        points = [int(((buf[offs[own] : x] & 0xC0) != 0x80).sum()) for x in (start[a], end[b - 1])]
                         found[own].append({"license": name, "start": points[0], "end": points[1], "reduction": round(reduction, 6), "missing": missing, "extra": extra})
                 kind = pa.list_(pa.struct([("license", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("reduction", pa.float64()), ("missing", pa.int64()), ("extra", pa.int64())]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), pa.array(count), pa.array(found, kind)], ["doc_id", "n_candidates", "found"])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.llm import textkit as K
 from seriesloom.llm.decontaminate import decontaminate, without_contaminated
-from seriesloom.llm.licenses import license_scan
+from seriesloom.llm.licenses import TEMPLATES, license_scan
 from seriesloom.llm.line_dedup import deduplicated_documents, repeated_windows
 from seriesloom.llm.mixing import document_sizes, mix, mixed_documents, schedule, source_targets
 from seriesloom.llm.ngram_join import Trie, may_link, bucket_counts, ngram_jaccard
@@ -191,6 +191,26 @@ def test_license_cases(spark, docs, empty):
     assert got[1] == [("Apache-2.0", 2, 0)] and got[2] == [] and ("GPL-3.0" not in str(got[3]))
 
 
+def test_license_notices_inside_longer_texts(spark):
+    prose = "the quick brown fox jumps over a lazy dog near some quiet river bank while seven small birds watch from tall green trees".split()
+    before, after = " ".join(prose[:20]), " ".join(prose[3:])
+    notices = dict(TEMPLATES)
+    texts, want = [], []
+    for name, wording in TEMPLATES:
+        texts.append(f"{before} {wording} {after}")
+        want.append([(name, len(before) + 1, 0, 0)])
+    for name, wording in (("MIT", TEMPLATES[3][1]), ("BSD-3-Clause", notices["BSD-3-Clause"])):
+        words = wording.split()
+        texts.append("\n * ".join([before, *(" ".join(words[i : i + 3]) for i in range(0, len(words), 3)), after]))
+        want.append([(name, len(before) + 4, 0, 0)])
+    texts.append(f"{before} {notices['GPL-3.0']} {notices['CC0-1.0']} {after}")
+    want.append([("GPL-3.0", len(before) + 1, 0, 0), ("CC0-1.0", len(before) + len(notices["GPL-3.0"]) + 2, 0, 0)])
+    texts.append("Copyright 2020 Some Firm. All rights reserved.")
+    want.append([("Proprietary", 0, 0, 3)])
+    got = {r.doc_id: [(x.license, x.start, x.missing, x.extra) for x in r.found] for r in license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def test_toxicity_cases(spark, docs, empty):
     labels = spark.createDataFrame([(1, 0, 1), (2, 1, 1), (2, 0, 1), (None, 1, 1), (5, None, 1), (99, 1, 1)], "doc_id bigint, toxic int, text int")
     model = train(docs, labels)
