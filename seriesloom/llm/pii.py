@@ -2,16 +2,21 @@
 
 Base spans are e-mail addresses, IP addresses, card numbers and phone numbers (leftmost,
 not overlapping within a kind, checked afterwards).  Method: each distinct value is a
-protected entity.  A word within ``near`` words of an entity is a term that may reveal it.
-With n(t) texts that have the term, n(e) that have the entity, n(t, e) that have them near
-each other and N texts in all, the term's disclosure of the entity is
-log2(n(t, e) * N / (n(t) * n(e))) bits, at certainty n(t, e) / n(t).  Terms with at least
-``support`` joint texts, ``bits`` and ``certainty`` for some entity are disclosed: their
-occurrences anywhere are spans of kind ``term``, and are generalised to [TERM] as base
-spans are to [EMAIL] and so on.
-
-All counts cover all texts.  Joint counts are of texts with entities only; n(t) is counted
-for the candidate terms, found by Bloom bits and then joined exactly.
+protected entity.  A word of a text with an entity is a term that may reveal it (``near``
+limits this to so many words on either side).  With n(t) texts that have the term, n(e) that
+have the entity, n(t, e) that have both and N texts in all, the term tells
+log2(n(t, e) * N / (n(t) * n(e))) bits of the entity's own log2(N / n(e)) bits; their ratio
+is the share disclosed, at certainty n(t, e) / n(t).  Terms that reach ``share`` and
+``certainty`` for some entity, with ``support`` joint texts and ``bits``, are disclosed:
+their occurrences anywhere are spans of kind ``term``, and are generalised to [TERM] as base
+spans are to [EMAIL] and so on.  Neither measure depends on the table's size or on how common
+the entity is: a word that occurs only with an entity tells all of it.  An entity in every
+text has no information to tell.
+
+All counts cover all texts.  Joint counts are of texts with entities only.  n(t) is at least
+the number of texts with entities that have the term, so terms too common there are no
+candidates; for the others n(t) is counted over all texts, found by Bloom bits and then
+joined exactly.
 
 Defined results: null or empty texts have no spans; copies of a text count as texts;
 repeated rows each get a row; words that touch a base span are no terms; other columns pass
@@ -115,7 +120,22 @@ class Scan:
         return [f"{k}:{a}:{b}" for k, a, b in zip(kinds, (self.points[start] - zero).tolist(), (self.points[end] - zero).tolist())]
 
 
-def _context_rows(near: int):
+#: Pairs of an entity and a term in a batch, about.
+BATCH_PAIRS = 1 << 20
+
+
+def _distinct(group: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each pair once, in order."""
+    order = np.lexsort((value, group))
+    group, value = group[order], value[order]
+    new = np.ones(len(group), dtype=bool)
+    new[1:] = (group[1:] != group[:-1]) | (value[1:] != value[:-1])
+    return group[new], value[new]
+
+
+def _context_rows(near: int | None):
+    """(entity, term) once a text; without a term, the entity itself; without an entity, a term of a text with entities."""
+
     def rows(batches):
         for batch in batches:
             for lo, hi, buf, offs in K.chunks(batch.column(0)):
@@ -124,17 +144,43 @@ def _context_rows(near: int):
                     continue
                 start, end, doc, hashes = s.terms()
                 entity = np.array([int.from_bytes(hashlib.blake2b(e, digest_size=8).digest(), "little", signed=True) for e in s.entity], dtype=np.int64)
+                has = np.zeros(hi - lo, dtype=bool)
+                has[s.own] = True
+                own, terms = _distinct(doc[has[doc]], hashes.view(np.int64)[has[doc]])
+                yield _pairs(np.zeros(len(terms), np.int64), terms, no_entity=True)
+                each, only = _distinct(s.own, entity)
+                yield _pairs(only, np.zeros(len(only), np.int64), no_term=True)
+                if near is None:
+                    a, b = np.searchsorted(own, each, "left"), np.searchsorted(own, each, "right")
+                    # many entities in a long text make many pairs
+                    part = np.cumsum(b - a) // BATCH_PAIRS
+                    for k in np.unique(part):
+                        at = part == k
+                        yield _pairs(np.repeat(only[at], (b - a)[at]), K.take_pieces(terms, a[at], (b - a)[at]))
+                    continue
                 first = np.searchsorted(doc, s.own, "left")
                 last = np.searchsorted(doc, s.own, "right")
                 place = np.searchsorted(start, s.start)
                 place = np.clip(place, first, last)
                 a, b = np.maximum(first, place - near), np.minimum(last, place + near)
                 words = K.take_pieces(hashes.view(np.int64), a, b - a)
-                own, e = np.repeat(s.own, b - a), np.repeat(entity, b - a)
-                pairs = np.unique(np.stack([own, e, words]), axis=1)
-                only = np.unique(np.stack([s.own, entity]), axis=1)
-                # a row without a term stands for the entity in a text
-                yield pa.RecordBatch.from_arrays([pa.array(np.append(pairs[1], only[1])), pa.array(np.append(pairs[2], np.zeros(only.shape[1], np.int64)), mask=np.append(np.zeros(pairs.shape[1], bool), np.ones(only.shape[1], bool)))], ["entity", "term"])
+                pairs = np.unique(np.stack([np.repeat(s.own, b - a), np.repeat(entity, b - a), words]), axis=1)
+                yield _pairs(pairs[1], pairs[2])
+
+    return rows
+
+
+def _pairs(entity: np.ndarray, term: np.ndarray, no_entity: bool = False, no_term: bool = False) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, mask=np.full(len(x), none)) for x, none in ((entity, no_entity), (term, no_term))], ["entity", "term"])
+
+
+def _candidate_pairs(shared):
+    """The pairs whose term may be a candidate."""
+
+    def rows(batches):
+        bits = shared.value
+        for batch in batches:
+            yield batch.filter(pa.array(bloom.may_hold(bits, batch.column(1).to_numpy())))
 
     return rows
 
@@ -157,18 +203,24 @@ def _term_counter(shared):
     return rows
 
 
-def disclosed_terms(documents: DataFrame, text_col: str = "text", near: int = 6, support: int = 3, bits: float = 8.0, certainty: float = 0.5) -> DataFrame:
+def disclosed_terms(documents: DataFrame, text_col: str = "text", near: int | None = None, support: int = 1, bits: float = 0.0, certainty: float = 0.5, share: float = 0.5) -> DataFrame:
     """(term, bits, certainty): hashes of the terms that disclose some entity, with the strongest figures."""
     texts = documents.select(F.col(text_col).cast("string").alias("text"))
-    joint = written(texts.mapInArrow(_context_rows(near), "entity bigint, term bigint").groupBy("entity", "term").agg(F.count("*").alias("n")).filter(F.col("n") >= support))
+    joint = written(texts.mapInArrow(_context_rows(near), "entity bigint, term bigint").groupBy("entity", "term").agg(F.count("*").alias("n")))
     entities = joint.filter(F.col("term").isNull()).select("entity", F.col("n").alias("n_entity"))
-    pairs = joint.filter(F.col("term").isNotNull())
-    shared = documents.sparkSession.sparkContext.broadcast(bloom.bits_of(pairs.select("term").distinct()))
+    pairs = joint.filter(F.col("entity").isNotNull() & F.col("term").isNotNull() & (F.col("n") >= support))
+    # n(t) is at least the number of texts with entities that have the term
+    most, seen = (F.max(F.when(which, F.col("n"))) for which in (F.col("entity").isNotNull(), F.col("entity").isNull()))
+    candidates = joint.filter(F.col("term").isNotNull()).groupBy("term").agg(most.alias("most"), seen.alias("seen"))
+    candidates = written(candidates.filter((F.col("most") >= support) & (F.col("most") >= certainty * F.col("seen"))).select("term"))
+    shared = documents.sparkSession.sparkContext.broadcast(bloom.bits_of(candidates))
     counts = texts.mapInArrow(_term_counter(shared), "term bigint, texts bigint").groupBy("term").agg(F.sum("texts").alias("n_term"))
-    total = texts.count()
-    scored = pairs.join(counts, "term").join(entities, "entity")
-    scored = scored.select("term", F.log2(F.col("n") * F.lit(float(total)) / (F.col("n_term") * F.col("n_entity"))).alias("bits"), (F.col("n") / F.col("n_term")).alias("certainty"))
-    return scored.filter((F.col("bits") >= bits) & (F.col("certainty") >= certainty)).groupBy("term").agg(F.max("bits").alias("bits"), F.max("certainty").alias("certainty"))
+    total = float(texts.count())
+    scored = pairs.mapInArrow(_candidate_pairs(shared), "entity bigint, term bigint, n bigint").join(counts, "term").join(entities, "entity")
+    told, own = F.log2(F.col("n") * F.lit(total) / (F.col("n_term") * F.col("n_entity"))), F.log2(F.lit(total) / F.col("n_entity"))
+    scored = scored.select("term", told.alias("bits"), own.alias("entity_bits"), (F.col("n") / F.col("n_term")).alias("certainty"))
+    scored = scored.filter((F.col("entity_bits") > 0) & (F.col("bits") >= share * F.col("entity_bits")) & (F.col("bits") >= bits) & (F.col("certainty") >= certainty))
+    return scored.groupBy("term").agg(F.max("bits").alias("bits"), F.max("certainty").alias("certainty"))
 
 
 def _span_rows(shared):

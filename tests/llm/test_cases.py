@@ -184,6 +184,37 @@ def test_private_cases(spark, docs, empty):
     assert sanitised_documents(people, bits=3.0).filter("doc_id = 1").first().text == "write to [TERM] at [EMAIL] please"
 
 
+def test_terms_by_the_defaults(spark):
+    far = "so much has been said since then about this and that " * 3
+    groups = {"rare@mail.org": ("zorbaq", 1), "two@mail.org": ("dimitriq", 2), "many@mail.org": ("kleanthq", 40)}  # 40 of 100: a large group of copies
+    texts = [f"ask {name} {far}write to {address}" for address, (name, n) in groups.items() for _ in range(n)]
+    texts += [f"ask someone {far}write to nobody"] * (100 - len(texts))
+    spans = {}
+    for size in (1, 20):  # the same shares in a larger table
+        more = [t for t in texts for _ in range(size)]
+        got = private_spans(spark.createDataFrame(list(enumerate(more)), "doc_id bigint, text string")).collect()
+        spans[size] = [{tuple(x.term_spans) for x in got if x.doc_id // size == i} for i in range(len(texts))]
+    want = [{(f"term:4:{4 + len(name)}",)} for name, n in groups.values() for _ in range(n)]
+    assert spans[1] == spans[20] == want + [{()}] * (100 - len(want))
+
+
+def test_terms_equal_brute_force(spark):
+    import math
+
+    pick = random.Random(7)
+    texts = [" ".join(pick.choice([f"w{int(pick.paretovariate(0.6)) % 300}", f"u{pick.randrange(4)}@mail.org"] if pick.random() < 0.1 else [f"w{int(pick.paretovariate(0.6)) % 300}"]) for _ in range(12)) for _ in range(120)]
+    bags = [set(t.split()) for t in texts]
+    total, n = len(bags), lambda *x: sum(b.issuperset(x) for b in bags)
+    entities = {x for b in bags for x in b if "@" in x}
+    want = set()
+    for t in {x for b in bags for x in b if "@" not in x}:
+        for e in entities:
+            if (both := n(t, e)) and both / n(t) >= 0.5 and math.log2(both * total / (n(t) * n(e))) >= 0.5 * math.log2(total / n(e)):
+                want.add(t)
+    got = {x for r, t in zip(sorted(private_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect(), key=lambda r: r.doc_id), texts) for s in r.term_spans for x in [t[slice(*map(int, s.split(":")[1:]))]]}
+    assert got == want and want
+
+
 def test_license_cases(spark, docs, empty):
     assert license_scan(docs).count() == docs.count() and license_scan(empty).count() == 0
     df = spark.createDataFrame([(1, "é\nLicensed under the Apache License, Version 2.0 ok"), (2, "we license things"), (3, "Licensed under the GNU General Public License version 2 only"), (4, "Released under the MIT licence\nAll rights reserved.")], "doc_id bigint, text string")
