@@ -114,11 +114,40 @@ def _stream(sizes: DataFrame) -> DataFrame:
     return s.join(totals, s.source.eqNullSafe(totals.s) & (s.bucket == totals.b)).withColumn("begin", F.col("base") + F.col("inside")).drop("s", "b", "base", "inside", "bucket", "shuffle_key")
 
 
-def mix(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3, block: int = BLOCK) -> DataFrame:
+def dealt(stream: DataFrame, targets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(source, begin, dealt, first_slot): words that the slots take of each document that any
+    takes, and the first of these slots.
+
+    The r-th slot of a source takes words r * block to (r + 1) * block of its stream, which
+    starts over at its end, up to the cap.  Blocks and documents meet in cells of a stream;
+    what they share is counted in the cell where it begins.
+    """
+    cell = 4 * block
+    t = targets.filter(F.col("source_size") > 0).select(F.col("source").alias("s"), "source_size", "cap")
+    slots = schedule(targets)
+    slots = slots.join(t, slots.source.eqNullSafe(t.s)).withColumn("upto", F.least((F.col("take") + 1) * block, F.col("cap"))).filter(F.col("upto") > F.col("take") * block)
+    slots = slots.select("slot", "s", "source_size", (F.col("take") * block).alias("since"), "upto", F.explode(F.sequence(F.floor(F.col("take") * block / F.col("source_size")), F.floor((F.col("upto") - 1) / F.col("source_size")))).alias("lap"))
+    lap = F.col("lap") * F.col("source_size")
+    slots = slots.select("slot", "s", F.greatest(F.col("since") - lap, F.lit(0)).alias("a"), F.least(F.col("upto") - lap, F.col("source_size")).alias("b"))
+
+    def cells(begin: Column, end: Column) -> Column:
+        return F.explode(F.sequence(F.floor(begin / cell), F.floor((end - 1) / cell)))
+
+    slots = slots.withColumn("c", cells(F.col("a"), F.col("b")))
+    d = stream.filter(F.col("size") > 0).select("source", "begin", (F.col("begin") + F.col("size")).alias("end"))
+    d = d.withColumn("cell", cells(F.col("begin"), F.col("end")))
+    start, stop = F.greatest("a", "begin"), F.least("b", "end")
+    met = d.join(slots, d.source.eqNullSafe(slots.s) & (d.cell == slots.c)).filter((start < stop) & (F.floor(start / cell) == F.col("cell")))
+    return met.groupBy("source", "begin").agg(F.sum(stop - start).alias("dealt"), F.min("slot").alias("first_slot"))
+
+
+def mix(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3, block: int = BLOCK, by_slots: bool = True) -> DataFrame:
     """(doc_id, row_key, source, size, begin, source_size, target, passes, first_words, taken).
 
     ``passes`` is how often the mix takes the whole document, ``first_from``/``first_words``
-    the part of it that a last, partial pass over the stream takes besides.
+    the part of it that a last, partial pass over the stream takes besides.  With ``by_slots``,
+    ``taken`` is what the slots' blocks hold of the document, and ``first_slot`` the first slot
+    that takes some of it; else ``taken`` is worked out from the other two.
     """
     sizes = written(sizes)
     targets = written(source_targets(sizes, weights, max_repeats, block))
@@ -129,13 +158,21 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int
     t = t.join(slots, t.s.eqNullSafe(slots.s2), "left").withColumn("scheduled", F.least(F.coalesce("slots", F.lit(0)) * block, F.col("cap")))
     # a source may hold a third of all documents: its one row is met in SALT places
     t = t.drop("s2", "slots").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    d = _stream(sizes).withColumn("row_salt", F.pmod(F.xxhash64("doc_id", "row_key"), F.lit(SALT)).cast("int"))
+    stream = _stream(sizes)
+    stream = written(stream) if by_slots else stream
+    d = stream.withColumn("row_salt", F.pmod(F.xxhash64("doc_id", "row_key"), F.lit(SALT)).cast("int"))
     d = d.join(t, d.source.eqNullSafe(t.s) & (d.row_salt == t.salt)).drop("s", "salt", "row_salt")
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("scheduled") / F.greatest("source_size", F.lit(1)))).otherwise(F.lit(0)).cast("bigint")
     d = d.withColumn("passes", passes)
     rest = F.col("scheduled") - F.col("passes") * F.col("source_size")
     d = d.withColumn("first_words", F.least(F.col("size"), F.greatest(F.lit(0), rest - F.col("begin"))).cast("bigint"))
-    return d.withColumn("taken", F.col("passes") * F.col("size") + F.col("first_words"))
+    if not by_slots:
+        return d.withColumn("taken", F.col("passes") * F.col("size") + F.col("first_words"))
+    took = dealt(stream, targets, block).select(F.col("source").alias("s"), F.col("begin").alias("at"), "dealt", "first_slot")
+    # a document without words begins where the next one does, and is not taken; its key spreads it out
+    d = d.withColumn("key", F.when(F.col("size") > 0, F.col("begin")).otherwise(-1 - F.pmod(F.xxhash64("doc_id", "row_key"), F.lit(1 << 40))))
+    d = d.join(took, d.source.eqNullSafe(took.s) & (d.key == took["at"]), "left").drop("s", "at", "key")
+    return d.withColumn("taken", F.coalesce("dealt", F.lit(0)).cast("bigint")).drop("dealt")
 
 
 def _cutter(at: int, n_at: int, names: list[str]):
@@ -160,7 +197,7 @@ def mixed_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str
     """The mix as rows of ``documents``: each row as often as it is taken whole, and once
     more, cut after its last taken word, where a partial pass takes a part of it."""
     names = documents.columns
-    taken = mix(document_sizes(documents, id_col, text_col, source_col), **how).filter(F.col("taken") > 0)
+    taken = mix(document_sizes(documents, id_col, text_col, source_col), by_slots=False, **how).filter(F.col("taken") > 0)
     taken = taken.select(F.struct("doc_id", "row_key", "source").alias("mix_key"), F.struct("passes", "first_words").alias("mix_take"))
     # equal rows: the n-th of them gets the n-th decision
     taken = taken.withColumn("mix_n", F.row_number().over(Window.partitionBy("mix_key").orderBy(F.desc("mix_take"))))

@@ -148,6 +148,22 @@ def test_mixing_cases(spark, docs, empty):
             assert all(abs(seen.get(s, 0) - k * x) <= 8 for s, x in share.items())
 
 
+def test_mix_is_dealt_by_its_slots(spark):
+    sizes = spark.createDataFrame([(i, [None, "a", "b", "tiny"][min(i % 7, 3) if i < 9 else i % 3], i, (i * 37) % 90) for i in range(300)], "doc_id bigint, source string, row_key bigint, size bigint")
+    got = mix(sizes).collect()
+    owner = {}
+    for r in sorted(got, key=lambda r: r.begin):
+        owner.setdefault(r.source, []).extend([r.doc_id] * r["size"])
+    taken, first = dict.fromkeys(range(300), 0), dict.fromkeys(range(300))
+    for r in schedule(source_targets(sizes)).orderBy("slot").collect():
+        words = owner[r.source]
+        for k in range(32 * r["take"], min(32 * r["take"] + 32, 3 * len(words))):
+            taken[words[k % len(words)]] += 1
+            first[words[k % len(words)]] = r.slot if first[words[k % len(words)]] is None else first[words[k % len(words)]]
+    assert {r.doc_id: (r.taken, r.first_slot) for r in got} == {i: (taken[i], first[i]) for i in range(300)}
+    assert all(r.taken == r.passes * r["size"] + r.first_words for r in got)
+
+
 def test_mixing_waterfill(spark):
     sizes = spark.createDataFrame([(1, "a", 1, 10), (2, "b", 2, 1000), (3, None, 3, 100), (4, "z", 4, 0)], "doc_id bigint, source string, row_key bigint, size bigint")
     got = {r.source: r.target for r in source_targets(sizes).collect()}
