@@ -12,22 +12,43 @@ from pyspark.sql import types as T
 from seriesloom.functions.text import fold
 
 
+_made: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; only where that is unset, a folder of our own."""
+    """A new folder below spark.checkpoint.dir, which all machines must share.
+
+    Only where that is unset and everything runs on this machine, a folder of our own.
+    """
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not top:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir is unset and the master is {master}: name a folder that all machines share")
         top = tempfile.mkdtemp(prefix="seriesloom-")
         spark.conf.set("spark.checkpoint.dir", top)
-    return f"{top}/{uuid.uuid4().hex}"
+        spark.sparkContext.setCheckpointDir(top)
+    _made.append(f"{top}/{uuid.uuid4().hex}")
+    return _made[-1]
 
 
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder; lineage ends there."""
     folder = shared_folder(df.sparkSession)
-    df.write.parquet(folder)
+    df.write.mode("overwrite").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def discard_intermediates(spark: SparkSession) -> int:
+    """Delete the folders that this process has made so far; results that read them must have been
+    written elsewhere.  Returns their number."""
+    files, n = spark._jvm.org.apache.hadoop.fs, 0
+    while _made:
+        path = files.Path(_made.pop())
+        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return n
+
+
 def read_delimited(spark: SparkSession, path: str, columns: list[str], sep: str = ",", encoding: str = "UTF-8", header: bool = True) -> DataFrame:
     """All columns as text, with quoted line ends; the schema is declared, never inferred."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])

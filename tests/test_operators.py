@@ -139,3 +139,31 @@ def test_live_window_counts(spark, tmp_path):
     q = view.writeStream.format("memory").queryName("live_counts").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert sorted(r.n for r in spark.sql("SELECT n FROM live_counts").collect()) == [1, 2]
+
+
+def test_shared_folder_needs_a_setting_on_a_cluster(spark, monkeypatch):
+    class Elsewhere:
+        master = "spark://head:7077"
+
+        class getConf:
+            get = staticmethod(lambda name: None)
+
+    class Session:
+        sparkContext = Elsewhere
+
+        class conf:
+            get = staticmethod(lambda name, default=None: None)
+
+    with pytest.raises(ValueError):
+        tables.shared_folder(Session)
+
+
+def test_intermediates_are_discarded(spark):
+    import os
+
+    df = tables.written(spark.range(3))
+    folder = tables._made[-1].removeprefix("file:")
+    assert df.count() == 3 and os.path.isdir(folder)
+    held, tables._made[:] = tables._made[:-1], tables._made[-1:]
+    assert tables.discard_intermediates(spark) == 1 and not os.path.exists(folder)
+    tables._made[:] = held
