@@ -5,7 +5,8 @@ shards.  A shard holds raw little-endian ids and an index that maps each documen
 to where its ids are: a minimal perfect hash in levels (each level is a bit array; a
 key whose bit nobody else hit is placed, the others go on to the next level; the rank
 of the bit is the key's slot), with a fingerprint per slot, so a lookup reads a few bits
-and one slot whatever the number of keys.
+and one slot whatever the number of keys.  Beside the shards lies a table of them in order
+of key, which leads from a key to the shards that can hold it.
 
 Shard layout, little-endian:
   8 bytes "SLTOKEN1"; 10 int64: partition, shard, documents, keys, ids, bytes of an id,
@@ -15,37 +16,51 @@ Shard layout, little-endian:
   int64 document ids; uint8 null marks of the ids; int64 offsets of the documents' ids (documents + 1);
   the ids; one newline that Spark's writer adds.
 
+Below the folder: ``shards`` has the shard files, ``documents`` (Parquet) one row per document
+and ``files`` (Parquet, by key) one row per shard: partition, shard, path, smallest and largest
+key, documents, ids, and the ids of all shards before it.  Both tables are made from the shard
+files, which are read once for that.
+
 Files are written by Spark's own text writer (one shard is one value, one file) and read
 by its binaryFile source, so any file system and lost executors are dealt with by Spark.
 
 Defined results: null texts have no ids but the end id; a null document id comes first and
-isn't in the index; of rows that share an id the index finds the first, and ``documents_of``
-gives all, next to each other; texts are encoded whole; other columns are ignored; an empty
-table gives no shards.
+isn't in the index; rows that share an id, or have none, are in order of their text's hash and
+may lie in several shards, each of which finds its first, and ``fetch`` gives all; texts of any
+length are encoded whole; ids are integers; other columns are ignored; an empty table gives no
+shards.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesloom.llm import textkit as K
-from seriesloom.llm.store import shared_folder
+from seriesloom.sources.tables import shared_folder
 
 MAGIC = b"SLTOKEN1"
-#: Bytes of ids after which a shard is closed.
-SHARD_BYTES = 8 << 20
+#: Bytes of ids after which a shard is closed; a task holds a few copies of one shard.
+SHARD_BYTES = 1 << 20
 #: Bits per key of a level of the hash.
 GAMMA = 2.0
-#: Words that a worker remembers the ids of; beyond, it starts over.
-WORDS_KEPT = 3_000_000
+#: Words that a worker remembers the ids of (some 30 bytes each); beyond, it starts over.
+WORDS_KEPT = 1_000_000
+#: A word pattern known to keep letters together and to stop at white space, and a
+#: character for private use that stands between words.
+KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SEPARATOR = "\U0010fffd"
 _HEAD = "<8s10q"
 _LETTERS = np.zeros(256, dtype=bool)
 _LETTERS[65:91] = _LETTERS[97:123] = True
@@ -54,30 +69,35 @@ _STOPS[[44, 46]] = True
 
 
 class WordEncoder:
-    """Ids of whole texts for tokenizers that never join across white space.
-
-    Words between ASCII white space are encoded once and remembered by hash.  A word of
-    ASCII letters is remembered in lower case, apart from a comma or full stop at its
-    end, if the tokenizer's normaliser lower-cases and splits them off anyway
-    (``plain``, found by trying).  Whether words may be encoded alone is found by
-    trying, too; else whole texts are encoded.
+    """Ids of whole texts, by words where the tokenizer's description allows it.
+
+    A tokenizer whose normaliser and pre-tokenizer are of the known forms never joins across
+    ASCII white space: words between it are encoded once and remembered by hash.  A word of
+    ASCII letters is then one piece in lower case, and a comma or full stop behind it another,
+    so such words are remembered in lower case without it.  New words are encoded together, as
+    one text; the ends of words, or a separator that no word has, tell their ids apart.  With
+    any other tokenizer whole texts are encoded.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
         self.tokenizer = Tokenizer.from_file(path)
-        ids = lambda x: self.tokenizer.encode(x, add_special_tokens=False).ids
-        tries = ["The cat, it's a d'été.", "x\ty\n z,  Q.\n", "Über <|endoftext|>straße 12.5%", "a.b ,c . d"]
-        self.by_word = all(ids(t) == [i for w in t.split() for i in ids(w)] for t in tries)
-        self.plain = all(ids(w + s) == ids(w.lower()) + ids(s) for w in ("The", "cat", "Onthsh", "S", "LL", "re") for s in (".", ","))
+        self.by_word = splits_at_spaces(json.loads(self.tokenizer.to_str()))
+        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.separator = self._ids(SEPARATOR) if self.by_word else None
         self.clear()
 
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+
     def clear(self) -> None:
         """Forget all words.  Two sorted tables of (hash, where its ids begin, how many): a large
         one, and a small one for new words, so that learning doesn't sort the large one anew."""
-        none = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        self.old, self.new, self.ids = none, none, np.zeros(0, dtype=np.uint32)
+        none = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.uint32)
+        self.old, self.new = none, none
+        self.ids, self.n_ids = np.zeros(1 << 16, dtype=self.kind), 0
 
     @staticmethod
     def _merged(a, b):
@@ -100,34 +120,41 @@ class WordEncoder:
     def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, joined, and their number in each text."""
         if not self.by_word:
-            found = self.tokenizer.encode_batch([buf[a:b].tobytes().decode() for a, b in zip(offs[:-1], offs[1:])], add_special_tokens=False)
-            return np.array([i for x in found for i in x.ids], dtype=np.uint32), np.array([len(x.ids) for x in found], dtype=np.int64)
+            found = [self.tokenizer.encode(buf[a:b].tobytes().decode(), add_special_tokens=False).ids for a, b in zip(offs[:-1], offs[1:])]
+            return np.array([i for x in found for i in x], dtype=np.uint32), np.array([len(x) for x in found], dtype=np.int64)
         start, end, doc = K.words(buf, offs, K.SPACED)
-        hashes = K.span_hashes(buf, start, end, False)
-        if self.plain and len(start):
-            letters = np.concatenate([[0], np.cumsum(_LETTERS[buf])])
-            stop = _STOPS[buf[end - 1]] & (end - start > 1)
-            inner = end - stop
-            plain = letters[inner] - letters[start] == inner - start
-            inner = np.where(plain, inner, end)
-            stop &= plain
-            pieces_start = np.concatenate([start, inner[stop]])
-            pieces_end = np.concatenate([inner, end[stop]])
-            order = np.argsort(pieces_start, kind="stable")
-            folded = K.span_hashes(buf, pieces_start, pieces_end, True)
-            is_plain = np.concatenate([plain, np.zeros(stop.sum(), dtype=bool)])
-            exact = K.span_hashes(buf, pieces_start, pieces_end, False) ^ K.GOLDEN
-            hashes = np.where(is_plain, folded, exact)[order]
-            start, end, is_plain = pieces_start[order], pieces_end[order], is_plain[order]
-            doc = np.searchsorted(offs, start, "right") - 1
-        else:
-            is_plain = np.zeros(len(start), dtype=bool)
-        unique, first, code = np.unique(hashes, return_index=True, return_inverse=True)
-        self._learn(buf, unique, start[first], end[first], is_plain[first])
+        if not len(start):
+            return np.zeros(0, dtype=np.uint32), np.zeros(len(offs) - 1, dtype=np.int64)
+        letters = np.concatenate([np.zeros(1, np.int32), np.cumsum(_LETTERS[buf], dtype=np.int32)])
+        stop = _STOPS[buf[end - 1]] & (end - start > 1)
+        inner = end - stop
+        plain = letters[inner] - letters[start] == inner - start
+        stop &= plain
+        other = np.flatnonzero(~plain)
+        # each word is a piece, and each comma or full stop split off is one behind it
+        piece = np.repeat(np.arange(len(start)), 1 + stop)
+        behind = np.zeros(len(piece), dtype=bool)
+        behind[1:] = piece[1:] == piece[:-1]
+        piece_start = np.where(behind, end[piece] - 1, start[piece])
+        piece_end = np.where(behind | ~stop[piece], end[piece], end[piece] - 1)
+        hashes = K.span_hashes(buf, piece_start, piece_end, True)
+        if len(other):  # hashed as they are
+            n = end[other] - start[other]
+            at = np.cumsum(n) - n
+            exact = K.span_hashes(K.take_pieces(buf, start[other], n), at, at + n, False) ^ K.GOLDEN
+            hashes[np.searchsorted(piece, other)] = exact
+        is_plain = plain[piece]
+        code, unique = pd.factorize(hashes)
+        order = np.argsort(unique)
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        code, unique = rank[code], unique[order]
+        first = np.empty(len(unique), dtype=np.int64)
+        first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
+        self._learn(buf, unique, piece_start[first], piece_end[first], is_plain[first])
         _, at, length = self._find(unique)
         n = length[code]
-        ids = K.take_pieces(self.ids, at[code], n)
-        return ids, np.bincount(doc, n, minlength=len(offs) - 1).astype(np.int64)
+        return K.take_pieces(self.ids, at[code], n).astype(np.uint32), np.bincount(doc[piece], n, minlength=len(offs) - 1).astype(np.int64)
 
     def _learn(self, buf, unique, start, end, is_plain) -> None:
         if len(self.old[0]) + len(self.new[0]) > WORDS_KEPT:
@@ -135,30 +162,71 @@ class WordEncoder:
         new = np.flatnonzero(~self._find(unique)[0])
         if not len(new):
             return
-        text, tokenize = buf.tobytes(), self.tokenizer.model.tokenize
-        found: list[list[int]] = [[]] * len(new)
-        whole = []
-        for i, j in enumerate(new):
-            word = text[start[j] : end[j]]
-            if is_plain[j]:  # the normaliser and the pre-tokenizer leave it as it is
-                found[i] = [t.id for t in tokenize(word.decode().lower())]
-            else:
-                whole.append((i, word.decode()))
-        for (i, _), e in zip(whole, self.tokenizer.encode_batch_fast([w for _, w in whole], add_special_tokens=False)):
-            found[i] = e.ids
-        n = np.array([len(x) for x in found], dtype=np.int64)
-        at = len(self.ids) + np.cumsum(n) - n
-        self.ids = np.concatenate([self.ids, np.array([i for x in found for i in x], dtype=np.uint32)])
-        self.new = self._merged(self.new, (unique[new], at, n))
-        if len(self.new[0]) > 50_000 + len(self.old[0]) // 8:
+        folded = np.flatnonzero(is_plain[new])
+        whole = np.flatnonzero(~is_plain[new])
+        parts, n = [], np.zeros(len(new), dtype=np.int64)
+        for which, encode in ((folded, self._letters), (whole, self._others)):
+            if len(which):
+                ids, n[which] = encode([buf[a:b].tobytes() for a, b in zip(start[new[which]], end[new[which]])])
+                parts.append(ids)
+        order = np.concatenate([folded, whole])
+        at = np.empty(len(new), dtype=np.uint32)
+        at[order] = self.n_ids + np.cumsum(n[order]) - n[order]
+        total = self.n_ids + int(n.sum())
+        if total > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.n_ids], np.zeros(max(total, 2 * len(self.ids)) - self.n_ids, dtype=self.kind)])
+        self.ids[self.n_ids : total] = np.concatenate(parts)
+        self.n_ids = total
+        self.new = self._merged(self.new, (unique[new], at, n.astype(np.uint32)))
+        if len(self.new[0]) > 30_000 + len(self.old[0]) // 8:
             self.old, self.new = self._merged(self.old, self.new), tuple(x[:0] for x in self.new)
 
+    def _letters(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters or single stops: one piece each, so the model alone decides."""
+        tokenize = self.tokenizer.model.tokenize
+        found = [[t.id for t in tokenize(w)] for w in b" ".join(words).decode().lower().split(" ")]
+        return np.fromiter(chain.from_iterable(found), dtype=np.uint32), np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+
+    def _others(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of any other words, with the separator between them."""
+        raw = SEPARATOR.encode()
+        if any(raw in w for w in words):
+            found = [self._ids(w.decode()) for w in words]
+            return np.concatenate(found), np.array([len(x) for x in found], dtype=np.int64)
+        ids, mark = self._ids(f" {SEPARATOR} ".encode().join(words).decode()), self.separator
+        here = np.ones(max(0, len(ids) - len(mark) + 1), dtype=bool)
+        for k, i in enumerate(mark):
+            here &= ids[k : k + len(here)] == i
+        at = np.flatnonzero(here)
+        if len(at) != len(words) - 1:
+            raise ValueError("the separator isn't encoded alone")
+        keep = np.ones(len(ids), dtype=bool)
+        keep[(at[:, None] + np.arange(len(mark))[None, :]).reshape(-1)] = False
+        return ids[keep], np.diff(np.concatenate([[-len(mark)], at, [len(ids)]])) - len(mark)
+
+
+def splits_at_spaces(description: dict) -> bool:
+    """Whether a tokenizer, by its description, encodes words between ASCII white space on their
+    own, and a word of ASCII letters as one piece in lower case: known forms only."""
+    steps = lambda x, name: (x or {}).get(name) or ([x] if x else [])
+    normal = steps(description.get("normalizer"), "normalizers")
+    split = steps(description.get("pre_tokenizer"), "pretokenizers")
+    model, added = description.get("model") or {}, description.get("added_tokens") or []
+    return (
+        [x["type"] for x in normal] == ["NFC", "Replace", "Lowercase"] and normal[1]["pattern"] == {"Regex": r"\s+"} and normal[1]["content"] == " "
+        and [x["type"] for x in split] == ["Split", "ByteLevel"] and split[0]["pattern"] == {"Regex": KNOWN_PATTERN} and split[0]["behavior"] == "Removed" and split[0]["invert"]
+        and not split[1]["add_prefix_space"] and not split[1]["use_regex"]
+        and model.get("type") == "BPE" and bool(model.get("end_of_word_suffix")) and not model.get("dropout") and not model.get("continuing_subword_prefix") and not model.get("ignore_merges")
+        and description.get("post_processor") is None and description.get("truncation") is None and description.get("padding") is None
+        and not any(x["lstrip"] or x["rstrip"] or x["single_word"] or x["normalized"] or x["content"].isalpha() or any(c.isspace() for c in x["content"]) for x in added)
+    )
+
 
 _encoders: dict[str, WordEncoder] = {}
 
 
 def encoder(path: str) -> WordEncoder:
-    """The worker's encoder for this tokenizer; it keeps what it has learned between tasks."""
+    """The worker's encoder for this tokenizer; it keeps up to WORDS_KEPT words between tasks."""
     if path not in _encoders:
         _encoders[path] = WordEncoder(path)
     return _encoders[path]
@@ -223,13 +291,13 @@ def pack_shard(partition: int, shard: int, doc_ids: list[int | None], counts: np
     prints, at = np.empty(len(key), "<u4"), np.empty(len(key), "<i8")
     prints[slot], at[slot] = _fingerprint(unsigned), first
     head = struct.pack(_HEAD, MAGIC, partition, shard, len(docs), len(key), len(ids), id_bytes, len(table.sizes), int(table.sizes.sum()), int(key[0]) if len(key) else 0, int(key[-1]) if len(key) else -1)
-    return b"".join([head, table.sizes.tobytes(), table.bits.tobytes(), table.ranks.tobytes(), prints.tobytes(), at.tobytes(), docs.tobytes(), null.tobytes(), offsets.tobytes(), ids.astype(f"<u{id_bytes}").tobytes()])
+    return b"".join([head, *map(memoryview, (table.sizes, table.bits, table.ranks, prints, at, docs, null, offsets, ids.astype(f"<u{id_bytes}", copy=False)))])
 
 
 class Shard:
-    """A shard's bytes, read in place."""
+    """A shard's bytes (or a buffer of them), read in place."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data):
         magic, self.partition, self.shard, n_docs, n_keys, n_ids, id_bytes, levels, bits, self.min_key, self.max_key = struct.unpack_from(_HEAD, data)
         if magic != MAGIC:
             raise ValueError("not a token shard")
@@ -275,97 +343,108 @@ def _encode_rows(path: str, end_id: int, id_bytes: int, shard_bytes: int):
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["value"])
 
         for batch in batches:
-            for lo, hi, buf, offs in K.chunks(batch.column(1)):
+            for lo, hi, buf, offs in K.chunks(batch.column(1), min(1 << 19, 2 * shard_bytes)):
                 ids, n = use.encode(buf, offs)
-                joined = np.insert(ids, np.cumsum(n), end_id)
+                joined = np.insert(ids, np.cumsum(n), end_id).astype(f"<u{id_bytes}")
                 docs += batch.column(0).slice(lo, hi - lo).to_pylist()
                 counts.append(n + 1)
                 parts.append(joined)
-                held += len(joined) * id_bytes
+                held += joined.nbytes
                 if held >= shard_bytes:
                     yield close()
         if docs:
             yield close()
 
-    return encode
+    return K.tidied(encode)
 
 
 def write_tokens(documents: DataFrame, folder: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None, shard_bytes: int = SHARD_BYTES) -> None:
-    """Write all documents' ids below ``folder``, in ascending order of id.
+    """Write all documents' ids below ``folder``, in ascending order of id, and the tables of
+    documents and files.
 
-    ``tokenizer`` is the path of a tokenizer file that every machine has.
+    ``tokenizer`` is the path of a tokenizer file that every machine has.  For very large
+    corpora a larger ``shard_bytes`` makes fewer files; a task holds some five times as much.
     """
     from tokenizers import Tokenizer
 
     id_bytes = 2 if max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-    d = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    ordered = d.repartitionByRange(partitions, F.col("doc_id").asc_nulls_first()) if partitions else d.repartitionByRange(F.col("doc_id").asc_nulls_first())
-    shards = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).mapInArrow(_encode_rows(tokenizer, end_id, id_bytes, shard_bytes), "value binary")
-    shards.select(F.col("value").cast("string")).write.mode("overwrite").option("maxRecordsPerFile", 1).option("compression", "none").text(folder)
-
-
-def read_shards(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, content): one row per shard file."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).filter("length > 0").select("path", "content")
+    order = [F.col("doc_id").asc_nulls_first(), F.col("text_hash")]
+    d = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
+    ordered = d.repartitionByRange(partitions, *order) if partitions else d.repartitionByRange(*order)
+    shards = ordered.sortWithinPartitions(*order).mapInArrow(_encode_rows(tokenizer, end_id, id_bytes, shard_bytes), "value binary")
+    shards.select(F.col("value").cast("string")).write.mode("overwrite").option("maxRecordsPerFile", 1).option("compression", "none").text(f"{folder}/shards")
+    _catalogue(documents.sparkSession, folder)
+
+
+def _catalogue(spark: SparkSession, folder: str) -> None:
+    """Read every shard file once and write the tables ``documents`` and ``files``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{folder}/shards").filter("length > 0")
+    rows = files.select("path", "content").mapInArrow(K.tidied(_document_rows), "path string, partition bigint, shard bigint, doc_id bigint, inside bigint, n_tokens bigint, ids_crc32 bigint, shard_ids bigint")
+    rows.write.mode("overwrite").parquet(f"{folder}/documents")
+    docs = spark.read.schema(rows.schema).parquet(f"{folder}/documents")
+    shards = docs.groupBy("partition", "shard", "path").agg(F.min("doc_id").alias("min_key"), F.max("doc_id").alias("max_key"), F.count("*").alias("docs"), F.max("shard_ids").alias("ids"))
+    before = Window.partitionBy("partition").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    within = shards.withColumn("in_partition", F.coalesce(F.sum("ids").over(before), F.lit(0)))
+    earlier = Window.orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    across = shards.groupBy("partition").agg(F.sum("ids").alias("n")).select("partition", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    placed = within.join(across, "partition").withColumn("shard_start", F.col("base") + F.col("in_partition")).drop("base", "in_partition")
+    placed.repartitionByRange("min_key").sortWithinPartitions("min_key").write.mode("overwrite").parquet(f"{folder}/files")
+
+
+def _document_rows(batches):
+    """Each document of each shard, looked up by its key in the shard's index."""
+    for batch in batches:
+        for path, content in zip(batch.column(0), batch.column(1)):
+            s = Shard(content.as_buffer())
+            keys = s.docs[~s.null]
+            first, _ = s.documents_of(keys)
+            if (first < 0).any() or (s.docs[first] != keys).any():
+                raise ValueError("a document's key isn't in its shard's index")
+            # rows that share a key follow the one that the index has
+            row = np.arange(len(s.docs))
+            row[~s.null] = first + (np.flatnonzero(~s.null) - np.searchsorted(keys, keys, "left") - int(s.null.sum()))
+            n = s.offsets[row + 1] - s.offsets[row]
+            crc = [zlib.crc32(s.ids[s.offsets[r] : s.offsets[r + 1]].astype("<u4")) for r in row]
+            same = lambda x: pa.array(np.full(len(row), x))
+            yield pa.RecordBatch.from_arrays([pa.array([path.as_py()] * len(row)), same(s.partition), same(s.shard), pa.array(s.docs, mask=s.null), pa.array(s.offsets[row]), pa.array(n), pa.array(crc, pa.int64()), same(len(s.ids))], ["path", "partition", "shard", "doc_id", "inside", "n_tokens", "ids_crc32", "shard_ids"])
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files.
 
-    Each document is looked up by its key in the shard's index.  ``start`` counts the ids
-    of all documents before it: shards' totals are added up within their partition and
-    partitions' totals over partitions.
+    Each was looked up by its key in its shard's index.  ``start`` counts the ids of all
+    documents before it.
     """
-
-    def read(batches):
-        for batch in batches:
-            for data in batch.column(0).to_pylist():
-                s = Shard(data)
-                keys = s.docs[~s.null]
-                first, _ = s.documents_of(keys)
-                if (first < 0).any() or (s.docs[first] != keys).any():
-                    raise ValueError("a document's key isn't in its shard's index")
-                # rows that share a key follow the one that the index has
-                row = np.arange(len(s.docs))
-                row[~s.null] = first + (np.flatnonzero(~s.null) - np.searchsorted(keys, keys, "left") - int(s.null.sum()))
-                n = s.offsets[row + 1] - s.offsets[row]
-                crc = [zlib.crc32(s.ids[s.offsets[r] : s.offsets[r + 1]].astype("<u4").tobytes()) for r in row]
-                whole = np.full(len(row), len(s.ids))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(row), s.partition)), pa.array(np.full(len(row), s.shard)), pa.array(s.docs, mask=s.null), pa.array(s.offsets[row]), pa.array(n), pa.array(crc, pa.int64()), pa.array(whole)], ["partition", "shard", "doc_id", "inside", "n_tokens", "ids_crc32", "shard_ids"])
-
-    def totals(batches):
-        for batch in batches:
-            heads = [struct.unpack_from(_HEAD, x) for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([h[i] for h in heads], pa.int64()) for i in (1, 2, 5)], ["partition", "shard", "ids"])
-
-    files = read_shards(spark, folder).select("content")
-    docs = files.mapInArrow(read, "partition bigint, shard bigint, doc_id bigint, inside bigint, n_tokens bigint, ids_crc32 bigint, shard_ids bigint")
-    heads = files.mapInArrow(totals, "partition bigint, shard bigint, ids bigint")
-    before = Window.partitionBy("partition").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    within = heads.withColumn("in_partition", F.coalesce(F.sum("ids").over(before), F.lit(0)))
-    earlier = Window.orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    across = heads.groupBy("partition").agg(F.sum("ids").alias("n")).select("partition", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    place = within.join(across, "partition").select("partition", "shard", (F.col("base") + F.col("in_partition")).alias("shard_start"))
+    docs = spark.read.parquet(f"{folder}/documents").drop("path", "shard_ids")
+    place = spark.read.parquet(f"{folder}/files").select("partition", "shard", "shard_start")
     return docs.join(place, ["partition", "shard"]).select("doc_id", (F.col("shard_start") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def fetch(spark: SparkSession, folder: str, keys: list[int]) -> DataFrame:
-    """(doc_id, ids) of the documents with these keys, by index lookups in every shard whose
-    key range can hold them."""
+    """(doc_id, ids) of the documents with these keys; only the shards that the table of files
+    names for them are opened.  ``keys`` and their shards' paths pass through the driver."""
     wanted = np.array(sorted(set(keys)), dtype=np.int64)
+    schema = "doc_id bigint, ids array<bigint>"
+    if not len(wanted):
+        return spark.createDataFrame([], schema)
+    near = (F.col("max_key") >= int(wanted[0])) & (F.col("min_key") <= int(wanted[-1]))
+    held = F.exists(F.lit(wanted.tolist()), lambda k: (k >= F.col("min_key")) & (k <= F.col("max_key")))
+    paths = [r.path for r in spark.read.parquet(f"{folder}/files").filter(near & held).select("path").collect()]
+    if not paths:
+        return spark.createDataFrame([], schema)
 
     def find(batches):
         for batch in batches:
-            for data in batch.column(0).to_pylist():
-                s = Shard(data)
-                near = wanted[(wanted >= s.min_key) & (wanted <= s.max_key)]
-                first, many = s.documents_of(near)
+            for content in batch.column(0):
+                s = Shard(content.as_buffer())
+                here = wanted[(wanted >= s.min_key) & (wanted <= s.max_key)]
+                first, many = s.documents_of(here)
                 row = K.take_pieces(np.arange(len(s.docs)), first[first >= 0], many[first >= 0])
-                row = row[np.isin(s.docs[row], near)]
+                row = row[np.isin(s.docs[row], here)]
                 n = s.offsets[row + 1] - s.offsets[row]
                 yield pa.RecordBatch.from_arrays([pa.array(s.docs[row]), K.list_array(K.take_pieces(s.ids, s.offsets[row], n).astype(np.int64), n, pa.int64())], ["doc_id", "ids"])
 
-    return read_shards(spark, folder).select("content").mapInArrow(find, "doc_id bigint, ids array<bigint>")
+    return spark.read.format("binaryFile").load(paths).select("content").mapInArrow(find, schema)
 
 
 def default_tokenizer() -> str:

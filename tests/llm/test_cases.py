@@ -304,3 +304,45 @@ def test_words_and_hashes():
         got = [bytes(buf[a:b]).decode() for a, b in zip(start, end)]
         assert got == [w for t in texts[lo:hi] for w in (t or "").split()]
         assert (doc == [i for i, t in enumerate(texts[lo:hi]) for _ in (t or "").split()]).all()
+
+
+def test_fetch_opens_only_the_shards_it_needs(spark, tmp_path):
+    import glob
+    import os
+
+    from seriesloom.llm.token_ids import default_tokenizer, fetch, read_documents, write_tokens
+
+    df = spark.createDataFrame([(i - 40, f"word{i} and {i}") for i in range(200)] + [(None, "no id"), (7, "again"), (7, "again")], "doc_id bigint, text string")
+    write_tokens(df, str(tmp_path), default_tokenizer(), partitions=3, shard_bytes=200)
+    files = spark.read.parquet(f"{tmp_path}/files").collect()
+    assert len(files) > 20 and len(glob.glob(f"{tmp_path}/shards/part-*")) >= len(files)
+    assert read_documents(spark, str(tmp_path)).count() == 203
+    wanted = [7, -40, 159, 10**12]
+    near = {os.path.basename(r.path) for r in files if any(r.min_key is not None and r.min_key <= k <= r.max_key for k in wanted)}
+    for path in glob.glob(f"{tmp_path}/shards/part-*"):  # any other shard would stop the read
+        if os.path.basename(path) not in near:
+            with open(path, "wb") as f:
+                f.write(b"not a shard" * 20)
+            os.remove(os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc"))
+    got = sorted((r.doc_id, len(r.ids)) for r in fetch(spark, str(tmp_path), wanted).collect())
+    assert [k for k, _ in got] == [-40, 7, 7, 7, 159] and all(n > 1 for _, n in got)
+    assert fetch(spark, str(tmp_path), []).count() == fetch(spark, str(tmp_path), [10**12]).count() == 0
+
+
+def test_words_encoded_alone_equal_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from seriesloom.llm.token_ids import SEPARATOR, WordEncoder
+
+    alpha = "abcXYZ '.,’ééßΣςİ \n\t​\x1c\x85<|endoftext|>019-_/@😀한글ﬁ́"
+    pick = random.Random(1)
+    texts = ["".join(pick.choice(alpha) for _ in range(pick.randrange(0, 60))) for _ in range(3000)]
+    texts += ["a <|endoftext|> b<|startoftext|>c", "", None, "It's, we'll. THE. the,", f"x {SEPARATOR} y{SEPARATOR}z", LONG]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):  # the second isn't of the known form
+        plain, use = Tokenizer.from_file(public_tokenizers.path(name)), WordEncoder(public_tokenizers.path(name))
+        assert use.by_word == name.startswith("word")
+        for lo, hi, buf, offs in K.chunks(pa.array(texts), 1 << 14):
+            ids, n = use.encode(buf, offs)
+            for t, part in zip(texts[lo:hi], np.split(ids, np.cumsum(n)[:-1])):
+                assert part.tolist() == plain.encode(t or "", add_special_tokens=False).ids
