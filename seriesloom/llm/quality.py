@@ -1,15 +1,18 @@
 """Quality rules: cross-document line frequency.
 
-Method: every line is normalised to its words with A-Z lower-cased and hashed; for
-each host the documents with that line are counted; lines found in more than
-``line_limit`` documents of a host are removed there; a document of which less than
-``min_share`` of its words is left is depleted and rejected.  Plain per-document
-rules (the base) come first.
-
-Defined results: null or empty texts have no words and fail the base; a null host is a
-host of its own; repeated rows count as documents and each get a row; other columns are
-ignored.  Counting is pre-aggregated on the map side and the join back is salted, so a
-host or line with a third of all rows is spread out.
+Method: every line is normalised to its words with A-Z lower-cased and hashed; for each
+host the distinct documents with that line are counted; lines in more than ``line_percent``
+of a host's documents, and in more than ``line_floor`` of them, are removed there; a document
+of which less than ``min_share`` of its words is left is depleted and rejected.  The limit is a
+share, so a host's verdict doesn't depend on the size of the table.  Plain per-document rules
+(the base) come first.
+
+Defined results: null or empty texts have no words and fail the base; texts of any length are
+read whole; a null host is a host of its own; rows that share an id are one document, rows
+without an id one for each different text, and each row gets a row; a line at the limit stays;
+other columns are ignored; an empty table gives no rows.  Texts are read once, and their figures and line hashes
+written; counting is pre-aggregated on the map side and the join back is salted, so a host or
+line with a third of all rows is spread out.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.llm import textkit as K
+from seriesloom.sources.tables import written
 
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[np.frombuffer(b"#*$%&|<>", dtype=np.uint8)] = True
@@ -85,20 +89,33 @@ def _rows(batches):
             )
 
 
-def quality_rules(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", line_limit: int = 100, min_share: float = 0.3, min_words: int = 50, max_repeat_share: int = 50) -> DataFrame:
+def _documents_by(rows: DataFrame, *keys: str) -> DataFrame:
+    """Distinct documents of each key: by id, and by text where there is none."""
+    other = F.when(F.col("doc_id").isNull(), F.col("row_key")).alias("other")
+    return rows.select(*keys, "doc_id", other).distinct().groupBy(*keys).agg(F.count("*").alias("n_docs"))
+
+
+def frequent_lines(rows: DataFrame, line_percent: int, line_floor: int) -> DataFrame:
+    """(host_key, line, n_docs) of the lines above a host's limit."""
+    hosts = _documents_by(rows, "host_key").withColumnRenamed("n_docs", "host_docs")
+    lines = _documents_by(rows.withColumn("line", F.explode("lines")), "host_key", "line").filter(F.col("n_docs") > line_floor)
+    return lines.join(hosts, "host_key").filter(100 * F.col("n_docs") > line_percent * F.col("host_docs")).select("host_key", "line", "n_docs")
+
+
+def quality_rules(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", line_percent: int = 2, line_floor: int = 3, min_share: float = 0.3, min_words: int = 50, max_repeat_share: int = 50) -> DataFrame:
     """Base figures, words removed as frequent lines, and the verdict of every document row."""
     docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(host_col).cast("string").alias("host"), F.xxhash64(F.col(text_col)).alias("row_key"), F.col(text_col).alias("text"))
-    rows = docs.mapInArrow(_rows, _SCHEMA)
-    base = ["doc_id", "host", "row_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     host = F.coalesce(F.concat(F.lit("h"), F.col("host")), F.lit("n")).alias("host_key")
-    frequent = rows.select(host, F.explode("lines").alias("line")).groupBy("host_key", "line").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > line_limit)
-    frequent = frequent.select("host_key", "line", F.lit(True).alias("frequent"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
-    each = rows.select(*base, host, F.pmod(F.xxhash64("doc_id", "row_key"), F.lit(SALT)).cast("int").alias("salt"), F.posexplode_outer(F.arrays_zip("lines", "line_words")).alias("at", "x"))
-    each = each.select(*base, "host_key", "salt", "at", F.col("x.lines").alias("line"), F.col("x.line_words").alias("words"))
-    joined = each.join(frequent, ["host_key", "line", "salt"], "left")
-    removed = F.sum(F.when(F.col("frequent"), F.col("words")).otherwise(0)) / F.greatest(F.count_if(F.coalesce("at", F.lit(0)) == 0), F.lit(1))
-    out = joined.groupBy(*base).agg(removed.cast("bigint").alias("n_removed_words"), F.count_if(F.coalesce("at", F.lit(0)) == 0).cast("int").alias("copies"))
-    out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    rows = written(docs.mapInArrow(K.tidied(_rows), _SCHEMA).select("*", host))
+    frequent = frequent_lines(rows, line_percent, line_floor).select("host_key", "line", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    who = F.struct("host_key", "doc_id", "row_key")
+    each = rows.select("host_key", who.alias("who"), F.explode(F.arrays_zip("lines", "line_words")).alias("x")).select("host_key", "who", F.col("x.lines").alias("line"), F.col("x.line_words").alias("words"), F.pmod(F.xxhash64("who"), F.lit(SALT)).cast("int").alias("salt"))
+    removed = each.join(frequent, ["host_key", "line", "salt"]).groupBy("who").agg(F.sum("words").alias("removed"))
+    # equal rows: their lines were summed up together
+    base = [c for c in rows.columns if c not in ("lines", "line_words")]
+    out = rows.groupBy(*base).agg(F.count("*").alias("copies")).withColumn("key", who)
+    out = out.join(removed, out.key.eqNullSafe(removed.who), "left").withColumn("n_removed_words", F.coalesce(F.col("removed") / F.col("copies"), F.lit(0)).cast("bigint"))
+    out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_share * F.col("n_words"))
     depleted = F.col("n_words") - F.col("n_removed_words") < min_share * F.col("n_words")
     return out.withColumn("base_failed", failed).withColumn("depleted", depleted).select("doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words", "depleted", "base_failed", (~failed & ~depleted).alias("kept"))
@@ -115,7 +132,8 @@ l AS (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line FROM d),
 lw AS (SELECT doc_id, host, line, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS norm FROM l),
 lines AS (SELECT * FROM lw WHERE len(norm) > 0),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY doc_id),
-freq AS (SELECT host, norm FROM lines GROUP BY host, norm HAVING count(DISTINCT doc_id) > 100),
+hosts AS (SELECT host, count(DISTINCT doc_id) AS host_docs FROM d GROUP BY host),
+freq AS (SELECT host, norm FROM lines JOIN hosts USING (host) GROUP BY host, norm, host_docs HAVING count(DISTINCT doc_id) > 3 AND 100 * count(DISTINCT doc_id) > 2 * host_docs),
 rem AS (SELECT doc_id, sum(len(norm)) AS n_removed_words FROM lines JOIN freq USING (host, norm) GROUP BY doc_id),
 tri AS (SELECT doc_id, i, w[i:i + 2] AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
 rep AS (SELECT doc_id, win FROM tri GROUP BY doc_id, win HAVING count(*) > 1),
