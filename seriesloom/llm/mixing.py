@@ -11,10 +11,12 @@ Targets: sources by code point (null last) weigh ``weights`` in turn and share a
 words; a target stops at ``max_repeats`` times its source's size and the excess is
 reshared by weight until none is above (one water level, found by sorting).
 
-Defined results: null or empty texts have size 0 and are never taken; a source of size 0
-has target 0; repeated rows are documents of their own (equal rows are taken alike up to
-the one that the stream's end falls in); other columns pass through untouched in
-:func:`mixed_documents`; an empty table gives no rows.
+Defined results: null or empty texts have size 0 and are never taken; texts of any length are
+counted whole and cut at words; a source of size 0 has target 0; sources that reach their cap at
+the same level stop by code point; rows of one id are documents of their own, and equal rows are
+taken alike up to the one that the stream's end falls in; rows without an id come first in the
+shuffled order of their bucket; other columns pass through untouched in :func:`mixed_documents`;
+an empty table gives no rows.
 
 A source may hold a third of all rows: its stream is laid out in hash buckets, whose
 totals are summed before any running sum, so no task holds a whole source.
@@ -45,9 +47,14 @@ def _sizes(batches):
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.concatenate(n_words) if n_words else np.zeros(0, np.int64), pa.int64())], ["doc_id", "source", "row_key", "size"])
 
 
+def _row_key(documents: DataFrame) -> Column:
+    """Hash of all columns."""
+    return F.xxhash64(*(F.to_json(F.struct(c)) if kind.startswith("map") else F.col(f"`{c}`") for c, kind in documents.dtypes))
+
+
 def document_sizes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(doc_id, source, row_key, size): words of every document row."""
-    docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(F.col(text_col)).alias("row_key"), F.col(text_col).alias("text"))
+    docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).cast("string").alias("source"), _row_key(documents).alias("row_key"), F.col(text_col).cast("string").alias("text"))
     return docs.mapInArrow(_sizes, "doc_id bigint, source string, row_key bigint, size bigint")
 
 
@@ -115,8 +122,8 @@ def _stream(sizes: DataFrame) -> DataFrame:
 
 
 def dealt(stream: DataFrame, targets: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(source, begin, dealt, first_slot): words that the slots take of each document that any
-    takes, and the first of these slots.
+    """(source, begin, lap, words, first_slot): words that the slots take of each document in each
+    pass over its source's stream, and the first of these slots.
 
     The r-th slot of a source takes words r * block to (r + 1) * block of its stream, which
     starts over at its end, up to the cap.  Blocks and documents meet in cells of a stream;
@@ -128,7 +135,7 @@ def dealt(stream: DataFrame, targets: DataFrame, block: int = BLOCK) -> DataFram
     slots = slots.join(t, slots.source.eqNullSafe(t.s)).withColumn("upto", F.least((F.col("take") + 1) * block, F.col("cap"))).filter(F.col("upto") > F.col("take") * block)
     slots = slots.select("slot", "s", "source_size", (F.col("take") * block).alias("since"), "upto", F.explode(F.sequence(F.floor(F.col("take") * block / F.col("source_size")), F.floor((F.col("upto") - 1) / F.col("source_size")))).alias("lap"))
     lap = F.col("lap") * F.col("source_size")
-    slots = slots.select("slot", "s", F.greatest(F.col("since") - lap, F.lit(0)).alias("a"), F.least(F.col("upto") - lap, F.col("source_size")).alias("b"))
+    slots = slots.select("slot", "s", "lap", F.greatest(F.col("since") - lap, F.lit(0)).alias("a"), F.least(F.col("upto") - lap, F.col("source_size")).alias("b"))
 
     def cells(begin: Column, end: Column) -> Column:
         return F.explode(F.sequence(F.floor(begin / cell), F.floor((end - 1) / cell)))
@@ -138,41 +145,33 @@ def dealt(stream: DataFrame, targets: DataFrame, block: int = BLOCK) -> DataFram
     d = d.withColumn("cell", cells(F.col("begin"), F.col("end")))
     start, stop = F.greatest("a", "begin"), F.least("b", "end")
     met = d.join(slots, d.source.eqNullSafe(slots.s) & (d.cell == slots.c)).filter((start < stop) & (F.floor(start / cell) == F.col("cell")))
-    return met.groupBy("source", "begin").agg(F.sum(stop - start).alias("dealt"), F.min("slot").alias("first_slot"))
-
+    return met.groupBy("source", "begin", "lap").agg(F.sum(stop - start).alias("words"), F.min("slot").alias("first_slot"))
 
-def mix(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3, block: int = BLOCK, by_slots: bool = True) -> DataFrame:
-    """(doc_id, row_key, source, size, begin, source_size, target, passes, first_words, taken).
 
-    ``passes`` is how often the mix takes the whole document, ``first_from``/``first_words``
-    the part of it that a last, partial pass over the stream takes besides.  With ``by_slots``,
-    ``taken`` is what the slots' blocks hold of the document, and ``first_slot`` the first slot
-    that takes some of it; else ``taken`` is worked out from the other two.
-    """
+def _taken(sizes: DataFrame, weights: tuple[int, ...], max_repeats: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """(the stream, with each document's passes: lap, words, first slot; the targets)."""
     sizes = written(sizes)
     targets = written(source_targets(sizes, weights, max_repeats, block))
-    slots = _named_slots(targets).groupBy("source").agg(F.count("*").alias("slots"))
-    t = targets.select(F.col("source").alias("s"), "source_size", "target", "cap")
-    slots = slots.select(F.col("source").alias("s2"), "slots")
-    # the last block of a stream is its rest; no source goes over its cap
-    t = t.join(slots, t.s.eqNullSafe(slots.s2), "left").withColumn("scheduled", F.least(F.coalesce("slots", F.lit(0)) * block, F.col("cap")))
+    stream = written(_stream(sizes))
+    passes = dealt(stream, targets, block).groupBy(F.col("source").alias("s"), F.col("begin").alias("at")).agg(F.array_sort(F.collect_list(F.struct("lap", "words", "first_slot"))).alias("passes"))  # one for each pass, ``max_repeats`` at most
+    # a document without words begins where the next one does, and is not taken; its key spreads it out
+    d = stream.withColumn("key", F.when(F.col("size") > 0, F.col("begin")).otherwise(-1 - F.pmod(F.xxhash64("doc_id", "row_key"), F.lit(1 << 40))))
+    return d.join(passes, d.source.eqNullSafe(passes.s) & (d.key == passes["at"]), "left").drop("s", "at", "key"), targets
+
+
+def mix(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3, block: int = BLOCK) -> DataFrame:
+    """(doc_id, row_key, source, size, begin, passes, source_size, target, taken, first_slot).
+
+    ``taken`` is what the slots' blocks hold of the document, ``first_slot`` the first slot that
+    takes some of it, and ``passes`` has both for each pass over the source's stream.
+    """
+    d, targets = _taken(sizes, weights, max_repeats, block)
     # a source may hold a third of all documents: its one row is met in SALT places
-    t = t.drop("s2", "slots").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    stream = _stream(sizes)
-    stream = written(stream) if by_slots else stream
-    d = stream.withColumn("row_salt", F.pmod(F.xxhash64("doc_id", "row_key"), F.lit(SALT)).cast("int"))
+    t = targets.select(F.col("source").alias("s"), "source_size", "target").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    d = d.withColumn("row_salt", F.pmod(F.xxhash64("doc_id", "row_key"), F.lit(SALT)).cast("int"))
     d = d.join(t, d.source.eqNullSafe(t.s) & (d.row_salt == t.salt)).drop("s", "salt", "row_salt")
-    passes = F.when(F.col("source_size") > 0, F.floor(F.col("scheduled") / F.greatest("source_size", F.lit(1)))).otherwise(F.lit(0)).cast("bigint")
-    d = d.withColumn("passes", passes)
-    rest = F.col("scheduled") - F.col("passes") * F.col("source_size")
-    d = d.withColumn("first_words", F.least(F.col("size"), F.greatest(F.lit(0), rest - F.col("begin"))).cast("bigint"))
-    if not by_slots:
-        return d.withColumn("taken", F.col("passes") * F.col("size") + F.col("first_words"))
-    took = dealt(stream, targets, block).select(F.col("source").alias("s"), F.col("begin").alias("at"), "dealt", "first_slot")
-    # a document without words begins where the next one does, and is not taken; its key spreads it out
-    d = d.withColumn("key", F.when(F.col("size") > 0, F.col("begin")).otherwise(-1 - F.pmod(F.xxhash64("doc_id", "row_key"), F.lit(1 << 40))))
-    d = d.join(took, d.source.eqNullSafe(took.s) & (d.key == took["at"]), "left").drop("s", "at", "key")
-    return d.withColumn("taken", F.coalesce("dealt", F.lit(0)).cast("bigint")).drop("dealt")
+    taken = F.aggregate(F.coalesce("passes", F.array().cast("array<struct<lap:bigint,words:bigint,first_slot:bigint>>")), F.lit(0).cast("bigint"), lambda total, x: total + x.words)
+    return d.withColumn("taken", taken).withColumn("first_slot", F.array_min(F.transform("passes", lambda x: x.first_slot)))
 
 
 def _cutter(at: int, n_at: int, names: list[str]):
@@ -190,25 +189,28 @@ def _cutter(at: int, n_at: int, names: list[str]):
             columns = [pa.array(pieces, batch.schema.field(at).type) if i == at else c for i, c in enumerate(batch.columns) if i != n_at]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return cut
+    return K.tidied(cut)
+
 
+def mixed_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3, block: int = BLOCK) -> DataFrame:
+    """The mix as rows of ``documents``, in order of the slots that first take them: one row for
+    each pass over its source's stream that takes the document, cut after its last taken word
+    where the pass ends in it.
 
-def mixed_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """The mix as rows of ``documents``: each row as often as it is taken whole, and once
-    more, cut after its last taken word, where a partial pass takes a part of it."""
+    The parts of a document that a pass takes in several slots stay together, in the first of
+    them.
+    """
     names = documents.columns
-    taken = mix(document_sizes(documents, id_col, text_col, source_col), by_slots=False, **how).filter(F.col("taken") > 0)
-    taken = taken.select(F.struct("doc_id", "row_key", "source").alias("mix_key"), F.struct("passes", "first_words").alias("mix_take"))
-    # equal rows: the n-th of them gets the n-th decision
-    taken = taken.withColumn("mix_n", F.row_number().over(Window.partitionBy("mix_key").orderBy(F.desc("mix_take"))))
-    key = F.struct(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row_key"), F.col(source_col).cast("string").alias("source"))
+    taken, _ = _taken(document_sizes(documents, id_col, text_col, source_col), weights, max_repeats, block)
+    # equal rows, all of whose columns are the same, have one row here, with the passes of all of them
+    taken = taken.filter(F.col("passes").isNotNull()).groupBy(F.struct("doc_id", "row_key", "source").alias("mix_key")).agg(F.flatten(F.collect_list(F.transform("passes", lambda x: F.struct(x.first_slot.alias("slot"), F.when(x.words < F.col("size"), x.words).alias("words"))))).alias("mix_passes"))
+    key = F.struct(F.col(id_col).cast("bigint").alias("doc_id"), _row_key(documents).alias("row_key"), F.col(source_col).cast("string").alias("source"))
     d = documents.select(F.struct(*names).alias("mix_row"), key.alias("doc_key"))
-    d = d.withColumn("doc_n", F.row_number().over(Window.partitionBy("doc_key").orderBy("doc_key")))
-    d = d.join(taken, d.doc_key.eqNullSafe(taken.mix_key) & (d.doc_n == taken.mix_n))
-    whole = F.array_repeat(F.lit(None).cast("bigint"), F.col("mix_take.passes").cast("int"))
-    part = F.when(F.col("mix_take.first_words") > 0, F.array(F.col("mix_take.first_words"))).otherwise(F.array().cast("array<bigint>"))
-    rows = d.select("mix_row.*", F.explode(F.concat(whole, part)).alias("mix_first_words_"))
-    return rows.mapInArrow(_cutter(names.index(text_col), len(names), names), documents.schema)
+    d = d.withColumn("doc_n", F.row_number().over(Window.partitionBy("doc_key").orderBy("doc_key"))).filter("doc_n = 1")
+    d = d.join(taken, d.doc_key.eqNullSafe(taken.mix_key)).select("mix_row", "doc_key", F.explode("mix_passes").alias("mix_pass"))
+    order = [F.col("mix_pass.slot"), F.col("doc_key")]
+    d = d.repartitionByRange(*order).sortWithinPartitions(*order)
+    return d.select("mix_row.*", F.col("mix_pass.words").alias("mix_words_")).mapInArrow(_cutter(names.index(text_col), len(names), names), documents.schema)
 
 
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
