@@ -105,8 +105,21 @@ def test_quality_cases(docs, empty):
     got = {(r.doc_id, r.n_words, r.n_dup_lines, r.base_failed, r.kept) for r in quality_rules(docs).collect()}
     assert (6, 60_000, 0, False, True) in got and (3, 0, 0, True, False) in got
     assert quality_rules(docs).count() == docs.count() and quality_rules(empty).count() == 0
-    limited = quality_rules(docs, line_limit=2, min_words=1).filter("doc_id = 1").first()
-    assert limited.n_removed_words == 17 and limited.depleted and not limited.kept
+    limited = quality_rules(docs, line_floor=1, min_words=1)  # two documents of the host have these lines, one of them twice
+    assert {(r.doc_id, r.n_removed_words, r.depleted, r.kept) for r in limited.collect() if r.doc_id in (1, 2)} == {(1, 17, True, False), (2, 17, True, False)}
+    assert limited.filter("doc_id = 2").count() == 2 and not limited.filter("doc_id = 6").first().depleted
+
+
+def test_frequent_lines_by_the_defaults(spark):
+    plain = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    rows = []
+    for size in (40, 400):  # the same share of two hosts
+        n = size // 10
+        rows += [(len(rows) + i, plain(len(rows) + i) + ("\nShare this  PAGE\n" + plain(99_999) if i < n else ""), f"h{size}") for i in range(size)]
+    rows += [(10_000, "only once\n" + plain(7), "h9")] * 150  # rows of one document
+    rows += [(20_000 + i, "in three\n" + plain(8) if i < 3 else plain(20_000 + i), "h10") for i in range(9)]
+    got = quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).groupBy("host", "n_removed_words", "kept").count().collect()
+    assert sorted((r.host, r.n_removed_words, r.kept, r["count"]) for r in got) == [("h10", 0, True, 9), ("h40", 0, True, 36), ("h40", 63, True, 4), ("h400", 0, True, 360), ("h400", 63, True, 40), ("h9", 0, True, 150)]
 
 
 def test_repeat_words(spark):
@@ -123,9 +136,60 @@ def test_line_dedup_cases(spark, docs, empty):
     assert kept.filter("doc_id = 3").first().text is None and kept.filter("doc_id = 1").first().text == ""
     df = spark.createDataFrame([(1, "a\nb\nc\nd"), (2, "z\na\n\n b \nC\nq")], "doc_id bigint, text string")
     assert deduplicated_documents(df).filter("doc_id = 2").first().text == "z\n\nq"
+    df = spark.createDataFrame([(1, "h\nx\nx\nx\nx\nx\nt"), (2, "a\nb\n" * 4), (3, "b\na\nb\nend")], "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in deduplicated_documents(df).collect()}
+    assert got == {1: "h\nx\nx\nx\nt", 2: "a\nb\na\nb\n", 3: "end"}  # lines of a first occurrence stay, if only later ones of its own text overlap it
     assert deduplicated_documents(empty).count() == 0
 
 
+def plain_pieces(text):
+    """Brute force: lines and pieces of lines as word lists, each with its line."""
+    out = []
+    for number, line in enumerate((text or "").split("\n")):
+        words = [w for w in __import__("re").split("[ \t-\r]+", line) if w]
+        size = [len(w.encode()) for w in words]
+        value = [(7 * n + 5 * (size[k - 1] if k else 0) + 3 * (size[k - 2] if k > 1 else 0)) % 11 for k, n in enumerate(size)]
+        piece = []
+        for k, w in enumerate(words):
+            piece.append(w)
+            if 4 <= k < len(words) - 4 and value[k] < min(value[k - 4 : k]) and value[k] <= min(value[k + 1 : k + 5]):
+                out.append((number, piece))
+                piece = []
+        if piece:
+            out.append((number, piece))
+    return out
+
+
+def test_passages_inside_long_lines_are_found(spark):
+    pick = random.Random(3)
+    words = [f"{'abcdefghij'[i % 10] * (1 + i % 7)}{i}" for i in range(3000)]
+    passage = [pick.choice(words) for _ in range(60)]
+    texts = []
+    for i in range(40):
+        own = lambda n: [pick.choice(words) for _ in range(n)]
+        inside = passage if i % 2 else []
+        w = own(pick.randrange(1, 90)) + inside + own(pick.randrange(1, 90))
+        texts.append("".join(x + pick.choice([" ", " ", " ", "\n"] if x not in inside else [" "]) for x in w))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r.covered for r in repeated_windows(df).collect()}
+    seen, want = {}, {}
+    for i, t in enumerate(texts):
+        pieces = [tuple(w) for _, w in plain_pieces(t)]
+        later, first = set(), set()
+        for k in range(len(pieces) - 2 if len(pieces) > 2 else min(1, len(pieces))):
+            at = seen.setdefault(tuple(pieces[k : k + 3]), (i, k))
+            if at != (i, k):
+                later |= set(range(k, min(k + 3, len(pieces))))
+                first |= set(range(at[1], at[1] + 3)) if at[0] == i and k - at[1] < 3 else set()
+        want[i] = sorted(later - first)
+    assert found == want
+    kept = {r.doc_id: r.text for r in deduplicated_documents(df).collect()}
+    for i, t in enumerate(texts):
+        assert kept[i].split() == [w for k, (_, p) in enumerate(plain_pieces(t)) if k not in want[i] for w in p]
+    gone = [sum(w in passage for w in texts[i].split()) - sum(w in passage for w in kept[i].split()) for i in range(3, 40, 2)]
+    assert sum(gone) >= 0.6 * 60 * len(gone) and all(kept[i].split() == texts[i].split() for i in range(0, 40, 2))
+
+
 def test_mixing_cases(spark, docs, empty):
     m = mix(document_sizes(docs)).collect()
     assert len(m) == docs.count() and all(0 <= r.taken <= 3 * r["size"] for r in m)
@@ -161,7 +225,22 @@ def test_mix_is_dealt_by_its_slots(spark):
             taken[words[k % len(words)]] += 1
             first[words[k % len(words)]] = r.slot if first[words[k % len(words)]] is None else first[words[k % len(words)]]
     assert {r.doc_id: (r.taken, r.first_slot) for r in got} == {i: (taken[i], first[i]) for i in range(300)}
-    assert all(r.taken == r.passes * r["size"] + r.first_words for r in got)
+    assert all(r.taken == sum(x.words for x in r.passes or []) and len(r.passes or []) <= 3 for r in got)
+
+
+def test_mixed_rows_follow_the_schedule(spark):
+    size = lambda i: 20 + i % 50
+    df = spark.createDataFrame([(i, " ".join(f"t{i}w{k}" for k in range(size(i))), f"s{i % 4 if i % 3 else 0}") for i in range(1200)], "doc_id bigint, text string, source string")
+    out = mixed_documents(df).collect()
+    seen, total, share = dict.fromkeys(("s0", "s1", "s2", "s3"), 0), sum(len(r.text.split()) for r in out), {}
+    for r in out:
+        share[r.source] = share.get(r.source, 0) + len(r.text.split()) / total
+    assert len({r.doc_id for r in out}) > 500 and max(sum(x.doc_id == i for x in out) for i in range(20)) <= 3
+    done = 0
+    for r in out:  # low discrepancy: any prefix of the rows is close to the shares
+        n = len(r.text.split())
+        done, seen[r.source] = done + n, seen[r.source] + n
+        assert all(abs(seen[k] - done * share[k]) <= 400 for k in seen)
 
 
 def test_mixing_waterfill(spark):
