@@ -1,26 +1,31 @@
 """PII: patterns, and information-theoretic sanitisation of revealing terms.
 
 Base spans are e-mail addresses, IP addresses, card numbers and phone numbers (leftmost,
-not overlapping within a kind, checked afterwards).  Method: each distinct value is a
-protected entity.  A word of a text with an entity is a term that may reveal it (``near``
-limits this to so many words on either side).  With n(t) texts that have the term, n(e) that
-have the entity, n(t, e) that have both and N texts in all, the term tells
+not overlapping within a kind, checked afterwards).  Protected entities are each distinct value,
+what it belongs to (an address's owner name and domain, an IP address's network), all values of its
+kind together, and credentials: values that stand behind a label such as ``token =``.
+
+Method: a word within ``near`` words of a span, or inside a labelled value, is a term that may
+reveal its entities.  With n(t) texts that have the term, n(e) that have the entity, n(t, e)
+that have the term near the entity and N texts in all, the term tells
 log2(n(t, e) * N / (n(t) * n(e))) bits of the entity's own log2(N / n(e)) bits; their ratio
 is the share disclosed, at certainty n(t, e) / n(t).  Terms that reach ``share`` and
-``certainty`` for some entity, with ``support`` joint texts and ``bits``, are disclosed:
-their occurrences anywhere are spans of kind ``term``, and are generalised to [TERM] as base
-spans are to [EMAIL] and so on.  Neither measure depends on the table's size or on how common
-the entity is: a word that occurs only with an entity tells all of it.  An entity in every
-text has no information to tell.
-
-All counts cover all texts.  Joint counts are of texts with entities only.  n(t) is at least
-the number of texts with entities that have the term, so terms too common there are no
-candidates; for the others n(t) is counted over all texts, found by Bloom bits and then
-joined exactly.
-
-Defined results: null or empty texts have no spans; copies of a text count as texts;
-repeated rows each get a row; words that touch a base span are no terms; other columns pass
-through :func:`sanitised_documents` untouched.
+``certainty`` for some entity, in ``support`` joint texts, are disclosed, and their occurrences
+anywhere are spans: of kind ``secret`` if a label discloses them (for these one text is enough, as
+the label itself is the evidence and a secret is seldom repeated), else of kind ``term``.  They
+are generalised to [SECRET] and [TERM] as base spans are to [EMAIL] and so on.  Neither measure
+depends on the table's size or on how common the entity is.  An entity in every text has no
+information to tell.
+
+All counts cover all texts.  Joint counts are of texts with entities only.  n(t) is at least the
+number of texts with the term in the runs of text where it is near an entity, so words too common
+there are no candidates; for the others n(t) is counted over all texts, found by Bloom bits and
+then joined exactly.
+
+Defined results: null or empty texts have no spans; texts of any length are read whole; copies of
+a text count as texts; a term at a limit is disclosed; repeated rows each get a row; words that
+touch a base span are no terms; other columns pass through :func:`sanitised_documents` untouched;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -45,6 +50,9 @@ _DOMAIN = rb"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 _IP = rb"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = rb"[0-9](?:[ -]?[0-9])++"
 _PHONE = rb"\+[0-9][ ().0-9-]+[0-9]"
+#: Labels of credentials, before a sign of assignment, and the value behind it.
+_LABEL = re.compile(rb"(?<![0-9a-z])(api[ _-]?key|access[ _-]?key|secret[ _-]?key|private[ _-]?key|secret|token|password|passwd|pwd|credentials?|authorization|bearer)[\"']?[ \t]*\Z", re.IGNORECASE)
+_VALUE = re.compile(rb"[=:>]+[ \t]*[\"'`]?([^\s\"'`,;]{4,})")
 
 
 def luhn(digits: bytes) -> bool:
@@ -84,25 +92,58 @@ def base_spans(text: bytes, buf: np.ndarray) -> list[tuple[int, int, int]]:
     return found
 
 
+def labelled_values(text: bytes, buf: np.ndarray) -> list[tuple[bytes, int, int]]:
+    """(label, start, end) in bytes of the values behind a label and ``=`` or ``:``."""
+    found, last = [], 0
+    for p in np.flatnonzero((buf == 61) | (buf == 58)).tolist():
+        if p >= last and (label := _LABEL.search(text[max(0, p - 24) : p])) and (value := _VALUE.match(text, p)):
+            found.append((re.sub(rb"[^a-z]", b"", label.group(1).lower()), value.start(1), value.end(1)))
+            last = value.end(1)
+    return found
+
+
+def _key(*parts: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(b":".join(parts), digest_size=8).digest(), "little", signed=True)
+
+
+def entities_of(kind: int, value: bytes) -> list[int]:
+    """Keys of the protected entities that a base value stands for."""
+    name = KINDS[kind].encode()
+    if kind >= 2:
+        return [_key(name, _digits(value)), _key(name)]
+    value = value.lower()
+    if kind == 1:
+        return [_key(name, value), _key(b"net", value.rpartition(b".")[0]), _key(name)]
+    local, _, domain = value.partition(b"@")
+    owner = re.sub(rb"[^a-z]+", b" ", local).strip()
+    return [_key(name, value), *([_key(b"owner", owner)] if owner else []), _key(b"domain", domain), _key(name)]
+
+
 class Scan:
-    """Base spans and words of a run of texts."""
+    """Base spans, labelled values and words of a run of texts."""
 
-    def __init__(self, buf: np.ndarray, offs: np.ndarray):
+    def __init__(self, buf: np.ndarray, offs: np.ndarray, labels: bool = False):
         n = len(offs) - 1
         # a line end between texts: no pattern crosses it
         shift = np.repeat(np.arange(n), np.diff(offs))
         joined = np.full(len(buf) + n, 10, dtype=np.uint8)
         joined[np.arange(len(buf)) + shift] = buf
         self.text, self.buf, self.offs = joined.tobytes(), buf, offs
+        self.starts = offs[:-1] + np.arange(n)
         found = base_spans(self.text, joined)
-        starts = offs[:-1] + np.arange(n)
         self.kind = np.array([k for k, _, _ in found], dtype=np.int64)
-        begin, end = (np.array([f[i] for f in found], dtype=np.int64) for i in (1, 2))
-        self.own = np.searchsorted(starts, begin, "right") - 1
-        self.start, self.end = begin - self.own, end - self.own
-        self.entity = [str(k).encode() + b":" + (self.text[a:b].lower() if k < 2 else _digits(self.text[a:b])) for k, a, b in found]
+        self.own, self.start, self.end = self._placed([(a, b) for _, a, b in found])
+        self.value = [self.text[a:b] for _, a, b in found]
+        values = labelled_values(self.text, joined) if labels else []
+        self.label = [x for x, _, _ in values]
+        self.label_own, self.label_start, self.label_end = self._placed([(a, b) for _, a, b in values])
         self.points = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
 
+    def _placed(self, spans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        begin, end = (np.array([x[i] for x in spans], dtype=np.int64) for i in (0, 1))
+        own = np.searchsorted(self.starts, begin, "right") - 1
+        return own, begin - own, end - own
+
     def terms(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Start, end, text number and hash of the words that touch no base span."""
         start, end, doc = K.words(self.buf, self.offs, K.ALNUM)
@@ -114,64 +155,57 @@ class Scan:
         free = inside[end] == inside[start]
         return start[free], end[free], doc[free], hashes[free]
 
-    def labels(self, own: np.ndarray, start: np.ndarray, end: np.ndarray, kinds: list[str]) -> list[str]:
-        """kind:start:end in code points of the text."""
+    def places(self, own: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[str]:
+        """start:end in code points of the text."""
         zero = self.points[self.offs[own]]
-        return [f"{k}:{a}:{b}" for k, a, b in zip(kinds, (self.points[start] - zero).tolist(), (self.points[end] - zero).tolist())]
+        return [f"{a}:{b}" for a, b in zip((self.points[start] - zero).tolist(), (self.points[end] - zero).tolist())]
 
 
-#: Pairs of an entity and a term in a batch, about.
-BATCH_PAIRS = 1 << 20
+def _counted(own: np.ndarray, *keys: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct keys and the number of texts with each."""
+    each = np.unique(np.stack([*keys, own]), axis=1)[:-1]
+    pairs, n = np.unique(each, axis=1, return_counts=True)
+    return list(pairs), n
 
 
-def _distinct(group: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each pair once, in order."""
-    order = np.lexsort((value, group))
-    group, value = group[order], value[order]
-    new = np.ones(len(group), dtype=bool)
-    new[1:] = (group[1:] != group[:-1]) | (value[1:] != value[:-1])
-    return group[new], value[new]
+def _joint_rows(entity, term, label: bool, n) -> pa.RecordBatch:
+    none = lambda x: pa.nulls(len(n), pa.int64()) if x is None else pa.array(x)
+    return pa.RecordBatch.from_arrays([none(entity), none(term), pa.array(np.full(len(n), label)), pa.array(np.asarray(n, dtype=np.int64))], ["entity", "term", "label", "n"])
 
 
-def _context_rows(near: int | None):
-    """(entity, term) once a text; without a term, the entity itself; without an entity, a term of a text with entities."""
+def _context_rows(near: int):
+    """(entity, term, label, n): texts with a term near an entity; without a term, texts with the
+    entity; without an entity, a lower bound of the texts with the term; without both, texts."""
 
     def rows(batches):
         for batch in batches:
-            for lo, hi, buf, offs in K.chunks(batch.column(0)):
-                s = Scan(buf, offs)
-                if not len(s.start):
-                    continue
-                start, end, doc, hashes = s.terms()
-                entity = np.array([int.from_bytes(hashlib.blake2b(e, digest_size=8).digest(), "little", signed=True) for e in s.entity], dtype=np.int64)
-                has = np.zeros(hi - lo, dtype=bool)
-                has[s.own] = True
-                own, terms = _distinct(doc[has[doc]], hashes.view(np.int64)[has[doc]])
-                yield _pairs(np.zeros(len(terms), np.int64), terms, no_entity=True)
-                each, only = _distinct(s.own, entity)
-                yield _pairs(only, np.zeros(len(only), np.int64), no_term=True)
-                if near is None:
-                    a, b = np.searchsorted(own, each, "left"), np.searchsorted(own, each, "right")
-                    # many entities in a long text make many pairs
-                    part = np.cumsum(b - a) // BATCH_PAIRS
-                    for k in np.unique(part):
-                        at = part == k
-                        yield _pairs(np.repeat(only[at], (b - a)[at]), K.take_pieces(terms, a[at], (b - a)[at]))
+            yield _joint_rows(None, None, False, [batch.num_rows])
+            for _, _, buf, offs in K.chunks(batch.column(0)):
+                s = Scan(buf, offs, labels=True)
+                if not len(s.start) and not len(s.label):
                     continue
-                first = np.searchsorted(doc, s.own, "left")
-                last = np.searchsorted(doc, s.own, "right")
-                place = np.searchsorted(start, s.start)
-                place = np.clip(place, first, last)
-                a, b = np.maximum(first, place - near), np.minimum(last, place + near)
-                words = K.take_pieces(hashes.view(np.int64), a, b - a)
-                pairs = np.unique(np.stack([np.repeat(s.own, b - a), np.repeat(entity, b - a), words]), axis=1)
-                yield _pairs(pairs[1], pairs[2])
-
-    return rows
-
-
-def _pairs(entity: np.ndarray, term: np.ndarray, no_entity: bool = False, no_term: bool = False) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x, mask=np.full(len(x), none)) for x, none in ((entity, no_entity), (term, no_term))], ["entity", "term"])
+                start, _, doc, hashes = s.terms()
+                hashes = hashes.view(np.int64)
+                first, last = np.searchsorted(doc, s.own, "left"), np.searchsorted(doc, s.own, "right")
+                place = np.clip(np.searchsorted(start, s.start), first, last)
+                around = np.maximum(first, place - near), np.minimum(last, place + near)
+                inside = np.searchsorted(start, s.label_start), np.searchsorted(start, s.label_end)
+                close = []
+                for label, own, keys, (a, b) in ((False, s.own, [entities_of(k, v) for k, v in zip(s.kind.tolist(), s.value)], around), (True, s.label_own, [[_key(b"label", x), _key(b"label")] for x in s.label], inside)):
+                    if not len(own):
+                        continue
+                    many = np.array([len(x) for x in keys])
+                    entity, of, a, b = np.array([e for x in keys for e in x], dtype=np.int64), np.repeat(own, many), np.repeat(a, many), np.repeat(b, many)
+                    (only,), n = _counted(of, entity)
+                    yield _joint_rows(only, None, label, n)
+                    (e, t), n = _counted(np.repeat(of, b - a), np.repeat(entity, b - a), K.take_pieces(hashes, a, b - a))
+                    yield _joint_rows(e, t, label, n)
+                    close.append(t)
+                here = np.isin(hashes, np.concatenate(close))
+                (term,), n = _counted(doc[here], hashes[here])
+                yield _joint_rows(None, term, False, n)
+
+    return K.tidied(rows)
 
 
 def _candidate_pairs(shared):
@@ -182,7 +216,7 @@ def _candidate_pairs(shared):
         for batch in batches:
             yield batch.filter(pa.array(bloom.may_hold(bits, batch.column(1).to_numpy())))
 
-    return rows
+    return K.tidied(rows)
 
 
 def _term_counter(shared):
@@ -200,27 +234,29 @@ def _term_counter(shared):
             term, n = np.unique(np.concatenate(terms), return_counts=True) if terms else (np.zeros(0, np.int64),) * 2
             yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n)], ["term", "texts"])
 
-    return rows
+    return K.tidied(rows)
 
 
-def disclosed_terms(documents: DataFrame, text_col: str = "text", near: int | None = None, support: int = 1, bits: float = 0.0, certainty: float = 0.5, share: float = 0.5) -> DataFrame:
-    """(term, bits, certainty): hashes of the terms that disclose some entity, with the strongest figures."""
+def disclosed_terms(documents: DataFrame, text_col: str = "text", near: int = 8, support: int = 2, certainty: float = 0.5, share: float = 0.5) -> DataFrame:
+    """(term, secret, bits, certainty): hashes of the terms that disclose some entity, with the strongest figures."""
     texts = documents.select(F.col(text_col).cast("string").alias("text"))
-    joint = written(texts.mapInArrow(_context_rows(near), "entity bigint, term bigint").groupBy("entity", "term").agg(F.count("*").alias("n")))
-    entities = joint.filter(F.col("term").isNull()).select("entity", F.col("n").alias("n_entity"))
-    pairs = joint.filter(F.col("entity").isNotNull() & F.col("term").isNotNull() & (F.col("n") >= support))
-    # n(t) is at least the number of texts with entities that have the term
-    most, seen = (F.max(F.when(which, F.col("n"))) for which in (F.col("entity").isNotNull(), F.col("entity").isNull()))
+    joint = written(texts.mapInArrow(_context_rows(near), "entity bigint, term bigint, label boolean, n bigint").groupBy("entity", "term", "label").agg(F.sum("n").alias("n")))
+    total = joint.filter(F.col("term").isNull() & F.col("entity").isNull()).agg(F.sum("n")).first()[0]
+    entities = joint.filter(F.col("term").isNull() & F.col("entity").isNotNull()).select("entity", F.col("n").alias("n_entity"))
+    enough = F.col("n") >= F.when(F.col("label"), F.lit(1)).otherwise(F.lit(support))
+    pairs = joint.filter(F.col("entity").isNotNull() & F.col("term").isNotNull() & enough)
+    # n(t) is at least the number of texts with the term where it is near an entity
+    most, seen = F.max(F.when(F.col("entity").isNotNull() & enough, F.col("n"))), F.sum(F.when(F.col("entity").isNull(), F.col("n")))
     candidates = joint.filter(F.col("term").isNotNull()).groupBy("term").agg(most.alias("most"), seen.alias("seen"))
-    candidates = written(candidates.filter((F.col("most") >= support) & (F.col("most") >= certainty * F.col("seen"))).select("term"))
+    candidates = written(candidates.filter(F.col("most") >= certainty * F.col("seen")).select("term"))
     shared = documents.sparkSession.sparkContext.broadcast(bloom.bits_of(candidates))
     counts = texts.mapInArrow(_term_counter(shared), "term bigint, texts bigint").groupBy("term").agg(F.sum("texts").alias("n_term"))
-    total = float(texts.count())
-    scored = pairs.mapInArrow(_candidate_pairs(shared), "entity bigint, term bigint, n bigint").join(counts, "term").join(entities, "entity")
-    told, own = F.log2(F.col("n") * F.lit(total) / (F.col("n_term") * F.col("n_entity"))), F.log2(F.lit(total) / F.col("n_entity"))
-    scored = scored.select("term", told.alias("bits"), own.alias("entity_bits"), (F.col("n") / F.col("n_term")).alias("certainty"))
-    scored = scored.filter((F.col("entity_bits") > 0) & (F.col("bits") >= share * F.col("entity_bits")) & (F.col("bits") >= bits) & (F.col("certainty") >= certainty))
-    return scored.groupBy("term").agg(F.max("bits").alias("bits"), F.max("certainty").alias("certainty"))
+    kind = "entity bigint, term bigint, label boolean, n bigint"
+    scored = pairs.mapInArrow(_candidate_pairs(shared), kind).join(counts, "term").join(entities, "entity")
+    told, own = F.log2(F.col("n") * F.lit(float(total or 0)) / (F.col("n_term") * F.col("n_entity"))), F.log2(F.lit(float(total or 0)) / F.col("n_entity"))
+    scored = scored.select("term", "label", told.alias("bits"), own.alias("entity_bits"), (F.col("n") / F.col("n_term")).alias("certainty"))
+    scored = scored.filter((F.col("entity_bits") > 0) & (F.col("bits") >= share * F.col("entity_bits")) & (F.col("certainty") >= certainty))
+    return scored.groupBy("term").agg(F.max("label").alias("secret"), F.max("bits").alias("bits"), F.max("certainty").alias("certainty"))
 
 
 def _span_rows(shared):
@@ -233,32 +269,32 @@ def _span_rows(shared):
                 s = Scan(buf, offs)
                 order = np.lexsort((s.start, s.kind, s.own))
                 own, kind = s.own[order], s.kind[order]
-                base = s.labels(own, s.start[order], s.end[order], list(names[kind]))
+                base = [f"{k}:{x}" for k, x in zip(names[kind], s.places(own, s.start[order], s.end[order]))]
                 start, end, doc, hashes = s.terms()
                 may = bloom.may_hold(bits, hashes.view(np.int64))
                 start, end, doc, hashes = start[may], end[may], doc[may], hashes[may]
-                term_spans = s.labels(doc, start, end, ["term"] * len(doc))
                 counts = [pa.array(np.bincount(s.own[s.kind == k], minlength=n)) for k in range(4)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), *counts, K.list_array(np.array(base, dtype=object), np.bincount(own, minlength=n), pa.string()), K.list_array(hashes.view(np.int64), np.bincount(doc, minlength=n), pa.int64()), K.list_array(np.array(term_spans, dtype=object), np.bincount(doc, minlength=n), pa.string())],
-                    ["doc_id", "row_key", "n_email", "n_ip", "n_card", "n_phone", "base", "terms", "term_spans"],
+                    [batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), *counts, K.list_array(np.array(base, dtype=object), np.bincount(own, minlength=n), pa.string()), K.list_array(hashes.view(np.int64), np.bincount(doc, minlength=n), pa.int64()), K.list_array(np.array(s.places(doc, start, end), dtype=object), np.bincount(doc, minlength=n), pa.string())],
+                    ["doc_id", "row_key", "n_email", "n_ip", "n_card", "n_phone", "base", "terms", "places"],
                 )
 
-    return rows
+    return K.tidied(rows)
 
 
 def private_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """(doc_id, row_key, n_email, n_ip, n_card, n_phone, base, term_spans) of every document row;
-    spans are kind:start:end in code points, in order."""
+    spans are kind:start:end in code points, in order; ``term_spans`` has those of kind secret, then term."""
     terms = written(disclosed_terms(documents, text_col, **how))
     shared = documents.sparkSession.sparkContext.broadcast(bloom.bits_of(terms.select("term")))
     docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row_key"), F.col(text_col).cast("string").alias("text"))
-    rows = docs.mapInArrow(_span_rows(shared), "doc_id bigint, row_key bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base array<string>, terms array<bigint>, term_spans array<string>")
+    rows = docs.mapInArrow(_span_rows(shared), "doc_id bigint, row_key bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base array<string>, terms array<bigint>, places array<string>")
     rows = written(rows)
     # the terms of equal rows are the same, so they are looked up once
-    each = rows.filter(F.size("terms") > 0).dropDuplicates(["doc_id", "row_key"]).select("doc_id", "row_key", F.posexplode(F.arrays_zip("terms", "term_spans")).alias("at", "x"))
-    each = each.select("doc_id", "row_key", "at", F.col("x.terms").alias("term"), F.col("x.term_spans").alias("span")).join(terms.select("term"), "term", "left_semi")
-    found = each.groupBy(F.struct("doc_id", "row_key").alias("found_key")).agg(F.array_sort(F.collect_list(F.struct("at", "span"))).alias("found"))
+    each = rows.filter(F.size("terms") > 0).dropDuplicates(["doc_id", "row_key"]).select("doc_id", "row_key", F.posexplode(F.arrays_zip("terms", "places")).alias("at", "x"))
+    each = each.select("doc_id", "row_key", "at", F.col("x.terms").alias("term"), F.col("x.places").alias("place")).join(terms.select("term", "secret"), "term")
+    each = each.withColumn("span", F.concat(F.when(F.col("secret"), "secret:").otherwise("term:"), "place"))
+    found = each.groupBy(F.struct("doc_id", "row_key").alias("found_key")).agg(F.array_sort(F.collect_list(F.struct((~F.col("secret")).alias("other"), "at", "span"))).alias("found"))
     key = F.struct("doc_id", "row_key")
     out = rows.join(found, key.eqNullSafe(F.col("found_key")), "left")
     return out.select("doc_id", "row_key", "n_email", "n_ip", "n_card", "n_phone", "base", F.coalesce(F.transform("found", lambda x: x.span), F.array().cast("array<string>")).alias("term_spans"))
@@ -292,6 +328,7 @@ def sanitised_documents(documents: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contract query over all of ``documents``."""
+    """Contract query over all of ``documents``; besides, the numbers of secrets and other disclosed terms."""
     found = private_spans(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.array_join("base", ","), 256).alias("base_sha256"), F.array_join(F.concat("base", "term_spans"), ",").alias("spans"))
+    secrets = F.size(F.filter("term_spans", lambda x: x.startswith("secret:"))).cast("bigint")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.array_join("base", ","), 256).alias("base_sha256"), F.array_join(F.concat("base", "term_spans"), ",").alias("spans"), secrets.alias("n_secrets"), (F.size("term_spans") - secrets).cast("bigint").alias("n_terms"))

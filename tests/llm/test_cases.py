@@ -274,40 +274,93 @@ def test_perfect_hash_and_shards():
 def test_private_cases(spark, docs, empty):
     assert private_spans(docs).count() == docs.count() and private_spans(empty).count() == 0
     people = spark.createDataFrame([(i, f"write to zorba{i % 2}qq at z{i % 2}@mail.org please" if i < 40 else "write to please at once", "s") for i in range(400)], "doc_id bigint, text string, base string")
-    spans = {r.doc_id: r.term_spans for r in private_spans(people, bits=3.0).collect()}
+    spans = {r.doc_id: r.term_spans for r in private_spans(people).collect()}
     assert spans[0] == ["term:9:17"] and not spans[399]  # only the term that goes with one address
-    assert sanitised_documents(people, bits=3.0).filter("doc_id = 1").first().text == "write to [TERM] at [EMAIL] please"
+    assert sanitised_documents(people).filter("doc_id = 1").first().text == "write to [TERM] at [EMAIL] please"
 
 
 def test_terms_by_the_defaults(spark):
     far = "so much has been said since then about this and that " * 3
-    groups = {"rare@mail.org": ("zorbaq", 1), "two@mail.org": ("dimitriq", 2), "many@mail.org": ("kleanthq", 40)}  # 40 of 100: a large group of copies
-    texts = [f"ask {name} {far}write to {address}" for address, (name, n) in groups.items() for _ in range(n)]
-    texts += [f"ask someone {far}write to nobody"] * (100 - len(texts))
+    groups = {"rare@mail.org": ("zorbaq", 1), "two@mail.net": ("dimitriq", 2), "many@mail.com": ("kleanthq", 40)}  # 40 of 100: a large group of copies
+    texts = [f"ask {name} or write to {address} {far}" for address, (name, n) in groups.items() for _ in range(n)]
+    texts += [f"ask someone {far}or write to nobody"] * (100 - len(texts))
     spans = {}
     for size in (1, 20):  # the same shares in a larger table
         more = [t for t in texts for _ in range(size)]
         got = private_spans(spark.createDataFrame(list(enumerate(more)), "doc_id bigint, text string")).collect()
         spans[size] = [{tuple(x.term_spans) for x in got if x.doc_id // size == i} for i in range(len(texts))]
     want = [{(f"term:4:{4 + len(name)}",)} for name, n in groups.values() for _ in range(n)]
-    assert spans[1] == spans[20] == want + [{()}] * (100 - len(want))
+    assert spans[20] == want + [{()}] * (100 - len(want))
+    assert spans[1] == [{()}] + spans[20][1:]  # one text is no evidence
 
 
-def test_terms_equal_brute_force(spark):
+def test_secrets_by_their_labels(spark):
+    texts = ['login with token = "9f3aa771bc" now', "API_KEY: sk-live-77ab93dd01.Qx81", "the password = correct", "password: correct", "my secret: 12", "token: " + "a1b2" * 30_000]
+    texts += ["that is correct and live and sk too"] * 30 + ["a tokens = 9f9f9f9f word"]
+    got = {r.doc_id: r.term_spans for r in private_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert got[0] == ["secret:20:30"] and got[1] == ["secret:17:27", "secret:28:32"]
+    assert got[2] == got[3] == got[4] == [] and got[5] == ["secret:7:120007"] and got[6] == got[36] == []
+    clean = sanitised_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).filter("doc_id < 2").orderBy("doc_id").collect()
+    assert [r.text for r in clean] == ['login with token = "[SECRET]" now', "API_KEY: sk-live-[SECRET].[SECRET]"]
+
+
+def plain_terms(texts, near=8, support=2, certainty=0.5, share=0.5):
+    """Brute force: the spans of disclosed terms of each text."""
     import math
+    import re as regex
+
+    from tests.llm.test_contract_queries import plain_spans
 
+    label = regex.compile(r"(?<![0-9A-Za-z])(api[ _-]?key|access[ _-]?key|secret[ _-]?key|private[ _-]?key|secret|token|password|passwd|pwd|credentials?|authorization|bearer)[\"']?[ \t]*[=:>]+[ \t]*[\"'`]?([^\s\"'`,;]{4,})", regex.IGNORECASE | regex.ASCII)
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    near_texts, entity_texts, term_texts, words_of = {}, {}, {}, []
+    for i, t in enumerate(texts):
+        base = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in plain_spans(t))]
+        words = [(m.start(), m.end(), m.group().translate(low)) for m in regex.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", t)]
+        for w in words:
+            term_texts.setdefault(w[2], set()).add(i)
+        words = [w for w in words if not any(w[0] < b and a < w[1] for _, a, b in base)]
+        words_of.append(words)
+        mentions = []
+        for k, a, b in base:
+            value, at = t[a:b].translate(low), sum(w[0] < a for w in words)
+            keys = [(k, regex.sub("[^0-9]", "", value) if k in ("card", "phone") else value), (k,)]
+            if k == "email":
+                local, domain = value.split("@")
+                keys += [("domain", domain)] + ([("owner", o)] if (o := regex.sub("[^a-z]+", " ", local).strip()) else [])
+            if k == "ip":
+                keys.append(("net", value.rpartition(".")[0]))
+            mentions.append((keys, words[max(0, at - near) : at + near], support))
+        for m in label.finditer(t):
+            mentions.append(([("label", regex.sub("[^a-z]", "", m.group(1).translate(low))), ("label",)], [w for w in words if m.start(2) <= w[0] < m.end(2)], 1))
+        for keys, close, least in mentions:
+            for e in keys:
+                entity_texts.setdefault(e, set()).add(i)
+                for w in close:
+                    near_texts.setdefault((e, w[2], least), set()).add(i)
+    kinds = {}
+    for (e, w, least), at in near_texts.items():
+        n_e, n_t, n = len(entity_texts[e]), len(term_texts[w]), len(at)
+        own = math.log2(len(texts) / n_e)
+        if n >= least and n / n_t >= certainty and own > 0 and math.log2(n * len(texts) / (n_t * n_e)) >= share * own:
+            kinds[w] = "secret" if e[0] == "label" or kinds.get(w) == "secret" else "term"
+    return [[f"{k}:{a}:{b}" for k in ("secret", "term") for a, b, w in words if kinds.get(w) == k] for words in words_of]
+
+
+def test_terms_equal_brute_force(spark):
     pick = random.Random(7)
-    texts = [" ".join(pick.choice([f"w{int(pick.paretovariate(0.6)) % 300}", f"u{pick.randrange(4)}@mail.org"] if pick.random() < 0.1 else [f"w{int(pick.paretovariate(0.6)) % 300}"]) for _ in range(12)) for _ in range(120)]
-    bags = [set(t.split()) for t in texts]
-    total, n = len(bags), lambda *x: sum(b.issuperset(x) for b in bags)
-    entities = {x for b in bags for x in b if "@" in x}
-    want = set()
-    for t in {x for b in bags for x in b if "@" not in x}:
-        for e in entities:
-            if (both := n(t, e)) and both / n(t) >= 0.5 and math.log2(both * total / (n(t) * n(e))) >= 0.5 * math.log2(total / n(e)):
-                want.add(t)
-    got = {x for r, t in zip(sorted(private_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect(), key=lambda r: r.doc_id), texts) for s in r.term_spans for x in [t[slice(*map(int, s.split(":")[1:]))]]}
-    assert got == want and want
+    word = lambda: f"w{int(pick.paretovariate(0.6)) % 300}"
+    texts = [" ".join(pick.choice([f"u{pick.randrange(4)}@mail{pick.randrange(2)}.org", f"10.0.{pick.randrange(2)}.{pick.randrange(3)}", f"token: {word()}x", f"+1 ({pick.randrange(200, 203)}) 555-1234"]) if pick.random() < 0.08 else word() for _ in range(40)) for _ in range(150)]
+    want = plain_terms(texts)
+    got = {r.doc_id: r.term_spans for r in private_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)).collect()}
+    assert [got[i] for i in range(150)] == want and any("term" in str(x) for x in want) and any("secret" in str(x) for x in want)
+
+
+def test_terms_of_a_whole_table(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).orderBy("doc_id").collect()
+    want = plain_terms([r.text for r in rows])
+    got = {r.doc_id: r.term_spans for r in private_spans(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()}
+    assert [got[r.doc_id] for r in rows] == want and sum(map(bool, want)) > 0
 
 
 def test_license_cases(spark, docs, empty):
