@@ -10,6 +10,8 @@ from seriesloom.llm import textkit as K
 
 #: Bits of one piece; the whole is 2**20 to 2**28 bits (32 MB) whatever the number of values.
 WIDTH = 1 << 16
+#: Values up to which the bits sort out nearly all others; beyond, callers may choose a join.
+MOST = (1 << 28) // 8
 
 
 def places(values: np.ndarray, k: int, size: int) -> np.ndarray:

@@ -4,13 +4,13 @@ Texts are sets of hashed word n-grams under one global order (rare first, by a c
 sketch over all documents, then by hash).  Two texts link when 100 * intersection >=
 ``percent`` * union.
 
-1. Equal sets become one class, named after its smallest document id.
+1. Equal sets become one class, told apart by size and 128 bits, and named by 64 bits of these.
 2. A class's prefix (its size less the least overlap, plus one) must share an n-gram with
    the prefix of every partner.  Classes that share a prefix n-gram meet under a pivot, the
    smallest class with that n-gram, so every possible link lies within some pivot's group.
 3. Members of a group without another member of fitting size leave it.  Groups are cut, in
-   order of size, into blocks of bounded n-grams; pairs of blocks of fitting sizes are the
-   units of work, so no task holds a whole group.
+   order of size, into blocks of bounded n-grams and members, from counts by size that are summed up
+   before; pairs of blocks of fitting sizes are the units of work, so no task holds a whole group.
 4. In a unit the sets are stored in a trie in frequent-first order.  The trie is walked once
    for all probing sets together: the overlap of a shared path is counted once, a probe
    leaves a subtree as soon as the remaining length on either side can't reach the least
@@ -19,9 +19,11 @@ sketch over all documents, then by hash).  Two texts link when 100 * intersectio
    connected components are found by alternating large and small stars.
 
 Defined results: null texts and texts without words are empty sets, linked with nothing;
-fewer words than ``n`` form one n-gram; repeated rows each get a row and are in one class;
-rows that share an id but not a text are taken by their own text; a null id belongs to the
-class of its text and to none if no other row has that text; other columns are ignored.
+fewer words than ``n`` form one n-gram; texts of any length are read whole; repeated rows each get
+a row and are in one class; a pair at the limit is linked; rows that share an id but not a text
+are linked by their own texts; a null id belongs to the class of its text and to none if no other
+row has that text; other columns are ignored; an empty table gives no rows.  Two classes of one
+name would be taken as linked: some 24 chances in 3 * 10**10 different texts.
 """
 
 from __future__ import annotations
@@ -38,11 +40,12 @@ from seriesloom.sources.tables import written
 #: Counters of the sketch that orders n-grams: 2 to this power (a byte each when shared).
 SKETCH_BITS = 22
 SLICE_BITS = 14
-#: n-grams of a block of a group.
+#: n-grams and members of a block of a group, about.
 BLOCK_GRAMS = 300_000
+BLOCK_MEMBERS = 1_000
 #: Log-scale class (8 a doubling) from which an n-gram counts as hot: about 2**15 documents.
 HOT_CLASS = 120
-SALT = 32
+SALT = 16
 _LOW = np.uint64((1 << 56) - 1)
 
 
@@ -139,21 +142,37 @@ def unit_links(left: tuple[list[int], list[np.ndarray]], right: tuple[list[int],
     return [(int(nodes[i]), int(nodes[label[i]])) for i in moved]
 
 
-def _sketch(docs: DataFrame, n: int) -> np.ndarray:
-    """Log-scale document counts of n-gram hashes in 2**SKETCH_BITS counters, from all documents."""
-    bits, slices = SKETCH_BITS, 1 << (SKETCH_BITS - SLICE_BITS)
+def _names(signs: list[tuple[int, int]], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64 bits that name each set, and 64 more to tell it from others of that name."""
+    first, second = (np.array([s[k] for s in signs], dtype=np.int64).view(np.uint64) for k in (0, 1))
+    return K.mix(first ^ K.mix(second + K.GOLDEN * sizes.astype(np.uint64))).view(np.int64), second.view(np.int64)
 
-    def count(batches):
-        total = np.zeros(1 << bits, dtype=np.uint32)
+
+def _signed_rows(n: int):
+    """Per document: id, size and signature of its set; then counts of its n-grams' documents, by
+    hash, in slices of 2**SKETCH_BITS counters."""
+    names = ["doc_id", "row_key", "n", "node", "sign", "slice", "counts"]
+
+    def rows(batches):
+        total, mask = np.zeros(1 << SKETCH_BITS, dtype=np.uint32), np.uint64((1 << SKETCH_BITS) - 1)
         for batch in batches:
-            for _, _, buf, offs in K.chunks(batch.column(0)):
-                for grams in [np.concatenate(gram_sets(buf, offs, n))]:
-                    at, times = np.unique(grams & np.uint64((1 << bits) - 1), return_counts=True)
-                    total[at.astype(np.int64)] += times.astype(np.uint32)
-        for k, part in enumerate(total.reshape(slices, -1)):
+            for lo, hi, buf, offs in K.chunks(batch.column(2)):
+                sets = gram_sets(buf, offs, n)
+                size = np.array([len(s) for s in sets], dtype=np.int64)
+                node, sign = _names([signature(s) for s in sets], size)
+                np.add.at(total, (np.concatenate(sets) & mask).astype(np.int64), np.uint32(1))
+                none = pa.nulls(hi - lo, pa.int64()), pa.nulls(hi - lo, pa.binary())
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in (0, 1)), pa.array(size), pa.array(node), pa.array(sign), *none], names)
+        for k, part in enumerate(total.reshape(-1, 1 << SLICE_BITS)):
             if part.any():
                 part = part.astype(np.uint8) if part.max() < 256 else part  # told apart by their length
-                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([part.tobytes()])], ["slice", "counts"])
+                yield pa.RecordBatch.from_arrays([*[pa.nulls(1, pa.int64())] * 5, pa.array([k]), pa.array([part.tobytes()])], names)
+
+    return K.tidied(rows)
+
+
+def _sketch(parts: DataFrame) -> np.ndarray:
+    """Log-scale document counts of n-gram hashes, from all documents' (slice, counts)."""
 
     def add(batches):
         total: dict[int, np.ndarray] = {}
@@ -164,32 +183,29 @@ def _sketch(docs: DataFrame, n: int) -> np.ndarray:
         for k, x in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([np.minimum(8 * np.log2(1 + x), 255).astype(np.uint8).tobytes()])], ["slice", "classes"])
 
-    parts = docs.select("text").mapInArrow(count, "slice bigint, counts binary").repartition("slice").mapInArrow(add, "slice bigint, classes binary")
-    classes = np.zeros((slices, 1 << SLICE_BITS), dtype=np.uint8)
-    for r in parts.collect():
+    classes = np.zeros((1 << (SKETCH_BITS - SLICE_BITS), 1 << SLICE_BITS), dtype=np.uint8)
+    for r in parts.repartition("slice").mapInArrow(add, "slice bigint, classes binary").collect():
         classes[r.slice] = np.frombuffer(r.classes, dtype=np.uint8)
     return classes.reshape(-1)
 
 
-def _set_rows(n: int, percent: int, shared=None):
-    """Per document: id, size, signature and, with the sketch, the prefix."""
+def _prefix_rows(n: int, percent: int, shared):
+    """Per document with words: size, signature and prefix of its set."""
 
     def rows(batches):
-        classes = shared.value if shared else None
+        classes = shared.value
         for batch in batches:
-            for lo, hi, buf, offs in K.chunks(batch.column(1)):
-                sets = gram_sets(buf, offs, n)
-                size = [len(s) for s in sets]
-                signs = [signature(s) for s in sets]
-                columns = [batch.column(0).slice(lo, hi - lo), pa.array(size, pa.int64()), pa.array([s[0] for s in signs], pa.int64()), pa.array([s[1] for s in signs], pa.int64())]
-                if classes is None:
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "s1", "s2"])
+            for _, _, buf, offs in K.chunks(batch.column(0)):
+                sets = [s for s in gram_sets(buf, offs, n) if len(s)]
+                if not sets:
                     continue
-                prefixes = [ordered(s, classes)[: least_prefix(len(s), percent)] if len(s) else s for s in sets]
+                size = np.array([len(s) for s in sets], dtype=np.int64)
+                node, sign = _names([signature(s) for s in sets], size)
+                prefixes = [ordered(s, classes)[: least_prefix(len(s), percent)] for s in sets]
                 prefix = K.list_array(np.concatenate(prefixes).view(np.int64), np.array([len(p) for p in prefixes]), pa.int64())
-                yield pa.RecordBatch.from_arrays([*columns, prefix], ["doc_id", "n", "s1", "s2", "prefix"])
+                yield pa.RecordBatch.from_arrays([pa.array(size), pa.array(node), pa.array(sign), prefix], ["n", "node", "sign", "prefix"])
 
-    return rows
+    return K.tidied(rows)
 
 
 def _runs(batches):
@@ -212,11 +228,11 @@ def _runs(batches):
 
 def _groups(docs: DataFrame, n: int, percent: int, shared) -> DataFrame:
     """Distinct (pivot, member, n) of classes that share a prefix n-gram."""
-    rows = docs.mapInArrow(_set_rows(n, percent, shared), "doc_id bigint, n bigint, s1 bigint, s2 bigint, prefix array<bigint>")
-    classes = rows.filter(F.col("n") > 0).groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class"), F.first("prefix").alias("prefix")).filter(F.col("class").isNotNull())
-    grams = classes.select(F.explode("prefix").alias("gram"), "class", "n")
+    rows = docs.select("text").mapInArrow(_prefix_rows(n, percent, shared), "n bigint, node bigint, sign bigint, prefix array<bigint>")
+    classes = rows.groupBy("n", "node", "sign").agg(F.first("prefix").alias("prefix"))
+    grams = classes.select(F.explode("prefix").alias("gram"), F.col("node").alias("class"), "n")
     hot = F.shiftrightunsigned("gram", 56) >= HOT_CLASS
-    cold = grams.filter(~hot).repartition("gram").sortWithinPartitions("gram", "class").mapInArrow(_runs, "pivot bigint, member bigint, n bigint")
+    cold = grams.filter(~hot).repartition("gram").sortWithinPartitions("gram", "class").mapInArrow(K.tidied(_runs), "pivot bigint, member bigint, n bigint")
     # n-grams of very many documents: the pivot by partial aggregation, the join back salted
     warm = grams.filter(hot).withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(SALT)).cast("int"))
     pivots = warm.groupBy("gram").agg(F.min("class").alias("pivot"), F.count("*").alias("many")).filter(F.col("many") > 1)
@@ -226,12 +242,20 @@ def _groups(docs: DataFrame, n: int, percent: int, shared) -> DataFrame:
 
 
 def _units(groups: DataFrame, percent: int) -> DataFrame:
-    """(pivot, i, j, member): which members meet in which pairs of blocks."""
-    by_size = Window.partitionBy("pivot").orderBy("n", "member")
-    near = (100 * F.lag("n").over(by_size) >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.lead("n").over(by_size))
-    g = groups.withColumn("near", F.coalesce(near, F.lit(False))).filter("near")
-    g = g.withColumn("block", F.floor(F.sum("n").over(by_size.rowsBetween(Window.unboundedPreceding, 0)) / BLOCK_GRAMS)).drop("near")
-    g = written(g)
+    """(pivot, i, j, block, member): which members meet in which pairs of blocks.
+
+    Blocks are laid out from the members of each size, counted before; members of one size are
+    dealt by hash to the blocks that their size takes.
+    """
+    groups = written(groups)
+    by_size = Window.partitionBy("pivot").orderBy("n")  # one row for each size in a group
+    weight = F.col("many") * F.greatest(F.col("n"), F.lit(BLOCK_GRAMS // BLOCK_MEMBERS))
+    near = (F.col("many") > 1) | (100 * F.lag("n").over(by_size) >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.lead("n").over(by_size))
+    sizes = groups.groupBy("pivot", "n").agg(F.count("*").alias("many")).withColumn("weight", weight).withColumn("near", F.coalesce(near, F.lit(False))).filter("near")
+    upto = F.sum("weight").over(by_size.rowsBetween(Window.unboundedPreceding, 0))
+    sizes = sizes.withColumn("first", F.floor((upto - F.col("weight")) / BLOCK_GRAMS)).withColumn("last", F.floor((upto - 1) / BLOCK_GRAMS)).select("pivot", "n", "first", "last")
+    dealt = F.col("first") + F.pmod(F.xxhash64("member"), F.col("last") - F.col("first") + 1)
+    g = written(groups.join(sizes, ["pivot", "n"]).select("pivot", "member", "n", dealt.alias("block")))
     blocks = g.groupBy("pivot", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     a = blocks.select("pivot", F.col("block").alias("i"), "high")
     b = blocks.select("pivot", F.col("block").alias("j"), "low")
@@ -282,25 +306,33 @@ def may_link(sizes: np.ndarray, counts: list[bytes], side: np.ndarray | None, pe
     return kept
 
 
-def _members(docs: DataFrame, members: DataFrame, n: int, payload, name: str) -> DataFrame:
-    """(member, size, payload of the set) for the documents with these ids, and for a few others."""
-    shared = docs.sparkSession.sparkContext.broadcast(bloom.bits_of(members))
+def _members(docs: DataFrame, classes: DataFrame, members: DataFrame, n: int, payload, name: str) -> DataFrame:
+    """(member, size, payload of the set) of these classes, from the document that each is taken
+    from; a few rows more, and rows that repeat one."""
+    ids = written(classes.join(members, classes.node == members.member, "left_semi").select("class_id"))
+    docs = docs.select("doc_id", "text")
+    if ids.count() > bloom.MOST:  # too many for bits of bounded size
+        docs, shared = docs.join(ids.distinct(), docs.doc_id == ids.class_id, "left_semi"), None
+    else:
+        shared = docs.sparkSession.sparkContext.broadcast(bloom.bits_of(ids))
 
     def rows(batches):
-        bits = shared.value
         for batch in batches:
-            want = batch.column(0).is_valid().to_numpy(zero_copy_only=False) & bloom.may_hold(bits, batch.column(0).fill_null(-1).to_numpy())
-            batch = batch.filter(pa.array(want))
-            for lo, hi, buf, offs in K.chunks(batch.column(1)):
+            want = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            if shared:
+                want = want & bloom.may_hold(shared.value, batch.column(0).fill_null(-1).to_numpy())
+            for _, _, buf, offs in K.chunks(batch.filter(pa.array(want)).column(1)):
                 sets = gram_sets(buf, offs, n)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array([payload(s) for s in sets], pa.binary())], ["member", "size", name])
+                size = np.array([len(s) for s in sets], dtype=np.int64)
+                node, _ = _names([signature(s) for s in sets], size)
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(size), pa.array([payload(s) for s in sets], pa.binary())], ["member", "size", name])
 
-    return docs.mapInArrow(rows, f"member bigint, size bigint, {name} binary")
+    return docs.mapInArrow(K.tidied(rows), f"member bigint, size bigint, {name} binary")
 
 
 def _by_unit(batches, handle):
     """Calls handle((pivot, i, j), rows) for each unit; rows come in order of unit and are
-    (block, member, size, payload)."""
+    (block, member, size, payload), each member once a block."""
     key, held = None, []
     for batch in batches:
         for pivot, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -308,7 +340,8 @@ def _by_unit(batches, handle):
                 if held:
                     yield handle(key, held)
                 key, held = (pivot, i, j), []
-            held.append(row)
+            if not held or held[-1][:2] != row[:2]:
+                held.append(row)
     if held:
         yield handle(key, held)
 
@@ -318,7 +351,7 @@ def _placed(units: DataFrame, members: DataFrame, order: list[str]) -> DataFrame
     return d.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j", *order)
 
 
-def _pruned(units: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+def _pruned(units: DataFrame, docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
     """The rows of ``units`` whose set can link with another in the unit, by bucket counts."""
 
     def keep(key, rows):
@@ -327,8 +360,8 @@ def _pruned(units: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFram
         rows = [r for r, k in zip(rows, kept) if k]
         return pa.RecordBatch.from_arrays([*(pa.array([x] * len(rows), pa.int64()) for x in key), *(pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1))], ["pivot", "i", "j", "block", "member"])
 
-    counts = _members(docs, units.select("member").distinct(), n, bucket_counts, "counts")
-    return _placed(units, counts, ["size", "member"]).mapInArrow(lambda batches: _by_unit(batches, keep), "pivot bigint, i bigint, j bigint, block bigint, member bigint")
+    counts = _members(docs, classes, units.select("member").distinct(), n, bucket_counts, "counts")
+    return _placed(units, counts, ["size", "member", "block"]).mapInArrow(K.tidied(lambda batches: _by_unit(batches, keep)), "pivot bigint, i bigint, j bigint, block bigint, member bigint")
 
 
 def _walker(percent: int, shared):
@@ -342,12 +375,12 @@ def _walker(percent: int, shared):
 
         yield from _by_unit(batches, links)
 
-    return walk
+    return K.tidied(walk)
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component) of the connected components of (a, b) links, by alternating large
-    and small stars; every round is written to the shared folder."""
+    """(node, component) of the connected components of (a, b) links, named after their least
+    node, by alternating large and small stars; every round is written to the shared folder."""
     pairs = written(links.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     state = None
     while True:
@@ -360,33 +393,45 @@ def components(links: DataFrame) -> DataFrame:
         pairs = written(small)
         now = tuple(pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.countDistinct("u")).first())
         if now == state or (now[0] == now[2] and not pairs.select("v").join(pairs.select(F.col("u").alias("v")), "v", "left_semi").head(1)):
-            return pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            least = F.col("v").alias("component")
+            return pairs.select(F.col("u").alias("node"), least).unionByName(pairs.select(F.col("v").alias("node"), least).distinct())
         state = now
 
 
-def jaccard_links(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
-    """Links (a, b) between class representatives that give the join's components; ``docs`` is (doc_id, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(_sketch(docs, n))  # 4 MB at any size
+def jaccard_links(docs: DataFrame, classes: DataFrame, sketch: np.ndarray, n: int = 5, percent: int = 75) -> DataFrame:
+    """Links (a, b) between classes that give the join's components; ``docs`` has doc_id and text,
+    ``classes`` their node and class_id."""
+    shared = docs.sparkSession.sparkContext.broadcast(sketch)  # 4 MB at any size
     units = written(_units(_groups(docs, n, percent, shared), percent))
-    units = written(_pruned(units, docs, n, percent))
-    sets = _members(docs, units.select("member").distinct(), n, np.ndarray.tobytes, "grams")
+    units = written(_pruned(units, docs, classes, n, percent))
+    sets = _members(docs, classes, units.select("member").distinct(), n, np.ndarray.tobytes, "grams")
     return _placed(units, sets, ["block", "member"]).mapInArrow(_walker(percent, shared), "a bigint, b bigint").distinct()
 
 
 def ngram_jaccard(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
-    """(doc_id, n_shingles, class_id, component_id) of every document row.
+    """(doc_id, row_key, n_shingles, class_id, component_id, group_key) of every document row.
 
     ``class_id`` is the smallest id with the same set, ``component_id`` the smallest id
-    reachable by links.
+    reachable by links.  ``group_key`` is the same for all rows of a component, and null for empty
+    sets; ``row_key`` is the hash of the text.
     """
-    docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    slim = written(docs.mapInArrow(_set_rows(n, percent), "doc_id bigint, n bigint, s1 bigint, s2 bigint"))
-    found = components(jaccard_links(docs, n, percent))
-    classes = slim.filter(F.col("n") > 0).groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id"))
-    classes = classes.join(found.withColumnRenamed("node", "class_id"), "class_id", "left").select("n", "s1", "s2", "class_id", F.coalesce("component", "class_id").alias("component_id"))
-    salted = classes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    slim = slim.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int"))
-    return slim.join(salted, ["n", "s1", "s2", "salt"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row_key"), F.col(text_col).cast("string").alias("text"))
+    table = written(docs.mapInArrow(_signed_rows(n), "doc_id bigint, row_key bigint, n bigint, node bigint, sign bigint, slice bigint, counts binary"))
+    slim = table.filter(F.col("slice").isNull()).select("doc_id", "row_key", "n", "node", "sign")
+    key = ["n", "node", "sign"]
+    classes = written(slim.filter(F.col("n") > 0).groupBy(*key).agg(F.min("doc_id").alias("class_id"), F.count("*").alias("rows")))
+    known = classes.filter(F.col("class_id").isNotNull())
+    found = components(jaccard_links(docs, known, _sketch(table.filter(F.col("slice").isNotNull()).select("slice", "counts")), n, percent))
+    linked = classes.join(found, "node").select(*key, "class_id", "component")
+    least = linked.groupBy("component").agg(F.min("class_id").alias("component_id"))
+    linked = linked.join(least, "component").select(*key, "component", "component_id")
+    # a class of one row without links needs no row here
+    named = classes.join(linked, key, "left").filter((F.col("rows") > 1) | F.col("component").isNotNull()).drop("rows")
+    named = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    slim = slim.withColumn("salt", F.pmod(F.xxhash64("doc_id", "row_key"), F.lit(SALT)).cast("int"))
+    out = slim.join(named, [*key, "salt"], "left")
+    group = F.when(F.col("n") > 0, F.coalesce("component", "node"))
+    return out.select("doc_id", "row_key", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "class_id", "doc_id").alias("component_id"), group.alias("group_key"))
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,11 +45,20 @@ def test_jaccard_cases(docs, empty):
     assert ngram_jaccard(empty).count() == 0
 
 
-@pytest.mark.parametrize("seed,block", [(1, 300_000), (2, 3_000)])
-def test_jaccard_equals_brute_force(spark, monkeypatch, seed, block):
+def test_jaccard_by_texts_of_shared_ids(spark):
+    text = lambda k, *changed: " ".join(f"{k}{'x' if i in changed else ''}{i}" for i in range(60))
+    df = spark.createDataFrame([(5, text("a")), (5, text("b")), (2, text("a", 59)), (3, text("b", 0)), (4, text("c")), (5, text("c")), (None, text("d")), (None, text("d"))], "doc_id bigint, text string")
+    got = sorted(((r.doc_id, r.component_id) for r in ngram_jaccard(df).collect()), key=str)
+    assert got == sorted([(5, 2), (2, 2), (5, 3), (3, 3), (5, 4), (4, 4), (None, None), (None, None)], key=str)
+
+
+@pytest.mark.parametrize("seed,block,most", [(1, 300_000, 10**6), (2, 3_000, 0)])
+def test_jaccard_equals_brute_force(spark, monkeypatch, seed, block, most):
     import seriesloom.llm.ngram_join as N
 
     monkeypatch.setattr(N, "BLOCK_GRAMS", block)
+    monkeypatch.setattr(N, "BLOCK_MEMBERS", 20 if seed == 2 else 1000)
+    monkeypatch.setattr(N.bloom, "MOST", most)
     pick = random.Random(seed)
     words = [f"w{i}" for i in range(400)]
     base, passage, docs = [pick.choice(words) for _ in range(150)], [pick.choice(words) for _ in range(40)], []
