@@ -5,19 +5,26 @@ sigmoid(threshold_k - weights . x) with ordered thresholds.  Output is the expec
 severity, sum over k of P(grade > k), the most likely grade, and whether the document is
 toxic (P(grade > 0) at least ``cut``).
 
+The fit maximises the likelihood of the observed grades under this model, the mean of
+log(F(threshold_k - s) - F(threshold_k-1 - s)) with F the logistic function, less a penalty on
+the weights.
+
 Features: words (A-Z lower-cased) and their beginnings by hash, weighted 1 + log(1 + 100 *
 share of the text's words); the ``n_features`` that separate the labels most are kept, so
-the model is of fixed size.  Labels are binary; the grades of toxic rows are split at the median share
-of marked features (those far more common in toxic texts), so grade 2 means densely
-toxic.  With an integer ``grade`` column the given grades are used as they are.
+the model is of fixed size.  The grade of a labelled document comes from its labels alone: 0 if it
+isn't toxic, 1 if it is toxic in an otherwise good text, 2 if the text is poor besides.  Without a
+column of quality labels toxic documents have grade 1; with ``graded`` the label column's own
+integers are the grades.
 
-Fitted on at most ``max_labelled`` labelled documents, taken in hash order of their id (a
-documented bound: at 2,000 words a document, well below 100 MB); scoring reads whole texts
+Fitted on at most ``max_labelled`` labelled documents, taken in hash order of their id, one row
+of each (a documented bound: at 2,000 words a document, well below 100 MB); scoring reads whole texts
 of all documents and shuffles nothing.
 
 Defined results: null or empty texts have severity by the thresholds alone (no words:
-never toxic); labels that are null or without a document are left out; of repeated labels
-the largest counts; with no labels of both kinds nothing is toxic and severity is 0; other
+never toxic); texts of any length are scored whole; labels that are null or without a document are
+left out; of repeated labels the largest grade counts; of rows that share a labelled id the one with
+the smallest hash of its text is used; features that separate equally come in order of their hash; a
+score at the cut is toxic; with no labels of both kinds nothing is toxic and severity is 0; other
 columns are ignored.
 """
 
@@ -86,9 +93,9 @@ def _vectors(features: np.ndarray):
                 hashes, own, n = text_features(buf, offs)
                 row, col, times = known_features(hashes, own, features)
                 size = np.bincount(row, minlength=hi - lo)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), K.list_array(col, size, pa.int64()), K.list_array(times, size, pa.int64())], ["grade", "n", "features", "times"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), K.list_array(col.astype(np.int32), size, pa.int32()), K.list_array(times.astype(np.int32), size, pa.int32())], ["grade", "n", "features", "times"])
 
-    return rows
+    return K.tidied(rows)
 
 
 class OrdinalModel:
@@ -99,7 +106,7 @@ class OrdinalModel:
 
     def above(self, score: np.ndarray) -> np.ndarray:
         """P(grade > k) for each text and threshold."""
-        return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -40, 40)))
+        return np.exp(-np.logaddexp(0, self.thresholds[None, :] - score[:, None]))
 
     def scores(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         hashes, own, n = text_features(buf, offs)
@@ -113,59 +120,69 @@ def feature_value(times: np.ndarray, n: np.ndarray) -> np.ndarray:
     return 1 + np.log1p(100 * times / np.maximum(n, 1))
 
 
-def severity_grades(label: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Grade 0 for clean rows; toxic ones split at the median share of marked words."""
-    grade = (label > 0).astype(np.int64)
-    if grade.any():
-        grade[(grade > 0) & (share >= np.median(share[grade > 0]))] = 2
-    return grade
+def _logistic(x: np.ndarray) -> np.ndarray:
+    return np.exp(-np.logaddexp(0, -x))
+
+
+def thresholds_of(first: float, gaps: np.ndarray) -> np.ndarray:
+    """Ordered thresholds from the first one and the logs of the gaps."""
+    return first + np.concatenate([[0], np.cumsum(np.exp(gaps))])
+
+
+def likelihood(score: np.ndarray, grade: np.ndarray, first: float, gaps: np.ndarray) -> tuple[float, np.ndarray, float, np.ndarray]:
+    """Mean log-likelihood of the grades, and its slopes by score, first threshold and gaps."""
+    bound = np.concatenate([[-np.inf], thresholds_of(first, gaps), [np.inf]])
+    low, high = bound[grade] - score, bound[grade + 1] - score
+    under, upto = _logistic(low), _logistic(high)
+    chance = np.maximum(upto - under, 1e-300)
+    by_low, by_high = -under * (1 - under) / chance, upto * (1 - upto) / chance
+    by_threshold = np.array([by_high[grade == k].sum() + by_low[grade == k + 1].sum() for k in range(len(gaps) + 1)]) / len(score)
+    by_gap = np.exp(gaps) * np.cumsum(by_threshold[::-1])[::-1][1:]
+    return float(np.log(chance).mean()), -(by_low + by_high) / len(score), float(by_threshold.sum()), by_gap
 
 
-def fit(features: np.ndarray, marked: np.ndarray, rows: list, graded: bool, steps: int = 300, rate: float = 0.05, decay: float = 3e-3) -> OrdinalModel:
+def fit(features: np.ndarray, rows: pa.Table, steps: int = 300, rate: float = 0.05, decay: float = 3e-3) -> OrdinalModel:
     """Fit on collected (grade, n, features, times) rows of the bounded sample."""
-    label = np.array([r.grade for r in rows], dtype=np.int64)
-    if not len(features) or not len(label) or (label > 0).all() or (label == 0).all():
+    grade = rows.column("grade").to_numpy().astype(np.int64)
+    if not len(features) or not len(grade) or (grade > 0).all() or (grade == 0).all():
         return OrdinalModel(np.zeros(0, np.uint64), np.zeros(0), np.full(2, np.inf))
-    row = np.repeat(np.arange(len(rows)), [len(r.features) for r in rows])
-    col = np.array([c for r in rows for c in r.features], dtype=np.int64)
-    times = np.array([t for r in rows for t in r.times], dtype=np.int64)
-    n = np.array([r.n for r in rows])
-    value = feature_value(times, n[row])
-    share = np.bincount(row, times * marked[col], minlength=len(rows)) / np.maximum(n, 1)
-    grade = label if graded else severity_grades(label, share)
-    levels = int(grade.max())
-    weights, first, gaps = np.zeros(len(features)), 1.0, np.zeros(levels - 1)
-    state = [np.zeros(len(features) + levels) for _ in range(2)]
-    above = (grade[:, None] > np.arange(levels)[None, :]).astype(float)
-    for step in range(1, steps + 1):  # each threshold's logistic loss; one weight vector for all
-        thresholds = first + np.concatenate([[0], np.cumsum(np.exp(gaps))])
-        model = OrdinalModel(features, weights, thresholds)
-        error = (model.above(np.bincount(row, weights[col] * value, minlength=len(rows))) - above) / len(rows)
-        slope = np.concatenate([np.bincount(col, error.sum(axis=1)[row] * value, minlength=len(features)) + decay * weights, [-error.sum()], [-error[:, k + 1 :].sum() * np.exp(gaps[k]) for k in range(levels - 1)]])
+    _, grade = np.unique(grade, return_inverse=True)  # grades that nobody has are passed over
+    lists = rows.column("features").combine_chunks()
+    row = np.repeat(np.arange(len(grade)), lists.value_lengths().to_numpy())
+    col = lists.flatten().to_numpy().astype(np.int64)
+    value = feature_value(rows.column("times").combine_chunks().flatten().to_numpy(), rows.column("n").to_numpy()[row])
+    weights, first, gaps = np.zeros(len(features)), 1.0, np.zeros(int(grade.max()) - 1)
+    state = [np.zeros(len(features) + 1 + len(gaps)) for _ in range(2)]
+    for step in range(1, steps + 1):
+        _, by_score, by_first, by_gap = likelihood(np.bincount(row, weights[col] * value, minlength=len(grade)), grade, first, gaps)
+        slope = np.concatenate([decay * weights - np.bincount(col, by_score[row] * value, minlength=len(features)), [-by_first], -by_gap])
         state[0] = 0.9 * state[0] + 0.1 * slope
         state[1] = 0.999 * state[1] + 0.001 * slope**2
         move = rate * (state[0] / (1 - 0.9**step)) / (np.sqrt(state[1] / (1 - 0.999**step)) + 1e-9)
         weights = weights - move[: len(features)]
         first -= move[len(features)]
         gaps = gaps - move[len(features) + 1 :]
-    return OrdinalModel(features, weights, first + np.concatenate([[0], np.cumsum(np.exp(gaps))]))
+    return OrdinalModel(features, weights, thresholds_of(first, gaps))
 
 
-def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", graded: bool = False, max_labelled: int = MAX_LABELLED, n_features: int = N_FEATURES) -> OrdinalModel:
-    """Fit on the labelled documents, ``max_labelled`` at most; their ids alone are broadcast."""
-    sample = labels.select(F.col(id_col).cast("bigint").alias("label_id"), F.col(label_col).cast("bigint").alias("grade")).dropna()
+def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", quality_col: str = "quality", graded: bool = False, max_labelled: int = MAX_LABELLED, n_features: int = N_FEATURES) -> OrdinalModel:
+    """Fit on the labelled documents, ``max_labelled`` at most; their ids and grades alone are broadcast."""
+    label = F.col(label_col).cast("bigint")
+    if not graded:
+        poor = F.coalesce((F.col(quality_col) == 0).cast("bigint"), F.lit(0)) if quality_col in labels.columns else F.lit(0)
+        label = F.when(label > 0, 1 + poor).when(label.isNotNull(), F.lit(0)).cast("bigint")
+    sample = labels.select(F.col(id_col).cast("bigint").alias("label_id"), label.alias("grade")).dropna()
     sample = sample.groupBy("label_id").agg(F.max("grade").alias("grade")).orderBy(F.xxhash64("label_id"), "label_id").limit(max_labelled)
     docs = documents.select(F.col(id_col).cast("bigint").alias("label_id"), F.col(text_col).cast("string").alias("text"))
-    rows = written(docs.join(F.broadcast(sample), "label_id").select("grade", "text"))
+    rows = docs.join(F.broadcast(sample), "label_id").groupBy("label_id").agg(F.first("grade").alias("grade"), F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = written(rows.select("grade", "text"))
     totals = rows.agg(F.count_if(F.col("grade") > 0), F.count_if(F.col("grade") == 0)).first()
-    found = rows.mapInArrow(_separation, "feature bigint, toxic bigint, clean bigint").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter(F.col("toxic") + F.col("clean") >= 3)
+    found = rows.mapInArrow(K.tidied(_separation), "feature bigint, toxic bigint, clean bigint").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter(F.col("toxic") + F.col("clean") >= 3)
     odds = lambda x, n: F.log((F.col(x) + 0.5) / (n - F.col(x) + 0.5))
     found = found.withColumn("ratio", odds("toxic", totals[0]) - odds("clean", totals[1]))
     best = found.orderBy(F.desc(F.abs("ratio") * F.sqrt(F.col("toxic") + F.col("clean"))), "feature").limit(n_features).collect()
-    features, ratio = np.array([r.feature for r in best], dtype=np.int64).view(np.uint64), np.array([r.ratio for r in best])
-    order = np.argsort(features)
-    features, marked = features[order], ratio[order] > 3
-    return fit(features, marked, rows.mapInArrow(_vectors(features), "grade bigint, n bigint, features array<bigint>, times array<bigint>").collect(), graded)
+    features = np.sort(np.array([r.feature for r in best], dtype=np.int64).view(np.uint64))
+    return fit(features, rows.mapInArrow(_vectors(features), "grade bigint, n bigint, features array<int>, times array<int>").toArrow())
 
 
 def toxicity(documents: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT) -> DataFrame:
@@ -179,7 +196,7 @@ def toxicity(documents: DataFrame, model: OrdinalModel, id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *scored(model, buf, offs, cut)], ["doc_id", "n_words", "p_toxic", "expected_severity", "grade", "toxic"])
 
     docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return docs.mapInArrow(score, "doc_id bigint, n_words bigint, p_toxic double, expected_severity double, grade bigint, toxic boolean")
+    return docs.mapInArrow(K.tidied(score), "doc_id bigint, n_words bigint, p_toxic double, expected_severity double, grade bigint, toxic boolean")
 
 
 def scored(model: OrdinalModel, buf: np.ndarray, offs: np.ndarray, cut: float) -> list[pa.Array]:
@@ -201,7 +218,7 @@ def without_toxic(documents: DataFrame, model: OrdinalModel, text_col: str = "te
                 toxic = scored(model, buf, offs, cut)[-1]
                 yield batch.slice(lo, hi - lo).filter(pa.array(~toxic.to_numpy(zero_copy_only=False)))
 
-    return documents.mapInArrow(keep, documents.schema)
+    return documents.mapInArrow(K.tidied(keep), documents.schema)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
