@@ -7,16 +7,19 @@ in each glob, all packed into words of 64 bits.  A step of the Shift-And recurre
 
 moves all globs at once over a byte of the canonical URL (host with A-Z lower-cased,
 then path); carries run from word to word.  ``*`` stands for any run without ``/``,
-``**`` for any run, ``?`` for one byte other than ``/``.  All URLs of a batch take their
-steps together.
+``**`` for any run, ``?`` for one byte other than ``/``.  As many URLs take their steps together
+as their states fit in STATE_BYTES, so more globs need more time but no more memory.
 
 A rule (action, host, path) fits its host and all subdomains if the URL's path starts
 with the rule's; it becomes two globs.  The longest fitting rule decides; without one,
 a URL is blocked if any block glob matches and allowed otherwise.
 
+Rules and globs are lists, or tables of at most MAX_GLOBS rows, which are read on the driver.
+
 Defined results: null URLs and URLs without ``://`` have an empty host and path, fit no
-rule and are allowed unless a glob matches the empty string; repeated rows each get a
-row; other columns are ignored.
+rule and are allowed unless a glob matches the empty string; URLs of any length are matched whole;
+of rules of equal length the first stated decides (in a table, the first in order of path, host and
+action); repeated rows each get a row; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,8 +33,13 @@ from seriesloom.llm import textkit as K
 
 #: The rules of the contract query, as (action, host, path).
 RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
-#: Globs that block a URL which no rule decides.
-BLOCK_GLOBS = ["*spam-*/**", "*spam-*", "*cheap-*/**", "*cheap-*", "*casino*/**", "*casino*", "*adult-*/**", "*adult-*"]
+#: Words that tell of advertising, gambling, adult or malicious hosts, in natural order, and the
+#: globs that block a host with one of them when no rule decides.
+BLOCK_WORDS = ["adult-", "affiliate-", "bet-online", "casino", "cheap-", "clickbait", "coupon-", "download-free", "escort", "free-money", "gambling", "keygen", "lottery", "malware", "payday-loan", "phishing", "pills-", "poker-", "porn", "replica-", "slots-", "spam-", "torrent-", "viagra", "warez", "win-prize", "xxx-"]
+BLOCK_GLOBS = [f"*{word}*{rest}" for word in BLOCK_WORDS for rest in ("/**", "")]
+#: Rows that a table of rules or globs may have, and bytes of the states of URLs that step together.
+MAX_GLOBS = 200_000
+STATE_BYTES = 32 << 20
 
 
 class Automaton:
@@ -88,9 +96,24 @@ class Automaton:
         return hit
 
 
-def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: list[tuple[str, str, str]] = RULES, block_globs: list[str] = BLOCK_GLOBS) -> DataFrame:
+def _stated(table, columns: list[str]) -> list:
+    """The rows of a table of bounded size, as tuples (or values of one column); lists as they are."""
+    if not isinstance(table, DataFrame):
+        return list(table)
+    rows = [tuple(r) for r in table.select(*columns).dropna().distinct().orderBy(*columns[::-1]).limit(MAX_GLOBS + 1).collect()]
+    if len(rows) > MAX_GLOBS:
+        raise ValueError(f"more than {MAX_GLOBS} rules or globs")
+    return rows if len(columns) > 1 else [r[0] for r in rows]
+
+
+def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: list[tuple[str, str, str]] | DataFrame = RULES, block_globs: list[str] | DataFrame = BLOCK_GLOBS) -> DataFrame:
     """(page_id, host, path, rule, verdict, block_globs) of every page row; ``block_globs``
-    are the globs that match it."""
+    are the globs that match it.
+
+    ``rules`` are (action, host, path), or a table with these columns; ``block_globs`` are globs, or
+    a table with a column glob.
+    """
+    rules, block_globs = _stated(rules, ["action", "host", "path"]), _stated(block_globs, ["glob"])
     rest = r"://([^/?#]*)([^?#]*)"
     url = F.coalesce(F.col(url_col).cast("string"), F.lit(""))
     host = F.translate(F.regexp_extract(url, rest, 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -98,24 +121,28 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     d = d.withColumn("canonical", F.concat("host", "path"))
     ranked = sorted(rules, key=lambda r: -len((r[1] + r[2]).encode()))  # stable: of equal length, the first stated
     literal = [r[1] + r[2] for r in ranked]
-    automaton = Automaton([g for x in literal for g in (f"{x}**", f"*.{x}**")] + list(block_globs))
+    shared = pages.sparkSession.sparkContext.broadcast(Automaton([g for x in literal for g in (f"{x}**", f"*.{x}**")] + block_globs))
     names = pa.array([*literal, None], pa.string())
     actions = pa.array([*(r[0] for r in ranked), "allow", "block"], pa.string())
     globs = np.array([*block_globs, ""], dtype=object)
     n_rules = len(ranked)
 
     def judge(batches):
+        automaton = shared.value
+        together = max(1, STATE_BYTES // (24 * len(automaton.begin) + len(automaton.last)))
         for batch in batches:
-            for lo, hi, buf, offs in K.chunks(batch.column(3)):
-                hit = automaton.run(buf, offs)
-                fits = hit[:, 0 : 2 * n_rules : 2] | hit[:, 1 : 2 * n_rules : 2]
-                rule = np.where(fits.any(axis=1), fits.argmax(axis=1), n_rules) if n_rules else np.zeros(hi - lo, np.int64)
-                blocked = hit[:, 2 * n_rules :]
-                verdict = np.where(rule < n_rules, rule, n_rules + blocked.any(axis=1))
-                row, which = np.nonzero(blocked)
-                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns[:3]), names.take(pa.array(rule)), actions.take(pa.array(verdict)), K.list_array(globs[which], np.bincount(row, minlength=hi - lo), pa.string())], ["page_id", "host", "path", "rule", "verdict", "block_globs"])
+            for at in range(0, batch.num_rows, together):
+                part = batch.slice(at, together)
+                for lo, hi, buf, offs in K.chunks(part.column(3)):
+                    hit = automaton.run(buf, offs)
+                    fits = hit[:, 0 : 2 * n_rules : 2] | hit[:, 1 : 2 * n_rules : 2]
+                    rule = np.where(fits.any(axis=1), fits.argmax(axis=1), n_rules) if n_rules else np.zeros(hi - lo, np.int64)
+                    blocked = hit[:, 2 * n_rules :]
+                    verdict = np.where(rule < n_rules, rule, n_rules + blocked.any(axis=1))
+                    row, which = np.nonzero(blocked)
+                    yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in part.columns[:3]), names.take(pa.array(rule)), actions.take(pa.array(verdict)), K.list_array(globs[which], np.bincount(row, minlength=hi - lo), pa.string())], ["page_id", "host", "path", "rule", "verdict", "block_globs"])
 
-    return d.mapInArrow(judge, "page_id bigint, host string, path string, rule string, verdict string, block_globs array<string>")
+    return d.mapInArrow(K.tidied(judge), "page_id bigint, host string, path string, rule string, verdict string, block_globs array<string>")
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,5 +156,5 @@ WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?
 r AS (SELECT * FROM (VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')) AS x(action, rule_host, rule_path)),
 m AS (SELECT page_id, host, path, arg_max(action, length(rule_host || rule_path)) AS action, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule
       FROM u LEFT JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY ALL)
-SELECT page_id, host, path, rule, coalesce(action, CASE WHEN regexp_full_match(host || path, '[^/]*(spam-|cheap-|casino|adult-)[^/]*(/.*)?') THEN 'block' ELSE 'allow' END) AS verdict FROM m
-"""
+SELECT page_id, host, path, rule, coalesce(action, CASE WHEN regexp_full_match(host || path, '[^/]*(BLOCK_WORDS)[^/]*(/.*)?') THEN 'block' ELSE 'allow' END) AS verdict FROM m
+""".replace("BLOCK_WORDS", "|".join(BLOCK_WORDS))
