@@ -33,26 +33,47 @@ from seriesloom.llm import textkit as K
 #: Short public wordings of license notices, by license.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
     ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
     ("CC0-1.0", "Licensed under CC0 1.0 Universal."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely."),
+    ("WTFPL", "Do What The Fuck You Want To Public License, Version 2."),
+    ("Artistic-2.0", "Licensed under the Artistic License 2.0."),
+    ("OFL-1.1", "This Font Software is licensed under the SIL Open Font License, Version 1.1."),
+    ("ODbL-1.0", "This database is made available under the Open Database License."),
+    ("GFDL-1.3", "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License, Version 1.3 or any later version published by the Free Software Foundation."),
     ("Proprietary", "Copyright. All rights reserved."),
 ]
 #: Words that make a line a candidate, and words that name a license.
-TRIGGER = rb"licen[cs]|copyright|all rights reserved|permission is hereby granted|redistribution and use|creative commons".replace(b" ", rb"[^0-9a-z\x80-\xff]+")
-NAMING = {"apache", "mit", "gnu", "general", "lesser", "affero", "public", "mozilla", "cc", "by", "nc", "nd", "sa", "cc0", "creative", "commons", "redistribution", "rights", "reserved", "permission", "1", "2", "3", "4", "0"}
+TRIGGER = rb"licen[cs]|copyright|all rights reserved|permission is|is hereby granted|redistribution and use|creative commons|public domain".replace(b" ", rb"[^0-9a-z\x80-\xff]+")
+NAMING = {"apache", "mit", "gnu", "general", "lesser", "affero", "public", "mozilla", "cc", "by", "nc", "nd", "sa", "cc0", "creative", "commons", "redistribution", "rights", "reserved", "permission", "1", "2", "3", "4", "0", "attribution", "noncommercial", "noderivatives", "sharealike", "neither", "nor", "eclipse", "boost", "artistic", "sil", "font", "database", "documentation", "library", "unencumbered", "fuck"}
 #: Words on either side of a trigger that belong to its block in a line.
 AROUND = 40
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -62,7 +83,10 @@ _SCHEMA = "doc_id bigint, n_candidates bigint, found array<struct<license: strin
 
 
 def common_words(a: list[bytes], b: list[bytes]) -> list[int]:
-    """Places in ``a`` of a longest common subsequence with ``b``."""
+    """Places in ``a`` of a longest common subsequence with ``b``; where ``b`` stands whole, there."""
+    for k in (k for k, w in enumerate(a[: len(a) - len(b) + 1]) if b and w == b[0]):
+        if a[k : k + len(b)] == b:
+            return list(range(k, k + len(b)))
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
@@ -180,10 +204,11 @@ def _rows(templates, max_missing, min_reduction):
                         if verdict := scanner.judge(_BREAK.sub(b" ", text[start[a] : end[b - 1]])):
                             *what, i, j = verdict
                             verdicts.setdefault(own, set()).add((*what, a + i, a + j))
+                points = np.concatenate([np.zeros(1, np.int64), np.cumsum((buf & 0xC0) != 0x80)]) if verdicts else None
                 for own, each in verdicts.items():
                     for name, reduction, _, missing, extra, a, b in _apart(each):
-                        points = [int(((buf[offs[own] : x] & 0xC0) != 0x80).sum()) for x in (start[a], end[b - 1])]
-                        found[own].append({"license": name, "start": points[0], "end": points[1], "reduction": round(reduction, 6), "missing": missing, "extra": extra})
+                        first, last = (int(points[x] - points[offs[own]]) for x in (start[a], end[b - 1]))
+                        found[own].append({"license": name, "start": first, "end": last, "reduction": round(reduction, 6), "missing": missing, "extra": extra})
                 kind = pa.list_(pa.struct([("license", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("reduction", pa.float64()), ("missing", pa.int64()), ("extra", pa.int64())]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), pa.array(count), pa.array(found, kind)], ["doc_id", "n_candidates", "found"])
 
