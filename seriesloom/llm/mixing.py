@@ -35,7 +35,7 @@ from seriesloom.sources.tables import written
 #: Words of a block.
 BLOCK = 32
 #: Documents that a bucket of a source's stream holds, about.
-BUCKET_ROWS = 5_000
+BUCKET_ROWS = 1_000
 #: Parts that each source's figures are joined in.
 SALT = 64
 PHI = 0.6180339887498949
