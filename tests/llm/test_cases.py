@@ -411,6 +411,33 @@ def test_toxicity_cases(spark, docs, empty):
     assert graded.above(np.array([0.0]))[0].tolist() == [0.5, 1 / (1 + np.exp(1.0))]
 
 
+def test_likelihood_slopes_equal_differences():
+    from seriesloom.llm.toxicity import likelihood, thresholds_of
+
+    make = np.random.default_rng(5)
+    score, grade, first, gaps = make.normal(0, 2, 40), make.integers(0, 4, 40), -0.7, np.array([0.3, -0.5])
+    bound = np.concatenate([[-np.inf], thresholds_of(first, gaps), [np.inf]])
+    plain = [np.log(1 / (1 + np.exp(-(bound[g + 1] - s))) - (1 / (1 + np.exp(-(bound[g] - s))) if g else 0)) for s, g in zip(score, grade)]
+    value, by_score, by_first, by_gap = likelihood(score, grade, first, gaps)
+    assert value == pytest.approx(np.mean(plain))
+    step = 1e-6
+    moved = lambda i, d: likelihood(score + d * (np.arange(40) == i), grade, first, gaps)[0]
+    assert by_score == pytest.approx([(moved(i, step) - moved(i, -step)) / (2 * step) for i in range(40)], abs=1e-8)
+    assert by_first == pytest.approx((likelihood(score, grade, first + step, gaps)[0] - likelihood(score, grade, first - step, gaps)[0]) / (2 * step), abs=1e-8)
+    at = lambda k, d: likelihood(score, grade, first, gaps + d * (np.arange(2) == k))[0]
+    assert by_gap == pytest.approx([(at(k, step) - at(k, -step)) / (2 * step) for k in range(2)], abs=1e-8)
+
+
+def test_grades_come_from_the_labels(spark):
+    words = {0: "calm plain fair", 1: "rude plain", 2: "rude vile foul"}
+    docs = spark.createDataFrame([(i, f"{words[i % 3]} w{i % 7} " * 5) for i in range(300)] + [(1, "calm calm")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 != 2), int(i % 3 > 0)) for i in range(300)], "doc_id bigint, quality int, toxic int")
+    model = train(docs, labels)
+    got = {r.doc_id: r.grade for r in toxicity(docs.filter("doc_id > 1"), model).collect()}
+    assert len(model.thresholds) == 2 and all(got[i] == i % 3 for i in got)
+    assert {r.expected_severity for r in toxicity(docs, train(docs, labels.limit(0))).collect()} == {0.0}
+
+
 def test_url_cases(spark):
     df = spark.createDataFrame([(1, "http://A.Example.COM/en/75?x#y", "h"), (2, None, None), (3, "no scheme", ""), (4, "x://net/de/1", ""), (4, "x://net/de/1", ""), (5, "x://badnet/de/1", ""), (6, "http://spam-farm.org", ""), (7, "http://a.net/" + "z" * 50_000, "")], "page_id bigint, url string, host string")
     got = {(r.page_id, r.host, r.rule, r.verdict) for r in filter_urls(df).collect()}
@@ -418,6 +445,21 @@ def test_url_cases(spark):
     assert filter_urls(df).count() == 8 and filter_urls(df.limit(0)).count() == 0
 
 
+def test_url_rules_from_tables(spark, monkeypatch):
+    import seriesloom.llm.url_filter as U
+
+    monkeypatch.setattr(U, "STATE_BYTES", 4096)  # a few URLs at a time
+    df = spark.createDataFrame([(i, f"http://h{i % 50}.site{i % 7}.org/p{i}") for i in range(300)], "page_id bigint, url string")
+    rules = spark.createDataFrame([("block", "site1.org", "/p"), ("allow", "h3.site1.org", "/"), ("block", None, "/")], "action string, host string, path string")
+    globs = spark.createDataFrame([(f"h{k}.site2.org/**",) for k in range(0, 50, 2)], "glob string")
+    got = {r.page_id: r.verdict for r in filter_urls(df, rules=rules, block_globs=globs).collect()}
+    want = {i: "block" if i % 7 == 1 and i % 50 != 3 or i % 7 == 2 and i % 50 % 2 == 0 else "allow" for i in range(300)}
+    assert got == {i: "allow" if i % 50 == 3 and i % 7 == 1 else v for i, v in want.items()}
+    monkeypatch.setattr(U, "MAX_GLOBS", 3)
+    with pytest.raises(ValueError):
+        filter_urls(df, block_globs=globs)
+
+
 def test_automaton_equals_fnmatch():
     import re as regex
 
