@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 # Accented Latin letters and their plain forms, place by place.
 ACCENTED = "ßáàâäãåéèêëíìîïóòôöõúùûüñçýÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝ"
 PLAIN = "saaaaaaeeeeiiiiooooouuuuncyAAAAAAEEEEIIIIOOOOOUUUUNCY"
-# UTF-8 read as Latin-1, and spreadsheet errors.
-MOJIBAKE = [("Ã¡", "á"), ("Ã©", "é"), ("Ã³", "ó"), ("Ãº", "ú"), ("Ã±", "ñ"), ("Ã¼", "ü"), ("Ã¨", "è"), ("Ãª", "ê"), ("Ã§", "ç")]
-SHEET_ERRORS = ["#REF!", "#N/A", "#DIV/0!", "#VALUE!", "#NAME?", "#NULL!", "#NUM!"]
-CONNECTORS = ["De", "Del", "La", "Las", "Los", "El", "Y", "En", "Con", "A", "Al"]
+# UTF-8 read as Latin-1, spreadsheet errors and words for no value, and connectors.
+MOJIBAKE = [("Ã¡", "á"), ("Ã©", "é"), ("Ã\u00ad", "í"), ("Ã³", "ó"), ("Ãº", "ú"), ("Ã±", "ñ"), ("Ã¼", "ü"), ("Ã¨", "è"), ("Ãª", "ê"), ("Ã§", "ç"), ("Â°", "°")]
+SHEET_ERRORS = ["#REF!", "#N/A", "#DIV/0!", "#VALUE!", "#NAME?", "#NULL!", "#NUM!", "NAN", "NA", "NULL", "NONE", "UNDEFINED"]
+CONNECTORS = ["a", "al", "de", "del", "la", "las", "los", "y", "e", "da", "do"]
 
 
 def fold(text: Column) -> Column:
@@ -32,19 +32,22 @@ def text_key(text: Column, flavour: str = "spaced") -> Column:
 
 
 def clean_text(text: Column) -> Column:
-    """Repairs misread accents, collapses spaces; spreadsheet errors and empty text become null."""
+    """Repairs misread accents, collapses spaces (hard ones, too); spreadsheet errors, words for no
+    value in any case, and empty text become null."""
+    text = F.replace(text, F.lit("\u00a0"), F.lit(" "))
     for wrong, right in MOJIBAKE:
         text = F.replace(text, F.lit(wrong), F.lit(right))
     text = F.trim(F.regexp_replace(text, r"\s+", " "))
-    return F.when(~text.isin(*SHEET_ERRORS) & (text != ""), text)
+    return F.when(~F.upper(text).isin(*SHEET_ERRORS) & (text != ""), text)
 
 
 def title_case(text: Column) -> Column:
-    """Title case with connectors in lower case, except at the beginning."""
-    t = F.initcap(F.lower(text))
-    for word in CONNECTORS:
-        t = F.regexp_replace(t, rf"(?<= ){word}(?= |$)", word.lower())
-    return t
+    """A capital at the begin of each word and behind ``-`` and ``'``; connectors stay in lower case,
+    but for the first word."""
+    parts = F.regexp_extract_all(F.lower(F.trim(F.regexp_replace(text, r"\s+", " "))), F.lit(r"([ '-]|[^ '-]+)"), 1)
+    first = F.array_position(F.transform(parts, lambda x: ~x.isin(" ", "'", "-")), True)
+    word = lambda x, i: F.when(x.isin(*CONNECTORS) & (i + 1 != first), x).otherwise(F.concat(F.upper(F.substring(x, 1, 1)), F.substring(x, 2, 1 << 30)))
+    return F.array_join(F.transform(parts, word), "")
 
 
 def classify(text: Column, rules: list[tuple[str, str]], other: str = "otro") -> Column:

@@ -54,9 +54,34 @@ def month_coverage(df: DataFrame, key: list[str], index: str, enough: float = 0.
 
 
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Missing and distinct values of each column, in one pass."""
-    one = df.agg(*[F.struct(F.count_if(F.col(c).isNull()).alias("missing"), F.countDistinct(c).alias("distinct")).alias(c) for c in columns])
-    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c)["missing"].alias("missing"), F.col(c)["distinct"].alias("distinct")) for c in columns])))
+    """Missing and distinct values of each column, in one scan.
+
+    Rows are grouped by column and value first, so no task counts all values of the table."""
+    values = df.unpivot([], [F.col(c).cast("string").alias(c) for c in columns], "column", "value").groupBy("column", "value").agg(F.count("*").alias("n"))
+    return values.groupBy("column").agg(F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("missing"), F.count("value").alias("distinct"))
+
+
+#: Statuses of :func:`comparability`, in the order in which they are tried.
+VERDICTS = ["sin datos", "moneda", "unidad", "variedad", "presentacion", "frecuencia", "dimensiones", "comparable"]
+
+
+def comparability(df: DataFrame, by: list[str], market: str, markets: list, currency: str, unit: str, variety: str, package: str, precision: str, dims: list[str]) -> DataFrame:
+    """One verdict for each part over all ``markets``, by the first rule that applies: a market has no
+    rows; currencies are unknown or differ; units differ; no variety, or no package, is common to all;
+    rows are of different precision; some dimension has several values.
+
+    Distinct values are gathered by market, and there are few of them in a part.
+    """
+    g = df.groupBy(*by, market).agg(*[F.collect_set(c).alias(f"{c}_s") for c in dict.fromkeys([currency, unit, variety, package, precision, *dims])], F.count_if(F.col(currency).isNull()).alias("unknown_"), *[F.count_if(F.col(c).isNull()).alias(f"{c}_none") for c in dims])
+    parts = g.filter(F.col(market).isin(*markets)).groupBy(*by).agg(F.count("*").alias("markets_"), F.sum("unknown_").alias("unknown_"), *[F.collect_list(f"{c}_s").alias(f"{c}_l") for c in dict.fromkeys([currency, unit, variety, package, precision, *dims])], *[F.sum(f"{c}_none").alias(f"{c}_none") for c in dims])
+    kinds = lambda c: F.size(F.array_distinct(F.flatten(f"{c}_l")))
+    common = lambda c: F.size(F.aggregate(f"{c}_l", F.element_at(f"{c}_l", 1), lambda x, y: F.array_intersect(x, y)))
+    several = F.lit(False)
+    for c in dims:
+        several = several | (kinds(c) + F.when(F.col(f"{c}_none") > 0, 1).otherwise(0) > 1)
+    verdict = F.when(F.col("markets_") < len(markets), VERDICTS[0]).when((F.col("unknown_") > 0) | (kinds(currency) != 1), VERDICTS[1]).when(kinds(unit) > 1, VERDICTS[2]).when(common(variety) == 0, VERDICTS[3])
+    verdict = verdict.when(common(package) == 0, VERDICTS[4]).when(kinds(precision) > 1, VERDICTS[5]).when(several, VERDICTS[6]).otherwise(VERDICTS[7])
+    return parts.select(*by, verdict.alias("verdict"))
 
 
 def breakdown(df: DataFrame, dims: list[str]) -> DataFrame:

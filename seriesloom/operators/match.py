@@ -6,25 +6,63 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def mutual_unique(left: DataFrame, right: DataFrame, stages: list[tuple[str, list[tuple[str, str]], Column | None]], left_id: str = "left_id", right_id: str = "right_id", materialise=lambda df: df) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Pairs of rows that are each other's only candidate, stage by stage.
+def _candidates(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], near: tuple[str, str, int] | None, left_id: str, right_id: str) -> DataFrame:
+    """(left id, right id, of_left, of_right): candidate pairs and the candidates of either row.
 
-    A stage is (name, [(left column, right column)], residual condition).  Rows with several
-    candidates leave the pool with their candidates.  Returns (pairs, ambiguous left ids, left
-    over left, left over right).  ``materialise`` cuts lineage between stages.
+    Without a tolerance all rows of a key are candidates of each other: they are counted by key, and
+    a row of a larger group is paired with the key's first row alone, so nothing fans out.  With
+    one, rows meet in cells as wide as the tolerance.
     """
-    pairs = ambiguous = None
-    for name, keys, residual in stages:
-        on = [left[a] == right[b] for a, b in keys]
-        found = left.join(right, on if residual is None else [*on, residual]).select(left_id, right_id)
-        found = found.withColumn("of_left", F.count("*").over(Window.partitionBy(left_id))).withColumn("of_right", F.count("*").over(Window.partitionBy(right_id)))
-        found = materialise(found.withColumn("stage", F.lit(name)))
+    if near is None:
+        a = left.groupBy(*[F.col(x).alias(f"k{i}") for i, (x, _) in enumerate(keys)]).agg(F.count("*").alias("of_right"), F.min(left_id).alias("first_left"))
+        b = right.groupBy(*[F.col(y).alias(f"k{i}") for i, (_, y) in enumerate(keys)]).agg(F.count("*").alias("of_left"), F.min(right_id).alias("first_right"))
+        both = a.join(b, [f"k{i}" for i in range(len(keys))])
+        of_left = left.join(both, [left[x] == both[f"k{i}"] for i, (x, _) in enumerate(keys)]).select(left_id, F.col("first_right").alias(right_id), "of_left", "of_right")
+        of_right = right.join(both, [right[y] == both[f"k{i}"] for i, (_, y) in enumerate(keys)]).filter((F.col("of_left") > 1) | (F.col("of_right") > 1))
+        return of_left.unionByName(of_right.select(F.col("first_left").alias(left_id), right_id, "of_left", "of_right")).distinct()
+    x, y, tolerance = near
+    cell = lambda c, k: (F.floor(F.col(c) / (tolerance + 1)) + k)
+    b = right.withColumn("cell_", F.explode(F.array(*[cell(y, k) for k in (-1, 0, 1)]))) if tolerance else right.withColumn("cell_", cell(y, 0))
+    a = left.withColumn("cell_", cell(x, 0))
+    pairs = a.join(b, [a["cell_"] == b["cell_"], *(a[u] == b[v] for u, v in keys)]).filter(F.abs(F.col(x) - F.col(y)) <= tolerance).select(left_id, right_id)
+    return pairs.withColumn("of_left", F.count("*").over(Window.partitionBy(left_id))).withColumn("of_right", F.count("*").over(Window.partitionBy(right_id)))
+
+
+def mutual_unique(left: DataFrame, right: DataFrame, stages: list[tuple[str, list[tuple[str, str]], tuple[str, str, int] | None]], left_id: str = "left_id", right_id: str = "right_id", materialise=lambda df: df) -> DataFrame:
+    """(side, id, other_id, state, stage) of every row of both sides.
+
+    Rows that are each other's only candidate are matched, stage by stage.  A stage is (name,
+    [(left column, right column)], (left column, right column, tolerance) or None).  Rows with
+    several candidates, and their candidates, are ambiguous and leave the pool; rows that no stage
+    finds a candidate for are left over.  ``materialise`` cuts lineage between stages.
+    """
+    out = None
+    for name, keys, near in stages:
+        found = materialise(_candidates(left, right, keys, near, left_id, right_id))
         only = (F.col("of_left") == 1) & (F.col("of_right") == 1)
-        new, double = found.filter(only).select(left_id, right_id, "stage"), found.filter(~only).select(left_id, "stage").distinct()
-        pairs, ambiguous = (new, double) if pairs is None else (pairs.unionByName(new), ambiguous.unionByName(double))
-        left = left.join(found.select(left_id).distinct(), left_id, "left_anti")
-        right = right.join(found.select(right_id).distinct(), right_id, "left_anti")
-    return pairs, ambiguous, left, right
+        state = F.when(only, "matched").otherwise("ambiguous")
+        for side, own, other in (("left", left_id, right_id), ("right", right_id, left_id)):
+            rows = found.groupBy(F.col(own).alias("id")).agg(F.min(F.when(only, F.col(other))).alias("other_id"), F.min(state).alias("state")).select(F.lit(side).alias("side"), "id", "other_id", "state", F.lit(name).alias("stage"))
+            out = rows if out is None else out.unionByName(rows)
+        left = materialise(left.join(found.select(left_id).distinct(), left_id, "left_anti"))
+        right = materialise(right.join(found.select(right_id).distinct(), right_id, "left_anti"))
+    for side, df, own in (("left", left, left_id), ("right", right, right_id)):
+        out = out.unionByName(df.select(F.lit(side).alias("side"), F.col(own).alias("id"), F.lit(None).cast("bigint").alias("other_id"), F.lit("left over").alias("state"), F.lit(None).cast("string").alias("stage")))
+    return out
+
+
+def on_common_days(left: DataFrame, right: DataFrame, left_day: str, right_day: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(left and right rows of days that both sides have, left and right rows of other days)."""
+    a, b = left.select(F.col(left_day).alias("day_")).distinct(), right.select(F.col(right_day).alias("day_")).distinct()
+    common = a.join(b, "day_", "left_semi")
+    keep = lambda df, day, how: df.join(common, df[day] == common["day_"], how)
+    return keep(left, left_day, "left_semi"), keep(right, right_day, "left_semi"), keep(left, left_day, "left_anti"), keep(right, right_day, "left_anti")
+
+
+def match_rates(outcome: DataFrame) -> DataFrame:
+    """Rows and share of each state and stage on either side."""
+    g = outcome.groupBy("side", "state", "stage").agg(F.count("*").alias("rows"))
+    return g.withColumn("rate", F.col("rows").cast("double") / F.sum("rows").over(Window.partitionBy("side")))
 
 
 def as_of_rates(days: DataFrame, rates: DataFrame, day: str, rate_day: str, rate: str, max_age: int = 7) -> DataFrame:
@@ -83,29 +121,46 @@ def compare_key_sets(left: DataFrame, right: DataFrame, key: list[str], value: s
     return both.withColumn("status", status).withColumn("within", F.abs(F.col("ratio") - 1) <= tolerance)
 
 
-def comparable_combinations(df: DataFrame, identity: list[str], market: str, loose: list[str], period: str) -> DataFrame:
-    """Pairs of markets with the same identity whose loose attributes don't contradict
-    (unknown fits anything), with their common periods, most first.
+def comparable_combinations(df: DataFrame, identity: list[str], market: str, loose: list[str], period: str, markets: list) -> DataFrame:
+    """Combinations of one group of each of ``markets`` with the same identity, no two of which
+    contradict each other in a loose attribute (unknown fits anything): the attributes of each group,
+    the periods that all have, and the rows in these.
 
-    Grouped before the join, so pairs are of groups, not of rows.
+    Grouped before the joins, so combinations are of groups, not of rows.
     """
-    groups = df.groupBy(*identity, market, *loose).agg(F.collect_set(period).alias("periods"), F.count("*").alias("rows"))
-    a = groups.select(*identity, F.col(market).alias("market_a"), *[F.col(c).alias(f"{c}_a") for c in loose], F.col("periods").alias("pa"), F.col("rows").alias("ra"))
-    b = groups.select(*identity, F.col(market).alias("market_b"), *[F.col(c).alias(f"{c}_b") for c in loose], F.col("periods").alias("pb"), F.col("rows").alias("rb"))
-    j = a.join(b, identity).filter(F.col("market_a") < F.col("market_b"))
-    for c in loose:
-        j = j.filter(F.col(f"{c}_a").isNull() | F.col(f"{c}_b").isNull() | (F.col(f"{c}_a") == F.col(f"{c}_b")))
-    common = F.size(F.array_intersect("pa", "pb"))
-    return j.withColumn("common_periods", common).filter("common_periods > 0").withColumn("rows", F.col("ra") + F.col("rb")).drop("pa", "pb", "ra", "rb")
+    sized = df.groupBy(*identity, market, *loose, period).agg(F.count("*").alias("n_"))
+    groups = sized.groupBy(*identity, market, *loose).agg(F.map_from_entries(F.collect_list(F.struct(period, "n_"))).alias("periods_"))
+    out = None
+    for k, name in enumerate(markets):
+        g = groups.filter(F.col(market) == name).select(*identity, *[F.col(c).alias(f"{c}_{k}") for c in loose], F.col("periods_").alias(f"p{k}_"))
+        if out is None:
+            out = g.select("*", *[F.col(f"{c}_0").alias(f"{c}_known_") for c in loose], F.map_keys("p0_").alias("common_"))
+            continue
+        out = out.join(g, identity)
+        for c in loose:  # all groups so far agree where they are known
+            out = out.filter(F.col(f"{c}_known_").isNull() | F.col(f"{c}_{k}").isNull() | (F.col(f"{c}_known_") == F.col(f"{c}_{k}"))).withColumn(f"{c}_known_", F.coalesce(f"{c}_known_", f"{c}_{k}"))
+        out = out.withColumn("common_", F.array_intersect("common_", F.map_keys(f"p{k}_"))).filter(F.size("common_") > 0)
+    in_common = lambda counts: F.aggregate("common_", F.lit(0).cast("bigint"), lambda t, m: t + F.element_at(counts, m))
+    rows = in_common("p0_")
+    for k in range(1, len(markets)):
+        rows = rows + in_common(f"p{k}_")
+    return out.select(*identity, *[f"{c}_{k}" for k in range(len(markets)) for c in loose], F.size("common_").alias("common_periods"), rows.alias("rows"))
 
 
 def abbreviations(labels: DataFrame, label: str, max_extra: int = 30) -> DataFrame:
     """(short, long): distinct labels where the short one has a dot and its letters, in order,
-    are in the long one; candidates share the first letter, so the join is an equi-join."""
+    are in the long one.
+
+    Candidates share the first letter and have some later letter equal to the short label's second,
+    so the join is an equi-join on pairs of letters; a label of one letter needs its first alone.
+    """
     d = labels.select(F.lower(label).alias("l")).filter(F.col("l").isNotNull() & (F.col("l") != "")).distinct()
     short = d.filter(F.col("l").contains(".")).select(F.col("l").alias("short"), F.replace("l", F.lit("."), F.lit("")).alias("letters"))
-    short = short.filter(F.length("letters") > 0).withColumn("head", F.substring("letters", 1, 1))
-    long = d.filter(~F.col("l").contains(".")).select(F.col("l").alias("long"), F.substring("l", 1, 1).alias("head"))
+    short = short.filter(F.length("letters") > 0).withColumn("head", F.substring("letters", 1, 2))
+    long = d.filter(~F.col("l").contains(".")).select(F.col("l").alias("long"))
+    first = F.substring("long", 1, 1)
+    later = F.array_distinct(F.transform(F.filter(F.split(F.substring("long", 2, 1 << 30), ""), lambda x: x != ""), lambda x: F.concat(first, x)))
+    long = long.select("long", F.explode(F.array_union(F.array(first), later)).alias("head"))
     # the short label's letters with anything between them, as a LIKE pattern
     pattern = F.concat(F.regexp_replace(F.regexp_replace("letters", r"([%_\\])", r"\\$1"), r"(?<!\\)(.)(?=.)", "$1%"), F.lit("%"))
     extra = F.length("long") - F.length("letters")

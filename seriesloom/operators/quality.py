@@ -40,6 +40,17 @@ def extremes(df: DataFrame, dims: list[str], value: str, least: int = 5, factor:
     return df.join(middle, dims).filter((F.col(value) > F.col("group_median") * factor) | (F.col(value) * factor < F.col("group_median")))
 
 
+def published_table(df: DataFrame, rules: list[tuple[dict[str, str], Column]]) -> DataFrame:
+    """Rows of the one table that a rule names for its scope (column values, such as family and
+    frequency); rows of a scope without a rule go, so that nothing published twice is summed."""
+    keep = F.lit(False)
+    for scope, rule in rules:
+        for column, value in scope.items():
+            rule = rule & (F.col(column) == value)
+        keep = keep | rule
+    return df.filter(keep)
+
+
 def duplicate_groups(df: DataFrame, key: list[str]) -> DataFrame:
     """Groups of more than one row, their rows, and the rows beyond the first."""
     groups = df.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
@@ -82,3 +93,36 @@ def gates(df: DataFrame, rules: dict[str, Column], key: list[str] | None = None,
         broken.append("unique_key")
     if broken:
         raise GateFailure(", ".join(broken))
+
+
+def observed_values(df: DataFrame, by: list[str], observed: Column) -> DataFrame:
+    """Rows and observed values of each part; a part without any isn't good."""
+    return df.groupBy(*by).agg(F.count("*").alias("rows"), F.count_if(observed).alias("observed")).withColumn("good", F.col("observed") > 0)
+
+
+def unique_keys(df: DataFrame, key: list[str], by: list[str]) -> DataFrame:
+    """Keys, those that occur more than once, and whether there are none of these, by part."""
+    keys = df.groupBy(*key).agg(F.count("*").alias("n"))
+    return keys.groupBy(*by).agg(F.count("*").alias("keys"), F.count_if(F.col("n") > 1).alias("repeated")).withColumn("good", F.col("repeated") == 0)
+
+
+def homogeneous(df: DataFrame, group: list[str], dims: list[str]) -> DataFrame:
+    """Distinct values of each dimension in a group, and whether each has one."""
+    return df.groupBy(*group).agg(*[F.countDistinct(c).alias(c) for c in dims]).withColumn("good", F.expr(" AND ".join(f"{c} = 1" for c in dims)))
+
+
+def date_rules(start: str, stop: str, as_of: Column, part: str, own: Column) -> dict[str, Column]:
+    """Rules on dates: not in the future, not ending before the start, in their partition."""
+    return {"future": F.col(start) <= as_of, "reversed": F.col(stop) >= F.col(start), "misplaced": F.col(part) == own}
+
+
+def has_provenance(digest: str, captured: str) -> Column:
+    """Whether a row has a hash of 64 lower-case hexadecimal digits and a capture time."""
+    return F.coalesce(F.col(digest).rlike(r"^[0-9a-f]{64}$"), F.lit(False)) & F.col(captured).isNotNull()
+
+
+def expected_counts(df: DataFrame, expected: DataFrame, by: list[str], identity: str, period: str, periods: int) -> DataFrame:
+    """Distinct identities and periods of each part against a table of what is expected; parts that
+    only one side has aren't good."""
+    g = df.groupBy(*by).agg(F.countDistinct(identity).alias("n"), F.countDistinct(period).alias("months")).join(expected, by, "full")
+    return g.withColumn("good", F.coalesce((F.col("n") == F.col("expected")) & (F.col("months") == periods), F.lit(False)))

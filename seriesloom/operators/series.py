@@ -9,19 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GRAIN = ((50.0, "Revisar"), (-5.0, "Baja"), (5.0, "Estable"), (20.0, "Suba moderada"))
-
+from seriesloom.functions.dates import month_index
 
 def mean(value: str) -> Column:
     """Sum by count in double, so that equal inputs give equal bits."""
     return F.sum(value).cast("double") / F.count(value)
 
 
-def settled(value: Column) -> Column:
-    """Three decimals, cut where sums taken in another order can't tip them."""
-    return F.floor(value * 1000 + 0.2718) / 1000
-
-
 def period_stats(df: DataFrame, dims: list[str], period: list[str], value: str, day: str = "day") -> DataFrame:
     """Count, mean, exact median, range and distinct days of each series and period."""
     return df.groupBy(*dims, *period).agg(F.count(value).alias("n"), mean(value).alias("mean"), F.median(F.col(value).cast("double")).alias("median"), F.min(value).alias("low"), F.max(value).alias("high"), F.countDistinct(day).alias("days"))
@@ -147,3 +141,58 @@ def exact_median(df: DataFrame, dims: list[str], value: str) -> DataFrame:
     ranked = df.filter(F.col(value).isNotNull()).withColumn("r", F.row_number().over(w.orderBy(value))).withColumn("n", F.count("*").over(w))
     middle = ranked.filter((F.col("r") == F.floor((F.col("n") + 1) / 2)) | (F.col("r") == F.floor((F.col("n") + 2) / 2)))
     return middle.groupBy(*dims).agg(((F.min(value) + F.max(value)) / 2).alias("median"), F.max("n").alias("n"))
+
+
+def lineage(df: DataFrame, dims: list[str], links: list[str]) -> DataFrame:
+    """One row for each link of a series and period: a table that grows with its rows, not a list in a cell."""
+    return df.select(*dims, *links).distinct()
+
+
+def frequency(df: DataFrame, dims: list[str], day: str) -> DataFrame:
+    """Distinct days of each series, and whether the gaps between them are of years, months or neither."""
+    days = df.select(*dims, day).distinct()
+    gap = F.datediff(day, F.lag(day).over(Window.partitionBy(*dims).orderBy(day)))
+    g = days.withColumn("gap_", gap).groupBy(*dims).agg(F.count("*").alias("days"), F.bool_and(F.col("gap_") >= 300).alias("y_"), F.bool_and(F.col("gap_").between(25, 45)).alias("m_"))
+    return g.select(*dims, "days", F.when(F.col("y_"), "anual").when(F.col("m_"), "mensual").otherwise("diaria").alias("frequency"))
+
+
+def state_matrix(df: DataFrame, by: list[str], item: str, index: str, value: str, periods: int, items: int) -> DataFrame:
+    """Per part: the last ``periods`` of the ``items`` with the highest latest value, with the state of
+    each change from the calendar's previous period."""
+    w = Window.partitionBy(*by)
+    last = df.select(*by, index).distinct().withColumn("r_", F.row_number().over(w.orderBy(F.desc(index)))).filter(F.col("r_") <= periods).drop("r_")
+    top = df.groupBy(*by, item).agg(F.max_by(value, index).alias("x_")).withColumn("r_", F.row_number().over(w.orderBy(F.desc("x_"), item))).filter(F.col("r_") <= items).select(*by, item)
+    c = adjacent_variation(df, [*by, item], index, value)
+    return c.withColumn("state", grain_state(F.col("variation"))).join(last, [*by, index], "left_semi").join(top, [*by, item], "left_semi")
+
+
+def largest_changes(df: DataFrame, index: str, value: str) -> DataFrame:
+    """One row: the largest rise and fall between neighbouring periods, their periods, and the
+    change from the first to the last; ``df`` has one row a period."""
+    w = Window.orderBy(index)  # one row a period
+    c = df.withColumn("change_", change(F.col(value), F.lag(value).over(w)))
+    up, down = F.when(F.col("change_") > 0, F.col("change_")), F.when(F.col("change_") < 0, F.col("change_"))
+    ends = change(F.max_by(value, index), F.min_by(value, index))
+    return c.agg(F.max(up).alias("rise"), F.max_by(index, F.struct(up, index)).alias("rise_at"), F.min(down).alias("fall"), F.min_by(index, F.when(down.isNotNull(), F.struct(down, index))).alias("fall_at"), ends.alias("accumulated"))
+
+
+def merge_history(daily: DataFrame, monthly: DataFrame, current: DataFrame, dims: list[str], day: str, value: str) -> DataFrame:
+    """Monthly medians and their changes from 1 and 12 months before, after ``current`` days replace
+    those of ``daily`` (a value that isn't positive removes its day).
+
+    ``monthly`` is the stored table (dims, month_idx, median, change_1, change_12).  Only the months
+    that ``current`` touches are aggregated anew, and only their own changes and those of the months
+    1 and 12 behind them are recomputed; all other rows are taken as they are stored.
+    """
+    at = month_index(F.col(day)).alias("month_idx")
+    touched = current.select(*dims, at).distinct()
+    key = [*dims, "month_idx"]
+    kept = daily.withColumn("month_idx", at).join(touched, key, "left_semi").join(current.select(*dims, day), [*dims, day], "left_anti")
+    new = kept.select(*key, value).unionByName(current.filter(F.col(value) > 0).select(*dims, at, value)).groupBy(*key).agg(F.median(F.col(value).cast("double")).alias("median"))
+    merged = monthly.join(touched, key, "left_anti").unionByName(new.withColumn("change_1", F.lit(None).cast("double")).withColumn("change_12", F.lit(None).cast("double")))
+    targets = touched.select(*dims, F.explode(F.array(*[F.col("month_idx") + k for k in (0, 1, 12)])).alias("month_idx")).distinct().withColumn("target_", F.lit(True))
+    merged = merged.join(targets, key, "left")
+    for k in (1, 12):
+        before = merged.select(*dims, (F.col("month_idx") + k).alias("month_idx"), F.col("median").alias(f"before_{k}"))
+        merged = merged.join(before, key, "left").withColumn(f"change_{k}", F.when(F.col("target_"), F.when(F.col(f"before_{k}") > 0, change(F.col("median"), F.col(f"before_{k}")))).otherwise(F.col(f"change_{k}"))).drop(f"before_{k}")
+    return merged.select(*key, "median", "change_1", "change_12", F.coalesce("target_", F.lit(False)).alias("recomputed"))

@@ -9,7 +9,7 @@ from seriesloom.operators import audit as A
 from seriesloom.operators import rank as R
 from seriesloom.operators import series as S
 from seriesloom.operators.quality import reasons
-from seriesloom.plans.base import OBS, observations, query, table
+from seriesloom.plans.base import OBS, observations, query, settled, table
 from seriesloom.sources import tables as IO
 
 _STATS = "count(*) AS n, CAST(sum(price_c) AS DOUBLE) / count(*) AS mean, min(price_c) AS low, max(price_c) AS high"
@@ -148,13 +148,13 @@ def audit_facts_and_dimensions(spark, d):
     return IO.expand_dimensions(facts, dims, "series_key").groupBy("product", "currency", "condition").agg(F.count("*").alias("n"), F.sum("price_c").alias("total"))
 
 
-@query("audit_wide_months", f"""WITH {OBS} SELECT product, year, CAST(month_idx % 12 + 1 AS VARCHAR) AS mes, CAST(sum(volume) AS BIGINT) AS precio FROM obs WHERE market = 'M0' AND volume > 10 GROUP BY ALL""")
+@query("audit_wide_months", f"""WITH {OBS} SELECT product, market, year, CAST(month_idx % 12 + 1 AS VARCHAR) AS mes, CAST(sum(volume) AS BIGINT) AS precio FROM obs GROUP BY ALL""")
 def audit_wide_months(spark, d):
     """Months as columns and back."""
-    o = observations(spark, d).filter("market = 'M0' AND volume > 10")
+    o = observations(spark, d)
     months = [str(k) for k in range(1, 13)]
-    wide = o.withColumn("mes_", (F.col("month_idx") % 12 + 1).cast("string")).groupBy("product", "year").pivot("mes_", months).agg(F.sum("volume"))
-    return IO.months_to_rows(wide, ["product", "year"], months)
+    wide = o.withColumn("mes_", (F.col("month_idx") % 12 + 1).cast("string")).groupBy("product", "market", "year").pivot("mes_", months).agg(F.sum("volume"))
+    return IO.months_to_rows(wide, ["product", "market", "year"], months)
 
 
 @query("audit_span_totals", f"""WITH {OBS}, m AS (SELECT product, month_idx, year, CAST(sum(volume) AS BIGINT) AS v FROM obs GROUP BY ALL), y AS (SELECT product, month_idx, year, v, sum(v) OVER (PARTITION BY product, year ORDER BY month_idx) AS ytd, count(*) OVER (PARTITION BY product, year ORDER BY month_idx) AS k FROM m)
@@ -181,21 +181,34 @@ def figures_totals(spark, d):
     return observations(spark, d).groupBy("month", "variety").agg(F.sum("volume").alias("volume"), F.countDistinct("product").alias("products"))
 
 
-@query("figures_prices", f"""WITH {OBS}, x AS (SELECT product, arg_min(price_c, (day, event_id, line, price_c)) AS first_c, arg_max(price_c, (day, event_id, line, price_c)) AS last_c, max(price_c) AS high, min(price_c) AS low FROM obs GROUP BY 1) SELECT max(high) AS high, arg_max(product, (high, product)) AS high_product, min(low) AS low, arg_min(product, (low, product)) AS low_product, arg_max(product, ((CAST(last_c AS DOUBLE) / first_c - 1) * 100, product)) AS rise_product, arg_min(product, ((CAST(last_c AS DOUBLE) / first_c - 1) * 100, product)) AS fall_product FROM x""")
+_PERIODS = "m AS (SELECT month_idx, CAST(sum(price_c) AS DOUBLE) / count(*) AS v FROM obs GROUP BY ALL), c AS (SELECT month_idx, v, (v / lag(v) OVER (ORDER BY month_idx) - 1) * 100 AS x FROM m)"
+
+
+@query("figures_prices", f"""WITH {OBS}, {_PERIODS}, a AS (SELECT year, month, day, avg(CAST(price_c AS DOUBLE)) AS v FROM obs GROUP BY ALL), b AS (SELECT year, month, avg(v) AS v FROM a GROUP BY ALL), y AS (SELECT year, avg(v) AS v FROM b GROUP BY ALL)
+ SELECT (SELECT max(price_c) FROM obs) AS high, (SELECT arg_max(product, (price_c, product)) FROM obs) AS high_product, (SELECT min(price_c) FROM obs) AS low, (SELECT arg_min(product, (price_c, product)) FROM obs) AS low_product, (SELECT floor(avg(v) * 1000 + 0.2718) / 1000 FROM y) AS balanced,
+ (SELECT max(x) FROM c WHERE x > 0) AS rise, (SELECT month_idx FROM c WHERE x > 0 ORDER BY x DESC, month_idx DESC LIMIT 1) AS rise_at, (SELECT min(x) FROM c WHERE x < 0) AS fall, (SELECT month_idx FROM c WHERE x < 0 ORDER BY x, month_idx LIMIT 1) AS fall_at, (SELECT (arg_max(v, month_idx) / arg_min(v, month_idx) - 1) * 100 FROM m) AS accumulated""")
 def figures_prices(spark, d):
-    at = F.struct("day", "event_id", "line", "price_c")
-    x = observations(spark, d).groupBy("product").agg(F.min_by("price_c", at).alias("first_c"), F.max_by("price_c", at).alias("last_c"), F.max("price_c").alias("high"), F.min("price_c").alias("low"))
-    x = x.withColumn("change", S.change(F.col("last_c"), F.col("first_c")))
-    by = lambda f, c, n: f("product", F.struct(c, "product")).alias(n)
-    return x.agg(F.max("high").alias("high"), by(F.max_by, "high", "high_product"), F.min("low").alias("low"), by(F.min_by, "low", "low_product"), by(F.max_by, "change", "rise_product"), by(F.min_by, "change", "fall_product"))
+    """Extremes with their products, the balanced mean, and the largest changes between months."""
+    o = observations(spark, d)
+    high, low = F.struct("price_c", "product"), F.struct("price_c", "product")
+    ends = o.agg(F.max("price_c").alias("high"), F.max_by("product", high).alias("high_product"), F.min("price_c").alias("low"), F.min_by("product", low).alias("low_product"))
+    years = S.balanced(o.withColumn("all", F.lit(1)), [], ["all", "year", "month", "day"], "price_c").select(settled(F.col("v")).alias("balanced"))
+    changes = S.largest_changes(o.groupBy("month_idx").agg(S.mean("price_c").alias("v")), "month_idx", "v")
+    one = F.lit(1).alias("one_")
+    return ends.select(one, "*").join(years.select(one, "*"), "one_").join(changes.select(one, "*"), "one_").drop("one_")
 
 
-@query("figures_commodities", f"""WITH {OBS}, l AS (SELECT product, arg_max(price_c, (day, event_id, line, price_c)) AS last_c, count(DISTINCT currency) AS k FROM obs WHERE currency = 'A' OR product < 'Brand#2' GROUP BY 1) SELECT count(*) AS products, median(CAST(last_c AS DOUBLE)) AS median_last, CASE WHEN max(k) = 1 THEN median(CAST(last_c AS DOUBLE)) END AS median_single FROM l""")
+@query("figures_commodities", f"""WITH {OBS}, l AS (SELECT product, currency, arg_max(price_c, (day, event_id, line, price_c)) AS last_c, arg_min(price_c, (day, event_id, line, price_c)) AS first_c FROM obs GROUP BY ALL) SELECT product, count(*) AS series, CASE WHEN count(*) = 1 THEN median(CAST(last_c AS DOUBLE)) END AS median_last, median((CAST(last_c AS DOUBLE) / first_c - 1) * 100) AS median_change FROM l GROUP BY product
+ UNION ALL SELECT product || ' ' || currency, 1, CAST(last_c AS DOUBLE), (CAST(last_c AS DOUBLE) / first_c - 1) * 100 FROM l""")
 def figures_commodities(spark, d):
+    """Medians of latest prices and of changes, for every product and for each of its series; the price
+    is kept back where several series are selected."""
     at = F.struct("day", "event_id", "line", "price_c")
-    x = observations(spark, d).filter("currency = 'A' OR product < 'Brand#2'").groupBy("product").agg(F.max_by("price_c", at).alias("last_c"), F.countDistinct("currency").alias("k"))
+    l = observations(spark, d).groupBy("product", "currency").agg(F.max_by("price_c", at).alias("last_c"), F.min_by("price_c", at).alias("first_c"))
+    l = l.withColumn("change", S.change(F.col("last_c").cast("double"), F.col("first_c")))
+    each = l.unionByName(l.withColumn("product", F.concat_ws(" ", "product", "currency")))
     middle = F.median(F.col("last_c").cast("double"))
-    return x.agg(F.count("*").alias("products"), middle.alias("median_last"), F.when(F.max("k") == 1, middle).alias("median_single"))
+    return each.groupBy("product").agg(F.count("*").alias("series"), F.when(F.count("*") == 1, middle).alias("median_last"), F.median("change").alias("median_change"))
 
 
 @query("figures_quantity_description", f"""WITH {OBS}, g AS (SELECT month, product, CAST(sum(volume) AS BIGINT) AS v, bool_and(volume > 1) AS good, count(DISTINCT condition) AS units FROM obs GROUP BY ALL) SELECT month, product, CASE WHEN bool_and(good) OVER w AND max(units) OVER w = 1 THEN v END AS volume, CASE WHEN bool_and(good) OVER w AND max(units) OVER w = 1 THEN CAST(v AS DOUBLE) / CAST(sum(v) OVER w AS DOUBLE) END AS share FROM g WINDOW w AS (PARTITION BY month)""")
@@ -219,10 +232,18 @@ def figures_exploration_matrix(spark, d):
     return observations(spark, d).groupBy("market", F.col("currency").alias("source"), "product", "year", "month", "variety").agg(F.count("*").alias("rows"), F.count_if(F.col("day") > F.lit(_AS_OF).cast("date")).alias("future"))
 
 
-@query("figures_comparability", f"""WITH {OBS}, g AS (SELECT product, month, count(DISTINCT market) AS markets, count(DISTINCT currency) AS currencies, count(DISTINCT condition) AS units, count(DISTINCT variety) AS varieties FROM obs GROUP BY ALL) SELECT product, month, CASE WHEN markets < 2 THEN 'sin datos' WHEN currencies > 1 THEN 'moneda' WHEN units > 1 THEN 'unidad' WHEN varieties > 1 THEN 'variedad' ELSE 'comparable' END AS verdict FROM g""")
+_COMPARED = "nullif(variety, 'PROMO') AS v, CASE WHEN volume > 25 THEN 'grande' ELSE 'chico' END AS pack, CASE WHEN day < DATE '2001-01-01' THEN 'DIARIA' ELSE 'MENSUAL' END AS prec, CASE WHEN volume % 2 = 0 THEN 'par' END AS calidad"
+
+
+@query("figures_comparability", f"""WITH {OBS}, o AS (SELECT *, {_COMPARED} FROM obs), g AS (SELECT product, day, market, count(*) FILTER (WHERE currency IS NULL) AS unknown, list(DISTINCT v) FILTER (WHERE v IS NOT NULL) AS v, list(DISTINCT pack) AS pack FROM o WHERE market IN ('M0', 'M1') GROUP BY ALL),
+ p AS (SELECT product, day, count(DISTINCT market) AS markets, count(DISTINCT currency) AS currencies, count(DISTINCT condition) AS units, count(DISTINCT prec) AS precisions, count(DISTINCT coalesce(variety, '')) AS d1, count(DISTINCT pack) AS d2, count(DISTINCT coalesce(calidad, '')) AS d3 FROM o WHERE market IN ('M0', 'M1') GROUP BY ALL),
+ c AS (SELECT a.product, a.day, coalesce(len(list_intersect(a.v, b.v)), 0) AS cv, len(list_intersect(a.pack, b.pack)) AS cp FROM g a JOIN g b ON a.product = b.product AND a.day = b.day AND a.market = 'M0' AND b.market = 'M1')
+ SELECT product, day, CASE WHEN markets < 2 THEN 'sin datos' WHEN currencies <> 1 THEN 'moneda' WHEN units > 1 THEN 'unidad' WHEN cv = 0 THEN 'variedad' WHEN cp = 0 THEN 'presentacion' WHEN precisions > 1 THEN 'frecuencia' WHEN d1 > 1 OR d2 > 1 OR d3 > 1 THEN 'dimensiones' ELSE 'comparable' END AS verdict FROM p LEFT JOIN c USING (product, day)""", dates=("day",))
 def figures_comparability(spark, d):
-    g = observations(spark, d).groupBy("product", "month").agg(*[F.countDistinct(c).alias(c) for c in ("market", "currency", "condition", "variety")])
-    return g.select("product", "month", F.when(F.col("market") < 2, "sin datos").when(F.col("currency") > 1, "moneda").when(F.col("condition") > 1, "unidad").when(F.col("variety") > 1, "variedad").otherwise("comparable").alias("verdict"))
+    """Whether the prices of two markets can be compared, for every product and day."""
+    o = observations(spark, d)
+    o = o.select("*", F.nullif(F.col("variety"), F.lit("PROMO")).alias("v"), F.when(F.col("volume") > 25, "grande").otherwise("chico").alias("pack"), F.when(F.col("day") < "2001-01-01", "DIARIA").otherwise("MENSUAL").alias("prec"), F.when(F.col("volume") % 2 == 0, "par").alias("calidad"))
+    return A.comparability(o, ["product", "day"], "market", ["M0", "M1"], "currency", "condition", "v", "pack", "prec", ["variety", "pack", "calidad"])
 
 
 @query("figures_unit_values", f"""WITH {OBS}, m AS (SELECT product, month_idx, CAST(sum(total_c) AS BIGINT) AS t, CAST(sum(CASE WHEN volume > 3 THEN volume ELSE 0 END) AS BIGINT) AS v FROM obs WHERE market = 'M0' GROUP BY ALL), u AS (SELECT *, CASE WHEN v <> 0 THEN CAST(t AS DOUBLE) / v END AS unit_value FROM m) SELECT a.product, a.month_idx, a.unit_value, CASE WHEN b.unit_value > 0 THEN (a.unit_value / b.unit_value - 1) * 100 END AS change_year FROM u a LEFT JOIN u b ON a.product = b.product AND b.month_idx = a.month_idx - 12""")
@@ -246,13 +267,14 @@ def figures_latest_comparable(spark, d):
     return R.ranked(one, [F.desc("day"), F.col("product")], 4, ["market"], "place").select("market", "product", F.col("day").cast("string").alias("day"), "price_c", F.col("place").cast("bigint").alias("place"))
 
 
-@query("figures_market_origin", f"""WITH {OBS}, g AS (SELECT market, variety, month_idx, median(CAST(price_c AS DOUBLE)) AS m FROM obs WHERE product = 'Brand#7' GROUP BY ALL), n AS (SELECT market, variety, count(*) AS k, min(month_idx) AS a, max(month_idx) AS b FROM g GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY market ORDER BY k DESC, variety) AS place FROM n), c AS (SELECT * FROM r ORDER BY place, k DESC, market, variety LIMIT 8), f AS (SELECT market, variety, unnest(range(a, b + 1)) AS month_idx FROM c) SELECT market, variety, CAST(month_idx AS INTEGER) AS month_idx, m AS median FROM f LEFT JOIN g USING (market, variety, month_idx)""")
+@query("figures_market_origin", f"""WITH {OBS}, g AS (SELECT product, market, variety, month_idx, median(CAST(price_c AS DOUBLE)) AS m FROM obs GROUP BY ALL), n AS (SELECT product, market, variety, count(*) AS k, min(month_idx) AS a, max(month_idx) AS b FROM g GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY product, market ORDER BY k DESC, variety) AS place FROM n), c AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY product ORDER BY place, k DESC, market, variety) <= 8), f AS (SELECT product, market, variety, unnest(range(a, b + 1)) AS month_idx FROM c) SELECT product, market, variety, CAST(month_idx AS INTEGER) AS month_idx, m AS median FROM f LEFT JOIN g USING (product, market, variety, month_idx)""")
 def figures_market_origin(spark, d):
-    g = observations(spark, d).filter("product = 'Brand#7'").groupBy("market", "variety", "month_idx").agg(F.median(F.col("price_c").cast("double")).alias("median"))
-    n = g.groupBy("market", "variety").agg(F.count("*").alias("k"))
-    n = n.withColumn("place", F.row_number().over(Window.partitionBy("market").orderBy(F.desc("k"), "variety")))
-    chosen = n.orderBy("place", F.desc("k"), "market", "variety").limit(8).select("market", "variety")
-    return S.fill_months(g.join(chosen, ["market", "variety"], "left_semi"), ["market", "variety"], "month_idx").select("market", "variety", "month_idx", "median")
+    """Eight combinations of market and origin for every product, one of each market first."""
+    g = observations(spark, d).groupBy("product", "market", "variety", "month_idx").agg(F.median(F.col("price_c").cast("double")).alias("median"))
+    n = g.groupBy("product", "market", "variety").agg(F.count("*").alias("k"))
+    n = n.withColumn("place", F.row_number().over(Window.partitionBy("product", "market").orderBy(F.desc("k"), "variety")))
+    chosen = R.ranked(n, [F.col("place"), F.desc("k"), F.col("market"), F.col("variety")], 8, ["product"], "r_").select("product", "market", "variety")
+    return S.fill_months(g.join(chosen, ["product", "market", "variety"], "left_semi"), ["product", "market", "variety"], "month_idx").select("product", "market", "variety", "month_idx", "median")
 
 
 @query("rank_top_products", f"""WITH {OBS} SELECT product, CAST(sum(volume) AS BIGINT) AS value, CAST(sum(volume) AS DOUBLE) / (SELECT CAST(sum(volume) AS DOUBLE) FROM obs) AS share FROM obs GROUP BY product ORDER BY 2 DESC, 1 LIMIT 10""")
@@ -280,10 +302,10 @@ def rank_heat_matrix(spark, d):
     return p.select("product", *[F.col(str(k)).alias(f"m{k + 1}") for k in range(12)])
 
 
-@query("rank_seasonality", f"""WITH {OBS}, g AS (SELECT product, month_idx % 12 + 1 AS m, CAST(sum(volume) AS BIGINT) AS v FROM obs WHERE variety = 'ECONOMY' GROUP BY ALL), s AS (SELECT *, CAST(v AS DOUBLE) / max(v) OVER (PARTITION BY product) AS x FROM g) SELECT product, CAST(m AS INTEGER) AS m, CASE WHEN x = 1 THEN 'pico' WHEN x > 0.3 THEN 'activo' ELSE 'bajo' END AS class FROM s""")
+@query("rank_seasonality", f"""WITH {OBS}, g AS (SELECT product, variety, month_idx % 12 + 1 AS m, CAST(sum(volume) AS BIGINT) AS v FROM obs GROUP BY ALL), s AS (SELECT *, CAST(v AS DOUBLE) / max(v) OVER (PARTITION BY product, variety) AS x FROM g) SELECT product, variety, CAST(m AS INTEGER) AS m, CASE WHEN x = 1 THEN 'pico' WHEN x > 0.3 THEN 'activo' ELSE 'bajo' END AS class FROM s""")
 def rank_seasonality(spark, d):
-    g = observations(spark, d).filter("variety = 'ECONOMY'").groupBy("product", (F.col("month_idx") % 12 + 1).alias("m")).agg(F.sum("volume").alias("v"))
-    return g.select("product", "m", R.seasonality(F.col("v").cast("double") / F.max("v").over(Window.partitionBy("product"))).alias("class"))
+    g = observations(spark, d).groupBy("product", "variety", (F.col("month_idx") % 12 + 1).alias("m")).agg(F.sum("volume").alias("v"))
+    return g.select("product", "variety", "m", R.seasonality(F.col("v").cast("double") / F.max("v").over(Window.partitionBy("product", "variety"))).alias("class"))
 
 
 @query("rank_rises_and_falls", f"""WITH {OBS}, g AS (SELECT product, market, month_idx, CAST(sum(price_c) AS DOUBLE) / count(*) AS v, count(*) AS n FROM obs GROUP BY ALL), x AS (SELECT product, market, CAST(sum(n) AS BIGINT) AS rows, count(*) AS periods, arg_min(v, month_idx) AS first, arg_max(v, month_idx) AS last FROM g GROUP BY ALL), y AS (SELECT product, market, (last / first - 1) * 100 AS variation FROM x WHERE rows >= 5 AND periods >= 2 AND abs((last / first - 1) * 100) <= 500)
@@ -298,7 +320,7 @@ def rank_rises_and_falls(spark, d):
 
 @query("rank_markets", f"""WITH {OBS}, a AS (SELECT market, month, day, avg(CAST(price_c AS DOUBLE)) AS v FROM obs GROUP BY ALL), b AS (SELECT market, month, avg(v) AS v FROM a GROUP BY ALL) SELECT market, floor(avg(v) * 1000 + 0.2718) / 1000 AS v, count(*) AS parts FROM b GROUP BY market""")
 def rank_markets(spark, d):
-    return S.balanced(observations(spark, d).withColumn("all", F.lit(1)), ["market"], ["all", "month", "day"], "price_c").select("market", S.settled(F.col("v")).alias("v"), "parts")
+    return S.balanced(observations(spark, d).withColumn("all", F.lit(1)), ["market"], ["all", "month", "day"], "price_c").select("market", settled(F.col("v")).alias("v"), "parts")
 
 
 @query("rank_informative_series", f"""WITH {OBS} SELECT product, currency, condition, count(DISTINCT month) AS periods, count(*) AS rows FROM obs GROUP BY ALL ORDER BY periods DESC, rows DESC, product, currency, condition LIMIT 25""")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from seriesloom.functions.dates import day_index
 from seriesloom.operators import series as S
-from seriesloom.plans.base import MONTHLY, OBS, SERIES, observations, query, table
+from seriesloom.plans.base import MONTHLY, OBS, SERIES, observations, query, settled, table
+from seriesloom.sources.tables import written
 
 _STATE = "CASE WHEN {v} IS NULL THEN 'Sin dato' WHEN abs({v}) > 50 THEN 'Revisar' WHEN {v} < -5 THEN 'Baja' WHEN {v} <= 5 THEN 'Estable' WHEN {v} <= 20 THEN 'Suba moderada' ELSE 'Suba fuerte' END"
 _PRIOR = "LEFT JOIN {t} {a} ON {a}.product = m.product AND {a}.currency = m.currency AND {a}.condition = m.condition AND {a}.{i} = m.{i} - {k} AND {a}.{v} > 0"
@@ -52,10 +53,12 @@ def series_weighted(spark, d):
     return S.weighted_price(o, [*SERIES, "month"], "price_c", "vol")
 
 
-@query("series_lineage", f"""WITH {OBS} SELECT product, currency, condition, month, string_agg(DISTINCT CAST(event_id AS VARCHAR), ',' ORDER BY CAST(event_id AS VARCHAR)) AS event_ids, string_agg(DISTINCT market, ',' ORDER BY market) AS markets, count(DISTINCT variety) AS n_varieties FROM obs GROUP BY ALL""")
+@query("series_lineage", f"""WITH {OBS}, e AS (SELECT DISTINCT product, currency, condition, month, event_id, market FROM obs) SELECT product, currency, condition, month, count(DISTINCT event_id) AS events, CAST(sum(event_id * 31 + CAST(substr(market, 2) AS BIGINT)) AS BIGINT) AS links_sum, count(*) AS links, string_agg(DISTINCT market, ',' ORDER BY market) AS markets FROM e GROUP BY ALL""")
 def series_lineage(spark, d):
-    text = lambda c: F.array_join(F.array_sort(F.collect_set(F.col(c).cast("string"))), ",")
-    return observations(spark, d).groupBy(*SERIES, "month").agg(text("event_id").alias("event_ids"), text("market").alias("markets"), F.countDistinct("variety").alias("n_varieties"))
+    """Links from a series and month to its events, written as a table; their numbers and markets."""
+    links = written(S.lineage(observations(spark, d), [*SERIES, "month"], ["event_id", "market"]))
+    markets = F.array_join(F.array_sort(F.collect_set("market")), ",")  # few
+    return links.groupBy(*SERIES, "month").agg(F.countDistinct("event_id").alias("events"), F.sum(F.col("event_id") * 31 + F.substring("market", 2, 9).cast("bigint")).alias("links_sum"), F.count("*").alias("links"), markets.alias("markets"))
 
 
 @query("series_latest", f"""WITH {MONTHLY} SELECT product, currency, condition, month, n, median FROM monthly QUALIFY row_number() OVER (PARTITION BY product, currency, condition ORDER BY month DESC) = 1""")
@@ -66,13 +69,13 @@ def series_latest(spark, d):
 @query("series_balanced_mean", f"""WITH {OBS}, a AS (SELECT product, year, month, day, avg(CAST(price_c AS DOUBLE)) AS v FROM obs GROUP BY ALL), b AS (SELECT product, year, month, avg(v) AS v FROM a GROUP BY ALL)
  SELECT product, year, floor(avg(v) * 1000 + 0.2718) / 1000 AS v, count(*) AS parts FROM b GROUP BY ALL""")
 def series_balanced_mean(spark, d):
-    return S.balanced(observations(spark, d), ["product"], ["year", "month", "day"], "price_c").withColumn("v", S.settled(F.col("v")))
+    return S.balanced(observations(spark, d), ["product"], ["year", "month", "day"], "price_c").withColumn("v", settled(F.col("v")))
 
 
 @query("series_day_balanced_month", f"""WITH {OBS}, u AS (SELECT DISTINCT product, currency, month, day, market, price_c FROM obs), a AS (SELECT product, currency, month, day, CAST(sum(price_c) AS DOUBLE) / count(*) AS m, count(*) AS q FROM u GROUP BY ALL)
  SELECT product, currency, month, floor(avg(m) * 1000 + 0.2718) / 1000 AS mean, min(m) AS low, max(m) AS high, count(*) AS days, CAST(sum(q) AS BIGINT) AS quotes FROM a GROUP BY ALL""")
 def series_day_balanced_month(spark, d):
-    return S.day_balanced_months(observations(spark, d), ["product", "currency"], ["market", "price_c"], "price_c").withColumn("mean", S.settled(F.col("mean")))
+    return S.day_balanced_months(observations(spark, d), ["product", "currency"], ["market", "price_c"], "price_c").withColumn("mean", settled(F.col("mean")))
 
 
 @query("series_day_median", f"""WITH {OBS}, a AS (SELECT market, product, month, day, median(CAST(price_c AS DOUBLE)) AS m, min(condition) AS g1, max(condition) AS g2 FROM obs GROUP BY ALL)
@@ -85,7 +88,7 @@ def series_day_median(spark, d):
 def series_mean_of_days(spark, d):
     daily = observations(spark, d).groupBy("product", "month", "day").agg(S.mean("price_c").alias("m"), F.min("event_id").alias("e"))
     inputs = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("day", "e"))), lambda x: x.e.cast("string")), ",")
-    return daily.groupBy("product", "month").agg(S.settled(F.avg("m")).alias("mean"), inputs.alias("inputs"))
+    return daily.groupBy("product", "month").agg(settled(F.avg("m")).alias("mean"), inputs.alias("inputs"))
 
 
 @query("series_exact_median", f"""WITH {OBS} SELECT product, month, median(CAST(price_c AS DOUBLE)) AS median, count(*) AS n FROM obs GROUP BY product, month""")
@@ -171,24 +174,20 @@ def series_month_matrix(spark, d):
     return p.select("product", *[F.col(str(k)).alias(f"m{k}") for k in range(1, 13)], *[S.change(F.col(str(k)), F.col(str(k - 1))).alias(f"v{k}") for k in range(2, 13)])
 
 
-@query("series_state_matrix", f"""WITH {MONTHLY}, t AS (SELECT product, month, month_idx, CAST(sum(n) AS BIGINT) AS v FROM monthly WHERE currency = 'A' GROUP BY ALL), p AS (SELECT DISTINCT month_idx FROM t ORDER BY month_idx DESC LIMIT 12),
- top AS (SELECT product FROM t GROUP BY product ORDER BY arg_max(v, month_idx) DESC, product LIMIT 10), c AS (SELECT t.*, CASE WHEN month_idx - lag(month_idx) OVER w = 1 THEN (CAST(v AS DOUBLE) / lag(v) OVER w - 1) * 100 END AS x FROM t WINDOW w AS (PARTITION BY product ORDER BY month_idx))
- SELECT product, month, v, {_STATE.format(v='x')} AS state FROM c JOIN p USING (month_idx) JOIN top USING (product)""")
+@query("series_state_matrix", f"""WITH {MONTHLY}, t AS (SELECT currency, product, month, month_idx, CAST(sum(n) AS BIGINT) AS v FROM monthly GROUP BY ALL), p AS (SELECT currency, month_idx FROM (SELECT DISTINCT currency, month_idx FROM t) QUALIFY row_number() OVER (PARTITION BY currency ORDER BY month_idx DESC) <= 12),
+ l AS (SELECT currency, product, arg_max(v, month_idx) AS x FROM t GROUP BY ALL), top AS (SELECT currency, product FROM l QUALIFY row_number() OVER (PARTITION BY currency ORDER BY x DESC, product) <= 10), c AS (SELECT t.*, CASE WHEN month_idx - lag(month_idx) OVER w = 1 THEN (CAST(v AS DOUBLE) / lag(v) OVER w - 1) * 100 END AS x FROM t WINDOW w AS (PARTITION BY currency, product ORDER BY month_idx))
+ SELECT currency, product, month, v, {_STATE.format(v='x')} AS state FROM c JOIN p USING (currency, month_idx) JOIN top USING (currency, product)""")
 def series_state_matrix(spark, d):
-    t = monthly(spark, d).filter("currency = 'A'").groupBy("product", "month", "month_idx").agg(F.sum("n").alias("v"))
-    periods = t.select("month_idx").distinct().orderBy(F.desc("month_idx")).limit(12)
-    top = t.groupBy("product").agg(F.max_by("v", "month_idx").alias("x")).orderBy(F.desc("x"), "product").limit(10).select("product")
-    c = S.adjacent_variation(t, ["product"], "month_idx", "v").withColumn("state", S.grain_state(F.col("variation")))
-    return c.join(periods, "month_idx", "left_semi").join(top, "product", "left_semi").select("product", "month", "v", "state")
+    """Of every currency: the last twelve months of the ten products with the highest latest figure."""
+    t = monthly(spark, d).groupBy("currency", "product", "month", "month_idx").agg(F.sum("n").alias("v"))
+    return S.state_matrix(t, ["currency"], "product", "month_idx", "v", 12, 10).select("currency", "product", "month", "v", "state")
 
 
-@query("series_frequency", f"""WITH {OBS}, g AS (SELECT product, variety, day - lag(day) OVER (PARTITION BY product, variety ORDER BY day) AS gap FROM (SELECT DISTINCT product, variety, day FROM obs WHERE volume > 47 AND price_c % 7 = 0))
- SELECT product, variety, count(*) AS days, CASE WHEN count(gap) > 0 AND bool_and(gap >= 300) THEN 'anual' WHEN count(gap) > 0 AND bool_and(gap BETWEEN 25 AND 45) THEN 'mensual' ELSE 'diaria' END AS frequency FROM g GROUP BY ALL""")
+@query("series_frequency", f"""WITH {OBS}, g AS (SELECT product, variety, currency, condition, market, day - lag(day) OVER (PARTITION BY product, variety, currency, condition, market ORDER BY day) AS gap FROM (SELECT DISTINCT product, variety, currency, condition, market, day FROM obs))
+ SELECT product, variety, currency, condition, market, count(*) AS days, CASE WHEN count(gap) > 0 AND bool_and(gap >= 300) THEN 'anual' WHEN count(gap) > 0 AND bool_and(gap BETWEEN 25 AND 45) THEN 'mensual' ELSE 'diaria' END AS frequency FROM g GROUP BY ALL""")
 def series_frequency(spark, d):
-    days = observations(spark, d).filter("volume > 47 AND price_c % 7 = 0").select("product", "variety", "day").distinct()
-    gap = F.datediff("day", F.lag("day").over(Window.partitionBy("product", "variety").orderBy("day")))
-    g = days.withColumn("gap", gap).groupBy("product", "variety").agg(F.count("*").alias("days"), F.bool_and(F.col("gap") >= 300).alias("y"), F.bool_and(F.col("gap").between(25, 45)).alias("m"))
-    return g.select("product", "variety", "days", F.when(F.col("y"), "anual").when(F.col("m"), "mensual").otherwise("diaria").alias("frequency"))
+    """How often each series is observed, by the gaps between its days."""
+    return S.frequency(observations(spark, d), ["product", "variety", "currency", "condition", "market"], "day")
 
 
 @query("series_latest_revision", """WITH e AS (SELECT *, CAST(ts AS DATE) AS day, hour(ts) // 6 AS capture FROM events) SELECT event_id, user_id, event_type, day, CAST(capture AS INTEGER) AS capture FROM e QUALIFY capture = max(capture) OVER (PARTITION BY user_id, day)""", dates=("day",))

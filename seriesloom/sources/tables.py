@@ -67,6 +67,28 @@ def with_lineage(df: DataFrame) -> DataFrame:
     return df.withColumn("source_file", F.col("_metadata.file_path")).withColumn("source_block", F.col("_metadata.file_block_start"))
 
 
+def with_manifest(df: DataFrame, manifest: DataFrame, file: str = "source_file") -> DataFrame:
+    """Rows with what the manifest says of their file; files that it doesn't name keep nulls."""
+    return df.join(manifest.dropDuplicates([file]), file, "left")
+
+
+class EmptyLayer(ValueError):
+    """A layer table without rows."""
+
+
+def write_layer(df: DataFrame, root: str, layer: str, name: str) -> None:
+    """Write a table of a layer as JSON lines, unless it is empty; the stored one stays then."""
+    df = written(df)
+    if df.isEmpty():
+        raise EmptyLayer(f"{layer}/{name}")
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{root}/{layer}/{name}")
+
+
+def read_layer(spark: SparkSession, root: str, layer: str, name: str, schema: str) -> DataFrame:
+    """A table of a layer; ``schema`` is its DDL."""
+    return spark.read.schema(schema).json(f"{root}/{layer}/{name}")
+
+
 def map_headers(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
     """Columns under their standard names: an equal normalised header first, then a contained one."""
     plain = lambda x: "".join(c for c in x.lower().translate(str.maketrans("áéíóúñü", "aeiounu")) if c.isalnum())
@@ -125,34 +147,47 @@ class StaleWriter(ValueError):
 class Publication:
     """Versioned tables behind a pointer: a candidate that fails its gates leaves the last one in place.
 
-    The pointer is a one-row table of its own, appended to by each publication; readers
-    follow the newest row.
+    Every candidate is written to a folder of its own.  A version is a file named after it, which
+    holds that folder's name and is created only if absent: of two writers that publish at once one
+    gets the version, and the other one is refused with nothing of the first touched.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
 
+    def _path(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def version(self) -> int:
-        fs = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/pointer")
-        if not fs.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(fs):
-            return 0
-        return self.spark.read.schema("version int").parquet(f"{self.root}/pointer").agg(F.max("version")).first()[0] or 0
+        path, files = self._path("versions")
+        names = [x.getPath().getName() for x in files.listStatus(path)] if files.exists(path) else []
+        return max([int(n[1:]) for n in names if n[0] == "v" and n[1:].isdigit()], default=0)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/v{self.version()}/{name}")
+        folder = self.spark.read.text(f"{self.root}/versions/v{self.version()}").first().value
+        return self.spark.read.parquet(f"{self.root}/{folder}/{name}")
 
     def publish(self, tables: dict[str, DataFrame], check, built_on: int | None = None) -> int:
-        """Write all tables, run ``check(name, table)`` on what was written, then move the pointer."""
+        """Write all tables, run ``check(name, table)`` on what was written, then claim the next version."""
         now = self.version()
         if built_on is not None and built_on != now:
             raise StaleWriter(f"built on {built_on}, published is {now}")
-        new = now + 1
+        folder = f"tables-{uuid.uuid4().hex}"
         for name, df in tables.items():
-            df.write.mode("overwrite").parquet(f"{self.root}/v{new}/{name}")
+            df.write.parquet(f"{self.root}/{folder}/{name}")
         for name in tables:
-            check(name, self.spark.read.parquet(f"{self.root}/v{new}/{name}"))
-        self.spark.createDataFrame([(new,)], "version int").coalesce(1).write.mode("append").parquet(f"{self.root}/pointer")
-        return new
+            check(name, self.spark.read.parquet(f"{self.root}/{folder}/{name}"))
+        path, files = self._path(f"versions/v{now + 1}")
+        try:
+            out = files.create(path, False)
+        except Exception as e:
+            if files.exists(path):
+                raise StaleWriter(f"version {now + 1} was published meanwhile") from e
+            raise
+        out.writeBytes(folder)
+        out.close()
+        return now + 1
 
 
 def search_column(df: DataFrame, columns: list[str]) -> DataFrame:

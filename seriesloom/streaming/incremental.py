@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -59,6 +60,11 @@ class RepeatedContent(ValueError):
     """One identity came with two contents."""
 
 
+def conflicts(df: DataFrame, key: list[str], content: list[str]) -> DataFrame:
+    """Rows and distinct contents of each identity, and whether they stop a load."""
+    return df.groupBy(*key).agg(F.count("*").alias("rows"), F.countDistinct(*content).alias("contents")).withColumn("stops", F.col("contents") > 1)
+
+
 def fail_on_conflict(df: DataFrame, key: list[str], content: list[str]) -> DataFrame:
     """``df``, unless an identity has several contents."""
     if not df.groupBy(*key).agg(F.countDistinct(F.struct(*content)).alias("n")).filter("n > 1").isEmpty():
@@ -72,27 +78,33 @@ def _stored(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
 
 
-def accumulate(batch: DataFrame, table: str, key: list[str], content: list[str], order: list[str], counters: str | None = None, batch_id: int = 0) -> None:
-    """Append the first captures that ``table`` lacks; count repeats and conflicts.
+def accumulated_rows(spark: SparkSession, table: str, schema) -> DataFrame:
+    """The rows of a table that :func:`accumulate` has made."""
+    return _stored(spark, table, schema).drop("batch")
+
+
+def accumulate(batch: DataFrame, table: str, key: list[str], content: list[str], order: list[str], batch_id: int, counters: str | None = None) -> None:
+    """Add the first captures that ``table`` lacks; count repeats and conflicts.
 
-    A micro-batch that runs again finds its rows stored and appends nothing.
+    Each batch has a partition of its own.  A batch that runs again is compared with the other
+    batches' rows and writes the same rows and counters once more.
     """
     spark = batch.sparkSession
     state = two_way_duplicates(batch, key, content, order)
-    stored = _stored(spark, table, batch.schema)
+    stored = _stored(spark, table, T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])).filter(F.col("batch") != batch_id).drop("batch")
     first = state.filter("state = 'first'").drop("state")
     fresh = first.join(stored.select(*key), key, "left_anti").select(*batch.columns)
     if counters:
         known = state.join(stored.select(*key, F.struct(*content).alias("known_")), key, "left")
         kind = F.when(F.col("known_").isNull(), F.col("state")).when(F.col("known_") == F.struct(*content), "duplicate").otherwise("conflict")
         known.groupBy(kind.alias("state")).agg(F.count("*").alias("n")).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{counters}/batch={batch_id}")
-    fresh.write.mode("append").parquet(table)
+    fresh.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
 
 
 def accumulate_stream(stream: DataFrame, table: str, checkpoint: str, key: list[str], content: list[str], order: list[str], counters: str | None = None) -> StreamingQuery:
     """Structured Streaming form of :func:`accumulate`; late rows are taken whenever they come."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        accumulate(batch, table, key, content, order, counters, batch_id)
+        accumulate(batch, table, key, content, order, batch_id, counters)
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -47,13 +47,35 @@ def test_rates_as_of(spark):
 
 
 def test_matching_keeps_ambiguous_rows_apart(spark):
-    left = spark.createDataFrame([(1, "a", 10), (2, "a", 10), (3, "b", 5), (4, "C", 7)], "left_id int, k string, p int")
-    right = spark.createDataFrame([(11, "a", 10), (12, "b", 5), (13, "c", 7), (14, "d", 1)], "right_id int, k2 string, p2 int").withColumn("l2", F.lower("k2"))
+    left = spark.createDataFrame([(1, "a", 10), (2, "a", 10), (3, "b", 5), (4, "C", 7), (5, "z", 1)], "left_id long, k string, p int")
+    right = spark.createDataFrame([(11, "a", 10), (12, "b", 6), (13, "c", 7), (14, "d", 1)], "right_id long, k2 string, p2 int").withColumn("l2", F.lower("k2"))
     left = left.withColumn("l", F.lower("k"))
-    pairs, ambiguous, rest_left, rest_right = match.mutual_unique(left, right, [("exact", [("k", "k2")], F.col("p") == F.col("p2")), ("folded", [("l", "l2")], None)])
-    assert sorted((r.left_id, r.right_id, r.stage) for r in pairs.collect()) == [(3, 12, "exact"), (4, 13, "folded")]
-    assert sorted(r.left_id for r in ambiguous.collect()) == [1, 2]
-    assert rest_left.count() == 0 and [r.right_id for r in rest_right.collect()] == [14]
+    out = match.mutual_unique(left, right, [("exact", [("k", "k2")], ("p", "p2", 1)), ("folded", [("l", "l2")], None)]).collect()
+    got = {(r.side, r.id): (r.other_id, r.state, r.stage) for r in out}
+    assert got == {("left", 1): (None, "ambiguous", "exact"), ("left", 2): (None, "ambiguous", "exact"), ("right", 11): (None, "ambiguous", "exact"), ("left", 3): (12, "matched", "exact"), ("right", 12): (3, "matched", "exact"),
+                   ("left", 4): (13, "matched", "folded"), ("right", 13): (4, "matched", "folded"), ("left", 5): (None, "left over", None), ("right", 14): (None, "left over", None)}
+    rates = {(r.side, r.state): r.rate for r in match.match_rates(spark.createDataFrame(out, "side string, id long, other_id long, state string, stage string")).collect()}
+    assert rates["left", "ambiguous"] == 0.4 and rates["right", "left over"] == 0.25
+    folded = match.mutual_unique(left.filter("left_id < 3"), right.filter("right_id = 11"), [("folded", [("l", "l2")], None)]).collect()
+    assert {(r.side, r.id, r.state) for r in folded} == {("left", 1, "ambiguous"), ("left", 2, "ambiguous"), ("right", 11, "ambiguous")}
+    days = match.on_common_days(spark.createDataFrame([(1, "x"), (2, "y")], "i int, d string"), spark.createDataFrame([(3, "y"), (4, None)], "j int, e string"), "d", "e")
+    assert [[tuple(r) for r in x.collect()] for x in days] == [[(2, "y")], [(3, "y")], [(1, "x")], [(4, None)]]
+
+
+def test_labels_and_repairs(spark):
+    from seriesloom.functions import text, units
+
+    texts = ["  DE LA  o'higgins-DEL sur", "pan  DE da vinci", "-el y", None, "ÑANDÚ E ÍÑIGO"]
+    got = [r.t for r in spark.createDataFrame([(x,) for x in texts], "x string").select(text.title_case(F.col("x")).alias("t")).collect()]
+    assert got == ["De la O'Higgins-del Sur", "Pan de da Vinci", "-El y", None, "Ñandú e Íñigo"]
+    texts = ["MaÃ\u00adz\u00a0 20Â°", "none", "#ref!", " NaN ", "nada", ""]
+    got = [r.t for r in spark.createDataFrame([(x,) for x in texts], "x string").select(text.clean_text(F.col("x")).alias("t")).collect()]
+    assert got == ["Maíz 20°", None, None, None, "nada", None]
+    packs = [("bulto", "Cajon x 10,5 kg", 10.5, True), ("bulto", "CAJON X 10 KG", 12.0, False), ("bulto", "MAZO X 10 KG", 10.0, False), ("kg", "suelto", None, True), ("bulto", None, 5.0, False)]
+    df = spark.createDataFrame(packs, "unit string, pack string, kg double, want boolean")
+    assert all(r.want == r.got for r in df.withColumn("got", units.weight_validated(F.col("unit"), F.col("pack"), F.col("kg"))).collect())
+    places = [("Rosario / en  ORIGEN ", "en  ORIGEN"), ("En origen, puerto", ""), ("En destino", "En destino")]
+    assert all(r.want == r.got for r in spark.createDataFrame(places, "p string, want string").withColumn("got", units.delivery_basis(F.col("p"))).collect())
 
 
 def test_latest_revision_withdraws(spark):
@@ -94,6 +116,35 @@ def test_publication_keeps_the_last_valid(spark, tmp_path):
     with pytest.raises(tables.StaleWriter):
         p.publish({"t": spark.createDataFrame([(2,)], "v int")}, check, built_on=0)
 
+    def meanwhile(name, df):  # another writer publishes between the write and the claim
+        assert tables.Publication(spark, p.root).publish({"t": spark.createDataFrame([(7,)], "v int")}, check) == 2
+
+    with pytest.raises(tables.StaleWriter):
+        p.publish({"t": spark.createDataFrame([(3,)], "v int")}, meanwhile, built_on=1)
+    assert p.version() == 2 and [r.v for r in p.read("t").collect()] == [7]
+
+
+def test_three_markets_need_every_pair(spark):
+    rows = [("p", "A", "x", "01"), ("p", "B", None, "01"), ("p", "B", None, "02"), ("p", "C", "y", "01"), ("p", "C", "x", "01"), ("p", "C", "x", "02"), ("p", "A", "x", "02"), ("q", "A", "x", "01"), ("q", "B", "x", "02"), ("q", "C", "x", "01")]
+    df = spark.createDataFrame(rows, "k string, m string, a string, month string")
+    got = [(r.k, r.a_0, r.a_1, r.a_2, r.common_periods, r.rows) for r in match.comparable_combinations(df, ["k"], "m", ["a"], "month", ["A", "B", "C"]).collect()]
+    assert got == [("p", "x", None, "x", 2, 6)]  # x and y contradict each other though both fit the unknown
+
+
+def test_comparability_rules(spark):
+    from seriesloom.operators import audit
+
+    def verdict(*changes):
+        rows = [dict(m=m, currency="ARS", unit="kg", variety="v", pack="c", prec="D", grade="g") for m in ("A", "B")]
+        for k, name, value in changes:
+            rows[k][name] = value
+        df = spark.createDataFrame([tuple(r.values()) for r in rows], "m string, currency string, unit string, variety string, pack string, prec string, grade string").withColumn("k", F.lit(1))
+        return audit.comparability(df, ["k"], "m", ["A", "B"], "currency", "unit", "variety", "pack", "prec", ["variety", "grade"]).first().verdict
+
+    assert verdict() == "comparable" and verdict((1, "m", "A")) == "sin datos" and verdict((1, "currency", "USD")) == "moneda" and verdict((1, "currency", None)) == "moneda"
+    assert verdict((1, "unit", "t")) == "unidad" and verdict((0, "variety", "w")) == "variedad" and verdict((0, "pack", None)) == "presentacion" and verdict((0, "prec", "M")) == "frecuencia" and verdict((0, "grade", None)) == "dimensiones"
+
+
 
 def test_readers(spark, tmp_path):
     (tmp_path / "a.csv").write_text('Fecha;Precio $\n"2024\n01";"1;5"\n', encoding="latin-1")
@@ -116,7 +167,7 @@ def test_snapshots_accumulate_once(spark, tmp_path):
     run()
     spark.createDataFrame([("a", 2, 3), ("c", 7, 3), ("b", 5, 3)], schema).write.mode("append").parquet(src)
     run()
-    assert sorted(map(tuple, spark.read.parquet(out).collect())) == [("a", 1, 1), ("b", 5, 1), ("c", 7, 3)]
+    assert sorted(map(tuple, incremental.accumulated_rows(spark, out, schema).collect())) == [("a", 1, 1), ("b", 5, 1), ("c", 7, 3)]
     n = {(r.batch_id, r.state): r.n for r in spark.read.parquet(counters + "/batch=*").collect()}
     assert n == {(0, "first"): 2, (0, "duplicate"): 1, (1, "conflict"): 1, (1, "duplicate"): 1, (1, "first"): 1}
 

@@ -48,9 +48,11 @@ def test_deduplication_is_idempotent(spark):
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     out = str(tmp_path / "t")
     batch = spark.createDataFrame([("a", 1, 1), ("b", 2, 1)], "id string, price int, at int")
-    for _ in range(3):
-        incremental.accumulate(batch, out, ["id"], ["price"], ["at"])
-    assert spark.read.parquet(out).count() == 2
+    for k in (0, 0, 1, 0):  # one batch three times, and its rows in another batch
+        incremental.accumulate(batch, out, ["id"], ["price"], ["at"], k, str(tmp_path / "n"))
+    assert incremental.accumulated_rows(spark, out, batch.schema).count() == 2
+    got = {(r.batch, r.state, r.n) for r in spark.read.parquet(str(tmp_path / "n")).collect()}
+    assert got == {(0, "first", 2), (1, "duplicate", 2)}
 
 
 def test_upsert_twice_is_unchanged(spark):
