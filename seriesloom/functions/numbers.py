@@ -23,40 +23,50 @@ def bare(text: Column) -> Column:
     return F.regexp_replace(text, r"[^0-9.,\-]", "")
 
 
-def _decimal(t: Column, mark: str, rule: str) -> Column:
-    tail = F.length(F.regexp_extract(t, r"[.,]([0-9]*)$", 1))
-    if rule == "short":
-        return tail <= 2
-    if rule == "not3":
-        return tail != 3
-    if rule == "groups":
-        repeated = F.length(t) - F.length(F.replace(t, F.lit(mark), F.lit(""))) > 1
-        return ~repeated if mark == "," else ~t.rlike(r"^-?\d{1,3}(\.\d{3})+$")
-    return F.lit(True)
-
-
 def _read(t: Column, mark: str) -> Column:
     other = "." if mark == "," else ","
     return F.replace(F.replace(t, F.lit(other), F.lit("")), F.lit(mark), F.lit(".")).try_cast("double")
 
 
+def _parts(t: Column) -> dict[str, Column]:
+    """What the modes ask about digits, marks and sign, and the three ways to read them."""
+    return {
+        "comma": t.contains(","), "dot": t.contains("."), "tail": F.length(F.regexp_extract(t, r"[.,]([0-9]*)$", 1)), "comma_last": t.rlike(r",[^.,]*$"),
+        "commas": F.length(t) - F.length(F.replace(t, F.lit(","), F.lit(""))), "dot_groups": t.rlike(r"^-?\d{1,3}(\.\d{3})+$"),
+        "by_comma": _read(t, ","), "by_dot": _read(t, "."), "whole": F.replace(F.replace(t, F.lit("."), F.lit("")), F.lit(","), F.lit("")).try_cast("double"),
+    }
+
+
+def _by_mode(p: dict[str, Column], mode: str) -> Column:
+    comma_always, comma_rule, dot_rule = MODES[mode]
+    rule = {"short": p["tail"] <= 2, "not3": p["tail"] != 3, "decimal": F.lit(True)}
+    comma_decimal = p["commas"] <= 1 if comma_rule == "groups" else rule[comma_rule]
+    dot_decimal = ~p["dot_groups"] if dot_rule == "groups" else rule[dot_rule]
+    comma_last = F.lit(True) if comma_always else p["comma_last"]
+    return (
+        F.when(p["comma"] & p["dot"], F.when(comma_last, p["by_comma"]).otherwise(p["by_dot"]))
+        .when(p["comma"], F.when(comma_decimal, p["by_comma"]).otherwise(p["whole"]))
+        .when(p["dot"], F.when(dot_decimal, p["by_dot"]).otherwise(p["whole"]))
+        .otherwise(p["whole"])
+    )
+
+
 def parse_number(text: Column, mode: str) -> Column:
     """Number in ``text`` by a lenient mode, or by ``strict_ar``/``strict_us``; null if unreadable."""
     if mode.startswith("strict_"):
         style = mode[7:]
         t = F.trim(text)
         return F.when(t.rlike(STRICT[style]), _read(t, "," if style == "ar" else "."))
-    comma_always, comma_rule, dot_rule = MODES[mode]
-    t = bare(text)
-    comma, dot = t.contains(","), t.contains(".")
-    last_comma = F.lit(True) if comma_always else t.rlike(r",[^.,]*$")
-    whole = F.replace(F.replace(t, F.lit("."), F.lit("")), F.lit(","), F.lit("")).try_cast("double")
-    return (
-        F.when(comma & dot, F.when(last_comma, _read(t, ",")).otherwise(_read(t, ".")))
-        .when(comma, F.when(_decimal(t, ",", comma_rule), _read(t, ",")).otherwise(whole))
-        .when(dot, F.when(_decimal(t, ".", dot_rule), _read(t, ".")).otherwise(whole))
-        .otherwise(whole)
-    )
+    return _by_mode(_parts(bare(text)), mode)
+
+
+def parse_numbers(df: DataFrame, text: str, modes: list[str]) -> DataFrame:
+    """Adds a column for each lenient mode; texts are cleaned and taken apart once for all of them."""
+    kept = df.columns
+    once = df.withColumn("bare_", bare(F.col(text)))
+    once = once.select(*kept, *[c.alias(f"{name}_") for name, c in _parts(F.col("bare_")).items()])
+    parts = {name: F.col(f"{name}_") for name in _parts(F.lit(""))}
+    return once.select(*kept, *[_by_mode(parts, mode).alias(mode) for mode in modes])
 
 
 def table_style(df: DataFrame, table: str, text: str) -> DataFrame:

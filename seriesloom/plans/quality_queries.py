@@ -48,7 +48,8 @@ def _sql_mode(mode):
 
 @query("clean_numbers", f"""WITH {RAW} SELECT k, line, raw, {', '.join(f'{_sql_mode(m)} AS {m}' for m in N.MODES)}, {', '.join(f"CASE WHEN regexp_matches(trim(raw), '{N.STRICT[s]}') THEN {_sql_read('trim(raw)', ',' if s == 'ar' else '.')} END AS strict_{s}" for s in N.STRICT)} FROM (SELECT *, regexp_replace(raw, '[^0-9.,\\-]', '', 'g') AS b FROM raw)""")
 def clean_numbers(spark, d):
-    return raw_numbers(spark, d).select("k", "line", "raw", *[N.parse_number(F.col("raw"), m).alias(m) for m in N.MODES], *[N.parse_number(F.col("raw"), f"strict_{s}").alias(f"strict_{s}") for s in N.STRICT])
+    numbers = N.parse_numbers(raw_numbers(spark, d).select("k", "line", "raw"), "raw", list(N.MODES))
+    return numbers.select("*", *[N.parse_number(F.col("raw"), f"strict_{s}").alias(f"strict_{s}") for s in N.STRICT])
 
 
 @query("clean_table_style", f"""WITH {RAW}, t AS (SELECT line % 7 AS t, bool_and(regexp_matches(raw, '{N.STRICT['ar']}')) AS ar, bool_and(regexp_matches(raw, '{N.STRICT['us']}')) AS us FROM raw GROUP BY ALL)
