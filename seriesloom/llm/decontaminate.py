@@ -8,8 +8,9 @@ over all documents.  Documents' shingles are joined with the prefix shingles; le
 and positional bounds drop starts at which the window can't fit; what is left is
 verified word by word over the item-sized window.
 
-Defined results: null or empty texts have no words; an item without words has no
-window; rows with a null item id mark words as hit but aren't listed; repeated items
+Defined results: null or empty texts have no words; texts of any length are read whole; an item
+without words has no window; of a window's shingles that are equally rare the one with the least hash,
+then the first is its prefix; rows with a null item id mark words as hit but aren't listed; repeated items
 are listed once; repeated document rows each get a row; other columns of either table
 are ignored, so their names can't clash.
 """
@@ -24,9 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.llm import textkit as K
+from seriesloom.sources.tables import written
 
-#: Words of the benchmark that one broadcast index holds; a larger benchmark is joined in
-#: blocks of items of about this size, each against all documents.
+#: Words of distinct windows that one broadcast index holds; a larger benchmark is joined in
+#: blocks of windows of about this size, each against all documents.
 INDEX_WORDS = 1_000_000
 #: Words of a shingle within a window.
 SHINGLE = 3
@@ -34,7 +36,7 @@ _FLAGS = 1 << 20
 
 
 class _Index:
-    """Windows of one block of items, in arrays of bounded size."""
+    """One block of windows, in arrays of bounded size."""
 
     def __init__(self, items: list[tuple[str | None, np.ndarray]], size: int):
         self.size = size
@@ -102,21 +104,34 @@ def _flags(among: np.ndarray) -> np.ndarray:
     return flags
 
 
-def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo, hi, buf, offs in K.chunks(batch.column(1)):
-            start, end, doc = K.words(buf, offs, K.ALNUM)
-            hashes = K.span_hashes(buf, start, end, True).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), K.list_array(hashes, np.bincount(doc, minlength=hi - lo), pa.int64())], ["item", "words"])
+def _window_rows(size: int):
+    """(item, words): each window of each item, as word hashes."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, buf, offs in K.chunks(batch.column(1)):
+                start, end, doc = K.words(buf, offs, K.ALNUM)
+                hashes = K.span_hashes(buf, start, end, True).view(np.int64)
+                count = np.bincount(doc, minlength=hi - lo)
+                windows = np.where(count > 0, np.maximum(1, count - size + 1), 0)
+                own = np.repeat(np.arange(hi - lo), windows)
+                at = np.arange(len(own)) - np.repeat(np.cumsum(windows) - windows, windows) + (np.cumsum(count) - count)[own]
+                length = np.minimum(count[own], size)
+                for k in range(0, len(own), 1 << 16):
+                    part = slice(k, k + (1 << 16))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(own[part])), K.list_array(K.take_pieces(hashes, at[part], length[part]), length[part], pa.int64())], ["item", "words"])
+
+    return K.tidied(rows)
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, size: int, index_words: int) -> Iterator[_Index]:
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).mapInArrow(_word_rows, "item string, words array<bigint>")
-    total = items.agg(F.sum(F.size("words"))).first()[0] or 0
-    n = -(-total // index_words) or 1
-    block = F.pmod(F.xxhash64(F.coalesce("item", F.lit("")), "words"), F.lit(n))
+    """Distinct windows with the items that own them, in blocks by the windows' hash: neither a
+    repeated item nor a very long one makes a block larger."""
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
+    windows = written(items.mapInArrow(_window_rows(size), "item string, words array<bigint>").distinct())
+    n = -(-windows.select("words").distinct().count() * size // index_words) or 1
     for i in range(n):
-        rows = items.filter((block == i) & (F.size("words") > 0)).collect()
+        rows = windows.filter(F.pmod(F.xxhash64("words"), F.lit(n)) == i).collect()
         yield _Index([(r.item, np.array(r.words, dtype=np.int64).view(np.uint64)) for r in rows], size)
 
 
@@ -248,6 +263,9 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
         found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
     spans = F.array_sort(F.arrays_zip(F.col("hit_start").alias("start"), F.col("hit_end").alias("end")))
     total = F.aggregate("spans", F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("end")), lambda a, x: F.struct((a.n + F.greatest(F.lit(0).cast("bigint"), x.end - F.greatest(x.start, a.end))).alias("n"), F.greatest(a.end, x.end).alias("end")), lambda a: a.n)
+    if len(parts) > 1:  # spans of several blocks may touch
+        joined = lambda done, x: F.when((F.size(done) > 0) & (x.start <= F.element_at(done, -1).end), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(F.element_at(done, -1).start.alias("start"), F.greatest(F.element_at(done, -1).end, x.end).alias("end"))))).otherwise(F.concat(done, F.array(x)))
+        spans = F.aggregate(spans, F.array().cast("array<struct<start:bigint,end:bigint>>"), joined)
     items = F.array_sort(F.array_distinct("items"))
     found = found.select("doc_id", "n_words", spans.alias("spans"), items.alias("items"))
     return found.withColumn("n_hit", total).select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), "items", "spans", (F.col("n_hit") > 0).alias("contaminated"))

@@ -59,6 +59,7 @@ def test_jaccard_equals_brute_force(spark, monkeypatch, seed, block, most):
     monkeypatch.setattr(N, "BLOCK_GRAMS", block)
     monkeypatch.setattr(N, "BLOCK_MEMBERS", 20 if seed == 2 else 1000)
     monkeypatch.setattr(N.bloom, "MOST", most)
+    monkeypatch.setattr(N, "HOT_CLASS", 120 if seed == 1 else 20)
     pick = random.Random(seed)
     words = [f"w{i}" for i in range(400)]
     base, passage, docs = [pick.choice(words) for _ in range(150)], [pick.choice(words) for _ in range(40)], []
@@ -104,7 +105,8 @@ def test_decontamination_cases(spark, docs, empty):
     items = spark.createDataFrame([(1, "zeta ETA theta iota kappa lambda mu nu xi omicron", 0), (1, "zeta ETA theta iota kappa lambda mu nu xi omicron", 0), (10, "UNO, dos", 0), (2, None, 0), (3, "", 0), (None, "ñandú", 0)], "item_id bigint, text string, words int")
     got = {(r.doc_id, r.n_words, r.n_hit, tuple(r["items"]), r.contaminated) for r in decontaminate(docs, items).collect()}
     assert {(1, 17, 10, ("1",), True), (None, 17, 10, ("1",), True), (3, 0, 0, (), False), (5, 2, 2, ("10",), True), (8, 2, 1, (), True), (7, 0, 0, (), False)} <= got
-    one, many = (sorted(((r.doc_id, r.n_hit, tuple(r["items"])) for r in decontaminate(docs, items, index_words=k).collect()), key=str) for k in (10**6, 3))
+    long = items.unionByName(spark.createDataFrame([(7, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi", 0)], items.schema))
+    one, many = (sorted(((r.doc_id, r.n_hit, tuple(r["items"]), tuple(r.spans)) for r in decontaminate(docs, long, index_words=k).collect()), key=str) for k in (10**6, 3))
     assert one == many and len(one) == docs.count()  # several blocks give the same rows
     assert sorted((r.doc_id for r in without_contaminated(docs, items).collect()), key=str) == sorted([3, 4, None, 6, 7], key=str)
     assert decontaminate(empty, items).count() == 0 and decontaminate(docs, items.limit(0)).filter("contaminated").count() == 0
@@ -169,7 +171,8 @@ def plain_pieces(text):
     return out
 
 
-def test_passages_inside_long_lines_are_found(spark):
+def test_passages_inside_long_lines_are_found(spark, monkeypatch):
+    monkeypatch.setattr("seriesloom.llm.line_dedup.HOT", 3)
     pick = random.Random(3)
     words = [f"{'abcdefghij'[i % 10] * (1 + i % 7)}{i}" for i in range(3000)]
     passage = [pick.choice(words) for _ in range(60)]
