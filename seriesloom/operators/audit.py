@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seriesloom.operators.quality import reasons
+
 
 def levels(df: DataFrame, sets: list[list[str]], names: list[str], aggs: list[Column]) -> DataFrame:
     """One report over several grouping sets, with the set's name as ``level``."""
@@ -92,3 +94,32 @@ def breakdown(df: DataFrame, dims: list[str]) -> DataFrame:
 def joined(column: str, sep: str = " | ") -> Column:
     """Distinct values in order, joined."""
     return F.array_join(F.array_sort(F.collect_set(F.col(column).cast("string"))), sep)
+
+
+def yearly_diagnostic(df: DataFrame, by: list[str], month: str, item: str, lacks: Column, least: int, share: float) -> DataFrame:
+    """Rows, months and items of each part, and why it isn't fit: months missing, few rows, or more than
+    ``share`` of the rows lacking something."""
+    g = df.groupBy(*by).agg(F.count("*").alias("n"), F.countDistinct(month).alias("months"), F.countDistinct(item).alias("products"), (F.count_if(lacks).cast("double") / F.count("*")).alias("lacking"))
+    return g.withColumn("reasons", reasons({"meses incompletos": F.col("months") < 12, "pocas filas": F.col("n") < least, "kg faltantes": F.col("lacking") > share}))
+
+
+def label_inventory(df: DataFrame, dimension: str, raw: str, key: Column, source: str) -> DataFrame:
+    """Every spelling of a dimension with its key, rows and sources, and the spellings that share the key."""
+    k = df.groupBy(dimension, raw, key.alias("key")).agg(F.count("*").alias("n"), F.countDistinct(source).alias("sources"))
+    return k.withColumn("variants", F.count("*").over(Window.partitionBy(dimension, "key")))
+
+
+def day_coverage(df: DataFrame, day: str, first: str, last: str, item: str, value: str, least: int) -> DataFrame:
+    """Every calendar day with its rows, items and range, and whether it is observed, unverified or empty."""
+    calendar = df.sparkSession.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias(day))
+    g = df.groupBy(day).agg(F.count("*").alias("n"), F.countDistinct(item).alias("products"), F.min(value).alias("low"), F.max(value).alias("high"))
+    status = F.when(F.col("n").isNull(), "sin filas").when(F.col("n") < least, "sin verificar").otherwise("observado")
+    zero = F.lit(0).cast("bigint")
+    return calendar.join(g, day, "left").select(day, F.coalesce("n", zero).alias("n"), F.coalesce("products", zero).alias("products"), "low", "high", status.alias("status"))
+
+
+def summary_vs_details(df: DataFrame, by: list[str], is_summary: Column, value: str) -> DataFrame:
+    """A part's summary row against the mean of its detail rows."""
+    one, rest = F.when(is_summary, F.col(value)), F.when(~is_summary, F.col(value))
+    g = df.groupBy(*by).agg(F.max(one).cast("double").alias("summary"), (F.sum(rest).cast("double") / F.nullif(F.count(rest), F.lit(0))).alias("detail"))
+    return g.withColumn("difference", F.col("summary") - F.col("detail"))

@@ -177,3 +177,48 @@ def embedded_varieties(df: DataFrame, product: str, variety: str) -> DataFrame:
     parts = F.split("name", " ")
     cut = cut.select("name", F.array_join(F.slice(parts, F.lit(1), F.col("k")), " ").alias("base"), F.array_join(F.slice(parts, F.col("k") + 1, F.size(parts)), " ").alias("variety"))
     return cut.join(bases, "base").join(varieties, "variety").select(F.col("name").alias("product"), "base", "variety")
+
+
+def share_of_totals(parts: DataFrame, totals: DataFrame, key: list[str], value: str, total: str) -> DataFrame:
+    """Parts as shares of a total from another source; null where a key has several totals, or none."""
+    one = totals.groupBy(*key).agg(F.sum(total).alias("total_"), F.count("*").alias("k_")).filter("k_ = 1").drop("k_")
+    return parts.join(one, key, "left").withColumn("share", F.when(F.col("total_") > 0, F.col(value).cast("double") / F.col("total_"))).drop("total_")
+
+
+def year_ago(df: DataFrame, dims: list[str], index: str, value: str, lag: int = 12) -> DataFrame:
+    """Change of each row from the only row of its series ``lag`` periods before."""
+    base = df.groupBy(*dims, (F.col(index) + lag).alias(index)).agg(F.when(F.count("*") == 1, F.max(value)).alias("base_"))
+    return df.join(base, [*dims, index], "left").withColumn("variation", F.when(F.col("base_") > 0, (F.col(value) / F.col("base_") - 1) * 100)).drop("base_")
+
+
+def source_coverage(found: DataFrame, table: DataFrame, key: list[str], month: str, item: str) -> DataFrame:
+    """Whether a table includes what was found in a source: rows of both and a status by months,
+    items and rows."""
+    sets = lambda df, a, b, n: df.groupBy(*key).agg(F.collect_set(month).alias(a), F.collect_set(item).alias(b), F.count("*").alias(n))
+    j = sets(found, "ms_", "ps_", "n").join(sets(table, "tm_", "tp_", "tn"), key, "left")
+    full = (F.size(F.array_except("ms_", "tm_")) == 0) & (F.size(F.array_intersect("ps_", "tp_")) >= 0.9 * F.size("ps_")) & (F.col("n").cast("double") / F.col("tn")).between(0.8, 1.2)
+    status = F.when(F.col("tn").isNull(), "AUSENTE").when(full, "INCLUIDO").when(F.size(F.array_intersect("ms_", "tm_")) > 0, "PARCIAL").otherwise("INCIERTO")
+    return j.select(*key, "n", "tn", status.alias("status"))
+
+
+def freshness_state(checks: DataFrame, attempts: DataFrame, key: list[str], time: str, kind: str, tie: str, name: str) -> DataFrame:
+    """Per key: when it was last seen, and the latest state: ``name`` if a check is newer, else the attempt's."""
+    a = checks.groupBy(*key).agg(F.max(time).alias("prev_"))
+    b = attempts.groupBy(*key).agg(F.max(time).alias("newest_"), F.max_by(kind, F.struct(time, tie)).alias("attempt_"))
+    state = F.when(F.col("newest_").isNull() | (F.col("prev_") > F.col("newest_")), name).otherwise(F.col("attempt_"))
+    return a.join(b, key, "full").select(*key, F.greatest("prev_", "newest_").alias("last_seen"), state.alias("state"))
+
+
+def pick_source(df: DataFrame, item: str, source: str, period: str, least: int, preference: Column) -> DataFrame:
+    """Rows of the one source of each item: the latest, then the one of more than ``least`` periods, then by preference."""
+    s = df.groupBy(item, source).agg(F.max(period).alias("latest_"), (F.countDistinct(period) > least).alias("active_"))
+    pick = s.groupBy(item).agg(F.max_by(source, F.struct("latest_", "active_", preference)).alias(source))
+    return df.join(pick, [item, source], "left_semi")
+
+
+def legacy_coverage(legacy: DataFrame, official: DataFrame, key: list[str], value: str, by: list[str]) -> DataFrame:
+    """Keys of the old source, those that the new one covers, gaps, differing values, and whether it may retire."""
+    a = legacy.groupBy(*key).agg(F.min(value).alias("old_"))
+    b = official.groupBy(*key).agg(F.min(value).alias("new_")).filter("new_ > 0")
+    j = a.join(b, key, "left").groupBy(*by).agg(F.count("*").alias("keys"), F.count("new_").alias("covered"), F.count_if(F.col("old_") != F.col("new_")).alias("different"))
+    return j.withColumn("gaps", F.col("keys") - F.col("covered")).withColumn("retire", F.col("gaps") == 0)

@@ -126,3 +126,50 @@ def expected_counts(df: DataFrame, expected: DataFrame, by: list[str], identity:
     only one side has aren't good."""
     g = df.groupBy(*by).agg(F.countDistinct(identity).alias("n"), F.countDistinct(period).alias("months")).join(expected, by, "full")
     return g.withColumn("good", F.coalesce((F.col("n") == F.col("expected")) & (F.col("months") == periods), F.lit(False)))
+
+
+def unit_fanout(df: DataFrame, price: str, units: dict[str, float], positive_only: list[str]) -> DataFrame:
+    """One row for each unit (its name and what the price is divided by); units in ``positive_only``
+    need a positive price."""
+    p = F.col(price).cast("double")
+    rows = [F.struct(F.lit(name).alias("unit"), (p if by == 1 else p / by).alias("price")) for name, by in units.items()]
+    rows = [F.when(p > 0, row) if name in positive_only else row for name, row in zip(units, rows)]
+    return df.select(*[c for c in df.columns if c not in (price, "price", "unit")], F.inline(F.array_compact(F.array(*rows))))
+
+
+def stable_ids(df: DataFrame, dims: list[str], day: str, identity: list[str], order: list[str]) -> DataFrame:
+    """Adds series_id and observation_id, hashes of the dimensions and of these with the day, and the
+    row's number among those of one identity."""
+    out = df.withColumn("series_id", F.sha2(F.concat_ws("|", *dims), 256))
+    out = out.withColumn("observation_id", F.sha2(F.concat_ws("|", "series_id", F.col(day).cast("string")), 256))
+    return out.withColumn("occurrence", F.row_number().over(Window.partitionBy(*identity).orderBy(*order)).cast("bigint"))
+
+
+def zero_cause(raw: Column, cancelled: list[str], no_price: list[str]) -> Column:
+    """Why a price text gives no price: empty, cancelled, words for no price, unreadable, or zero."""
+    number = raw.try_cast("double")
+    return F.when(raw.isNull() | (raw == ""), "vacio").when(raw.isin(*cancelled), "anulacion").when(raw.isin(*no_price), "texto sin precio").when(number.isNull(), "error de lectura").when(number == 0, "cero explicito").otherwise("con precio")
+
+
+def future_rows(df: DataFrame, by: list[str], day: str, as_of: str) -> DataFrame:
+    """Rows up to ``as_of``, rows after it, and the last day kept."""
+    seen = F.col(day) <= F.lit(as_of).cast("date")
+    return df.groupBy(*by).agg(F.count_if(seen).alias("kept"), F.count_if(~seen).alias("future"), F.max(F.when(seen, F.col(day))).cast("string").alias("last_kept"))
+
+
+def trailing_months(df: DataFrame, day: str, months: int) -> DataFrame:
+    """Rows of the last months before the table's last day."""
+    return df.filter(F.col(day) >= df.agg(F.add_months(F.max(day), -months)).scalar())
+
+
+def compatible(column: Column, allowed: list[str]) -> Column:
+    """Whether a value is among the allowed ones or unknown."""
+    return column.isNull() | column.isin(*allowed)
+
+
+def split_variety(df: DataFrame, rules: DataFrame, name: str, stated: str) -> DataFrame:
+    """Product and variety where a rule (name, base, embedded) splits the name and the stated variety,
+    if any, agrees; else as they are."""
+    j = df.join(rules, name, "left")
+    fits = F.col("embedded").isNotNull() & (F.col(stated).isNull() | (F.col(stated) == F.col("embedded")))
+    return j.withColumn("product", F.when(fits, F.col("base")).otherwise(F.col(name))).withColumn("variety", F.when(fits, F.col("embedded")).otherwise(F.col(stated))).withColumn("was_split", fits).drop("base", "embedded")

@@ -37,3 +37,23 @@ def stratified_sample(df: DataFrame, dims: list[str], order: list[str], n: int)
         part = ranked(df, [F.col(o) for o in order], n, [c]).select(*df.columns)
         chosen = part if chosen is None else chosen.unionByName(part)
     return chosen.distinct()
+
+
+def concentration(df: DataFrame, by: str, item: str, value: str, n: int) -> DataFrame:
+    """Share of the ``n`` largest items of each part."""
+    g = df.groupBy(by, item).agg(F.sum(value).alias("v_"))
+    g = g.withColumn("r_", F.row_number().over(Window.partitionBy(by).orderBy(F.desc("v_"), item)))
+    return g.groupBy(by).agg((F.sum(F.when(F.col("r_") <= n, F.col("v_"))).cast("double") / F.sum("v_")).alias("share"))
+
+
+def heat_matrix(df: DataFrame, item: str, column: Column, columns: list, value: str, n: int) -> DataFrame:
+    """Sums of the ``n`` largest items by item and column."""
+    first = top(df, [item], F.sum(value), n).select(item)
+    return df.withColumn("column_", column).join(first, item, "left_semi").groupBy(item).pivot("column_", columns).agg(F.sum(value))
+
+
+def season_classes(df: DataFrame, dims: list[str], season: Column, value: str) -> DataFrame:
+    """Peak, active and low seasons of each series, by the share of its peak."""
+    g = df.groupBy(*dims, season).agg(F.sum(value).alias("v_"))
+    peak = F.max("v_").over(Window.partitionBy(*dims))
+    return g.withColumn("class", seasonality(F.col("v_").cast("double") / peak)).drop("v_")

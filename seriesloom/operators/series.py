@@ -196,3 +196,54 @@ def merge_history(daily: DataFrame, monthly: DataFrame, current: DataFrame, dims
         before = merged.select(*dims, (F.col("month_idx") + k).alias("month_idx"), F.col("median").alias(f"before_{k}"))
         merged = merged.join(before, key, "left").withColumn(f"change_{k}", F.when(F.col("target_"), F.when(F.col(f"before_{k}") > 0, change(F.col("median"), F.col(f"before_{k}")))).otherwise(F.col(f"change_{k}"))).drop(f"before_{k}")
     return merged.select(*key, "median", "change_1", "change_12", F.coalesce("target_", F.lit(False)).alias("recomputed"))
+
+
+def span_totals(df: DataFrame, dims: list[str], year: str, index: str, value: str) -> DataFrame:
+    """Year to date where no month is missing, and the same span of the year before; one row a month."""
+    w = Window.partitionBy(*dims, year).orderBy(index)
+    whole = F.count("*").over(w) == F.col(index) % 12 + 1
+    y = df.withColumn("ytd", F.when(whole, F.sum(value).over(w)))
+    back = Window.partitionBy(*dims).orderBy(index).rangeBetween(-12, -12)
+    return y.select(*dims, index, value, "ytd", F.when(F.col("ytd").isNotNull(), F.max("ytd").over(back)).alias("ytd_before"))
+
+
+def seasonal_reference(df: DataFrame, dims: list[str], year: str, month: str, value: str, before: int, years: int = 5, least: int = 3) -> DataFrame:
+    """Mean and range of each calendar month over the last whole years before ``before``; one row a month."""
+    whole = df.filter(F.col(year) < before).groupBy(*dims, year).agg(F.count("*").alias("k_")).filter("k_ = 12")
+    used = whole.withColumn("r_", F.row_number().over(Window.partitionBy(*dims).orderBy(F.desc(year)))).filter(F.col("r_") <= years).select(*dims, year)
+    return df.join(used, [*dims, year]).groupBy(*dims, month).agg(F.count("*").alias("years"), mean(value).alias("mean"), F.min(value).alias("low"), F.max(value).alias("high")).filter(F.col("years") >= least)
+
+
+def share_points(df: DataFrame, index: str, item: str, value: str, lag: int = 12) -> DataFrame:
+    """Shares in a period, and their change in points from ``lag`` periods before where both have the
+    same items; one row for each period and item."""
+    w = Window.partitionBy(index)
+    s = df.select(index, item, (F.col(value).cast("double") / F.sum(value).over(w)).alias("share"), F.count("*").over(w).alias("k_"))
+    b = s.select((F.col(index) + lag).alias(index), item, F.col("share").alias("before_"), F.col("k_").alias("kb_"))
+    j, matched = s.join(b, [index, item], "left"), F.count("before_").over(w)
+    return j.select(index, item, "share", F.when((matched == F.col("k_")) & (matched == F.max("kb_").over(w)), (F.col("share") - F.col("before_")) * 100).alias("points"))
+
+
+def month_matrix(df: DataFrame, row: str, month: str, value: str, least: int = 3) -> DataFrame:
+    """Months as columns m1 to m12 and changes v2 to v12; rows of fewer than ``least`` months go."""
+    p = df.groupBy(row).pivot(month, list(range(1, 13))).agg(F.first(value)).join(df.groupBy(row).count().filter(F.col("count") >= least).drop("count"), row)
+    return p.select(row, *[F.col(str(k)).alias(f"m{k}") for k in range(1, 13)], *[change(F.col(str(k)), F.col(str(k - 1))).alias(f"v{k}") for k in range(2, 13)])
+
+
+def year_grid(df: DataFrame, year: str, month: str, value: str) -> DataFrame:
+    """Years by months, scaled to 0 to 1 over all cells; one row for each year and month."""
+    edge = df.agg(F.min(value).alias("low"), F.max(value).alias("high")).first()
+    span = F.nullif(F.lit(edge.high) - F.lit(edge.low), F.lit(0).cast("bigint"))
+    p = df.withColumn("x_", (F.col(value) - F.lit(edge.low)).cast("double") / span).groupBy(year).pivot(month, list(range(1, 13))).agg(F.max("x_"))
+    return p.select(year, *[F.col(str(k)).alias(f"m{k}") for k in range(1, 13)])
+
+
+def carry_forward(df: DataFrame, partition: list[str], order: str, column: str) -> Column:
+    """The last value of ``column`` that isn't null, up to the row."""
+    return F.last(column, ignorenulls=True).over(Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+
+
+def latest_metrics(df: DataFrame, item: str, period: str, metrics: dict[str, Column]) -> DataFrame:
+    """Metrics of each item in the last period."""
+    last = df.agg(F.max(period).alias(period))
+    return df.join(last, period, "left_semi").groupBy(item).agg(*[c.alias(n) for n, c in metrics.items()])

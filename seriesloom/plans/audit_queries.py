@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from seriesloom.operators import audit as A
+from seriesloom.operators import figures as G
 from seriesloom.operators import rank as R
 from seriesloom.operators import series as S
 from seriesloom.operators.quality import reasons
@@ -76,9 +77,8 @@ def audit_packages(spark, d):
 
 @query("audit_yearly_diagnostic", f"""WITH {OBS}, g AS (SELECT market, year, count(*) AS n, count(DISTINCT month) AS months, count(DISTINCT product) AS products, CAST(count(*) FILTER (WHERE volume % 9 = 0) AS DOUBLE) / count(*) AS no_kg FROM obs GROUP BY ALL) SELECT market, year, n, months, products, concat_ws('; ', CASE WHEN months < 12 THEN 'meses incompletos' END, CASE WHEN n < 2000 THEN 'pocas filas' END, CASE WHEN no_kg > 0.1 THEN 'kg faltantes' END) AS reasons FROM g""")
 def audit_yearly_diagnostic(spark, d):
-    g = observations(spark, d).groupBy("market", "year").agg(F.count("*").alias("n"), F.countDistinct("month").alias("months"), F.countDistinct("product").alias("products"), (F.count_if(F.col("volume") % 9 == 0).cast("double") / F.count("*")).alias("no_kg"))
-    why = reasons({"meses incompletos": F.col("months") < 12, "pocas filas": F.col("n") < 2000, "kg faltantes": F.col("no_kg") > 0.1})
-    return g.select("market", "year", "n", "months", "products", F.array_join(why, "; ").alias("reasons"))
+    g = A.yearly_diagnostic(observations(spark, d), ["market", "year"], "month", "product", F.col("volume") % 9 == 0, 2000, 0.1)
+    return g.select("market", "year", "n", "months", "products", F.array_join("reasons", "; ").alias("reasons"))
 
 
 @query("audit_counters", f"""WITH {OBS}, k AS (SELECT count(*) - count(DISTINCT (event_id, line)) AS repeats FROM obs) SELECT count(*) AS rows, count(*) FILTER (WHERE day IS NULL) AS invalid_dates, count(*) FILTER (WHERE day > DATE '{_AS_OF}') AS future_dates, count(*) FILTER (WHERE price_c IS NULL) AS missing_prices, count(*) FILTER (WHERE price_c = 0) AS zero_prices, count(*) FILTER (WHERE price_c < 0) AS negative_prices, count(*) FILTER (WHERE product IS NULL OR market IS NULL) AS missing_fields, any_value(repeats) AS repeats, CASE WHEN count(*) FILTER (WHERE price_c IS NULL OR price_c < 0) > 0 THEN 'error' WHEN count(*) FILTER (WHERE day > DATE '{_AS_OF}') > 0 OR any_value(repeats) > 0 THEN 'con avisos' ELSE 'ok' END AS status FROM obs, k""")
@@ -102,25 +102,19 @@ def audit_analytic_base(spark, d):
 @query("audit_label_inventory", """WITH u AS (SELECT 'name' AS dimension, p_name AS raw, p_brand AS source FROM part UNION ALL SELECT 'type', p_type, p_brand FROM part), k AS (SELECT dimension, raw, lower(split_part(raw, ' ', 1)) AS key, count(*) AS n, count(DISTINCT source) AS sources FROM u GROUP BY ALL) SELECT k.dimension, k.raw, k.key, n, sources, v.variants FROM k JOIN (SELECT dimension, key, count(*) AS variants FROM k GROUP BY ALL) v ON k.dimension = v.dimension AND k.key = v.key""")
 def audit_label_inventory(spark, d):
     u = table(spark, d, "part").select("p_brand", F.col("p_name").alias("name"), F.col("p_type").alias("type")).unpivot("p_brand", ["name", "type"], "dimension", "raw")
-    k = u.groupBy("dimension", "raw", F.lower(F.split_part("raw", F.lit(" "), F.lit(1))).alias("key")).agg(F.count("*").alias("n"), F.countDistinct("p_brand").alias("sources"))
-    return k.withColumn("variants", F.count("*").over(Window.partitionBy("dimension", "key")))
+    return A.label_inventory(u, "dimension", "raw", F.lower(F.split_part("raw", F.lit(" "), F.lit(1))), "p_brand")
 
 
 @query("audit_day_coverage", f"""WITH {OBS}, c AS (SELECT CAST(unnest(range(DATE '1997-01-01', DATE '1999-01-01', INTERVAL 1 DAY)) AS DATE) AS day), g AS (SELECT day, count(*) AS n, count(DISTINCT product) AS products, min(price_c) AS low, max(price_c) AS high FROM obs WHERE market = 'M0' AND volume > 30 GROUP BY day)
  SELECT c.day, coalesce(n, 0) AS n, coalesce(products, 0) AS products, low, high, CASE WHEN n IS NULL THEN 'sin filas' WHEN n < 3 THEN 'sin verificar' ELSE 'observado' END AS status FROM c LEFT JOIN g USING (day)""", dates=("day",))
 def audit_day_coverage(spark, d):
-    calendar = spark.sql("SELECT explode(sequence(DATE'1997-01-01', DATE'1998-12-31')) AS day")
-    g = observations(spark, d).filter("market = 'M0' AND volume > 30").groupBy("day").agg(F.count("*").alias("n"), F.countDistinct("product").alias("products"), F.min("price_c").alias("low"), F.max("price_c").alias("high"))
-    status = F.when(F.col("n").isNull(), "sin filas").when(F.col("n") < 3, "sin verificar").otherwise("observado")
-    zero = F.lit(0).cast("bigint")
-    return calendar.join(g, "day", "left").select("day", F.coalesce("n", zero).alias("n"), F.coalesce("products", zero).alias("products"), "low", "high", status.alias("status"))
+    o = observations(spark, d).filter("market = 'M0' AND volume > 30")
+    return A.day_coverage(o, "day", "1997-01-01", "1998-12-31", "product", "price_c", 3)
 
 
 @query("audit_summary_vs_details", f"""WITH {OBS}, g AS (SELECT product, month, CAST(max(CASE WHEN market = 'M0' THEN price_c END) AS DOUBLE) AS summary, CAST(sum(CASE WHEN market <> 'M0' THEN price_c END) AS DOUBLE) / nullif(count(CASE WHEN market <> 'M0' THEN 1 END), 0) AS detail FROM obs GROUP BY ALL) SELECT *, summary - detail AS difference FROM g""")
 def audit_summary_vs_details(spark, d):
-    one, rest = F.when(F.col("market") == "M0", F.col("price_c")), F.when(F.col("market") != "M0", F.col("price_c"))
-    g = observations(spark, d).groupBy("product", "month").agg(F.max(one).cast("double").alias("summary"), (F.sum(rest).cast("double") / F.nullif(F.count(rest), F.lit(0))).alias("detail"))
-    return g.withColumn("difference", F.col("summary") - F.col("detail"))
+    return A.summary_vs_details(observations(spark, d), ["product", "month"], F.col("market") == "M0", "price_c")
 
 
 @query("audit_profile", f"""WITH {OBS}, o AS (SELECT product, nullif(variety, 'PROMO') AS variety, market, CASE WHEN volume > 45 THEN NULL ELSE volume END AS volume FROM obs) {' UNION ALL '.join(f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS missing, count(DISTINCT {c}) AS \"distinct\" FROM o" for c in ('product', 'variety', 'market', 'volume'))}""")
@@ -161,19 +155,12 @@ def audit_wide_months(spark, d):
  SELECT a.product, a.month_idx, a.v, CASE WHEN a.k = a.month_idx % 12 + 1 THEN CAST(a.ytd AS BIGINT) END AS ytd, CASE WHEN a.k = a.month_idx % 12 + 1 AND b.k = b.month_idx % 12 + 1 THEN CAST(b.ytd AS BIGINT) END AS ytd_before FROM y a LEFT JOIN y b ON a.product = b.product AND b.month_idx = a.month_idx - 12""")
 def audit_span_totals(spark, d):
     m = observations(spark, d).groupBy("product", "month_idx", "year").agg(F.sum("volume").alias("v"))
-    w = Window.partitionBy("product", "year").orderBy("month_idx")
-    y = m.withColumn("k", F.count("*").over(w)).withColumn("t", F.sum("v").over(w))
-    y = y.withColumn("ytd", F.when(F.col("k") == F.col("month_idx") % 12 + 1, F.col("t")))
-    back = Window.partitionBy("product").orderBy("month_idx").rangeBetween(-12, -12)
-    return y.select("product", "month_idx", "v", "ytd", F.when(F.col("ytd").isNotNull(), F.max("ytd").over(back)).alias("ytd_before"))
+    return S.span_totals(m, ["product"], "year", "month_idx", "v")
 
 
 @query("figures_quantity", f"""WITH {OBS}, m AS (SELECT month, sum(volume) AS v FROM obs GROUP BY 1), p AS (SELECT product, sum(volume) AS v FROM obs GROUP BY 1) SELECT CAST(sum(volume) AS BIGINT) AS total, count(DISTINCT product) AS products, CAST(max(day) AS VARCHAR) AS last_day, (SELECT month FROM m ORDER BY v DESC, month LIMIT 1) AS peak_month, (SELECT product FROM p ORDER BY v DESC, product LIMIT 1) AS top_product FROM obs""")
 def figures_quantity(spark, d):
-    o = observations(spark, d)
-    best = lambda key: o.groupBy(key).agg(F.sum("volume").alias("v")).orderBy(F.desc("v"), key).limit(1).select(key).scalar()
-    one = o.agg(F.sum("volume").alias("total"), F.countDistinct("product").alias("products"), F.max("day").cast("string").alias("last_day"))
-    return one.withColumn("peak_month", best("month")).withColumn("top_product", best("product"))
+    return G.quantity(observations(spark, d), "product", "volume", "day", "month")
 
 
 @query("figures_totals", f"""WITH {OBS} SELECT month, variety, CAST(sum(volume) AS BIGINT) AS volume, count(DISTINCT product) AS products FROM obs GROUP BY ALL""")
@@ -189,13 +176,8 @@ _PERIODS = "m AS (SELECT month_idx, CAST(sum(price_c) AS DOUBLE) / count(*) AS v
  (SELECT max(x) FROM c WHERE x > 0) AS rise, (SELECT month_idx FROM c WHERE x > 0 ORDER BY x DESC, month_idx DESC LIMIT 1) AS rise_at, (SELECT min(x) FROM c WHERE x < 0) AS fall, (SELECT month_idx FROM c WHERE x < 0 ORDER BY x, month_idx LIMIT 1) AS fall_at, (SELECT (arg_max(v, month_idx) / arg_min(v, month_idx) - 1) * 100 FROM m) AS accumulated""")
 def figures_prices(spark, d):
     """Extremes with their products, the balanced mean, and the largest changes between months."""
-    o = observations(spark, d)
-    high, low = F.struct("price_c", "product"), F.struct("price_c", "product")
-    ends = o.agg(F.max("price_c").alias("high"), F.max_by("product", high).alias("high_product"), F.min("price_c").alias("low"), F.min_by("product", low).alias("low_product"))
-    years = S.balanced(o.withColumn("all", F.lit(1)), [], ["all", "year", "month", "day"], "price_c").select(settled(F.col("v")).alias("balanced"))
-    changes = S.largest_changes(o.groupBy("month_idx").agg(S.mean("price_c").alias("v")), "month_idx", "v")
-    one = F.lit(1).alias("one_")
-    return ends.select(one, "*").join(years.select(one, "*"), "one_").join(changes.select(one, "*"), "one_").drop("one_")
+    figures = G.prices(observations(spark, d), "product", "price_c", ["year", "month", "day"], "month_idx")
+    return figures.withColumn("balanced", settled(F.col("balanced")))
 
 
 @query("figures_commodities", f"""WITH {OBS}, l AS (SELECT product, currency, arg_max(price_c, (day, event_id, line, price_c)) AS last_c, arg_min(price_c, (day, event_id, line, price_c)) AS first_c FROM obs GROUP BY ALL) SELECT product, count(*) AS series, CASE WHEN count(*) = 1 THEN median(CAST(last_c AS DOUBLE)) END AS median_last, median((CAST(last_c AS DOUBLE) / first_c - 1) * 100) AS median_change FROM l GROUP BY product
@@ -204,32 +186,25 @@ def figures_commodities(spark, d):
     """Medians of latest prices and of changes, for every product and for each of its series; the price
     is kept back where several series are selected."""
     at = F.struct("day", "event_id", "line", "price_c")
-    l = observations(spark, d).groupBy("product", "currency").agg(F.max_by("price_c", at).alias("last_c"), F.min_by("price_c", at).alias("first_c"))
-    l = l.withColumn("change", S.change(F.col("last_c").cast("double"), F.col("first_c")))
-    each = l.unionByName(l.withColumn("product", F.concat_ws(" ", "product", "currency")))
-    middle = F.median(F.col("last_c").cast("double"))
-    return each.groupBy("product").agg(F.count("*").alias("series"), F.when(F.count("*") == 1, middle).alias("median_last"), F.median("change").alias("median_change"))
+    each = observations(spark, d).groupBy("product", "currency").agg(F.max_by("price_c", at).alias("last_c"), F.min_by("price_c", at).alias("first_c"))
+    each = each.unionByName(each.withColumn("product", F.concat_ws(" ", "product", "currency")))
+    return G.latest_medians(each, "product", "last_c", "first_c")
 
 
 @query("figures_quantity_description", f"""WITH {OBS}, g AS (SELECT month, product, CAST(sum(volume) AS BIGINT) AS v, bool_and(volume > 1) AS good, count(DISTINCT condition) AS units FROM obs GROUP BY ALL) SELECT month, product, CASE WHEN bool_and(good) OVER w AND max(units) OVER w = 1 THEN v END AS volume, CASE WHEN bool_and(good) OVER w AND max(units) OVER w = 1 THEN CAST(v AS DOUBLE) / CAST(sum(v) OVER w AS DOUBLE) END AS share FROM g WINDOW w AS (PARTITION BY month)""")
 def figures_quantity_description(spark, d):
-    g = observations(spark, d).groupBy("month", "product").agg(F.sum("volume").alias("v"), F.bool_and(F.col("volume") > 1).alias("good"), F.countDistinct("condition").alias("units"))
-    w = Window.partitionBy("month")
-    fit = F.bool_and("good").over(w) & (F.max("units").over(w) == 1)
-    return g.select("month", "product", F.when(fit, F.col("v")).alias("volume"), F.when(fit, F.col("v").cast("double") / F.sum("v").over(w)).alias("share"))
+    return G.described_quantities(observations(spark, d), "month", "product", "volume", F.col("volume") > 1, "condition")
 
 
 @query("figures_composition", f"""WITH {OBS}, p AS (SELECT month, {', '.join(f"CAST(sum(CASE WHEN market = 'M{k}' THEN volume END) AS BIGINT) AS m{k}" for k in range(4))} FROM obs GROUP BY month) SELECT month, {', '.join(f'CASE WHEN m0 + m1 + m2 + m3 > 0 THEN CAST(m{k} AS DOUBLE) / (m0 + m1 + m2 + m3) END AS share{k}' for k in range(4))} FROM p""")
 def figures_composition(spark, d):
-    markets = [f"M{k}" for k in range(4)]
-    p = observations(spark, d).groupBy("month").pivot("market", markets).agg(F.sum("volume"))
-    total = sum((F.col(m) for m in markets[1:]), F.col(markets[0]))
-    return p.select("month", *[F.when(total > 0, F.col(m).cast("double") / total).alias(f"share{k}") for k, m in enumerate(markets)])
+    return G.composition(observations(spark, d), "month", "market", [f"M{k}" for k in range(4)], "volume")
 
 
 @query("figures_exploration_matrix", f"""WITH {OBS} SELECT market, currency AS source, product, year, month, variety, count(*) AS rows, count(*) FILTER (WHERE day > DATE '{_AS_OF}') AS future FROM obs GROUP BY ALL""")
 def figures_exploration_matrix(spark, d):
-    return observations(spark, d).groupBy("market", F.col("currency").alias("source"), "product", "year", "month", "variety").agg(F.count("*").alias("rows"), F.count_if(F.col("day") > F.lit(_AS_OF).cast("date")).alias("future"))
+    o = observations(spark, d).withColumnRenamed("currency", "source")
+    return G.exploration_matrix(o, ["market", "source", "product", "year", "month", "variety"], "day", _AS_OF)
 
 
 _COMPARED = "nullif(variety, 'PROMO') AS v, CASE WHEN volume > 25 THEN 'grande' ELSE 'chico' END AS pack, CASE WHEN day < DATE '2001-01-01' THEN 'DIARIA' ELSE 'MENSUAL' END AS prec, CASE WHEN volume % 2 = 0 THEN 'par' END AS calidad"
@@ -248,33 +223,25 @@ def figures_comparability(spark, d):
 
 @query("figures_unit_values", f"""WITH {OBS}, m AS (SELECT product, month_idx, CAST(sum(total_c) AS BIGINT) AS t, CAST(sum(CASE WHEN volume > 3 THEN volume ELSE 0 END) AS BIGINT) AS v FROM obs WHERE market = 'M0' GROUP BY ALL), u AS (SELECT *, CASE WHEN v <> 0 THEN CAST(t AS DOUBLE) / v END AS unit_value FROM m) SELECT a.product, a.month_idx, a.unit_value, CASE WHEN b.unit_value > 0 THEN (a.unit_value / b.unit_value - 1) * 100 END AS change_year FROM u a LEFT JOIN u b ON a.product = b.product AND b.month_idx = a.month_idx - 12""")
 def figures_unit_values(spark, d):
-    m = observations(spark, d).filter("market = 'M0'").groupBy("product", "month_idx").agg(F.sum("total_c").alias("t"), F.sum(F.when(F.col("volume") > 3, F.col("volume")).otherwise(0)).alias("v"))
-    u = m.withColumn("unit_value", F.when(F.col("v") != 0, F.col("t").cast("double") / F.col("v")))
-    return u.select("product", "month_idx", "unit_value", S.change(F.col("unit_value"), S.exact_prior("unit_value", ["product"], "month_idx", 12)).alias("change_year"))
+    o = observations(spark, d).filter("market = 'M0'")
+    return G.unit_values(o, ["product"], "month_idx", "total_c", F.when(F.col("volume") > 3, F.col("volume")).otherwise(0))
 
 
 @query("figures_overview", f"""WITH {OBS}, l AS (SELECT market, max(month) AS month FROM obs GROUP BY 1) SELECT market, l.month AS latest, count(DISTINCT product) FILTER (WHERE obs.month = l.month) AS latest_products, count(DISTINCT product) AS products, count(DISTINCT variety) AS origins, CAST(min(day) AS VARCHAR) AS first_day, CAST(max(day) AS VARCHAR) AS last_day FROM obs JOIN l USING (market) GROUP BY market, l.month""")
 def figures_overview(spark, d):
-    o = observations(spark, d)
-    by = o.groupBy("market", "month").agg(F.countDistinct("product").alias("p"))
-    last = by.groupBy("market").agg(F.max("month").alias("latest"), F.max_by("p", "month").alias("latest_products"))
-    return o.groupBy("market").agg(F.countDistinct("product").alias("products"), F.countDistinct("variety").alias("origins"), F.min("day").cast("string").alias("first_day"), F.max("day").cast("string").alias("last_day")).join(last, "market")
+    return G.overview(observations(spark, d), "market", "month", "product", "variety", "day")
 
 
 @query("figures_latest_comparable", f"""WITH {OBS}, r AS (SELECT market, product, day, price_c, row_number() OVER (PARTITION BY market, product ORDER BY day DESC, event_id, line, price_c) AS r FROM obs) SELECT market, product, CAST(day AS VARCHAR) AS day, price_c, place FROM (SELECT *, row_number() OVER (PARTITION BY market ORDER BY day DESC, product) AS place FROM r WHERE r = 1) WHERE place <= 4""")
 def figures_latest_comparable(spark, d):
-    one = R.ranked(observations(spark, d), [F.desc("day"), F.col("event_id"), F.col("line"), F.col("price_c")], 1, ["market", "product"], "r")
-    return R.ranked(one, [F.desc("day"), F.col("product")], 4, ["market"], "place").select("market", "product", F.col("day").cast("string").alias("day"), "price_c", F.col("place").cast("bigint").alias("place"))
+    last = G.latest_comparable(observations(spark, d), "market", "product", "day", [F.col("event_id"), F.col("line"), F.col("price_c")], 4)
+    return last.select("market", "product", F.col("day").cast("string").alias("day"), "price_c", F.col("place").cast("bigint").alias("place"))
 
 
 @query("figures_market_origin", f"""WITH {OBS}, g AS (SELECT product, market, variety, month_idx, median(CAST(price_c AS DOUBLE)) AS m FROM obs GROUP BY ALL), n AS (SELECT product, market, variety, count(*) AS k, min(month_idx) AS a, max(month_idx) AS b FROM g GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY product, market ORDER BY k DESC, variety) AS place FROM n), c AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY product ORDER BY place, k DESC, market, variety) <= 8), f AS (SELECT product, market, variety, unnest(range(a, b + 1)) AS month_idx FROM c) SELECT product, market, variety, CAST(month_idx AS INTEGER) AS month_idx, m AS median FROM f LEFT JOIN g USING (product, market, variety, month_idx)""")
 def figures_market_origin(spark, d):
     """Eight combinations of market and origin for every product, one of each market first."""
-    g = observations(spark, d).groupBy("product", "market", "variety", "month_idx").agg(F.median(F.col("price_c").cast("double")).alias("median"))
-    n = g.groupBy("product", "market", "variety").agg(F.count("*").alias("k"))
-    n = n.withColumn("place", F.row_number().over(Window.partitionBy("product", "market").orderBy(F.desc("k"), "variety")))
-    chosen = R.ranked(n, [F.col("place"), F.desc("k"), F.col("market"), F.col("variety")], 8, ["product"], "r_").select("product", "market", "variety")
-    return S.fill_months(g.join(chosen, ["product", "market", "variety"], "left_semi"), ["product", "market", "variety"], "month_idx").select("product", "market", "variety", "month_idx", "median")
+    return G.market_origin(observations(spark, d), "product", "market", "variety", "month_idx", "price_c", 8)
 
 
 @query("rank_top_products", f"""WITH {OBS} SELECT product, CAST(sum(volume) AS BIGINT) AS value, CAST(sum(volume) AS DOUBLE) / (SELECT CAST(sum(volume) AS DOUBLE) FROM obs) AS share FROM obs GROUP BY product ORDER BY 2 DESC, 1 LIMIT 10""")
@@ -289,23 +256,17 @@ def rank_top_and_rest(spark, d):
 
 @query("rank_concentration", f"""WITH {OBS}, g AS (SELECT market, product, sum(volume) AS v FROM obs GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY market ORDER BY v DESC, product) AS r FROM g) SELECT market, CAST(sum(v) FILTER (WHERE r <= 5) AS DOUBLE) / CAST(sum(v) AS DOUBLE) AS top5 FROM r GROUP BY market""")
 def rank_concentration(spark, d):
-    g = observations(spark, d).groupBy("market", "product").agg(F.sum("volume").alias("v"))
-    g = g.withColumn("r", F.row_number().over(Window.partitionBy("market").orderBy(F.desc("v"), "product")))
-    return g.groupBy("market").agg((F.sum(F.when(F.col("r") <= 5, F.col("v"))).cast("double") / F.sum("v")).alias("top5"))
+    return R.concentration(observations(spark, d), "market", "product", "volume", 5).withColumnRenamed("share", "top5")
 
 
 @query("rank_heat_matrix", f"""WITH {OBS}, t AS (SELECT product FROM obs GROUP BY product ORDER BY sum(volume) DESC, product LIMIT 20) SELECT product, {', '.join(f'CAST(sum(CASE WHEN month_idx % 12 = {k} THEN volume END) AS BIGINT) AS m{k + 1}' for k in range(12))} FROM obs JOIN t USING (product) GROUP BY product""")
 def rank_heat_matrix(spark, d):
-    o = observations(spark, d)
-    first = R.top(o, ["product"], F.sum("volume"), 20).select("product")
-    p = o.withColumn("m_", F.col("month_idx") % 12).join(first, "product", "left_semi").groupBy("product").pivot("m_", list(range(12))).agg(F.sum("volume"))
-    return p.select("product", *[F.col(str(k)).alias(f"m{k + 1}") for k in range(12)])
+    return R.heat_matrix(observations(spark, d), "product", F.col("month_idx") % 12, list(range(12)), "volume", 20).select("product", *[F.col(str(k)).alias(f"m{k + 1}") for k in range(12)])
 
 
 @query("rank_seasonality", f"""WITH {OBS}, g AS (SELECT product, variety, month_idx % 12 + 1 AS m, CAST(sum(volume) AS BIGINT) AS v FROM obs GROUP BY ALL), s AS (SELECT *, CAST(v AS DOUBLE) / max(v) OVER (PARTITION BY product, variety) AS x FROM g) SELECT product, variety, CAST(m AS INTEGER) AS m, CASE WHEN x = 1 THEN 'pico' WHEN x > 0.3 THEN 'activo' ELSE 'bajo' END AS class FROM s""")
 def rank_seasonality(spark, d):
-    g = observations(spark, d).groupBy("product", "variety", (F.col("month_idx") % 12 + 1).alias("m")).agg(F.sum("volume").alias("v"))
-    return g.select("product", "variety", "m", R.seasonality(F.col("v").cast("double") / F.max("v").over(Window.partitionBy("product", "variety"))).alias("class"))
+    return R.season_classes(observations(spark, d), ["product", "variety"], (F.col("month_idx") % 12 + 1).alias("m"), "volume")
 
 
 @query("rank_rises_and_falls", f"""WITH {OBS}, g AS (SELECT product, market, month_idx, CAST(sum(price_c) AS DOUBLE) / count(*) AS v, count(*) AS n FROM obs GROUP BY ALL), x AS (SELECT product, market, CAST(sum(n) AS BIGINT) AS rows, count(*) AS periods, arg_min(v, month_idx) AS first, arg_max(v, month_idx) AS last FROM g GROUP BY ALL), y AS (SELECT product, market, (last / first - 1) * 100 AS variation FROM x WHERE rows >= 5 AND periods >= 2 AND abs((last / first - 1) * 100) <= 500)

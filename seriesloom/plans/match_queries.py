@@ -79,11 +79,8 @@ def match_route_monthly(spark, d):
 @query("match_legacy_official", f"""WITH {OBS}, l AS (SELECT product, currency, month, min(price_c) AS legacy FROM obs WHERE market = 'M1' GROUP BY ALL), f AS (SELECT product, currency, month, min(price_c) AS official FROM obs WHERE market = 'M0' GROUP BY ALL HAVING min(price_c) > 0)
  SELECT product, currency, count(*) AS keys, count(official) AS covered, count(*) - count(official) AS gaps, count(*) FILTER (WHERE legacy <> official) AS different, count(*) = count(official) AS retire FROM l LEFT JOIN f USING (product, currency, month) GROUP BY ALL""")
 def match_legacy_official(spark, d):
-    o, key = observations(spark, d), ["product", "currency", "month"]
-    legacy = o.filter("market = 'M1'").groupBy(*key).agg(F.min("price_c").alias("legacy"))
-    official = o.filter("market = 'M0'").groupBy(*key).agg(F.min("price_c").alias("official")).filter("official > 0")
-    j = legacy.join(official, key, "left").groupBy("product", "currency").agg(F.count("*").alias("keys"), F.count("official").alias("covered"), F.count_if(F.col("legacy") != F.col("official")).alias("different"))
-    return j.withColumn("gaps", F.col("keys") - F.col("covered")).withColumn("retire", F.col("gaps") == 0)
+    o = observations(spark, d)
+    return M.legacy_coverage(o.filter("market = 'M1'"), o.filter("market = 'M0'"), ["product", "currency", "month"], "price_c", ["product", "currency"])
 
 
 @query("match_key_sets", f"""WITH {OBS}, a AS (SELECT product, day, count(DISTINCT price_c) AS n_left, min(price_c) AS v_left FROM obs WHERE market = 'M0' GROUP BY ALL), b AS (SELECT product, day, count(DISTINCT price_c) AS n_right, min(price_c) AS v_right FROM obs WHERE market = 'M1' GROUP BY ALL),
@@ -136,46 +133,34 @@ def match_embedded_varieties(spark, d):
 def match_share_denominators(spark, d):
     o = observations(spark, d)
     part = o.filter("market <> 'M3'").groupBy("product", "month", "market").agg(F.sum("volume").alias("v"))
-    total = o.filter("market = 'M3'").groupBy("product", "month").agg(F.sum("volume").alias("total"), F.count("*").alias("k")).filter("k = 1").drop("k")
-    return part.join(total, ["product", "month"], "left").select("product", "month", "market", "v", F.when(F.col("total") > 0, F.col("v").cast("double") / F.col("total")).alias("share"))
+    return M.share_of_totals(part, o.filter("market = 'M3'"), ["product", "month"], "v", "volume").select("product", "month", "market", "v", "share")
 
 
 @query("match_year_ago", f"""WITH {OBS}, b AS (SELECT product, market, currency, condition, month_idx, CASE WHEN count(*) = 1 THEN max(price_c) END AS base FROM obs GROUP BY ALL) SELECT o.event_id, o.line, o.product, o.price_c, CASE WHEN base > 0 THEN (CAST(o.price_c AS DOUBLE) / base - 1) * 100 END AS variation
  FROM obs o LEFT JOIN b ON o.product = b.product AND o.market = b.market AND o.currency = b.currency AND o.condition = b.condition AND b.month_idx = o.month_idx - 12""")
 def match_year_ago(spark, d):
-    o, dims = observations(spark, d), ["product", "market", "currency", "condition"]
-    base = o.groupBy(*dims, (F.col("month_idx") + 12).alias("month_idx")).agg(F.when(F.count("*") == 1, F.max("price_c")).alias("base"))
-    return o.join(base, [*dims, "month_idx"], "left").select("event_id", "line", "product", "price_c", F.when(F.col("base") > 0, S.change(F.col("price_c"), F.col("base"))).alias("variation"))
+    return M.year_ago(observations(spark, d), ["product", "market", "currency", "condition"], "month_idx", "price_c").select("event_id", "line", "product", "price_c", "variation")
 
 
 @query("match_source_coverage", f"""WITH {OBS}, f AS (SELECT market, year, list(DISTINCT month) AS ms, list(DISTINCT product) AS ps, count(*) AS n FROM obs WHERE volume > 5 AND (market <> 'M2' OR year < 1999) GROUP BY ALL), t AS (SELECT market, year, list(DISTINCT month) AS tm, list(DISTINCT product) AS tp, count(*) AS tn FROM obs WHERE market <> 'M3' AND (market = 'M0' OR volume > 20) GROUP BY ALL)
  SELECT market, year, n, tn, CASE WHEN tn IS NULL THEN 'AUSENTE' WHEN list_has_all(tm, ms) AND len(list_intersect(ps, tp)) >= 0.9 * len(ps) AND CAST(n AS DOUBLE) / tn BETWEEN 0.8 AND 1.2 THEN 'INCLUIDO' WHEN len(list_intersect(ms, tm)) > 0 THEN 'PARCIAL' ELSE 'INCIERTO' END AS status FROM f LEFT JOIN t USING (market, year)""")
 def match_source_coverage(spark, d):
-    o, key = observations(spark, d), ["market", "year"]
-    sets = lambda df, a, b, n: df.groupBy(*key).agg(F.collect_set("month").alias(a), F.collect_set("product").alias(b), F.count("*").alias(n))
-    f = sets(o.filter("volume > 5 AND (market <> 'M2' OR year < 1999)"), "ms", "ps", "n")
-    t = sets(o.filter("market <> 'M3' AND (market = 'M0' OR volume > 20)"), "tm", "tp", "tn")
-    full = (F.size(F.array_except("ms", "tm")) == 0) & (F.size(F.array_intersect("ps", "tp")) >= 0.9 * F.size("ps")) & (F.col("n").cast("double") / F.col("tn")).between(0.8, 1.2)
-    status = F.when(F.col("tn").isNull(), "AUSENTE").when(full, "INCLUIDO").when(F.size(F.array_intersect("ms", "tm")) > 0, "PARCIAL").otherwise("INCIERTO")
-    return f.join(t, key, "left").select(*key, "n", "tn", status.alias("status"))
+    o = observations(spark, d)
+    return M.source_coverage(o.filter("volume > 5 AND (market <> 'M2' OR year < 1999)"), o.filter("market <> 'M3' AND (market = 'M0' OR volume > 20)"), ["market", "year"], "month", "product")
 
 
 @query("match_freshness_state", """WITH a AS (SELECT user_id, max(ts) AS prev FROM events WHERE event_type = 'view' GROUP BY 1), b AS (SELECT user_id, max(ts) AS newest, arg_max(event_type, (ts, event_id)) AS attempt FROM events WHERE event_type <> 'view' GROUP BY 1)
  SELECT user_id, strftime(greatest(prev, newest), '%Y-%m-%d %H:%M:%S.%f') AS last_seen, CASE WHEN newest IS NULL OR prev > newest THEN 'view' ELSE attempt END AS state FROM a FULL JOIN b USING (user_id)""")
 def match_freshness_state(spark, d):
     e = table(spark, d, "events")
-    a = e.filter("event_type = 'view'").groupBy("user_id").agg(F.max("ts").alias("prev"))
-    b = e.filter("event_type <> 'view'").groupBy("user_id").agg(F.max("ts").alias("newest"), F.max_by("event_type", F.struct("ts", "event_id")).alias("attempt"))
-    j = a.join(b, "user_id", "full")
-    return j.select("user_id", F.date_format(F.greatest("prev", "newest"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_seen"), F.when(F.col("newest").isNull() | (F.col("prev") > F.col("newest")), "view").otherwise(F.col("attempt")).alias("state"))
+    j = M.freshness_state(e.filter("event_type = 'view'"), e.filter("event_type <> 'view'"), ["user_id"], "ts", "event_type", "event_id", "view")
+    return j.withColumn("last_seen", F.date_format("last_seen", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 @query("match_source_pick", f"""WITH {OBS}, s AS (SELECT product, market, max(month) AS latest, count(DISTINCT month) > 70 AS active FROM obs GROUP BY ALL), p AS (SELECT product, arg_max(market, (latest, active, -ascii(market[2]))) AS market FROM s GROUP BY product) SELECT product, market, count(*) AS n FROM obs JOIN p USING (product, market) GROUP BY ALL""")
 def match_source_pick(spark, d):
     o = observations(spark, d)
-    s = o.groupBy("product", "market").agg(F.max("month").alias("latest"), (F.countDistinct("month") > 70).alias("active"))
-    pick = s.groupBy("product").agg(F.max_by("market", F.struct("latest", "active", -F.ascii(F.substring("market", 2, 1)))).alias("market"))
-    return o.join(pick, ["product", "market"], "left_semi").groupBy("product", "market").agg(F.count("*").alias("n"))
+    return M.pick_source(o, "product", "market", "month", 70, -F.ascii(F.substring("market", 2, 1))).groupBy("product", "market").agg(F.count("*").alias("n"))
 
 
 @query("set_priority_union", """WITH b AS (SELECT o_custkey, o_orderkey FROM orders WHERE o_orderkey % 3 = 0), o AS (SELECT o_custkey, o_orderkey, o_orderkey % 3 - 1 AS p FROM orders WHERE o_orderkey % 3 > 0) SELECT o_custkey, o_orderkey FROM b UNION ALL SELECT o_custkey, o_orderkey FROM (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY p, o_orderkey) = 1) WHERE o_custkey NOT IN (SELECT o_custkey FROM b)""")

@@ -141,18 +141,14 @@ def clean_price_per_kg(spark, d):
 
 @query("clean_unit_fanout", f"""WITH {OBS} SELECT event_id, line, product, 'ARS/quintal' AS unit, CAST(price_c AS DOUBLE) AS price FROM obs UNION ALL SELECT event_id, line, product, 'ARS/kg', CAST(price_c AS DOUBLE) / 100 FROM obs WHERE price_c > 0""")
 def clean_unit_fanout(spark, d):
-    price = F.col("price_c").cast("double")
-    units = F.array(F.struct(F.lit("ARS/quintal").alias("unit"), price.alias("price")), F.when(price > 0, F.struct(F.lit("ARS/kg").alias("unit"), (price / 100).alias("price"))))
-    return observations(spark, d).select("event_id", "line", "product", F.inline(F.array_compact(units)))
+    o = observations(spark, d).select("event_id", "line", "product", "price_c")
+    return Q.unit_fanout(o, "price_c", {"ARS/quintal": 1, "ARS/kg": 100}, ["ARS/kg"])
 
 
 @query("clean_stable_ids", f"""WITH {OBS} SELECT event_id, line, sha256(product || '|' || currency || '|' || condition) AS series_id, sha256(sha256(product || '|' || currency || '|' || condition) || '|' || CAST(day AS VARCHAR)) AS observation_id, row_number() OVER (PARTITION BY event_id, line ORDER BY price_c, product, day, volume, variety, market) AS occurrence FROM obs""")
 def clean_stable_ids(spark, d):
-    from pyspark.sql import Window
-
-    o = observations(spark, d).withColumn("series_id", F.sha2(F.concat_ws("|", *SERIES), 256))
-    occurrence = F.row_number().over(Window.partitionBy("event_id", "line").orderBy("price_c", "product", "day", "volume", "variety", "market")).cast("bigint")
-    return o.select("event_id", "line", "series_id", F.sha2(F.concat_ws("|", "series_id", F.col("day").cast("string")), 256).alias("observation_id"), occurrence.alias("occurrence"))
+    o = Q.stable_ids(observations(spark, d), SERIES, "day", ["event_id", "line"], ["price_c", "product", "day", "volume", "variety", "market"])
+    return o.select("event_id", "line", "series_id", "observation_id", "occurrence")
 
 
 _FLAGS = {"precio_bajo": "price_c < 50000", "precio_alto": "price_c > 1500000", "volumen_unitario": "volume = 1", "condicion_abierta": "condition = 'O'", "fecha_futura": "day > DATE '2001-06-30'"}
@@ -176,10 +172,7 @@ def quality_zero_cause(spark, d):
     raw = F.lit("17.5")
     for i, x in enumerate([None, "", "ANULADO", "s/p", "0.00", "12x"]):
         raw = F.when(F.col("event_id") % 7 == i, F.lit(x)).otherwise(raw)
-    e = table(spark, d, "events").select("event_id", raw.alias("raw"))
-    number = F.col("raw").try_cast("double")
-    cause = F.when(F.col("raw").isNull() | (F.col("raw") == ""), "vacio").when(F.col("raw") == "ANULADO", "anulacion").when(F.col("raw") == "s/p", "texto sin precio").when(number.isNull(), "error de lectura").when(number == 0, "cero explicito").otherwise("con precio")
-    return e.select("event_id", cause.alias("cause"))
+    return table(spark, d, "events").select("event_id", raw.alias("raw")).select("event_id", Q.zero_cause(F.col("raw"), ["ANULADO"], ["s/p"]).alias("cause"))
 
 
 @query("quality_price_consistency", """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, abs(p_retailprice - l_extendedprice / l_quantity) <= 1e-6 AS unit_agrees, abs(p_retailprice * l_quantity - l_extendedprice) <= greatest(1.0, 0.01 * abs(l_extendedprice)) AS total_agrees FROM lineitem JOIN part ON l_partkey = p_partkey""")
@@ -211,14 +204,13 @@ def quality_labels(spark, d):
 def filter_dimensions(spark, d):
     """Chosen products, all markets, and qualities that don't contradict (unknown passes)."""
     quality = F.nullif(F.col("variety"), F.lit("PROMO"))
-    o = observations(spark, d).filter(F.col("product").isin("Brand#1", "Brand#2", "Brand#3") & (quality.isin("ECONOMY", "SMALL") | quality.isNull()) & F.col("month").between("1997-03", "1999-02"))
+    o = observations(spark, d).filter(F.col("product").isin("Brand#1", "Brand#2", "Brand#3") & Q.compatible(quality, ["ECONOMY", "SMALL"]) & F.col("month").between("1997-03", "1999-02"))
     return o.select("event_id", "line", "product", "variety", "market", "price_c")
 
 
 @query("filter_future_rows", f"""WITH {OBS} SELECT market, count(*) FILTER (WHERE day <= DATE '2000-12-31') AS kept, count(*) FILTER (WHERE day > DATE '2000-12-31') AS future, CAST(max(day) FILTER (WHERE day <= DATE '2000-12-31') AS VARCHAR) AS last_kept FROM obs GROUP BY market""")
 def filter_future_rows(spark, d):
-    seen = F.col("day") <= F.lit("2000-12-31").cast("date")
-    return observations(spark, d).groupBy("market").agg(F.count_if(seen).alias("kept"), F.count_if(~seen).alias("future"), F.max(F.when(seen, F.col("day"))).cast("string").alias("last_kept"))
+    return Q.future_rows(observations(spark, d), ["market"], "day", "2000-12-31")
 
 
 @query("filter_text_search", f"""WITH s AS (SELECT p_partkey, lower(p_name || ' ' || p_type || ' ' || p_brand) AS t FROM part) SELECT p_partkey FROM s WHERE contains(t, 'ring') AND contains(t, 'brand#1')""")
@@ -238,9 +230,7 @@ def filter_quarantine(spark, d):
 
 @query("filter_trailing_months", f"""WITH {OBS} SELECT event_id, line, product, market, price_c FROM obs WHERE day >= (SELECT max(day) - INTERVAL 6 MONTH FROM obs)""")
 def filter_trailing_months(spark, d):
-    o = observations(spark, d)
-    edge = o.agg(F.add_months(F.max("day"), -6)).scalar()
-    return o.filter(F.col("day") >= edge).select("event_id", "line", "product", "market", "price_c")
+    return Q.trailing_months(observations(spark, d), "day", 6).select("event_id", "line", "product", "market", "price_c")
 
 
 @query("filter_publication_subset", f"""WITH {OBS}, t AS (SELECT *, CASE currency WHEN 'A' THEN 'faena' WHEN 'N' THEN 'produccion' ELSE 'peso' END AS family, CASE condition WHEN 'F' THEN 'mensual' ELSE 'anual' END AS frequency FROM obs)

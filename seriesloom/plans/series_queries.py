@@ -128,9 +128,7 @@ def series_trailing_year(spark, d):
  SELECT product, CAST(m AS INTEGER) AS m, count(*) AS years, CAST(sum(v) AS DOUBLE) / count(*) AS mean, min(v) AS low, max(v) AS high FROM v JOIN used USING (product, year) GROUP BY ALL HAVING count(*) >= 3""")
 def series_seasonal_reference(spark, d):
     v = observations(spark, d).groupBy("product", "year", (F.col("month_idx") % 12).alias("m")).agg(F.sum("volume").alias("v"))
-    years = v.filter("year < 2000").groupBy("product", "year").count().filter("count = 12").drop("count")
-    years = years.withColumn("r", F.row_number().over(Window.partitionBy("product").orderBy(F.desc("year")))).filter("r <= 5").drop("r")
-    return v.join(years, ["product", "year"]).groupBy("product", "m").agg(F.count("*").alias("years"), S.mean("v").alias("mean"), F.min("v").alias("low"), F.max("v").alias("high")).filter("years >= 3")
+    return S.seasonal_reference(v, ["product"], "year", "m", "v", 2000)
 
 
 @query("series_range_36", f"""WITH {MONTHLY} SELECT product, currency, condition, month, median, min(median) OVER w AS low_36, max(median) OVER w AS high_36 FROM monthly WINDOW w AS (PARTITION BY product, currency, condition ORDER BY month_idx RANGE BETWEEN 36 PRECEDING AND 1 PRECEDING)""")
@@ -152,12 +150,7 @@ def series_shares(spark, d):
  SELECT a.month_idx, a.market, a.share, CASE WHEN matched = ka AND matched = kb THEN (a.share - b.share) * 100 END AS points FROM s a LEFT JOIN s b ON b.month_idx = a.month_idx - 12 AND b.market = a.market LEFT JOIN m ON m.month_idx = a.month_idx""")
 def series_share_points(spark, d):
     t = observations(spark, d).groupBy("month_idx", "market").agg(F.sum("volume").alias("v"))
-    w = Window.partitionBy("month_idx")
-    s = t.select("month_idx", "market", (F.col("v").cast("double") / F.sum("v").over(w)).alias("share"), F.count("*").over(w).alias("k"))
-    b = s.select((F.col("month_idx") + 12).alias("month_idx"), "market", F.col("share").alias("before"), F.col("k").alias("kb"))
-    j = s.join(b, ["month_idx", "market"], "left")
-    matched = F.count("before").over(w)
-    return j.select("month_idx", "market", "share", F.when((matched == F.col("k")) & (matched == F.max("kb").over(w)), (F.col("share") - F.col("before")) * 100).alias("points"))
+    return S.share_points(t, "month_idx", "market", "v")
 
 
 @query("series_accumulated", f"""WITH {MONTHLY}, g AS (SELECT product, currency, condition, CAST(sum(n) AS BIGINT) AS rows, count(*) AS periods, arg_min(median, month_idx) AS first, arg_max(median, month_idx) AS last FROM monthly GROUP BY ALL)
@@ -170,8 +163,7 @@ def series_accumulated(spark, d):
  {', '.join(f'(CAST(sum(CASE WHEN m = {k} THEN v END) AS DOUBLE) / CAST(sum(CASE WHEN m = {k - 1} THEN v END) AS DOUBLE) - 1) * 100 AS v{k}' for k in range(2, 13))} FROM t GROUP BY product HAVING count(*) >= 3""")
 def series_month_matrix(spark, d):
     t = observations(spark, d).filter("year = 1998").groupBy("product", (F.col("month_idx") % 12 + 1).alias("m")).agg(F.sum("volume").alias("v"))
-    p = t.groupBy("product").pivot("m", list(range(1, 13))).agg(F.first("v")).join(t.groupBy("product").count().filter("count >= 3").drop("count"), "product")
-    return p.select("product", *[F.col(str(k)).alias(f"m{k}") for k in range(1, 13)], *[S.change(F.col(str(k)), F.col(str(k - 1))).alias(f"v{k}") for k in range(2, 13)])
+    return S.month_matrix(t, "product", "m", "v")
 
 
 @query("series_state_matrix", f"""WITH {MONTHLY}, t AS (SELECT currency, product, month, month_idx, CAST(sum(n) AS BIGINT) AS v FROM monthly GROUP BY ALL), p AS (SELECT currency, month_idx FROM (SELECT DISTINCT currency, month_idx FROM t) QUALIFY row_number() OVER (PARTITION BY currency ORDER BY month_idx DESC) <= 12),
@@ -200,21 +192,15 @@ def series_latest_revision(spark, d):
  SELECT year, {', '.join(f'max(CASE WHEN m = {k} THEN x END) AS m{k}' for k in range(1, 13))} FROM n GROUP BY year""")
 def series_year_grid(spark, d):
     t = observations(spark, d).groupBy("year", (F.col("month_idx") % 12 + 1).alias("m")).agg(F.sum("volume").alias("v"))
-    low, high = t.agg(F.min("v")).scalar(), t.agg(F.max("v")).scalar()
-    n = t.withColumn("x", (F.col("v") - low).cast("double") / (high - low))
-    p = n.groupBy("year").pivot("m", list(range(1, 13))).agg(F.max("x"))
-    return p.select("year", *[F.col(str(k)).alias(f"m{k}") for k in range(1, 13)])
+    return S.year_grid(t, "year", "m", "v")
 
 
 @query("series_category_carry", f"""WITH l AS (SELECT l_orderkey AS o, l_linenumber AS k, min(CASE WHEN l_returnflag = 'R' THEN 'cat' || CAST(l_linenumber AS VARCHAR) END) AS cat FROM lineitem GROUP BY ALL) SELECT o, k, last_value(cat IGNORE NULLS) OVER (PARTITION BY o ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS category FROM l""")
 def series_category_carry(spark, d):
     li = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("k")).agg(F.min(F.when(F.col("l_returnflag") == "R", F.concat(F.lit("cat"), F.col("l_linenumber").cast("string")))).alias("cat"))
-    return li.select("o", "k", F.last("cat", ignorenulls=True).over(Window.partitionBy("o").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)).alias("category"))
+    return li.select("o", "k", S.carry_forward(li, ["o"], "k", "cat").alias("category"))
 
 
 @query("series_metrics_row", f"""WITH {OBS}, m AS (SELECT max(month) AS month FROM obs) SELECT product, CAST(sum(volume) AS BIGINT) AS volume, count(*) AS rows, max(price_c) AS high FROM obs JOIN m USING (month) GROUP BY ALL""")
 def series_metrics_row(spark, d):
-    o = observations(spark, d)
-    last = o.agg(F.max("month").alias("month"))
-    long = o.join(last, "month", "left_semi").groupBy("product").agg(F.sum("volume").alias("volume"), F.count("*").alias("rows"), F.max("price_c").alias("high")).unpivot("product", ["volume", "rows", "high"], "metric", "value")
-    return long.groupBy("product").pivot("metric", ["volume", "rows", "high"]).agg(F.first("value"))
+    return S.latest_metrics(observations(spark, d), "product", "month", {"volume": F.sum("volume"), "rows": F.count("*"), "high": F.max("price_c")})
\ No newline at end of file

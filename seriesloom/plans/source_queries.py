@@ -96,15 +96,13 @@ def source_prior_coalesce(spark, d):
     return part.select("p_partkey", F.coalesce("modal", "promedio", F.lit(-1.0)).alias("price"))
 
 
-@query("clean_split_variety", """SELECT p_partkey, split_part(p_name, ' ', 1) AS product, CASE WHEN p_size % 4 = 0 THEN split_part(p_name, ' ', 2) WHEN p_size % 4 = 1 THEN 'otra' ELSE split_part(p_name, ' ', 2) END AS variety, p_size % 4 <> 1 AS was_split FROM part""")
+@query("clean_split_variety", """SELECT p_partkey, CASE WHEN p_size % 4 = 1 THEN p_name ELSE split_part(p_name, ' ', 1) END AS product, CASE WHEN p_size % 4 = 1 THEN 'otra' ELSE split_part(p_name, ' ', 2) END AS variety, p_size % 4 <> 1 AS was_split FROM part""")
 def clean_split_variety(spark, d):
     """A product name that holds a variety is split where a rule says so and the stated variety agrees."""
     first, second = (F.split_part("p_name", F.lit(" "), F.lit(k)) for k in (1, 2))
     part = table(spark, d, "part").select("p_partkey", "p_name", F.when(F.col("p_size") % 4 == 0, second).when(F.col("p_size") % 4 == 1, "otra").alias("stated"))
     rules = part.select("p_name").distinct().select("p_name", first.alias("base"), second.alias("embedded"))
-    j = part.join(rules, "p_name", "left")
-    fits = F.col("embedded").isNotNull() & (F.col("stated").isNull() | (F.col("stated") == F.col("embedded")))
-    return j.select("p_partkey", F.when(fits, F.col("base")).otherwise(F.split_part("p_name", F.lit(" "), F.lit(1))).alias("product"), F.when(fits, F.col("embedded")).otherwise(F.col("stated")).alias("variety"), fits.alias("was_split"))
+    return Q.split_variety(part, rules, "p_name", "stated").select("p_partkey", "product", "variety", "was_split")
 
 
 @query("filter_comparable_price", """SELECT p_partkey, p_retailprice FROM part WHERE p_retailprice > 0 AND isfinite(p_retailprice) AND (p_type = 'ECONOMY' OR p_size % 9 > 0) AND p_size <> 13""")
