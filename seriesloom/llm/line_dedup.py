@@ -22,8 +22,8 @@ among equals, so the first stays; a null id comes first; other columns pass thro
 :func:`deduplicated_documents` untouched; an empty table gives no rows.
 
 Windows are written once.  Those that occur once are sorted out by 64 bits of their hash before
-the exact comparison; counts are pre-aggregated on the map side, and the join back is salted, so a
-window in a third of all documents is spread out.
+the exact comparison; counts are pre-aggregated on the map side, and the join back is salted for
+windows of very many occurrences, so one in a third of all documents is spread out.
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ from seriesloom.sources.tables import written
 
 #: Lines of a window.
 LINES = 3
+#: Occurrences from which a window is met in SALT places.
+HOT = 2_000
 SALT = 32
 #: Words on either side of a cut that its place value is compared with.
 REACH = 4
@@ -100,20 +102,21 @@ def _windows(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(np.bincount(own, minlength=hi - lo)), *(K.list_array(x.view(np.int64), n, pa.int64()) for x in (value, more))], ["doc_id", "row_key", "n_lines", "windows", "more"])
 
 
-def _repeated(shared):
-    """(doc_id, row_key, n_lines, places, windows, more): only windows that may occur again, by the first 64 bits."""
+def _repeated(again, frequent):
+    """(doc_id, row_key, n_lines, places, windows, more, hot): only windows that may occur again, and
+    whether they may be hot, by the first 64 bits."""
 
     def rows(batches):
-        bits = shared.value
         for batch in batches:
             windows, more = batch.column(3), batch.column(4)
             n = np.diff(windows.offsets.to_numpy())
             first, second = windows.flatten().to_numpy(), more.flatten().to_numpy()
             own = np.repeat(np.arange(len(n)), n)
             place = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
-            may = bloom.may_hold(bits, first)
+            may = bloom.may_hold(again.value, first)
             left = np.bincount(own[may], minlength=len(n))
-            out = pa.RecordBatch.from_arrays([*batch.columns[:3], *(K.list_array(x[may], left, pa.int64()) for x in (place, first, second))], ["doc_id", "row_key", "n_lines", "places", "windows", "more"])
+            hot = bloom.may_hold(frequent.value, first[may])
+            out = pa.RecordBatch.from_arrays([*batch.columns[:3], *(K.list_array(x[may], left, pa.int64()) for x in (place, first, second)), K.list_array(hot, left, pa.bool_())], ["doc_id", "row_key", "n_lines", "places", "windows", "more", "hot"])
             yield out.filter(pa.array(left > 0))
 
     return K.tidied(rows)
@@ -127,16 +130,17 @@ def repeated_windows(documents: DataFrame, id_col: str = "doc_id", text_col: str
     """
     docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row_key"), F.col(text_col).cast("string").alias("text"))
     rows = written(docs.mapInArrow(K.tidied(_windows), "doc_id bigint, row_key bigint, n_lines bigint, windows array<bigint>, more array<bigint>"))
-    again = written(rows.select(F.explode("windows").alias("window")).groupBy("window").agg(F.count("*").alias("times")).filter(F.col("times") > 1).select("window"))
-    shared = documents.sparkSession.sparkContext.broadcast(bloom.bits_of(again))  # of bounded size
-    may = rows.mapInArrow(_repeated(shared), "doc_id bigint, row_key bigint, n_lines bigint, places array<bigint>, windows array<bigint>, more array<bigint>")
+    again = written(rows.select(F.explode("windows").alias("window")).groupBy("window").agg(F.count("*").alias("times")).filter(F.col("times") > 1))
+    share = documents.sparkSession.sparkContext.broadcast
+    shared = [share(bloom.bits_of(again.filter(F.col("times") > least).select("window"))) for least in (1, HOT)]  # of bounded size
+    may = rows.mapInArrow(_repeated(*shared), "doc_id bigint, row_key bigint, n_lines bigint, places array<bigint>, windows array<bigint>, more array<bigint>, hot array<boolean>")
     may = may.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", "row_key").orderBy("n_lines")))
-    each = may.select("doc_id", "row_key", "copy", "n_lines", F.explode(F.arrays_zip("places", "windows", "more")).alias("x")).select("doc_id", "row_key", "copy", "n_lines", F.col("x.places").alias("at"), F.col("x.windows").alias("window"), F.col("x.more").alias("more"))
+    each = may.select("doc_id", "row_key", "copy", "n_lines", F.explode(F.arrays_zip("places", "windows", "more", "hot")).alias("x")).select("doc_id", "row_key", "copy", "n_lines", F.col("x.places").alias("at"), F.col("x.windows").alias("window"), F.col("x.more").alias("more"), F.col("x.hot").alias("hot"))
     spot = F.struct("doc_id", "row_key", "copy", F.col("at"))
     # min of structs orders nulls first, as the order of documents does
-    firsts = each.groupBy("window", "more").agg(F.min(spot).alias("first"), F.count("*").alias("times")).filter(F.col("times") > 1)
-    firsts = firsts.select("window", "more", "first", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
-    each = each.withColumn("salt", F.pmod(F.xxhash64("doc_id", "row_key", "copy", "at"), F.lit(SALT)).cast("int"))
+    firsts = each.groupBy("window", "more", "hot").agg(F.min(spot).alias("first"), F.count("*").alias("times")).filter(F.col("times") > 1)
+    firsts = firsts.select("window", "more", "first", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0)))).alias("salt"))
+    each = each.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "row_key", "copy", "at"), F.lit(SALT))).otherwise(0).cast("int"))
     later = each.join(firsts, ["window", "more", "salt"]).filter(~F.col("first").eqNullSafe(spot))
     upto = lambda at: F.sequence(at, F.least(at + (LINES - 1), F.col("n_lines") - 1))
     same = F.struct("first.doc_id", "first.row_key", "first.copy").eqNullSafe(F.struct("doc_id", "row_key", "copy"))
