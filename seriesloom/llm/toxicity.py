@@ -99,10 +99,11 @@ def _vectors(features: np.ndarray):
 
 
 class OrdinalModel:
-    """Word hashes, their shared weights, and the ordered thresholds."""
+    """Word hashes, their shared weights, the ordered thresholds, and the grades between them."""
 
-    def __init__(self, words: np.ndarray, weights: np.ndarray, thresholds: np.ndarray):
+    def __init__(self, words: np.ndarray, weights: np.ndarray, thresholds: np.ndarray, grades: np.ndarray | None = None):
         self.words, self.weights, self.thresholds = words, weights, thresholds
+        self.grades = np.arange(len(thresholds) + 1) if grades is None else grades
 
     def above(self, score: np.ndarray) -> np.ndarray:
         """P(grade > k) for each text and threshold."""
@@ -146,7 +147,7 @@ def fit(features: np.ndarray, rows: pa.Table, steps: int = 300, rate: float = 0.
     grade = rows.column("grade").to_numpy().astype(np.int64)
     if not len(features) or not len(grade) or (grade > 0).all() or (grade == 0).all():
         return OrdinalModel(np.zeros(0, np.uint64), np.zeros(0), np.full(2, np.inf))
-    _, grade = np.unique(grade, return_inverse=True)  # grades that nobody has are passed over
+    grades, grade = np.unique(grade, return_inverse=True)  # grades that nobody has need no threshold
     lists = rows.column("features").combine_chunks()
     row = np.repeat(np.arange(len(grade)), lists.value_lengths().to_numpy())
     col = lists.flatten().to_numpy().astype(np.int64)
@@ -162,7 +163,7 @@ def fit(features: np.ndarray, rows: pa.Table, steps: int = 300, rate: float = 0.
         weights = weights - move[: len(features)]
         first -= move[len(features)]
         gaps = gaps - move[len(features) + 1 :]
-    return OrdinalModel(features, weights, thresholds_of(first, gaps))
+    return OrdinalModel(features, weights, thresholds_of(first, gaps), grades)
 
 
 def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", quality_col: str = "quality", graded: bool = False, max_labelled: int = MAX_LABELLED, n_features: int = N_FEATURES) -> OrdinalModel:
@@ -203,7 +204,7 @@ def scored(model: OrdinalModel, buf: np.ndarray, offs: np.ndarray, cut: float) -
     score, n = model.scores(buf, offs)
     above = model.above(score)
     level = np.concatenate([1 - above[:, :1], above[:, :-1] - above[:, 1:], above[:, -1:]], axis=1)
-    return [pa.array(n.astype(np.int64)), pa.array(above[:, 0]), pa.array(above.sum(axis=1)), pa.array(level.argmax(axis=1).astype(np.int64)), pa.array((above[:, 0] >= cut) & (n > 0))]
+    return [pa.array(n.astype(np.int64)), pa.array(above[:, 0]), pa.array(above @ np.diff(model.grades).astype(float)), pa.array(model.grades[level.argmax(axis=1)].astype(np.int64)), pa.array((above[:, 0] >= cut) & (n > 0))]
 
 
 def without_toxic(documents: DataFrame, model: OrdinalModel, text_col: str = "text", cut: float = CUT) -> DataFrame:

@@ -439,6 +439,8 @@ def test_grades_come_from_the_labels(spark):
     got = {r.doc_id: r.grade for r in toxicity(docs.filter("doc_id > 1"), model).collect()}
     assert len(model.thresholds) == 2 and all(got[i] == i % 3 for i in got)
     assert {r.expected_severity for r in toxicity(docs, train(docs, labels.limit(0))).collect()} == {0.0}
+    two = train(docs, labels.filter("doc_id % 3 <> 1"))  # no grade 1: the threshold lies between 0 and 2
+    assert two.grades.tolist() == [0, 2] and {r.grade for r in toxicity(docs.filter("doc_id > 1 AND doc_id % 3 = 2"), two).collect()} == {2}
 
 
 def test_url_cases(spark):
