@@ -11,10 +11,12 @@ from its kin is there.  Of winners that overlap, the one with most words in comm
 missing and the extra ones, stays; all others are reported.
 
 Templates that a window's words can't confirm are not compressed with it, which changes no
-verdict.  Defined results: null or empty texts have no candidates; line ends, with comment
-marks after them, count as a space; ``n_candidates`` counts the blocks of words in a line
-around triggers; repeated rows each get a row; the templates are a parameter; other columns
-are ignored.  Whole texts are searched; nothing is shuffled.
+verdict.  Defined results: null or empty texts have no candidates; texts and lines of any length are
+searched whole, in time that grows with their length; line ends, with comment marks after them, count
+as a space; of overlapping winners with as many words in common the one that saves more bytes stays,
+then the one with the larger reduction, then the first; ``n_candidates`` counts the blocks of words in
+a line around triggers; repeated rows each get a row; the templates are a parameter; other columns
+are ignored; an empty table gives no rows.  Nothing is shuffled.
 """
 
 from __future__ import annotations

@@ -402,6 +402,31 @@ def test_license_notices_inside_longer_texts(spark):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_wrapped_licenses_and_precision(spark):
+    import textwrap
+    import time
+
+    full = [(name, wording) for name, wording in TEMPLATES if len(wording) > 200]
+    texts = ["\n".join(textwrap.wrap(f"Copyright (c) 2020 Somebody {wording} Some other words follow here.", 80, initial_indent="# ", subsequent_indent="# ")) for _, wording in full]
+    texts.append("Released under the MIT License. Licensed under CC BY 4.0.")
+    pick = random.Random(2)
+    words = "license licensed copyright public general terms use software free redistribution permission mit apache the of and a in granted rights work version".split()
+    noise = [" ".join(pick.choice(words) for _ in range(200)) for _ in range(60)]
+    long = " ".join(["some licensed words that mean nothing at all"] * 40_000) + " Released under the MIT License. " + "z" * 300_000
+    df = spark.createDataFrame(list(enumerate([*texts, *noise, long])), "doc_id bigint, text string")
+    began = time.time()
+    got = {r.doc_id: [(x.license, x.missing, x.extra) for x in r.found] for r in license_scan(df).collect()}
+    assert time.time() - began < 120
+    assert [(name, 0, 0) in got[i] for i, (name, _) in enumerate(full)] == [True] * len(full)
+    assert all({x[0] for x in got[i]} <= {name, "Proprietary"} for i, (name, _) in enumerate(full))
+    assert [x[0] for x in got[len(full)]] == ["MIT", "CC-BY-4.0"]
+    for i, text in enumerate(noise, len(texts)):  # a verdict on random words holds the template's words in order, but for a fifth
+        for name, missing, _ in got[i]:
+            assert any(name == n and missing <= 0.2 * len(w.split()) for n, w in TEMPLATES)
+    assert sum(map(len, (got[i] for i in range(len(texts), len(texts) + 60)))) <= 3
+    assert ("MIT", 0, 0) in got[len(texts) + 60]
+
+
 def test_toxicity_cases(spark, docs, empty):
     labels = spark.createDataFrame([(1, 0, 1), (2, 1, 1), (2, 0, 1), (None, 1, 1), (5, None, 1), (99, 1, 1)], "doc_id bigint, toxic int, text int")
     model = train(docs, labels)
