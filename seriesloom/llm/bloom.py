@@ -33,11 +33,12 @@ def bits_of(values: DataFrame) -> np.ndarray:
     size = 1 << min(28, max(20, (16 * values.count()).bit_length()))
 
     def mark(batches):
-        bits = np.zeros(size, dtype=bool)
+        bits = np.zeros(size // 8, dtype=np.uint8)
         for batch in batches:
             for k in (1, 2):
-                bits[places(batch.column(0).to_numpy(), k, size)] = True
-        for k, part in enumerate(np.packbits(bits).reshape(-1, WIDTH // 8)):
+                at = places(batch.column(0).to_numpy(), k, size)
+                np.bitwise_or.at(bits, at >> 3, (128 >> (at & 7)).astype(np.uint8))
+        for k, part in enumerate(bits.reshape(-1, WIDTH // 8)):
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([part.tobytes()])], ["slice", "bits"])
 
@@ -51,6 +52,6 @@ def bits_of(values: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([x.tobytes()])], ["slice", "bits"])
 
     total = np.zeros((size // WIDTH, WIDTH // 8), dtype=np.uint8)
-    for r in values.mapInArrow(mark, "slice bigint, bits binary").repartition("slice").mapInArrow(unite, "slice bigint, bits binary").collect():
+    for r in values.mapInArrow(K.tidied(mark), "slice bigint, bits binary").repartition("slice").mapInArrow(unite, "slice bigint, bits binary").collect():
         total[r.slice] = np.frombuffer(r.bits, dtype=np.uint8)
     return total.reshape(-1)
