@@ -11,6 +11,7 @@ sketch over all documents, then by hash).  Two texts link when 100 * intersectio
 3. Members of a group without another member of fitting size leave it.  Groups are cut, in
    order of size, into blocks of bounded n-grams and members, from counts by size that are summed up
    before; pairs of blocks of fitting sizes are the units of work, so no task holds a whole group.
+   Neighbouring blocks are compared first, others only as far as they aren't connected by then.
 4. In a unit the sets are stored in a trie in frequent-first order.  The trie is walked once
    for all probing sets together: the overlap of a shared path is counted once, a probe
    leaves a subtree as soon as the remaining length on either side can't reach the least
@@ -229,20 +230,22 @@ def _runs(batches):
 def _groups(docs: DataFrame, n: int, percent: int, shared) -> DataFrame:
     """Distinct (pivot, member, n) of classes that share a prefix n-gram."""
     rows = docs.select("text").mapInArrow(_prefix_rows(n, percent, shared), "n bigint, node bigint, sign bigint, prefix array<bigint>")
-    classes = rows.groupBy("n", "node", "sign").agg(F.first("prefix").alias("prefix"))
-    grams = classes.select(F.explode("prefix").alias("gram"), F.col("node").alias("class"), "n")
-    hot = F.shiftrightunsigned("gram", 56) >= HOT_CLASS
-    cold = grams.filter(~hot).repartition("gram").sortWithinPartitions("gram", "class").mapInArrow(K.tidied(_runs), "pivot bigint, member bigint, n bigint")
+    # read twice, so written: the texts are hashed once for it
+    classes = written(rows.groupBy("n", "node", "sign").agg(F.first("prefix").alias("prefix")).select(F.col("node").alias("class"), "n", "prefix"))
+    is_hot = lambda gram: F.shiftrightunsigned(gram, 56) >= HOT_CLASS
+    grams = lambda keep: classes.select(F.explode(F.filter("prefix", keep)).alias("gram"), "class", "n")
+    cold = grams(lambda g: ~is_hot(g)).repartition("gram").sortWithinPartitions("gram", "class").mapInArrow(K.tidied(_runs), "pivot bigint, member bigint, n bigint")
     # n-grams of very many documents: the pivot by partial aggregation, the join back salted
-    warm = grams.filter(hot).withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(SALT)).cast("int"))
+    warm = grams(is_hot).withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(SALT)).cast("int"))
     pivots = warm.groupBy("gram").agg(F.min("class").alias("pivot"), F.count("*").alias("many")).filter(F.col("many") > 1)
     pivots = pivots.select("gram", "pivot", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
     warm = warm.join(pivots, ["gram", "salt"]).select("pivot", F.col("class").alias("member"), "n")
     return cold.unionByName(warm).distinct()
 
 
-def _units(groups: DataFrame, percent: int) -> DataFrame:
-    """(pivot, i, j, block, member): which members meet in which pairs of blocks.
+def _blocks(groups: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """((pivot, member, block), (pivot, i, j, near)): the blocks of each group, and the pairs of them,
+    i <= j, whose sizes fit; near ones are neighbours, or all that a group of two blocks has.
 
     Blocks are laid out from the members of each size, counted before; members of one size are
     dealt by hash to the blocks that their size takes.
@@ -257,11 +260,30 @@ def _units(groups: DataFrame, percent: int) -> DataFrame:
     dealt = F.col("first") + F.pmod(F.xxhash64("member"), F.col("last") - F.col("first") + 1)
     g = written(groups.join(sizes, ["pivot", "n"]).select("pivot", "member", "n", dealt.alias("block")))
     blocks = g.groupBy("pivot", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    a = blocks.select("pivot", F.col("block").alias("i"), "high")
-    b = blocks.select("pivot", F.col("block").alias("j"), "low")
-    pairs = a.join(b, "pivot").filter((F.col("i") <= F.col("j")) & (100 * F.col("high") >= percent * F.col("low"))).select("pivot", "i", "j")
+    blocks = blocks.withColumn("place", F.row_number().over(Window.partitionBy("pivot").orderBy("block")))  # one row a block
+    a = blocks.select("pivot", F.col("block").alias("i"), "high", F.col("place").alias("at"))
+    b = blocks.select("pivot", F.col("block").alias("j"), "low", F.col("place").alias("to"))
+    pairs = a.join(b, "pivot").filter((F.col("at") <= F.col("to")) & (100 * F.col("high") >= percent * F.col("low")))
+    return g.select("pivot", "member", "block"), written(pairs.select("pivot", "i", "j", (F.col("to") - F.col("at") <= 1).alias("near")))
+
+
+#: Parts of a block, as blocks of their own numbers: all members, those outside of the group's
+#: largest component so far, and those in it.
+ALL, OUTSIDE, CORE, PARTS = 0, 1, 2, 3
+
+
+def _units(members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(pivot, i, j, block, member): which members meet in which pairs of blocks."""
     places = pairs.select("pivot", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
-    return g.join(places, ["pivot", "block"]).select("pivot", "i", "j", "block", "member")
+    return members.join(places, ["pivot", "block"]).select("pivot", "i", "j", "block", "member")
+
+
+def _part(members: DataFrame, part: int) -> DataFrame:
+    return members.select("pivot", "member", (F.col("block") * PARTS + part).alias("block"))
+
+
+def _pair(pairs: DataFrame, left: int, right: int) -> DataFrame:
+    return pairs.select("pivot", (F.col("i") * PARTS + left).alias("i"), (F.col("j") * PARTS + right).alias("j"))
 
 
 def bucket_counts(grams: np.ndarray) -> bytes:
@@ -371,7 +393,7 @@ def _walker(percent: int, shared):
         def links(key, rows):
             sides = [([r[1] for r in rows if r[0] == k], [ordered(np.frombuffer(r[3], dtype=np.uint64), classes) for r in rows if r[0] == k]) for k in dict.fromkeys(key[1:])]
             found = unit_links(sides[0], sides[1] if len(sides) > 1 else None, percent)
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([key[0]] * len(found), pa.int64()), *(pa.array([x[k] for x in found], pa.int64()) for k in (0, 1))], ["pivot", "a", "b"])
 
         yield from _by_unit(batches, links)
 
@@ -400,12 +422,36 @@ def components(links: DataFrame) -> DataFrame:
 
 def jaccard_links(docs: DataFrame, classes: DataFrame, sketch: np.ndarray, n: int = 5, percent: int = 75) -> DataFrame:
     """Links (a, b) between classes that give the join's components; ``docs`` has doc_id and text,
-    ``classes`` their node and class_id."""
+    ``classes`` their node and class_id.
+
+    In a group of more than two blocks neighbours are compared first.  Of the other pairs of blocks only
+    those members are compared that aren't both in the group's largest component by then, so a large
+    group of near copies takes work in proportion to its blocks, and no link between components is lost.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(sketch)  # 4 MB at any size
-    units = written(_units(_groups(docs, n, percent, shared), percent))
-    units = written(_pruned(units, docs, classes, n, percent))
-    sets = _members(docs, classes, units.select("member").distinct(), n, np.ndarray.tobytes, "grams")
-    return _placed(units, sets, ["block", "member"]).mapInArrow(_walker(percent, shared), "a bigint, b bigint").distinct()
+
+    def found(units: DataFrame) -> DataFrame:
+        units = written(_pruned(written(units), docs, classes, n, percent))
+        sets = _members(docs, classes, units.select("member").distinct(), n, np.ndarray.tobytes, "grams")
+        return written(_placed(units, sets, ["block", "member"]).mapInArrow(_walker(percent, shared), "pivot bigint, a bigint, b bigint").distinct())
+
+    members, pairs = _blocks(_groups(docs, n, percent, shared), percent)
+    links = found(_units(_part(members, ALL), _pair(pairs.filter("near"), ALL, ALL)))
+    far = pairs.filter("NOT near")
+    if not far.isEmpty():
+        large = far.select("pivot").distinct()
+        known = components(links.join(large, "pivot", "left_semi").select("a", "b"))
+        m = members.join(large, "pivot", "left_semi").join(known, members.member == known.node, "left").select("pivot", "member", "block", F.coalesce("component", "member").alias("component"))
+        core = m.groupBy("pivot", "component").agg(F.count("*").alias("n")).groupBy("pivot").agg(F.max_by("component", F.struct("n", "component")).alias("core"))
+        m = written(m.join(core, "pivot").select("pivot", "member", "block", (F.col("component") == F.col("core")).alias("inside")))
+        inside, outside = m.filter("inside"), m.filter("NOT inside")
+        parts = _part(m, ALL).unionByName(_part(outside, OUTSIDE)).unionByName(_part(inside, CORE))
+        there = parts.select("pivot", "block").distinct()
+        more = _pair(far, OUTSIDE, ALL).unionByName(_pair(far, CORE, OUTSIDE))
+        for side in ("i", "j"):
+            more = more.join(there.withColumnRenamed("block", side), ["pivot", side], "left_semi")
+        links = links.unionByName(found(_units(parts, more)))
+    return links.select("a", "b").distinct()
 
 
 def ngram_jaccard(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
