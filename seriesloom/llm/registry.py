@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL."""
 
-from seriesloom.llm import decontaminate, licenses, line_dedup, mixing, ngram_join, pii, quality, token_ids, toxicity, url_filter
+from seriesloom.llm import align, bpe, decontaminate, licenses, line_dedup, mixing, ngram_join, pii, quality, resample, token_ids, toxicity, url_filter
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
@@ -13,6 +13,9 @@ QUERIES = {
     "op8_source_mixing": mixing.op8_source_mixing,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op11_tokenizer_alignment": align.op11_tokenizer_alignment,
+    "op12_importance_resampling": resample.op12_importance_resampling,
+    "op13_bpe_codec": bpe.op13_bpe_codec,
 }
 
 SQL = {
