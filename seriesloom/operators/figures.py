@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.operators import rank as R
 from seriesloom.operators import series as S
+from seriesloom.operators.keys import join_on
 
 
 def quantity(df: DataFrame, item: str, value: str, day: str, month: str) -> DataFrame:
@@ -66,7 +67,7 @@ def overview(df: DataFrame, by: str, period: str, item: str, origin: str, day: s
     """Per source: latest period and its items, all items and origins, first and last day."""
     each = df.groupBy(by, period).agg(F.countDistinct(item).alias("p_"))
     last = each.groupBy(by).agg(F.max(period).alias("latest"), F.max_by("p_", period).alias("latest_products"))
-    return df.groupBy(by).agg(F.countDistinct(item).alias("products"), F.countDistinct(origin).alias("origins"), F.min(day).cast("string").alias("first_day"), F.max(day).cast("string").alias("last_day")).join(last, by)
+    return df.groupBy(by).agg(F.countDistinct(item).alias("products"), F.countDistinct(origin).alias("origins"), F.min(day).cast("string").alias("first_day"), F.max(day).cast("string").alias("last_day")).transform(lambda x: join_on(x, last, [by]))
 
 
 def latest_comparable(df: DataFrame, by: str, item: str, day: str, order: list[Column], n: int) -> DataFrame:
@@ -82,4 +83,4 @@ def market_origin(df: DataFrame, item: str, market: str, origin: str, index: str
     k = g.groupBy(item, market, origin).agg(F.count("*").alias("k_"))
     k = k.withColumn("place_", F.row_number().over(Window.partitionBy(item, market).orderBy(F.desc("k_"), origin)))
     chosen = R.ranked(k, [F.col("place_"), F.desc("k_"), F.col(market), F.col(origin)], n, [item], "r_").select(item, market, origin)
-    return S.fill_months(g.join(chosen, [item, market, origin], "left_semi"), [item, market, origin], index).select(item, market, origin, index, "median")
+    return S.fill_months(join_on(g, chosen, [item, market, origin], "left_semi"), [item, market, origin], index).select(item, market, origin, index, "median")

@@ -5,57 +5,97 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seriesloom.operators.keys import join_on
 
-def _candidates(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], near: tuple[str, str, int] | None, left_id: str, right_id: str) -> DataFrame:
-    """(left id, right id, of_left, of_right): candidate pairs and the candidates of either row.
 
-    Without a tolerance all rows of a key are candidates of each other: they are counted by key, and
-    a row of a larger group is paired with the key's first row alone, so nothing fans out.  With
-    one, rows meet in cells as wide as the tolerance.
+#: Least width of the cells in which values within a tolerance are added up.
+CELL = 4096
+
+
+def _candidates(rows: DataFrame, keys: list[str], tolerance: int, conflict: bool, left_id: Column, right_id: Column) -> DataFrame:
+    """Per distinct (keys, x_, group_): for a left row there, how many right rows are its candidates (``right_n``), and
+    the one it has if it is also that one's only candidate (``right_only``); likewise for a right row.
+
+    Rows are counted by value first.  Candidates of a value are then differences of running sums: of all rows up to
+    ``tolerance`` above it, less those below it by more.  Sums of ids give the single candidate's id, so no pair of
+    rows is ever built.  A value's sums lie in its cell; cells also hold the values near their edges.
     """
-    if near is None:
-        a = left.groupBy(*[F.col(x).alias(f"k{i}") for i, (x, _) in enumerate(keys)]).agg(F.count("*").alias("of_right"), F.min(left_id).alias("first_left"))
-        b = right.groupBy(*[F.col(y).alias(f"k{i}") for i, (_, y) in enumerate(keys)]).agg(F.count("*").alias("of_left"), F.min(right_id).alias("first_right"))
-        both = a.join(b, [f"k{i}" for i in range(len(keys))])
-        of_left = left.join(both, [left[x] == both[f"k{i}"] for i, (x, _) in enumerate(keys)]).select(left_id, F.col("first_right").alias(right_id), "of_left", "of_right")
-        of_right = right.join(both, [right[y] == both[f"k{i}"] for i, (_, y) in enumerate(keys)]).filter((F.col("of_left") > 1) | (F.col("of_right") > 1))
-        return of_left.unionByName(of_right.select(F.col("first_left").alias(left_id), right_id, "of_left", "of_right")).distinct()
-    x, y, tolerance = near
-    cell = lambda c, k: (F.floor(F.col(c) / (tolerance + 1)) + k)
-    b = right.withColumn("cell_", F.explode(F.array(*[cell(y, k) for k in (-1, 0, 1)]))) if tolerance else right.withColumn("cell_", cell(y, 0))
-    a = left.withColumn("cell_", cell(x, 0))
-    pairs = a.join(b, [a["cell_"] == b["cell_"], *(a[u] == b[v] for u, v in keys)]).filter(F.abs(F.col(x) - F.col(y)) <= tolerance).select(left_id, right_id)
-    return pairs.withColumn("of_left", F.count("*").over(Window.partitionBy(left_id))).withColumn("of_right", F.count("*").over(Window.partitionBy(right_id)))
-
-
-def mutual_unique(left: DataFrame, right: DataFrame, stages: list[tuple[str, list[tuple[str, str]], tuple[str, str, int] | None]], left_id: str = "left_id", right_id: str = "right_id", materialise=lambda df: df) -> DataFrame:
+    n = lambda side: F.count_if(F.col("side_") == side)
+    total = lambda side, i: F.coalesce(F.sum(F.when(F.col("side_") == side, i.cast("decimal(38,0)"))), F.lit(0).cast("decimal(38,0)"))
+    p = rows.groupBy(*keys, "x_", "group_").agg(n("left").alias("nl"), n("right").alias("nr"), total("left", left_id).alias("sl"), total("right", right_id).alias("sr"))
+    if tolerance:
+        width = max(CELL, 64 * (tolerance + 1))
+        cell = lambda by: F.floor((F.col("x_") + by) / width)
+        p = p.withColumn("own_", cell(0)).withColumn("cell_", F.explode(F.array_distinct(F.array(*[cell(by) for by in (-2 * tolerance, 0, 2 * tolerance)]))))
+    alone = not tolerance and not conflict
+
+    def over(column: Column, *parts: str) -> Column:
+        """The sum over all values within the tolerance."""
+        if not tolerance:
+            return F.sum(column).over(Window.partitionBy(*keys, "x_", *parts))
+        w = Window.partitionBy(*keys, "cell_", *parts).orderBy("x_")
+        none = F.lit(0).cast("decimal(38,0)")
+        return F.coalesce(F.sum(column).over(w.rangeBetween(Window.unboundedPreceding, tolerance)), none) - F.coalesce(F.sum(column).over(w.rangeBetween(Window.unboundedPreceding, -tolerance - 1)), none)
+
+    unknown = F.col("group_").isNull()
+
+    def of_right(column: Column) -> Column:
+        """What a left row meets: right rows of its group; all of them if its own is unknown."""
+        return column if alone else over(column) if not conflict else F.when(unknown, over(column)).otherwise(over(column, "group_"))
+
+    def of_left(column: Column) -> Column:
+        """What a right row meets: left rows of its group or of none."""
+        if alone or not conflict:
+            return column if alone else over(column)
+        return F.when(unknown, 0).otherwise(over(column, "group_")) + over(F.when(unknown, column).otherwise(0))
+
+    c = p.withColumns({"right_n": of_right(F.col("nr")), "right_sum": of_right(F.col("sr")), "left_n": of_left(F.col("nl")), "left_sum": of_left(F.col("sl"))})
+    c = c.withColumns({"right_other": of_right(F.col("nr") * F.col("left_n")), "left_other": of_left(F.col("nl") * F.col("right_n"))})
+    if tolerance:
+        c = c.filter("cell_ = own_")
+    only = lambda side: F.when((F.col(f"{side}_n") == 1) & (F.col(f"{side}_other") == 1), F.col(f"{side}_sum").cast("bigint")).alias(f"{side}_only")
+    return c.select(*keys, "x_", "group_", "right_n", "left_n", only("right"), only("left"))
+
+
+def mutual_unique(left: DataFrame, right: DataFrame, stages: list[tuple[str, list[tuple[str, str]], tuple[str, str, int | None] | None]], left_id: str = "left_id", right_id: str = "right_id", materialise=lambda df: df, conflict: tuple[str, str] | None = None) -> DataFrame:
     """(side, id, other_id, state, stage) of every row of both sides.
 
     Rows that are each other's only candidate are matched, stage by stage.  A stage is (name,
-    [(left column, right column)], (left column, right column, tolerance) or None).  Rows with
-    several candidates, and their candidates, are ambiguous and leave the pool; rows that no stage
-    finds a candidate for are left over.  ``materialise`` cuts lineage between stages.
+    [(left column, right column)], (left column, right column, tolerance) or None): whole numbers no further
+    apart than the tolerance; with a tolerance of None both must only be there.  ``conflict`` names a left and a
+    right column that rule a pair out where the left one is known and they differ.  Null keys are keys of
+    their own; ids are whole numbers.  Rows with several candidates, and their candidates, are ambiguous and
+    leave the pool; rows that no stage finds a candidate for are left over.  ``materialise`` cuts lineage
+    between stages.
     """
-    out = None
-    for name, keys, near in stages:
-        found = materialise(_candidates(left, right, keys, near, left_id, right_id))
-        only = (F.col("of_left") == 1) & (F.col("of_right") == 1)
-        state = F.when(only, "matched").otherwise("ambiguous")
-        for side, own, other in (("left", left_id, right_id), ("right", right_id, left_id)):
-            rows = found.groupBy(F.col(own).alias("id")).agg(F.min(F.when(only, F.col(other))).alias("other_id"), F.min(state).alias("state")).select(F.lit(side).alias("side"), "id", "other_id", "state", F.lit(name).alias("stage"))
-            out = rows if out is None else out.unionByName(rows)
-        left = materialise(left.join(found.select(left_id).distinct(), left_id, "left_anti"))
-        right = materialise(right.join(found.select(right_id).distinct(), right_id, "left_anti"))
-    for side, df, own in (("left", left, left_id), ("right", right, right_id)):
-        out = out.unionByName(df.select(F.lit(side).alias("side"), F.col(own).alias("id"), F.lit(None).cast("bigint").alias("other_id"), F.lit("left over").alias("state"), F.lit(None).cast("string").alias("stage")))
-    return out
+
+    def side(df: DataFrame, k: int, own: str) -> DataFrame:
+        columns = [F.lit(("left", "right")[k]).alias("side_"), F.col(own).cast("bigint").alias("id_"), (F.col(conflict[k]) if conflict else F.lit(None).cast("string")).alias("group_")]
+        for n, (_, keys, near) in enumerate(stages):
+            columns += [F.col(pair[k]).alias(f"s{n}_{i}") for i, pair in enumerate(keys)]
+            columns.append((F.col(near[k]).cast("bigint") if near else F.lit(0).cast("bigint")).alias(f"s{n}_x"))
+        return df.select(*columns)
+
+    pool, out = side(left, 0, left_id).unionByName(side(right, 1, right_id)), None
+    for n, (name, keys, near) in enumerate(stages):
+        by, tolerance = [f"s{n}_{i}" for i in range(len(keys))], near[2] if near else 0
+        x = F.col(f"s{n}_x") if tolerance is not None else F.when(F.col(f"s{n}_x").isNotNull(), F.lit(0).cast("bigint"))
+        pool = pool.withColumn("x_", x)
+        found = _candidates(pool.filter("x_ IS NOT NULL"), by, tolerance or 0, conflict is not None, F.col("id_"), F.col("id_"))
+        of = lambda s: F.when(F.col("side_") == "left", F.col(f"right_{s}")).otherwise(F.col(f"left_{s}"))
+        pool = materialise(join_on(pool, found, [*by, "x_", "group_"], "left").withColumns({"n_": of("n"), "other_": of("only")}).drop("x_", "right_n", "left_n", "right_only", "left_only"))
+        here = pool.filter("n_ > 0").select(F.col("side_").alias("side"), F.col("id_").alias("id"), F.col("other_").alias("other_id"), F.when(F.col("other_").isNotNull(), "matched").otherwise("ambiguous").alias("state"), F.lit(name).alias("stage"))
+        out = here if out is None else out.unionByName(here)
+        pool = pool.filter("coalesce(n_, 0) = 0").drop("n_", "other_")
+    rest = pool.select(F.col("side_").alias("side"), F.col("id_").alias("id"), F.lit(None).cast("bigint").alias("other_id"), F.lit("left over").alias("state"), F.lit(None).cast("string").alias("stage"))
+    return rest if out is None else out.unionByName(rest)
 
 
 def on_common_days(left: DataFrame, right: DataFrame, left_day: str, right_day: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(left and right rows of days that both sides have, left and right rows of other days)."""
     a, b = left.select(F.col(left_day).alias("day_")).distinct(), right.select(F.col(right_day).alias("day_")).distinct()
-    common = a.join(b, "day_", "left_semi")
-    keep = lambda df, day, how: df.join(common, df[day] == common["day_"], how)
+    common = join_on(a, b, ["day_"], "left_semi")
+    keep = lambda df, day, how: df.join(common, df[day].eqNullSafe(common["day_"]), how)
     return keep(left, left_day, "left_semi"), keep(right, right_day, "left_semi"), keep(left, left_day, "left_anti"), keep(right, right_day, "left_anti")
 
 
@@ -79,7 +119,7 @@ def as_of_rates(days: DataFrame, rates: DataFrame, day: str, rate_day: str, rate
 
 def route_by_coverage(official: DataFrame, legacy: DataFrame, key: list[str]) -> DataFrame:
     """Official rows, and legacy rows of keys that no official row covers; decided before any filter."""
-    rest = legacy.join(official.select(*key).distinct(), key, "left_anti")
+    rest = join_on(legacy, official.select(*key).distinct(), key, "left_anti")
     return official.withColumn("origin", F.lit("official")).unionByName(rest.withColumn("origin", F.lit("legacy")), allowMissingColumns=True)
 
 
@@ -90,7 +130,7 @@ def priority_union(base: DataFrame, others: list[DataFrame], key: list[str], ord
         df = df.withColumn("priority_", F.lit(k))
         tagged = df if tagged is None else tagged.unionByName(df)
     first = tagged.withColumn("r_", F.row_number().over(Window.partitionBy(*key).orderBy("priority_", *order))).filter("r_ = 1").drop("r_", "priority_")
-    return base.unionByName(first.join(base.select(*key).distinct(), key, "left_anti").select(*base.columns))
+    return base.unionByName(join_on(first, base.select(*key).distinct(), key, "left_anti").select(*base.columns))
 
 
 def first_of_equal(df: DataFrame, ignore: list[str], order: list[str]) -> DataFrame:
@@ -101,20 +141,20 @@ def first_of_equal(df: DataFrame, ignore: list[str], order: list[str]) -> DataFr
 
 def replace_source(stored: DataFrame, new: DataFrame, source: str) -> DataFrame:
     """``stored`` without the sources in ``new``, plus ``new``."""
-    return stored.join(new.select(source).distinct(), source, "left_anti").unionByName(new)
+    return join_on(stored, new.select(source).distinct(), [source], "left_anti").unionByName(new)
 
 
 def missing_keys(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
     """Keys that only one side has, with that side's name."""
     a, b = left.select(*key).distinct(), right.select(*key).distinct()
-    return a.join(b, key, "left_anti").withColumn("only_in", F.lit("left")).unionByName(b.join(a, key, "left_anti").withColumn("only_in", F.lit("right")))
+    return join_on(a, b, key, "left_anti").withColumn("only_in", F.lit("left")).unionByName(join_on(b, a, key, "left_anti").withColumn("only_in", F.lit("right")))
 
 
 def compare_key_sets(left: DataFrame, right: DataFrame, key: list[str], value: str, tolerance: float = 0.01) -> DataFrame:
     """Per key: values of both sides, whether ambiguous, the ratio where both have one, and
     whether it is within ``tolerance``."""
     side = lambda df, n: df.groupBy(*key).agg(F.countDistinct(value).alias(f"n_{n}"), F.min(value).alias(f"v_{n}"))
-    both = side(left, "left").join(side(right, "right"), key, "full")
+    both = join_on(side(left, "left"), side(right, "right"), key, "full")
     one = (F.col("n_left") == 1) & (F.col("n_right") == 1)
     both = both.withColumn("ratio", F.when(one & (F.col("v_right") != 0), F.col("v_left").cast("double") / F.col("v_right")))
     status = F.when(F.col("n_left").isNull(), "solo derecha").when(F.col("n_right").isNull(), "solo izquierda").when(~one, "ambigua").otherwise("comun")
@@ -136,7 +176,7 @@ def comparable_combinations(df: DataFrame, identity: list[str], market: str, loo
         if out is None:
             out = g.select("*", *[F.col(f"{c}_0").alias(f"{c}_known_") for c in loose], F.map_keys("p0_").alias("common_"))
             continue
-        out = out.join(g, identity)
+        out = join_on(out, g, identity)
         for c in loose:  # all groups so far agree where they are known
             out = out.filter(F.col(f"{c}_known_").isNull() | F.col(f"{c}_{k}").isNull() | (F.col(f"{c}_known_") == F.col(f"{c}_{k}"))).withColumn(f"{c}_known_", F.coalesce(f"{c}_known_", f"{c}_{k}"))
         out = out.withColumn("common_", F.array_intersect("common_", F.map_keys(f"p{k}_"))).filter(F.size("common_") > 0)
@@ -182,20 +222,20 @@ def embedded_varieties(df: DataFrame, product: str, variety: str) -> DataFrame:
 def share_of_totals(parts: DataFrame, totals: DataFrame, key: list[str], value: str, total: str) -> DataFrame:
     """Parts as shares of a total from another source; null where a key has several totals, or none."""
     one = totals.groupBy(*key).agg(F.sum(total).alias("total_"), F.count("*").alias("k_")).filter("k_ = 1").drop("k_")
-    return parts.join(one, key, "left").withColumn("share", F.when(F.col("total_") > 0, F.col(value).cast("double") / F.col("total_"))).drop("total_")
+    return join_on(parts, one, key, "left").withColumn("share", F.when(F.col("total_") > 0, F.col(value).cast("double") / F.col("total_"))).drop("total_")
 
 
 def year_ago(df: DataFrame, dims: list[str], index: str, value: str, lag: int = 12) -> DataFrame:
     """Change of each row from the only row of its series ``lag`` periods before."""
     base = df.groupBy(*dims, (F.col(index) + lag).alias(index)).agg(F.when(F.count("*") == 1, F.max(value)).alias("base_"))
-    return df.join(base, [*dims, index], "left").withColumn("variation", F.when(F.col("base_") > 0, (F.col(value) / F.col("base_") - 1) * 100)).drop("base_")
+    return join_on(df, base, [*dims, index], "left").withColumn("variation", F.when(F.col("base_") > 0, (F.col(value) / F.col("base_") - 1) * 100)).drop("base_")
 
 
 def source_coverage(found: DataFrame, table: DataFrame, key: list[str], month: str, item: str) -> DataFrame:
     """Whether a table includes what was found in a source: rows of both and a status by months,
     items and rows."""
     sets = lambda df, a, b, n: df.groupBy(*key).agg(F.collect_set(month).alias(a), F.collect_set(item).alias(b), F.count("*").alias(n))
-    j = sets(found, "ms_", "ps_", "n").join(sets(table, "tm_", "tp_", "tn"), key, "left")
+    j = join_on(sets(found, "ms_", "ps_", "n"), sets(table, "tm_", "tp_", "tn"), key, "left")
     full = (F.size(F.array_except("ms_", "tm_")) == 0) & (F.size(F.array_intersect("ps_", "tp_")) >= 0.9 * F.size("ps_")) & (F.col("n").cast("double") / F.col("tn")).between(0.8, 1.2)
     status = F.when(F.col("tn").isNull(), "AUSENTE").when(full, "INCLUIDO").when(F.size(F.array_intersect("ms_", "tm_")) > 0, "PARCIAL").otherwise("INCIERTO")
     return j.select(*key, "n", "tn", status.alias("status"))
@@ -206,19 +246,19 @@ def freshness_state(checks: DataFrame, attempts: DataFrame, key: list[str], time
     a = checks.groupBy(*key).agg(F.max(time).alias("prev_"))
     b = attempts.groupBy(*key).agg(F.max(time).alias("newest_"), F.max_by(kind, F.struct(time, tie)).alias("attempt_"))
     state = F.when(F.col("newest_").isNull() | (F.col("prev_") > F.col("newest_")), name).otherwise(F.col("attempt_"))
-    return a.join(b, key, "full").select(*key, F.greatest("prev_", "newest_").alias("last_seen"), state.alias("state"))
+    return join_on(a, b, key, "full").select(*key, F.greatest("prev_", "newest_").alias("last_seen"), state.alias("state"))
 
 
 def pick_source(df: DataFrame, item: str, source: str, period: str, least: int, preference: Column) -> DataFrame:
     """Rows of the one source of each item: the latest, then the one of more than ``least`` periods, then by preference."""
     s = df.groupBy(item, source).agg(F.max(period).alias("latest_"), (F.countDistinct(period) > least).alias("active_"))
     pick = s.groupBy(item).agg(F.max_by(source, F.struct("latest_", "active_", preference)).alias(source))
-    return df.join(pick, [item, source], "left_semi")
+    return join_on(df, pick, [item, source], "left_semi")
 
 
 def legacy_coverage(legacy: DataFrame, official: DataFrame, key: list[str], value: str, by: list[str]) -> DataFrame:
     """Keys of the old source, those that the new one covers, gaps, differing values, and whether it may retire."""
     a = legacy.groupBy(*key).agg(F.min(value).alias("old_"))
     b = official.groupBy(*key).agg(F.min(value).alias("new_")).filter("new_ > 0")
-    j = a.join(b, key, "left").groupBy(*by).agg(F.count("*").alias("keys"), F.count("new_").alias("covered"), F.count_if(F.col("old_") != F.col("new_")).alias("different"))
+    j = join_on(a, b, key, "left").groupBy(*by).agg(F.count("*").alias("keys"), F.count("new_").alias("covered"), F.count_if(F.col("old_") != F.col("new_")).alias("different"))
     return j.withColumn("gaps", F.col("keys") - F.col("covered")).withColumn("retire", F.col("gaps") == 0)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seriesloom.operators.keys import join_on
+
 
 def reasons(rules: dict[str, Column]) -> Column:
     """The names of the rules that hold, in the stated order."""
@@ -29,7 +31,7 @@ def outliers(df: DataFrame, dims: list[str], value: str, k: float) -> DataFrame:
     v = F.col(value).cast("double")
     edges = df.filter(F.col(value) > 0).groupBy(*dims).agg(F.percentile(v, 0.25).alias("q1"), F.percentile(v, 0.75).alias("q3"), F.count("*").alias("group_n"))
     span = F.col("q3") - F.col("q1")
-    return df.join(edges, dims).filter((F.col(value) > 0) & ((v < F.col("q1") - k * span) | (v > F.col("q3") + k * span)))
+    return join_on(df, edges, dims).filter((F.col(value) > 0) & ((v < F.col("q1") - k * span) | (v > F.col("q3") + k * span)))
 
 
 def extremes(df: DataFrame, dims: list[str], value: str, least: int = 5, factor: float = 10) -> DataFrame:
@@ -37,7 +39,7 @@ def extremes(df: DataFrame, dims: list[str], value: str, least: int = 5, factor:
 
     The median is taken per group and joined back, so a hot group isn't sorted in a window."""
     middle = df.groupBy(*dims).agg(F.median(F.col(value).cast("double")).alias("group_median"), F.count("*").alias("group_n")).filter(F.col("group_n") >= least)
-    return df.join(middle, dims).filter((F.col(value) > F.col("group_median") * factor) | (F.col(value) * factor < F.col("group_median")))
+    return join_on(df, middle, dims).filter((F.col(value) > F.col("group_median") * factor) | (F.col(value) * factor < F.col("group_median")))
 
 
 def published_table(df: DataFrame, rules: list[tuple[dict[str, str], Column]]) -> DataFrame:
@@ -64,7 +66,7 @@ def duplicate_candidates(df: DataFrame, key: list[str]) -> DataFrame:
 def quarantine(df: DataFrame, key: list[str], content: list[str], flag: str) -> tuple[DataFrame, DataFrame]:
     """(rows of keys without conflicts, with ``flag`` where repeated; rows of keys that conflict)."""
     state = df.groupBy(*key).agg(F.countDistinct(F.struct(*content)).alias("kinds_"), F.count("*").alias("rows_"))
-    joined = df.join(state, key)
+    joined = join_on(df, state, key)
     good = joined.filter("kinds_ = 1").withColumn("flags", F.when(F.col("rows_") > 1, F.array(F.lit(flag))).otherwise(F.array().cast("array<string>")))
     return good.drop("kinds_", "rows_"), joined.filter("kinds_ > 1").drop("kinds_", "rows_")
 
@@ -124,7 +126,7 @@ def has_provenance(digest: str, captured: str) -> Column:
 def expected_counts(df: DataFrame, expected: DataFrame, by: list[str], identity: str, period: str, periods: int) -> DataFrame:
     """Distinct identities and periods of each part against a table of what is expected; parts that
     only one side has aren't good."""
-    g = df.groupBy(*by).agg(F.countDistinct(identity).alias("n"), F.countDistinct(period).alias("months")).join(expected, by, "full")
+    g = df.groupBy(*by).agg(F.countDistinct(identity).alias("n"), F.countDistinct(period).alias("months")).transform(lambda x: join_on(x, expected, by, "full"))
     return g.withColumn("good", F.coalesce((F.col("n") == F.col("expected")) & (F.col("months") == periods), F.lit(False)))
 
 

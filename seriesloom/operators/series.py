@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesloom.functions.dates import month_index
+from seriesloom.operators.keys import join_on
+
 
 def mean(value: str) -> Column:
     """Sum by count in double, so that equal inputs give equal bits."""
@@ -97,7 +99,7 @@ def fill_months(df: DataFrame, dims: list[str], index: str) -> DataFrame:
     """A row for every month between a series' first and last; new rows have nulls."""
     span = df.groupBy(*dims).agg(F.min(index).alias("a"), F.max(index).alias("b"))
     calendar = span.select(*dims, F.explode(F.sequence("a", "b")).alias(index))
-    return calendar.join(df, [*dims, index], "left")
+    return join_on(calendar, df, [*dims, index], "left")
 
 
 def trailing(value: str, dims: list[str], index: str, months: int, what) -> Column:
@@ -116,9 +118,9 @@ def accumulated(df: DataFrame, dims: list[str], period: str, value: str, rows: s
 def at_or_before(df: DataFrame, dims: list[str], day: str, value: str, back: int) -> DataFrame:
     """Latest value of each series and its last value at least ``back`` days before."""
     latest = df.groupBy(*dims).agg(F.max(day).alias("last_day"), F.max_by(value, F.struct(day, value)).alias("last_value"))
-    early = df.join(latest.select(*dims, "last_day"), dims).filter(F.col(day) <= F.date_sub("last_day", back))
+    early = join_on(df, latest.select(*dims, "last_day"), dims).filter(F.col(day) <= F.date_sub("last_day", back))
     early = early.groupBy(*dims).agg(F.max(day).alias("prior_day"), F.max_by(value, F.struct(day, value)).alias("prior_value"))
-    return latest.join(early, dims, "left").withColumn("variation", F.when(F.col("prior_value") > 0, change(F.col("last_value"), F.col("prior_value"))))
+    return join_on(latest, early, dims, "left").withColumn("variation", F.when(F.col("prior_value") > 0, change(F.col("last_value"), F.col("prior_value"))))
 
 
 def latest_revision(df: DataFrame, group: list[str], capture: list[str]) -> DataFrame:
@@ -163,7 +165,7 @@ def state_matrix(df: DataFrame, by: list[str], item: str, index: str, value: str
     last = df.select(*by, index).distinct().withColumn("r_", F.row_number().over(w.orderBy(F.desc(index)))).filter(F.col("r_") <= periods).drop("r_")
     top = df.groupBy(*by, item).agg(F.max_by(value, index).alias("x_")).withColumn("r_", F.row_number().over(w.orderBy(F.desc("x_"), item))).filter(F.col("r_") <= items).select(*by, item)
     c = adjacent_variation(df, [*by, item], index, value)
-    return c.withColumn("state", grain_state(F.col("variation"))).join(last, [*by, index], "left_semi").join(top, [*by, item], "left_semi")
+    return c.withColumn("state", grain_state(F.col("variation"))).transform(lambda x: join_on(join_on(x, last, [*by, index], "left_semi"), top, [*by, item], "left_semi"))
 
 
 def largest_changes(df: DataFrame, index: str, value: str) -> DataFrame:
@@ -187,14 +189,14 @@ def merge_history(daily: DataFrame, monthly: DataFrame, current: DataFrame, dims
     at = month_index(F.col(day)).alias("month_idx")
     touched = current.select(*dims, at).distinct()
     key = [*dims, "month_idx"]
-    kept = daily.withColumn("month_idx", at).join(touched, key, "left_semi").join(current.select(*dims, day), [*dims, day], "left_anti")
+    kept = join_on(join_on(daily.withColumn("month_idx", at), touched, key, "left_semi"), current.select(*dims, day), [*dims, day], "left_anti")
     new = kept.select(*key, value).unionByName(current.filter(F.col(value) > 0).select(*dims, at, value)).groupBy(*key).agg(F.median(F.col(value).cast("double")).alias("median"))
-    merged = monthly.join(touched, key, "left_anti").unionByName(new.withColumn("change_1", F.lit(None).cast("double")).withColumn("change_12", F.lit(None).cast("double")))
+    merged = join_on(monthly, touched, key, "left_anti").unionByName(new.withColumn("change_1", F.lit(None).cast("double")).withColumn("change_12", F.lit(None).cast("double")))
     targets = touched.select(*dims, F.explode(F.array(*[F.col("month_idx") + k for k in (0, 1, 12)])).alias("month_idx")).distinct().withColumn("target_", F.lit(True))
-    merged = merged.join(targets, key, "left")
+    merged = join_on(merged, targets, key, "left")
     for k in (1, 12):
         before = merged.select(*dims, (F.col("month_idx") + k).alias("month_idx"), F.col("median").alias(f"before_{k}"))
-        merged = merged.join(before, key, "left").withColumn(f"change_{k}", F.when(F.col("target_"), F.when(F.col(f"before_{k}") > 0, change(F.col("median"), F.col(f"before_{k}")))).otherwise(F.col(f"change_{k}"))).drop(f"before_{k}")
+        merged = join_on(merged, before, key, "left").withColumn(f"change_{k}", F.when(F.col("target_"), F.when(F.col(f"before_{k}") > 0, change(F.col("median"), F.col(f"before_{k}")))).otherwise(F.col(f"change_{k}"))).drop(f"before_{k}")
     return merged.select(*key, "median", "change_1", "change_12", F.coalesce("target_", F.lit(False)).alias("recomputed"))
 
 
@@ -211,7 +213,7 @@ def seasonal_reference(df: DataFrame, dims: list[str], year: str, month: str, va
     """Mean and range of each calendar month over the last whole years before ``before``; one row a month."""
     whole = df.filter(F.col(year) < before).groupBy(*dims, year).agg(F.count("*").alias("k_")).filter("k_ = 12")
     used = whole.withColumn("r_", F.row_number().over(Window.partitionBy(*dims).orderBy(F.desc(year)))).filter(F.col("r_") <= years).select(*dims, year)
-    return df.join(used, [*dims, year]).groupBy(*dims, month).agg(F.count("*").alias("years"), mean(value).alias("mean"), F.min(value).alias("low"), F.max(value).alias("high")).filter(F.col("years") >= least)
+    return join_on(df, used, [*dims, year]).groupBy(*dims, month).agg(F.count("*").alias("years"), mean(value).alias("mean"), F.min(value).alias("low"), F.max(value).alias("high")).filter(F.col("years") >= least)
 
 
 def share_points(df: DataFrame, index: str, item: str, value: str, lag: int = 12) -> DataFrame:
@@ -220,13 +222,13 @@ def share_points(df: DataFrame, index: str, item: str, value: str, lag: int = 12
     w = Window.partitionBy(index)
     s = df.select(index, item, (F.col(value).cast("double") / F.sum(value).over(w)).alias("share"), F.count("*").over(w).alias("k_"))
     b = s.select((F.col(index) + lag).alias(index), item, F.col("share").alias("before_"), F.col("k_").alias("kb_"))
-    j, matched = s.join(b, [index, item], "left"), F.count("before_").over(w)
+    j, matched = join_on(s, b, [index, item], "left"), F.count("before_").over(w)
     return j.select(index, item, "share", F.when((matched == F.col("k_")) & (matched == F.max("kb_").over(w)), (F.col("share") - F.col("before_")) * 100).alias("points"))
 
 
 def month_matrix(df: DataFrame, row: str, month: str, value: str, least: int = 3) -> DataFrame:
     """Months as columns m1 to m12 and changes v2 to v12; rows of fewer than ``least`` months go."""
-    p = df.groupBy(row).pivot(month, list(range(1, 13))).agg(F.first(value)).join(df.groupBy(row).count().filter(F.col("count") >= least).drop("count"), row)
+    p = df.groupBy(row).pivot(month, list(range(1, 13))).agg(F.first(value)).transform(lambda x: join_on(x, df.groupBy(row).count().filter(F.col("count") >= least).drop("count"), [row]))
     return p.select(row, *[F.col(str(k)).alias(f"m{k}") for k in range(1, 13)], *[change(F.col(str(k)), F.col(str(k - 1))).alias(f"v{k}") for k in range(2, 13)])
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from seriesloom.operators.keys import join_on
+
 
 def identity(source_id: Column, parts: list[str]) -> Column:
     """The source's id, or a fingerprint of ``parts`` where it has none."""
@@ -35,23 +37,23 @@ def keyed_upsert(stored: DataFrame, new: DataFrame, key: list[str]) -> DataFrame
 
 def revision_ledger(stored: DataFrame, new: DataFrame, key: list[str], value: str) -> DataFrame:
     """Keys whose positive value changed to another positive value, with both."""
-    j = stored.select(*key, F.col(value).alias(f"old_{value}")).join(new.select(*key, F.col(value).alias(f"new_{value}")), key)
+    j = join_on(stored.select(*key, F.col(value).alias(f"old_{value}")), new.select(*key, F.col(value).alias(f"new_{value}")), key)
     return j.filter((F.col(f"old_{value}") > 0) & (F.col(f"new_{value}") > 0) & (F.col(f"old_{value}") != F.col(f"new_{value}")))
 
 
 def merge_current(history: DataFrame, current: DataFrame, key: list[str], value: str) -> DataFrame:
     """Current rows override history by key; a current value that isn't positive removes the key."""
-    return history.join(current.select(*key), key, "left_anti").unionByName(current.filter(F.col(value) > 0))
+    return join_on(history, current.select(*key), key, "left_anti").unionByName(current.filter(F.col(value) > 0))
 
 
 def affected_months(history: DataFrame, current: DataFrame, key: list[str], month: str = "month") -> DataFrame:
     """History rows of the series and months that ``current`` touches: what must be aggregated anew."""
-    return history.join(current.select(*key, month).distinct(), [*key, month], "left_semi")
+    return join_on(history, current.select(*key, month).distinct(), [*key, month], "left_semi")
 
 
 def propagate_status(rows: DataFrame, header: DataFrame, key: list[str], on: str, flag: str) -> DataFrame:
     """Adds ``flag`` to rows whose header is on, and removes it where it is off."""
-    j = rows.join(header.select(*key, on), key, "left")
+    j = join_on(rows, header.select(*key, on), key, "left")
     added, removed = F.array_union("flags", F.array(F.lit(flag))), F.array_remove("flags", flag)
     return j.withColumn("flags", F.when(F.col(on), added).when(~F.col(on), removed).otherwise(F.col("flags"))).drop(on)
 
