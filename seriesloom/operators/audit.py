@@ -67,28 +67,47 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
 VERDICTS = ["sin datos", "moneda", "unidad", "variedad", "presentacion", "frecuencia", "dimensiones", "comparable"]
 
 
-def comparability(df: DataFrame, by: list[str], market: str, markets: list, currency: str, unit: str, variety: str, package: str, precision: str, dims: list[str]) -> DataFrame:
+def comparability(df: DataFrame, by: list[str], market: str, markets: list, currency: str, unit: str, variety: str, package: str, precision: str, dims: list[str], usable: Column | None = None, daily=None) -> DataFrame:
     """One verdict for each part over all ``markets``, by the first rule that applies: a market has no
-    rows; currencies are unknown or differ; units differ; no variety, or no package, is common to all;
-    rows are of different precision; some dimension has several values.
+    rows; currencies are unknown or differ; units differ, or, where prices are converted (``usable`` tells rows that
+    are), a market has no usable row; no variety, or no package, is common to all; rows are of different
+    precision, or, in a monthly view, of the precision ``daily``; some dimension has several values.
 
     Distinct values are gathered by market, and there are few of them in a part.
     """
-    g = df.groupBy(*by, market).agg(*[F.collect_set(c).alias(f"{c}_s") for c in dict.fromkeys([currency, unit, variety, package, precision, *dims])], F.count_if(F.col(currency).isNull()).alias("unknown_"), *[F.count_if(F.col(c).isNull()).alias(f"{c}_none") for c in dims])
-    parts = g.filter(F.col(market).isin(*markets)).groupBy(*by).agg(F.count("*").alias("markets_"), F.sum("unknown_").alias("unknown_"), *[F.collect_list(f"{c}_s").alias(f"{c}_l") for c in dict.fromkeys([currency, unit, variety, package, precision, *dims])], *[F.sum(f"{c}_none").alias(f"{c}_none") for c in dims])
+    columns = list(dict.fromkeys([currency, unit, variety, package, precision, *dims]))
+    g = df.groupBy(*by, market).agg(*[F.collect_set(c).alias(f"{c}_s") for c in columns], F.count_if(F.col(currency).isNull()).alias("unknown_"), *[F.count_if(F.col(c).isNull()).alias(f"{c}_none") for c in dict.fromkeys([unit, *dims])], F.count_if(F.lit(True) if usable is None else usable).alias("usable_"))
+    parts = g.filter(F.col(market).isin(*markets)).groupBy(*by).agg(F.count("*").alias("markets_"), F.sum("unknown_").alias("unknown_"), F.min("usable_").alias("usable_"), *[F.collect_list(f"{c}_s").alias(f"{c}_l") for c in columns], *[F.sum(f"{c}_none").alias(f"{c}_none") for c in dict.fromkeys([unit, *dims])])
     kinds = lambda c: F.size(F.array_distinct(F.flatten(f"{c}_l")))
+    with_none = lambda c: kinds(c) + F.when(F.col(f"{c}_none") > 0, 1).otherwise(0)
     common = lambda c: F.size(F.aggregate(f"{c}_l", F.element_at(f"{c}_l", 1), lambda x, y: F.array_intersect(x, y)))
     several = F.lit(False)
     for c in dims:
-        several = several | (kinds(c) + F.when(F.col(f"{c}_none") > 0, 1).otherwise(0) > 1)
-    verdict = F.when(F.col("markets_") < len(markets), VERDICTS[0]).when((F.col("unknown_") > 0) | (kinds(currency) != 1), VERDICTS[1]).when(kinds(unit) > 1, VERDICTS[2]).when(common(variety) == 0, VERDICTS[3])
-    verdict = verdict.when(common(package) == 0, VERDICTS[4]).when(kinds(precision) > 1, VERDICTS[5]).when(several, VERDICTS[6]).otherwise(VERDICTS[7])
+        several = several | (with_none(c) > 1)
+    units = with_none(unit) > 1 if usable is None else F.col("usable_") == 0
+    precise = kinds(precision) > 1 if daily is None else (kinds(precision) > 1) | F.array_contains(F.flatten(f"{precision}_l"), daily)
+    verdict = F.when(F.col("markets_") < len(markets), VERDICTS[0]).when((F.col("unknown_") > 0) | (kinds(currency) != 1), VERDICTS[1]).when(units, VERDICTS[2]).when(common(variety) == 0, VERDICTS[3])
+    verdict = verdict.when(common(package) == 0, VERDICTS[4]).when(precise, VERDICTS[5]).when(several, VERDICTS[6]).otherwise(VERDICTS[7])
     return parts.select(*by, verdict.alias("verdict"))
 
 
-def breakdown(df: DataFrame, dims: list[str]) -> DataFrame:
-    """Rows by value of each dimension, one after the other in one scan."""
-    return df.unpivot([], [F.col(c).cast("string").alias(c) for c in dims], "dimension", "value").groupBy("dimension", "value").agg(F.count("*").alias("n"))
+def single_market_verdicts(df: DataFrame, by: list[str], currency: str, unit: str | None, dims: list[str]) -> DataFrame:
+    """One verdict for each part of one market: several currencies; several units (unless prices are
+    converted: ``unit`` is None); some dimension has several values; else "un mercado".  Unknown is a value."""
+    columns = list(dict.fromkeys([currency, *([unit] if unit else []), *dims]))
+    g = df.groupBy(*by).agg(*[(F.countDistinct(c) + F.max(F.col(c).isNull().cast("int"))).alias(f"{c}_n") for c in columns])
+    several = F.lit(False)
+    for c in dims:
+        several = several | (F.col(f"{c}_n") > 1)
+    units = F.col(f"{unit}_n") > 1 if unit else F.lit(False)
+    return g.select(*by, F.when(F.col(f"{currency}_n") > 1, VERDICTS[1]).when(units, VERDICTS[2]).when(several, VERDICTS[6]).otherwise("un mercado").alias("verdict"))
+
+
+def breakdown(df: DataFrame, dims: list[str], unknown: dict[str, str] | None = None) -> DataFrame:
+    """Rows by value of each dimension, one after the other in one scan; null and empty values under a name
+    of their own (``unknown`` has those that aren't "Sin especificar")."""
+    names = [F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit((unknown or {}).get(c, "Sin especificar"))).alias(c) for c in dims]
+    return df.unpivot([], names, "dimension", "value").groupBy("dimension", "value").agg(F.count("*").alias("n"))
 
 
 def joined(column: str, sep: str = " | ") -> Column:

@@ -28,27 +28,37 @@ def prices(df: DataFrame, item: str, value: str, levels: list[str], period: str)
     return ends.select(one, "*").join(years.select(one, "*"), "one_").join(changes.select(one, "*"), "one_").drop("one_")
 
 
-def latest_medians(series: DataFrame, by: str, last: str, first: str) -> DataFrame:
-    """Per selection ``by``: its series, the median of their latest values (kept back where there are
-    several), and the median of their changes; ``series`` has one row a series."""
-    middle = F.median(F.col(last).cast("double"))
-    g = series.withColumn("change_", S.change(F.col(last).cast("double"), F.col(first)))
-    return g.groupBy(by).agg(F.count("*").alias("series"), F.when(F.count("*") == 1, middle).alias("median_last"), F.median("change_").alias("median_change"))
+def latest_medians(series: DataFrame, by: str, last: str, changes: dict[str, str]) -> DataFrame:
+    """Per selection ``by``: its series, and the medians of their latest values and of each of ``changes`` (name:
+    column), with how many series have that change.  All medians are kept back where there are several series.
+
+    ``series`` has one row a series; values that aren't positive are passed over.
+    """
+    one = F.count("*") == 1
+    v = F.col(last).cast("double")
+    parts = [F.when(one, F.median(F.when(v > 0, v))).alias("median_last")]
+    for name, column in changes.items():
+        parts += [F.when(one, F.median(column)).alias(name), F.count(column).alias(f"{name}_series")]
+    return series.groupBy(by).agg(F.count("*").alias("series"), *parts)
 
 
 def described_quantities(df: DataFrame, period: str, item: str, value: str, good: Column, unit: str) -> DataFrame:
-    """Values and shares of items in a period; null where some row isn't good or units are mixed."""
-    g = df.groupBy(period, item).agg(F.sum(value).alias("v_"), F.bool_and(good).alias("good_"), F.countDistinct(unit).alias("units_"))
+    """Values and shares of items in a period; null where some row isn't good, has no unit, or the period
+    mixes units."""
+    g = df.groupBy(period, item).agg(F.sum(value).alias("v_"), F.bool_and(F.coalesce(good, F.lit(False)) & F.col(unit).isNotNull()).alias("good_"), F.min(unit).alias("first_"), F.max(unit).alias("last_"))
     w = Window.partitionBy(period)
-    fit = F.bool_and("good_").over(w) & (F.max("units_").over(w) == 1)
-    return g.select(period, item, F.when(fit, F.col("v_")).alias(value), F.when(fit, F.col("v_").cast("double") / F.sum("v_").over(w)).alias("share"))
+    fit = F.bool_and("good_").over(w) & (F.min("first_").over(w) == F.max("last_").over(w))
+    return g.select(period, item, F.when(fit, F.col("v_")).alias(value), F.when(fit & (F.sum("v_").over(w) != 0), F.col("v_").cast("double") / F.sum("v_").over(w)).alias("share"))
 
 
 def composition(df: DataFrame, period: str, part: str, parts: list[str], value: str) -> DataFrame:
-    """Share of each of ``parts`` in a period as columns share0, share1, ...; null where one is missing."""
+    """Share of each of ``parts`` in a period as columns share0, share1, ...; null where one is missing or negative."""
     p = df.groupBy(period).pivot(part, parts).agg(F.sum(value))
-    total = sum((F.col(m) for m in parts[1:]), F.col(parts[0]))
-    return p.select(period, *[F.when(total > 0, F.col(m).cast("double") / total).alias(f"share{k}") for k, m in enumerate(parts)])
+    known = [F.col(f"`{m}`") for m in parts]
+    total = sum(known[1:], known[0])
+    least = F.least(*known) if len(known) > 1 else known[0]
+    fit = (total > 0) & (least >= 0)  # null if one is missing
+    return p.select(period, *[F.when(fit, c.cast("double") / total).alias(f"share{k}") for k, c in enumerate(known)])
 
 
 def exploration_matrix(df: DataFrame, dims: list[str], day: str, as_of: str) -> DataFrame:

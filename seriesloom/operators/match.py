@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seriesloom.operators import order_stats, scan
 from seriesloom.operators.keys import join_on
 
 
@@ -105,16 +106,26 @@ def match_rates(outcome: DataFrame) -> DataFrame:
     return g.withColumn("rate", F.col("rows").cast("double") / F.sum("rows").over(Window.partitionBy("side")))
 
 
-def as_of_rates(days: DataFrame, rates: DataFrame, day: str, rate_day: str, rate: str, max_age: int = 7) -> DataFrame:
-    """Adds the last rate at or before ``day``, at most ``max_age`` days old, none after the last.
+def as_of_rates(rows: DataFrame, rates: DataFrame, day: str, rate_day: str, rate: str, max_age: int = 7, by: list[str] | None = None, after_last: bool = False) -> DataFrame:
+    """``rows`` with the last rate at or before ``day`` (columns ``rate_day`` and ``rate``), at most ``max_age`` days old.
 
-    Each rate is spread over the days it holds for, so the join is an equi-join.
+    Dates or timestamps; rates of each of ``by`` (currencies), null being one, are apart, and of several at one time the
+    highest holds.  Rows before the first rate have none, nor do rows after the last one unless ``after_last``.  Rows and
+    rates are merged in order of time and scanned in segments: no row a day, and no currency in one task.
     """
-    w = Window.orderBy(rate_day)  # one row per calendar day
-    known = rates.groupBy(rate_day).agg(F.max(rate).alias(rate))
-    until = F.least(F.coalesce(F.date_sub(F.lead(rate_day).over(w), 1), F.col(rate_day)), F.date_add(rate_day, max_age))
-    spread = known.withColumn("until_", until).select(F.explode(F.sequence(rate_day, "until_", F.expr("interval 1 day"))).alias("as_of_day_"), F.col(rate_day).alias("rate_day"), rate)
-    return days.join(spread, days[day] == spread["as_of_day_"], "left").drop("as_of_day_")
+    by = by or []
+    known = rates.groupBy(*by, F.col(rate_day).alias("at_")).agg(F.max(rate).alias("rate_"))
+    row = F.struct(*rows.columns)
+    both = known.select(*by, "at_", F.lit(0).alias("kind_"), F.struct(F.col("at_").alias("day"), F.col("rate_").alias("rate")).alias("seen_")).unionByName(
+        rows.select(*by, F.col(day).alias("at_"), F.lit(1).alias("kind_"), row.alias("row_")), allowMissingColumns=True)
+    filled = scan.carried(both, by, ["at_", "kind_"], ["seen_"]).filter("kind_ = 1")
+    fresh = F.col("at_") <= F.col("seen_.day") + F.make_dt_interval(F.lit(max_age))
+    if not after_last:
+        ends = known.groupBy(*by).agg(F.max("at_").alias("last_")) if by else known.agg(F.max("at_").alias("last_"))
+        filled = join_on(filled, ends, by, "left") if by else filled.withColumn("last_", ends.scalar())
+        fresh = fresh & (F.col("at_") <= F.col("last_"))
+    out = filled.select("row_.*", F.when(fresh, F.col("seen_.day")).alias("rate_day"), F.when(fresh, F.col("seen_.rate")).alias(rate))
+    return out
 
 
 def route_by_coverage(official: DataFrame, legacy: DataFrame, key: list[str]) -> DataFrame:
@@ -161,50 +172,131 @@ def compare_key_sets(left: DataFrame, right: DataFrame, key: list[str], value: s
     return both.withColumn("status", status).withColumn("within", F.abs(F.col("ratio") - 1) <= tolerance)
 
 
-def comparable_combinations(df: DataFrame, identity: list[str], market: str, loose: list[str], period: str, markets: list) -> DataFrame:
+def key_set_summary(compared: DataFrame) -> DataFrame:
+    """One row on what :func:`compare_key_sets` gives: keys that both sides have, those with one value on either,
+    ambiguous ones, pairs within the tolerance, the median ratio, and keys that either side lacks."""
+    both = F.col("status").isin("comun", "ambigua")
+    one = compared.agg(
+        F.count_if(both).alias("shared_keys"), F.count("ratio").alias("unambiguous_pairs"), F.count_if(F.col("status") == "ambigua").alias("ambiguous_keys"),
+        F.count_if(F.coalesce("within", F.lit(False))).alias("within"), F.count_if(F.col("status") == "solo derecha").alias("missing_left"), F.count_if(F.col("status") == "solo izquierda").alias("missing_right"),
+    )
+    middle = order_stats.quantiles(compared.withColumn("one_", F.lit(1)), ["one_"], "ratio", [0.5]).select(F.col("q0").alias("median_ratio"))
+    share = F.when(F.col("unambiguous_pairs") > 0, F.col("within").cast("double") / F.col("unambiguous_pairs"))
+    return one.withColumn("within_share", share).withColumn("median_ratio", middle.scalar())
+
+
+def comparable_combinations(df: DataFrame, identity: list[str], market: str, loose: list[str], period: str, markets: list, top: int | None = None) -> DataFrame:
     """Combinations of one group of each of ``markets`` with the same identity, no two of which
     contradict each other in a loose attribute (unknown fits anything): the attributes of each group,
-    the periods that all have, and the rows in these.
+    the periods that all have, the rows in these, and ``rank`` within the identity by periods, then rows, then
+    attributes.  ``period`` is a whole number.
 
-    Grouped before the joins, so combinations are of groups, not of rows.
+    Groups meet by one equi-join a market, on the identity and the attributes that both know: a group's
+    signature says which it knows, and each group stands once for every signature that it may meet, so
+    combinations that contradict each other are never made.  A group's periods are bits, 62 a word, so what
+    all have is a bitwise and.
     """
-    sized = df.groupBy(*identity, market, *loose, period).agg(F.count("*").alias("n_"))
-    groups = sized.groupBy(*identity, market, *loose).agg(F.map_from_entries(F.collect_list(F.struct(period, "n_"))).alias("periods_"))
+    n, every = len(loose), range(1 << len(loose))
+    span = df.agg(F.min(period).alias("low"), F.max(period).alias("high")).first()
+    low, words = span.low or 0, 0 if span.low is None else (span.high - span.low) // 62 + 1
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    sized = df.filter(F.col(market).isin(*markets) & F.col(period).isNotNull()).groupBy(*identity, market, *loose, (F.col(period) - F.lit(low)).cast("int").alias("p_")).agg(F.count("*").alias("n_"))
+    word, place = F.floor(F.col("p_") / 62), F.pmod("p_", F.lit(62)).cast("int")
+    bits = [F.sum(F.when(word == w, F.call_function("shiftleft", one, place)).otherwise(none)).alias(f"w{w}_") for w in range(words)]
+    known = sum((F.when(F.col(c).isNotNull(), 1 << i).otherwise(0) for i, c in enumerate(loose)), F.lit(0))
+    groups = sized.groupBy(*identity, market, *loose).agg(*bits, F.map_from_entries(F.collect_list(F.struct("p_", "n_"))).alias("counts_")).withColumn("own_", known)
+
+    def meeting(g: DataFrame, own: str, other: str, values: list[str]) -> DataFrame:
+        """Each row once for every signature that it may meet, with the attributes that both know."""
+        g = g.withColumn(other, F.explode(F.array(*map(F.lit, every))))
+        return g.withColumns({f"on{i}_": F.when(F.col(own).bitwiseAND(F.col(other)).bitwiseAND(F.lit(1 << i)) != 0, F.col(v)) for i, v in enumerate(values)})
+
     out = None
     for k, name in enumerate(markets):
-        g = groups.filter(F.col(market) == name).select(*identity, *[F.col(c).alias(f"{c}_{k}") for c in loose], F.col("periods_").alias(f"p{k}_"))
+        g = groups.filter(F.col(market) == name).select(*identity, *[F.col(c).alias(f"{c}_{k}") for c in loose], *[F.col(f"w{w}_").alias(f"g{w}_") for w in range(words)], F.col("counts_").alias(f"counts_{k}_"), "own_")
         if out is None:
-            out = g.select("*", *[F.col(f"{c}_0").alias(f"{c}_known_") for c in loose], F.map_keys("p0_").alias("common_"))
+            out = g.select("*", *[F.col(f"{c}_0").alias(f"{c}_known_") for c in loose]).withColumnsRenamed({f"g{w}_": f"w{w}_" for w in range(words)} | {"own_": "signature_"})
             continue
-        out = join_on(out, g, identity)
-        for c in loose:  # all groups so far agree where they are known
-            out = out.filter(F.col(f"{c}_known_").isNull() | F.col(f"{c}_{k}").isNull() | (F.col(f"{c}_known_") == F.col(f"{c}_{k}"))).withColumn(f"{c}_known_", F.coalesce(f"{c}_known_", f"{c}_{k}"))
-        out = out.withColumn("common_", F.array_intersect("common_", F.map_keys(f"p{k}_"))).filter(F.size("common_") > 0)
-    in_common = lambda counts: F.aggregate("common_", F.lit(0).cast("bigint"), lambda t, m: t + F.element_at(counts, m))
-    rows = in_common("p0_")
-    for k in range(1, len(markets)):
-        rows = rows + in_common(f"p{k}_")
-    return out.select(*identity, *[f"{c}_{k}" for k in range(len(markets)) for c in loose], F.size("common_").alias("common_periods"), rows.alias("rows"))
+        on = [*identity, "signature_", "own_", *[f"on{i}_" for i in range(n)]]
+        out = join_on(meeting(out, "signature_", "own_", [f"{c}_known_" for c in loose]), meeting(g, "own_", "signature_", [f"{c}_{k}" for c in loose]), on)
+        some = F.lit(False)
+        for w in range(words):
+            some = some | (F.col(f"w{w}_").bitwiseAND(F.col(f"g{w}_")) != 0)
+        out = out.filter(some).withColumns({f"w{w}_": F.col(f"w{w}_").bitwiseAND(F.col(f"g{w}_")) for w in range(words)} | {f"{c}_known_": F.coalesce(f"{c}_known_", f"{c}_{k}") for c in loose} | {"signature_": F.col("signature_").bitwiseOR(F.col("own_"))}).drop("own_", *[f"g{w}_" for w in range(words)], *[f"on{i}_" for i in range(n)])
+    common = sum((F.bit_count(f"w{w}_") for w in range(words)), F.lit(0))
+
+    def held(p: Column) -> Column:
+        """Whether all have a period."""
+        hit = F.lit(False)
+        for w in range(words):
+            hit = hit | ((F.floor(p / 62) == w) & (F.call_function("shiftright", F.col(f"w{w}_"), F.pmod(p, F.lit(62)).cast("int")).bitwiseAND(one) == 1))
+        return hit
+
+    in_common = lambda k: F.aggregate(F.map_entries(f"counts_{k}_"), none, lambda t, e: t + F.when(held(e["key"]), e["value"]).otherwise(none))
+    attributes = [f"{c}_{k}" for k in range(len(markets)) for c in loose]
+    found = out.select(*identity, *attributes, common.cast("int").alias("common_periods"), sum((in_common(k) for k in range(1, len(markets))), in_common(0)).alias("rows"))
+    w = Window.partitionBy(*identity).orderBy(F.desc("common_periods"), F.desc("rows"), *attributes)
+    found = found.withColumn("rank", F.row_number().over(w))
+    return found.filter(F.col("rank") <= top) if top else found
+
+
+#: Short labels of one trie.
+TRIE_LABELS = 100_000
+
+
+def _trie(shorts: list[str]) -> dict:
+    """Short labels by their letters; a node's labels are under the empty string."""
+    root: dict = {}
+    for s in shorts:
+        node = root
+        for letter in s.replace(".", ""):
+            node = node.setdefault(letter, {})
+        node.setdefault("", []).append(s)
+    return root
+
+
+def _subsequences(trie: dict, long: str, max_extra: int):
+    """The trie's labels whose letters are in ``long`` in order, the first one first.
+
+    Each letter is taken where it comes next, which never loses a match, so a node is visited once at most and
+    a branch ends at its first letter that doesn't come any more.
+    """
+    open_ = [(trie[long[0]], 0, 1)] if long and long[0] in trie else []
+    while open_:
+        node, at, depth = open_.pop()
+        for letter, below in node.items():
+            if letter:
+                found = long.find(letter, at + 1)
+                if found >= 0:
+                    open_.append((below, found, depth + 1))
+            elif 0 < len(long) - depth <= max_extra:
+                yield from below
 
 
 def abbreviations(labels: DataFrame, label: str, max_extra: int = 30) -> DataFrame:
     """(short, long): distinct labels where the short one has a dot and its letters, in order,
-    are in the long one.
+    are in the long one, the first of them first.
 
-    Candidates share the first letter and have some later letter equal to the short label's second,
-    so the join is an equi-join on pairs of letters; a label of one letter needs its first alone.
+    The short labels are a trie that is walked along each distinct long label, so the work is that of the
+    branches a label follows.  A trie has about TRIE_LABELS labels; more of them are walked in blocks.
     """
+    import pandas as pd
+
     d = labels.select(F.lower(label).alias("l")).filter(F.col("l").isNotNull() & (F.col("l") != "")).distinct()
-    short = d.filter(F.col("l").contains(".")).select(F.col("l").alias("short"), F.replace("l", F.lit("."), F.lit("")).alias("letters"))
-    short = short.filter(F.length("letters") > 0).withColumn("head", F.substring("letters", 1, 2))
-    long = d.filter(~F.col("l").contains(".")).select(F.col("l").alias("long"))
-    first = F.substring("long", 1, 1)
-    later = F.array_distinct(F.transform(F.filter(F.split(F.substring("long", 2, 1 << 30), ""), lambda x: x != ""), lambda x: F.concat(first, x)))
-    long = long.select("long", F.explode(F.array_union(F.array(first), later)).alias("head"))
-    # the short label's letters with anything between them, as a LIKE pattern
-    pattern = F.concat(F.regexp_replace(F.regexp_replace("letters", r"([%_\\])", r"\\$1"), r"(?<!\\)(.)(?=.)", "$1%"), F.lit("%"))
-    extra = F.length("long") - F.length("letters")
-    return short.join(long, "head").filter((extra > 0) & (extra <= max_extra)).withColumn("pattern", pattern).filter(F.expr("long LIKE pattern")).select("short", "long")
+    short = d.filter(F.col("l").contains(".") & (F.replace("l", F.lit("."), F.lit("")) != "")).select("l")
+    long = d.filter(~F.col("l").contains("."))
+    blocks, out = max(1, -(-short.count() // TRIE_LABELS)), None
+    for k in range(blocks):
+        trie = labels.sparkSession.sparkContext.broadcast(_trie(sorted(r.l for r in short.filter(F.pmod(F.xxhash64("l"), F.lit(blocks)) == k).collect())))
+
+        def walk(frames, trie=trie):
+            for frame in frames:
+                pairs = [(s, x) for x in frame["l"] for s in _subsequences(trie.value, x, max_extra)]
+                yield pd.DataFrame(pairs, columns=["short", "long"])
+
+        found = long.mapInPandas(walk, "short string, long string")
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def embedded_varieties(df: DataFrame, product: str, variety: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seriesloom.operators import order_stats
 from seriesloom.operators.keys import join_on
 
 
@@ -26,19 +27,17 @@ def blockers(flags: Column, blocking: list[str]) -> Column:
     return F.array_sort(F.array_intersect(flags, F.array(*map(F.lit, blocking))))
 
 
-def outliers(df: DataFrame, dims: list[str], value: str, k: float) -> DataFrame:
-    """Positive values beyond k interquartile ranges from the quartiles of their group."""
+def outliers(df: DataFrame, dims: list[str], value: str, k: float, heavy: int = order_stats.HEAVY_ROWS) -> DataFrame:
+    """Positive values beyond k interquartile ranges from the quartiles of their group, which may be of any size."""
     v = F.col(value).cast("double")
-    edges = df.filter(F.col(value) > 0).groupBy(*dims).agg(F.percentile(v, 0.25).alias("q1"), F.percentile(v, 0.75).alias("q3"), F.count("*").alias("group_n"))
+    edges = order_stats.quantiles(df.filter(F.col(value) > 0), dims, value, [0.25, 0.75], heavy).select(*dims, F.col("q0").alias("q1"), F.col("q1").alias("q3"), F.col("n").alias("group_n"))
     span = F.col("q3") - F.col("q1")
     return join_on(df, edges, dims).filter((F.col(value) > 0) & ((v < F.col("q1") - k * span) | (v > F.col("q3") + k * span)))
 
 
-def extremes(df: DataFrame, dims: list[str], value: str, least: int = 5, factor: float = 10) -> DataFrame:
-    """Values over ``factor`` times, or under 1/``factor`` of, the median of a group of enough rows.
-
-    The median is taken per group and joined back, so a hot group isn't sorted in a window."""
-    middle = df.groupBy(*dims).agg(F.median(F.col(value).cast("double")).alias("group_median"), F.count("*").alias("group_n")).filter(F.col("group_n") >= least)
+def extremes(df: DataFrame, dims: list[str], value: str, least: int = 5, factor: float = 10, heavy: int = order_stats.HEAVY_ROWS) -> DataFrame:
+    """Values over ``factor`` times, or under 1/``factor`` of, the median of a group of enough rows, which may be of any size."""
+    middle = join_on(order_stats.quantiles(df, dims, value, [0.5], heavy).select(*dims, F.col("q0").alias("group_median")), df.groupBy(*dims).agg(F.count("*").alias("group_n")), dims).filter(F.col("group_n") >= least)
     return join_on(df, middle, dims).filter((F.col(value) > F.col("group_median") * factor) | (F.col(value) * factor < F.col("group_median")))
 
 
@@ -139,12 +138,17 @@ def unit_fanout(df: DataFrame, price: str, units: dict[str, float], positive_onl
     return df.select(*[c for c in df.columns if c not in (price, "price", "unit")], F.inline(F.array_compact(F.array(*rows))))
 
 
-def stable_ids(df: DataFrame, dims: list[str], day: str, identity: list[str], order: list[str]) -> DataFrame:
-    """Adds series_id and observation_id, hashes of the dimensions and of these with the day, and the
-    row's number among those of one identity."""
-    out = df.withColumn("series_id", F.sha2(F.concat_ws("|", *dims), 256))
-    out = out.withColumn("observation_id", F.sha2(F.concat_ws("|", "series_id", F.col(day).cast("string")), 256))
-    return out.withColumn("occurrence", F.row_number().over(Window.partitionBy(*identity).orderBy(*order)).cast("bigint"))
+def stable_id(columns: list[str]) -> Column:
+    """Hash of the columns' values as text, by name, with nulls kept: no two different rows share it."""
+    return F.sha2(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in columns]), {"ignoreNullFields": "false"}), 256)
+
+
+def stable_ids(df: DataFrame, dims: list[str], raw: list[str], order: list[str]) -> DataFrame:
+    """Adds series_id (of the dimensions), record_id (of the row as it was taken in, ``raw``), occurrence
+    (the row's number, from 0, among those of one record by ``order``) and observation_id (of record and occurrence)."""
+    out = df.withColumn("series_id", stable_id(dims)).withColumn("record_id", stable_id(raw))
+    out = out.withColumn("occurrence", (F.row_number().over(Window.partitionBy("record_id").orderBy(*order)) - 1).cast("bigint"))
+    return out.withColumn("observation_id", stable_id(["record_id", "occurrence"]))
 
 
 def zero_cause(raw: Column, cancelled: list[str], no_price: list[str]) -> Column:

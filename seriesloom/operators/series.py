@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesloom.functions.dates import month_index
+from seriesloom.operators import order_stats, scan
 from seriesloom.operators.keys import join_on
 
 
@@ -88,6 +89,16 @@ def adjacent_variation(df: DataFrame, dims: list[str], index: str, value: str) -
     return df.withColumn("variation", F.when(near & (F.lag(value).over(w) > 0), change(F.col(value), F.lag(value).over(w))))
 
 
+def observed_variation(df: DataFrame, dims: list[str], day: str, value: str, method: str | None = None, parts: int | None = None) -> DataFrame:
+    """Daily form of :func:`adjacent_variation`: rows with a positive value, each with the change from the series' previous
+    observed day, however far back; null across a change of ``method``.  One row a day; a series may be of any
+    length, as it is scanned in segments."""
+    seen = {"previous_day": day, "before_": value} | ({"method_": method} if method else {})
+    out = scan.previous(df.filter(F.col(value) > 0), dims, [day], seen, parts)
+    fits = F.col(method).eqNullSafe(F.col("method_")) if method else F.lit(True)
+    return out.withColumn("variation", F.when(fits, change(F.col(value), F.col("before_")))).drop("before_", "method_")
+
+
 def guarded_variation(df: DataFrame, dims: list[str], index: str, value: str, method: str) -> DataFrame:
     """As :func:`adjacent_variation`, but null across a change of method."""
     w = Window.partitionBy(*dims).orderBy(index)
@@ -137,12 +148,37 @@ def shares(df: DataFrame, period: list[str], part: str, value: str) -> DataFrame
     return out.withColumn("rank", F.rank().over(w.orderBy(F.desc(value))))
 
 
+def reconciled_shares(parts: DataFrame, totals: DataFrame, period: list[str], part: str, value: str, total: str, top: int = 3) -> DataFrame:
+    """Share of each part in a published total, rank, and the share of the ``top`` largest.
+
+    Only of periods with one published total, above 0, whose parts are each there once, known, not
+    negative, and add up to the total (within a ten-thousand-millionth of it, or a millionth).  ``top`` is null with
+    fewer parts.
+    """
+    one = totals.groupBy(*period).agg(F.count("*").alias("k_"), F.max(total).cast("double").alias("total_")).filter("k_ = 1 AND total_ > 0").drop("k_")
+    v = F.col(value).cast("double")
+    g = parts.groupBy(*period).agg(F.count("*").alias("n_"), F.countDistinct(part).alias("kinds_"), F.count_if(v.isNull() | F.isnan(v) | (v < 0)).alias("bad_"), F.sum(v).alias("sum_"))
+    near = F.abs(F.col("sum_") - F.col("total_")) <= F.greatest(F.lit(1e-6), F.abs("total_") * 1e-10)
+    good = join_on(g, one, period).filter((F.col("bad_") == 0) & (F.col("kinds_") == F.col("n_")) & near).select(*period, "total_", "n_")
+    w = Window.partitionBy(*period)
+    j = join_on(parts, good, period).withColumn("rank", F.rank().over(w.orderBy(F.desc(v))))
+    j = j.withColumn("share", v / F.col("total_"))
+    first = F.row_number().over(w.orderBy(F.desc(v), F.col(part)))
+    j = j.withColumn("first_", first)
+    return j.withColumn(f"top{top}", F.when(F.col("n_") >= top, F.sum(F.when(F.col("first_") <= top, v)).over(w) / F.col("total_"))).drop("total_", "n_", "first_")
+
+
 def exact_median(df: DataFrame, dims: list[str], value: str) -> DataFrame:
-    """Median without leaving the value's decimal type: the mean of the middle one or two."""
-    w = Window.partitionBy(*dims)
-    ranked = df.filter(F.col(value).isNotNull()).withColumn("r", F.row_number().over(w.orderBy(value))).withColumn("n", F.count("*").over(w))
-    middle = ranked.filter((F.col("r") == F.floor((F.col("n") + 1) / 2)) | (F.col("r") == F.floor((F.col("n") + 2) / 2)))
-    return middle.groupBy(*dims).agg(((F.min(value) + F.max(value)) / 2).alias("median"), F.max("n").alias("n"))
+    """Median without leaving the value's decimal type: the mean of the middle one or two.  A series of
+    any length is counted by value and scanned in segments."""
+    return order_stats.exact_medians(df, dims, value)
+
+
+def coarse_stats(df: DataFrame, dims: list[str], value: str) -> DataFrame:
+    """Count, mean, exact median and range of groups that may hold very many rows."""
+    q = order_stats.quantiles(df, dims, value, [0.5]).select(*dims, F.col("q0").alias("median"))
+    g = df.groupBy(*dims).agg(F.count(value).alias("n"), mean(value).alias("mean"), F.min(value).alias("low"), F.max(value).alias("high"))
+    return join_on(g, q, dims, "left")
 
 
 def lineage(df: DataFrame, dims: list[str], links: list[str]) -> DataFrame:
@@ -200,6 +236,29 @@ def merge_history(daily: DataFrame, monthly: DataFrame, current: DataFrame, dims
     return merged.select(*key, "median", "change_1", "change_12", F.coalesce("target_", F.lit(False)).alias("recomputed"))
 
 
+def merge_daily(stored: DataFrame, current: DataFrame, dims: list[str], day: str, value: str, method: str, lags: tuple[int, ...] = (7, 30)) -> DataFrame:
+    """Daily values and their changes from ``lags`` days before, after ``current`` days replace those of ``stored``
+    (a value that isn't positive removes its day).
+
+    ``stored`` has dims, day, value, method and change_<lag>.  A replaced day changes its own figures and
+    those of the days ``lags`` behind it; only these are computed anew (``recomputed``), all other rows are
+    taken as they are stored.  A change needs both values, of one method.
+    """
+    key = [*dims, day]
+    changes = [f"change_{k}" for k in lags]
+    fresh = current.filter(F.col(value) > 0).select(*key, value, method, *[F.lit(None).cast("double").alias(c) for c in changes])
+    merged = join_on(stored.select(*key, value, method, *changes), current.select(*key), key, "left_anti").unionByName(fresh)
+    targets = current.select(*dims, F.explode(F.array(*[F.date_add(day, k) for k in (0, *lags)])).alias(day)).distinct().withColumn("target_", F.lit(True))
+    marked = join_on(merged, targets, key, "left")
+    due = marked.filter("target_")
+    for k, c in zip(lags, changes):
+        prior = merged.select(*dims, F.date_add(day, k).alias(day), F.col(value).alias("before_"), F.col(method).alias("method_"))
+        same = F.col(method).eqNullSafe(F.col("method_")) & (F.col("before_") > 0)
+        due = join_on(due, prior, key, "left").withColumn(c, F.when(same, change(F.col(value), F.col("before_")))).drop("before_", "method_")
+    rest = marked.filter("target_ IS NULL")
+    return due.unionByName(rest).select(*key, value, method, *changes, F.coalesce("target_", F.lit(False)).alias("recomputed"))
+
+
 def span_totals(df: DataFrame, dims: list[str], year: str, index: str, value: str) -> DataFrame:
     """Year to date where no month is missing, and the same span of the year before; one row a month."""
     w = Window.partitionBy(*dims, year).orderBy(index)
@@ -233,16 +292,23 @@ def month_matrix(df: DataFrame, row: str, month: str, value: str, least: int = 3
 
 
 def year_grid(df: DataFrame, year: str, month: str, value: str) -> DataFrame:
-    """Years by months, scaled to 0 to 1 over all cells; one row for each year and month."""
-    edge = df.agg(F.min(value).alias("low"), F.max(value).alias("high")).first()
-    span = F.nullif(F.lit(edge.high) - F.lit(edge.low), F.lit(0).cast("bigint"))
-    p = df.withColumn("x_", (F.col(value) - F.lit(edge.low)).cast("double") / span).groupBy(year).pivot(month, list(range(1, 13))).agg(F.max("x_"))
-    return p.select(year, *[F.col(str(k)).alias(f"m{k}") for k in range(1, 13)])
-
+    """Years by months, scaled to 0 to 1 over all cells; one row a year.
 
-def carry_forward(df: DataFrame, partition: list[str], order: str, column: str) -> Column:
-    """The last value of ``column`` that isn't null, up to the row."""
-    return F.last(column, ignorenulls=True).over(Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    A cell with several rows, or without a value, is empty and doesn't count for the scale; where all
+    cells are equal they are 0.5.
+    """
+    cell = df.groupBy(year, month).agg(F.when(F.count("*") == 1, F.max(value).cast("double")).alias("v_"))
+    p = cell.groupBy(year).pivot(month, list(range(1, 13))).agg(F.max("v_"))  # one row a year
+    cells = [F.col(str(k)) for k in range(1, 13)]
+    every = Window.partitionBy()
+    p = p.withColumn("low_", F.min(F.least(*cells)).over(every)).withColumn("high_", F.max(F.greatest(*cells)).over(every))
+    scaled = lambda c: F.when(F.col("high_") > F.col("low_"), (c - F.col("low_")) / (F.col("high_") - F.col("low_"))).otherwise(F.when(c.isNotNull(), 0.5))
+    return p.select(year, *[scaled(c).alias(f"m{k}") for k, c in enumerate(cells, 1)])
+
+
+def carry_forward(df: DataFrame, partition: list[str], order: str, column: str, parts: int | None = None) -> DataFrame:
+    """``df`` with ``column`` filled: its last value that isn't null, up to the row; a part may be of any length."""
+    return scan.carried(df, partition, [order], [column], parts)
 
 
 def latest_metrics(df: DataFrame, item: str, period: str, metrics: dict[str, Column]) -> DataFrame:

@@ -88,9 +88,14 @@ def audit_counters(spark, d):
     return o.withColumn("status", F.when(F.col("missing_prices") + F.col("negative_prices") > 0, "error").when((F.col("future_dates") > 0) | (F.col("repeats") > 0), "con avisos").otherwise("ok"))
 
 
-@query("audit_zero_breakdown", f"""WITH {OBS}, z AS (SELECT * FROM obs WHERE price_c % 10 = 0) {' UNION ALL '.join(f"SELECT '{c}' AS dimension, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM z GROUP BY ALL" for c in ('product', 'variety', 'market', 'currency', 'condition', 'year'))}""")
+_ZERO = {"product": "product", "currency": "currency", "kind": "CASE WHEN volume > 25 THEN 'grande' END", "operation": "condition", "payment": "CASE WHEN line % 3 > 0 THEN 'plazo ' || CAST(line AS VARCHAR) END", "origin": "nullif(variety, 'PROMO')", "place": "market", "year": "CAST(year AS VARCHAR)", "month": "month", "file": "'f' || CAST(line AS VARCHAR)"}
+
+
+@query("audit_zero_breakdown", f"""WITH {OBS}, z AS (SELECT * FROM obs WHERE price_c % 10 = 0) {' UNION ALL '.join(f"SELECT '{n}' AS dimension, coalesce({x}, 'Sin especificar') AS value, count(*) AS n FROM z GROUP BY ALL" for n, x in _ZERO.items())}""")
 def audit_zero_breakdown(spark, d):
-    return A.breakdown(observations(spark, d).filter("price_c % 10 = 0"), ["product", "variety", "market", "currency", "condition", "year"])
+    """Rows without a price by ten dimensions, unknown ones under a name of their own."""
+    z = observations(spark, d).filter("price_c % 10 = 0").select(*[F.expr(x.replace("VARCHAR", "STRING")).alias(n) for n, x in _ZERO.items()])
+    return A.breakdown(z, list(_ZERO), {"year": "Sin fecha", "month": "Sin fecha"})
 
 
 @query("audit_analytic_base", f"""WITH {OBS} SELECT product, currency, market, condition, count(*) AS n, CAST(sum(volume) AS BIGINT) AS volume, CASE grouping_id(product, currency, market, condition) WHEN 3 THEN 'producto_moneda' WHEN 2 THEN 'serie' WHEN 5 THEN 'origen' WHEN 6 THEN 'entrega' END AS level FROM obs GROUP BY GROUPING SETS ((product, currency), (product, currency, condition), (product, market), (product, condition))""")
@@ -105,11 +110,10 @@ def audit_label_inventory(spark, d):
     return A.label_inventory(u, "dimension", "raw", F.lower(F.split_part("raw", F.lit(" "), F.lit(1))), "p_brand")
 
 
-@query("audit_day_coverage", f"""WITH {OBS}, c AS (SELECT CAST(unnest(range(DATE '1997-01-01', DATE '1999-01-01', INTERVAL 1 DAY)) AS DATE) AS day), g AS (SELECT day, count(*) AS n, count(DISTINCT product) AS products, min(price_c) AS low, max(price_c) AS high FROM obs WHERE market = 'M0' AND volume > 30 GROUP BY day)
+@query("audit_day_coverage", f"""WITH {OBS}, c AS (SELECT CAST(unnest(range(DATE '1997-01-01', DATE '1999-01-01', INTERVAL 1 DAY)) AS DATE) AS day), g AS (SELECT day, count(*) AS n, count(DISTINCT product) AS products, min(price_c) AS low, max(price_c) AS high FROM obs GROUP BY day)
  SELECT c.day, coalesce(n, 0) AS n, coalesce(products, 0) AS products, low, high, CASE WHEN n IS NULL THEN 'sin filas' WHEN n < 3 THEN 'sin verificar' ELSE 'observado' END AS status FROM c LEFT JOIN g USING (day)""", dates=("day",))
 def audit_day_coverage(spark, d):
-    o = observations(spark, d).filter("market = 'M0' AND volume > 30")
-    return A.day_coverage(o, "day", "1997-01-01", "1998-12-31", "product", "price_c", 3)
+    return A.day_coverage(observations(spark, d), "day", "1997-01-01", "1998-12-31", "product", "price_c", 3)
 
 
 @query("audit_summary_vs_details", f"""WITH {OBS}, g AS (SELECT product, month, CAST(max(CASE WHEN market = 'M0' THEN price_c END) AS DOUBLE) AS summary, CAST(sum(CASE WHEN market <> 'M0' THEN price_c END) AS DOUBLE) / nullif(count(CASE WHEN market <> 'M0' THEN 1 END), 0) AS detail FROM obs GROUP BY ALL) SELECT *, summary - detail AS difference FROM g""")
@@ -180,25 +184,35 @@ def figures_prices(spark, d):
     return figures.withColumn("balanced", settled(F.col("balanced")))
 
 
-@query("figures_commodities", f"""WITH {OBS}, l AS (SELECT product, currency, arg_max(price_c, (day, event_id, line, price_c)) AS last_c, arg_min(price_c, (day, event_id, line, price_c)) AS first_c FROM obs GROUP BY ALL) SELECT product, count(*) AS series, CASE WHEN count(*) = 1 THEN median(CAST(last_c AS DOUBLE)) END AS median_last, median((CAST(last_c AS DOUBLE) / first_c - 1) * 100) AS median_change FROM l GROUP BY product
- UNION ALL SELECT product || ' ' || currency, 1, CAST(last_c AS DOUBLE), (CAST(last_c AS DOUBLE) / first_c - 1) * 100 FROM l""")
+@query("figures_commodities", f"""WITH {OBS}, m AS (SELECT product, currency, month_idx, median(CAST(price_c AS DOUBLE)) AS v FROM obs GROUP BY ALL), c AS (SELECT a.*, (a.v / b.v - 1) * 100 AS x1, (a.v / y.v - 1) * 100 AS x12 FROM m a LEFT JOIN m b ON b.product = a.product AND b.currency = a.currency AND b.month_idx = a.month_idx - 1 LEFT JOIN m y ON y.product = a.product AND y.currency = a.currency AND y.month_idx = a.month_idx - 12),
+ l AS (SELECT * FROM c QUALIFY month_idx = max(month_idx) OVER (PARTITION BY product, currency)), s AS (SELECT product AS selection, v, x1, x12 FROM l UNION ALL SELECT product || ' ' || currency, v, x1, x12 FROM l)
+ SELECT selection, count(*) AS series, CASE WHEN count(*) = 1 THEN median(v) END AS median_last, CASE WHEN count(*) = 1 THEN median(x1) END AS change_month, count(x1) AS change_month_series, CASE WHEN count(*) = 1 THEN median(x12) END AS change_year, count(x12) AS change_year_series FROM s GROUP BY selection""")
 def figures_commodities(spark, d):
-    """Medians of latest prices and of changes, for every product and for each of its series; the price
-    is kept back where several series are selected."""
-    at = F.struct("day", "event_id", "line", "price_c")
-    each = observations(spark, d).groupBy("product", "currency").agg(F.max_by("price_c", at).alias("last_c"), F.min_by("price_c", at).alias("first_c"))
-    each = each.unionByName(each.withColumn("product", F.concat_ws(" ", "product", "currency")))
-    return G.latest_medians(each, "product", "last_c", "first_c")
+    """Latest monthly price and its changes from a month and a year before, for every product and for each of
+    its series; all are kept back where several series are selected."""
+    key = ["product", "currency"]
+    m = observations(spark, d).groupBy(*key, "month_idx").agg(F.median(F.col("price_c").cast("double")).alias("v"))
+    m = m.withColumn("x1", S.change(F.col("v"), S.exact_prior("v", key, "month_idx", 1))).withColumn("x12", S.change(F.col("v"), S.exact_prior("v", key, "month_idx", 12)))
+    last = S.latest_rows(m, key, ["month_idx"])
+    each = last.withColumn("selection", F.col("product")).unionByName(last.withColumn("selection", F.concat_ws(" ", *key)))
+    return G.latest_medians(each, "selection", "v", {"change_month": "x1", "change_year": "x12"})
+
+
+_UNIT = "CASE WHEN month_idx % 3 = 0 THEN 'kg' WHEN month_idx % 3 = 1 THEN CASE WHEN product < 'Brand#2' THEN 'kg' ELSE 'caja' END WHEN product <> 'Brand#7' THEN 'kg' END"
 
 
-@query("figures_quantity_description", f"""WITH {OBS}, g AS (SELECT month, product, CAST(sum(volume) AS BIGINT) AS v, bool_and(volume > 1) AS good, count(DISTINCT condition) AS units FROM obs GROUP BY ALL) SELECT month, product, CASE WHEN bool_and(good) OVER w AND max(units) OVER w = 1 THEN v END AS volume, CASE WHEN bool_and(good) OVER w AND max(units) OVER w = 1 THEN CAST(v AS DOUBLE) / CAST(sum(v) OVER w AS DOUBLE) END AS share FROM g WINDOW w AS (PARTITION BY month)""")
+@query("figures_quantity_description", f"""WITH {OBS}, g AS (SELECT month, product, CAST(sum(volume) AS BIGINT) AS v, bool_and((volume > 1 OR month_idx % 2 = 0) AND {_UNIT} IS NOT NULL) AS good, min({_UNIT}) AS u1, max({_UNIT}) AS u2 FROM obs GROUP BY ALL) SELECT month, product, CASE WHEN bool_and(good) OVER w AND min(u1) OVER w = max(u2) OVER w THEN v END AS volume, CASE WHEN bool_and(good) OVER w AND min(u1) OVER w = max(u2) OVER w THEN CAST(v AS DOUBLE) / CAST(sum(v) OVER w AS DOUBLE) END AS share FROM g WINDOW w AS (PARTITION BY month)""")
 def figures_quantity_description(spark, d):
-    return G.described_quantities(observations(spark, d), "month", "product", "volume", F.col("volume") > 1, "condition")
+    """Months of one unit, months with items of different ones, and months with an item of none."""
+    o = observations(spark, d).withColumn("unit", F.expr(_UNIT))
+    return G.described_quantities(o, "month", "product", "volume", F.expr("volume > 1 OR month_idx % 2 = 0"), "unit")
 
 
-@query("figures_composition", f"""WITH {OBS}, p AS (SELECT month, {', '.join(f"CAST(sum(CASE WHEN market = 'M{k}' THEN volume END) AS BIGINT) AS m{k}" for k in range(4))} FROM obs GROUP BY month) SELECT month, {', '.join(f'CASE WHEN m0 + m1 + m2 + m3 > 0 THEN CAST(m{k} AS DOUBLE) / (m0 + m1 + m2 + m3) END AS share{k}' for k in range(4))} FROM p""")
+@query("figures_composition", f"""WITH {OBS}, p AS (SELECT month, {', '.join(f"CAST(sum(CASE WHEN market = 'M{k}' THEN volume - {30 if k == 3 else 0} END) AS BIGINT) AS m{k}" for k in range(4))} FROM obs GROUP BY month) SELECT month, {', '.join(f'CASE WHEN m0 + m1 + m2 + m3 > 0 AND least(m0, m1, m2, m3) >= 0 THEN CAST(m{k} AS DOUBLE) / (m0 + m1 + m2 + m3) END AS share{k}' for k in range(4))} FROM p""")
 def figures_composition(spark, d):
-    return G.composition(observations(spark, d), "month", "market", [f"M{k}" for k in range(4)], "volume")
+    """One market's volumes are differences, and negative in some months."""
+    o = observations(spark, d).withColumn("volume", F.col("volume") - F.when(F.col("market") == "M3", 30).otherwise(0))
+    return G.composition(o, "month", "market", [f"M{k}" for k in range(4)], "volume")
 
 
 @query("figures_exploration_matrix", f"""WITH {OBS} SELECT market, currency AS source, product, year, month, variety, count(*) AS rows, count(*) FILTER (WHERE day > DATE '{_AS_OF}') AS future FROM obs GROUP BY ALL""")
@@ -221,10 +235,27 @@ def figures_comparability(spark, d):
     return A.comparability(o, ["product", "day"], "market", ["M0", "M1"], "currency", "condition", "v", "pack", "prec", ["variety", "pack", "calidad"])
 
 
-@query("figures_unit_values", f"""WITH {OBS}, m AS (SELECT product, month_idx, CAST(sum(total_c) AS BIGINT) AS t, CAST(sum(CASE WHEN volume > 3 THEN volume ELSE 0 END) AS BIGINT) AS v FROM obs WHERE market = 'M0' GROUP BY ALL), u AS (SELECT *, CASE WHEN v <> 0 THEN CAST(t AS DOUBLE) / v END AS unit_value FROM m) SELECT a.product, a.month_idx, a.unit_value, CASE WHEN b.unit_value > 0 THEN (a.unit_value / b.unit_value - 1) * 100 END AS change_year FROM u a LEFT JOIN u b ON a.product = b.product AND b.month_idx = a.month_idx - 12""")
+@query("figures_comparability_monthly", f"""WITH {OBS}, o AS (SELECT *, {_COMPARED}, CASE WHEN month_idx % 2 = 0 THEN 'MENSUAL' WHEN month_idx % 3 = 0 THEN 'DIARIA' ELSE prec0 END AS p2 FROM (SELECT *, CASE WHEN volume > 40 THEN 'DIARIA' ELSE 'MENSUAL' END AS prec0 FROM obs)), g AS (SELECT product, month, market, count(*) FILTER (WHERE volume > 20) AS usable, list(DISTINCT pack) AS pack, list(DISTINCT v) FILTER (WHERE v IS NOT NULL) AS v FROM o WHERE market IN ('M0', 'M1') GROUP BY ALL),
+ p AS (SELECT product, month, count(DISTINCT market) AS markets, count(DISTINCT currency) AS currencies, count(DISTINCT p2) AS precisions, bool_or(p2 = 'DIARIA') AS daily, count(DISTINCT coalesce(condition, '')) AS d1 FROM o WHERE market IN ('M0', 'M1') GROUP BY ALL), u AS (SELECT product, month, min(usable) AS usable FROM g GROUP BY ALL),
+ c AS (SELECT a.product, a.month, coalesce(len(list_intersect(a.v, b.v)), 0) AS cv, len(list_intersect(a.pack, b.pack)) AS cp FROM g a JOIN g b ON a.product = b.product AND a.month = b.month AND a.market = 'M0' AND b.market = 'M1')
+ SELECT product, month, CASE WHEN markets < 2 THEN 'sin datos' WHEN currencies <> 1 THEN 'moneda' WHEN usable = 0 THEN 'unidad' WHEN cv = 0 THEN 'variedad' WHEN cp = 0 THEN 'presentacion' WHEN precisions > 1 OR daily THEN 'frecuencia' WHEN d1 > 1 THEN 'dimensiones' ELSE 'comparable' END AS verdict FROM p JOIN u USING (product, month) LEFT JOIN c USING (product, month)""")
+def figures_comparability_monthly(spark, d):
+    """The same in a monthly view of converted prices, which daily rows and markets without a usable row stop."""
+    o = observations(spark, d).withColumn("p2", F.expr("CASE WHEN month_idx % 2 = 0 THEN 'MENSUAL' WHEN month_idx % 3 = 0 OR volume > 40 THEN 'DIARIA' ELSE 'MENSUAL' END"))
+    o = o.select("*", F.nullif(F.col("variety"), F.lit("PROMO")).alias("v"), F.when(F.col("volume") > 25, "grande").otherwise("chico").alias("pack"))
+    return A.comparability(o, ["product", "month"], "market", ["M0", "M1"], "currency", "condition", "v", "pack", "p2", ["condition"], F.col("volume") > 20, "DIARIA")
+
+
+@query("figures_single_markets", f"""WITH {OBS}, o AS (SELECT *, nullif(variety, 'PROMO') AS v, CASE WHEN line > 1 THEN currency END AS cur FROM obs) SELECT market, day, product, CASE WHEN count(DISTINCT coalesce(cur, '-')) > 1 THEN 'moneda' WHEN count(DISTINCT condition) > 1 THEN 'unidad' WHEN count(DISTINCT coalesce(v, '-')) > 1 THEN 'dimensiones' ELSE 'un mercado' END AS verdict FROM o GROUP BY ALL""", dates=("day",))
+def figures_single_markets(spark, d):
+    """Whether the prices of one market can be drawn together, for every day and product."""
+    o = observations(spark, d).withColumn("v", F.nullif(F.col("variety"), F.lit("PROMO"))).withColumn("cur", F.when(F.col("line") > 1, F.col("currency")))
+    return A.single_market_verdicts(o, ["market", "day", "product"], "cur", "condition", ["v"])
+
+
+@query("figures_unit_values", f"""WITH {OBS}, m AS (SELECT product, market, month_idx, CAST(sum(total_c) AS BIGINT) AS t, CAST(sum(CASE WHEN volume > 3 THEN volume ELSE 0 END) AS BIGINT) AS v FROM obs GROUP BY ALL), u AS (SELECT *, CASE WHEN v <> 0 THEN CAST(t AS DOUBLE) / v END AS unit_value FROM m) SELECT a.product, a.market, a.month_idx, a.unit_value, CASE WHEN b.unit_value > 0 THEN (a.unit_value / b.unit_value - 1) * 100 END AS change_year FROM u a LEFT JOIN u b ON a.product = b.product AND a.market = b.market AND b.month_idx = a.month_idx - 12""")
 def figures_unit_values(spark, d):
-    o = observations(spark, d).filter("market = 'M0'")
-    return G.unit_values(o, ["product"], "month_idx", "total_c", F.when(F.col("volume") > 3, F.col("volume")).otherwise(0))
+    return G.unit_values(observations(spark, d), ["product", "market"], "month_idx", "total_c", F.when(F.col("volume") > 3, F.col("volume")).otherwise(0))
 
 
 @query("figures_overview", f"""WITH {OBS}, l AS (SELECT market, max(month) AS month FROM obs GROUP BY 1) SELECT market, l.month AS latest, count(DISTINCT product) FILTER (WHERE obs.month = l.month) AS latest_products, count(DISTINCT product) AS products, count(DISTINCT variety) AS origins, CAST(min(day) AS VARCHAR) AS first_day, CAST(max(day) AS VARCHAR) AS last_day FROM obs JOIN l USING (market) GROUP BY market, l.month""")

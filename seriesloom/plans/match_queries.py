@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from seriesloom.functions.dates import month_index
 from seriesloom.operators import match as M
 from seriesloom.operators import series as S
+from seriesloom.operators.keys import join_on
 from seriesloom.plans.base import OBS, observations, query, table
 from seriesloom.sources.tables import written
 
@@ -61,6 +62,35 @@ def match_as_of_rates(spark, d):
     return M.as_of_rates(o.select("o_orderkey", "day"), rates, "day", "rday", "rate").select("o_orderkey", "day", "rate_day", "rate")
 
 
+@query("match_rates_by_currency", """WITH d AS (SELECT o_orderkey, o_orderdate AS moment, nullif(o_orderstatus, 'P') AS cur FROM orders), r AS (SELECT nullif(o_orderstatus, 'P') AS cur, o_orderdate + INTERVAL '5' HOUR AS rate_day, max(o_custkey) AS rate FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY ALL), e AS (SELECT cur, max(rate_day) AS last_day FROM r GROUP BY ALL),
+ j AS (SELECT o_orderkey, max(r.rate_day) AS rate_day FROM d JOIN r ON r.cur IS NOT DISTINCT FROM d.cur AND r.rate_day <= moment AND moment <= r.rate_day + INTERVAL '2' DAY JOIN e ON e.cur IS NOT DISTINCT FROM d.cur AND moment <= last_day GROUP BY ALL)
+ SELECT d.o_orderkey, cur, strftime(j.rate_day, '%Y-%m-%d %H:%M') AS rate_day, (SELECT rate FROM r WHERE r.rate_day = j.rate_day AND r.cur IS NOT DISTINCT FROM d.cur) AS rate FROM d LEFT JOIN j USING (o_orderkey)""")
+def match_rates_by_currency(spark, d):
+    """Rates quoted at five in the morning, by currency (one of them unknown), good for two days."""
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("at"), F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("cur"), "o_orderpriority", "o_custkey")
+    rates = o.filter("o_orderpriority = '1-URGENT'").select("cur", (F.col("at") + F.expr("INTERVAL 5 HOURS")).alias("rday"), F.col("o_custkey").alias("rate"))
+    out = M.as_of_rates(o.select("o_orderkey", "at", "cur"), rates, "at", "rday", "rate", 2, ["cur"])
+    return out.select("o_orderkey", "cur", F.date_format("rate_day", "yyyy-MM-dd HH:mm").alias("rate_day"), "rate")
+
+
+_CONFLICT_LEFT = "l0 AS (SELECT o_orderkey AS left_id, o_custkey AS cust, CAST(round(o_totalprice) AS BIGINT) // 50 AS c, CASE WHEN o_orderkey % 6 > 0 THEN o_orderstatus END AS cur FROM orders)"
+_CONFLICT_RIGHT = "r0 AS (SELECT o_orderkey AS right_id, o_custkey AS cust2, CAST(round(o_totalprice) AS BIGINT) // 50 + o_orderkey % 3 AS c2, CASE WHEN o_orderkey % 10 = 0 THEN 'X' WHEN o_orderkey % 15 > 1 THEN o_orderstatus END AS cur2 FROM orders)"
+_CONFLICT_ON = [f"cust = cust2 AND abs(c - c2) <= {t} AND (cur IS NULL OR cur = cur2)" for t in (0, 1, 400)]
+
+
+@query("match_currency_conflict", f"""WITH {_CONFLICT_LEFT}, {_CONFLICT_RIGHT}, {', '.join(_STAGE_SQL.format(k=i + 1, p=i, on=on) for i, on in enumerate(_CONFLICT_ON))}
+ {' UNION ALL '.join(f"SELECT '{side}' AS side, {own} AS id, min(CASE WHEN a = 1 AND b = 1 THEN {other} END) AS other_id, CASE WHEN bool_and(a = 1 AND b = 1) THEN 'matched' ELSE 'ambiguous' END AS state, 's{i + 1}' AS stage FROM c{i + 1} GROUP BY {own}" for i in range(3) for side, own, other in (('left', 'left_id', 'right_id'), ('right', 'right_id', 'left_id')))}
+ UNION ALL SELECT 'left', left_id, NULL, 'left over', NULL FROM l3 UNION ALL SELECT 'right', right_id, NULL, 'left over', NULL FROM r3""")
+def match_currency_conflict(spark, d):
+    """Customers' orders matched by price in widening stages; a known currency rules out others, an unknown one none."""
+    o, k = table(spark, d, "orders"), F.col("o_orderkey")
+    c = F.floor(F.round("o_totalprice").cast("bigint") / 50).cast("bigint")
+    left = o.select(k.alias("left_id"), F.col("o_custkey").alias("cust"), c.alias("c"), F.when(k % 6 > 0, F.col("o_orderstatus")).alias("cur"))
+    right = o.select(k.alias("right_id"), F.col("o_custkey").alias("cust2"), (c + k % 3).alias("c2"), F.when(k % 10 == 0, "X").when(k % 15 > 1, F.col("o_orderstatus")).alias("cur2"))
+    stages = [(f"s{i + 1}", [("cust", "cust2")], ("c", "c2", t)) for i, t in enumerate((0, 1, 400))]
+    return M.mutual_unique(left, right, stages, materialise=written, conflict=("cur", "cur2"))
+
+
 @query("match_route_daily", f"""WITH {OBS}, f AS (SELECT * FROM obs WHERE market = 'M0' AND variety <> 'PROMO'), l AS (SELECT * FROM obs WHERE market = 'M1') SELECT 'official' AS origin, product, count(*) AS n, CAST(sum(price_c) AS BIGINT) AS total FROM f GROUP BY ALL
  UNION ALL SELECT 'legacy', product, count(*), CAST(sum(price_c) AS BIGINT) FROM l WHERE day NOT IN (SELECT day FROM f) GROUP BY ALL""")
 def match_route_daily(spark, d):
@@ -90,6 +120,15 @@ def match_key_sets(spark, d):
     return M.compare_key_sets(o.filter("market = 'M0'"), o.filter("market = 'M1'"), ["product", "day"], "price_c")
 
 
+@query("match_key_summary", f"""WITH {OBS}, a AS (SELECT product, day, count(DISTINCT price_c) AS n_left, min(price_c) AS v_left FROM obs WHERE market IN ('M0', 'M2') GROUP BY ALL), b AS (SELECT product, day, count(DISTINCT price_c) AS n_right, min(price_c) AS v_right FROM obs WHERE market IN ('M1', 'M3') GROUP BY ALL),
+ j AS (SELECT *, CASE WHEN n_left = 1 AND n_right = 1 AND v_right <> 0 THEN CAST(v_left AS DOUBLE) / v_right END AS ratio FROM a FULL JOIN b USING (product, day)) SELECT count(*) FILTER (WHERE n_left > 0 AND n_right > 0) AS shared_keys, count(ratio) AS unambiguous_pairs, count(*) FILTER (WHERE n_left > 0 AND n_right > 0 AND NOT (n_left = 1 AND n_right = 1)) AS ambiguous_keys,
+ count(*) FILTER (WHERE abs(ratio - 1) <= 0.01) AS within, count(*) FILTER (WHERE n_left IS NULL) AS missing_left, count(*) FILTER (WHERE n_right IS NULL) AS missing_right, CAST(count(*) FILTER (WHERE abs(ratio - 1) <= 0.01) AS DOUBLE) / count(ratio) AS within_share, median(ratio) AS median_ratio FROM j""")
+def match_key_summary(spark, d):
+    """What a comparison of two pairs of markets by product and day comes to."""
+    o = observations(spark, d)
+    return M.key_set_summary(M.compare_key_sets(o.filter("market IN ('M0', 'M2')"), o.filter("market IN ('M1', 'M3')"), ["product", "day"], "price_c"))
+
+
 @query("match_missing_keys", f"""WITH {OBS}, a AS (SELECT DISTINCT product, day FROM obs WHERE market = 'M0'), b AS (SELECT DISTINCT product, day FROM obs WHERE market = 'M1') SELECT *, 'left' AS only_in FROM (FROM a EXCEPT FROM b) UNION ALL SELECT *, 'right' FROM (FROM b EXCEPT FROM a)""", dates=("day",))
 def match_missing_keys(spark, d):
     o = observations(spark, d)
@@ -99,18 +138,18 @@ def match_missing_keys(spark, d):
 @query("match_overlap_guard", f"""WITH {OBS} SELECT market, count(*) AS overlapping FROM obs WHERE market <> 'M0' AND EXISTS (SELECT 1 FROM obs b WHERE b.market = 'M0' AND b.product = obs.product AND b.day = obs.day) GROUP BY market""")
 def match_overlap_guard(spark, d):
     o = observations(spark, d)
-    return o.filter("market <> 'M0'").join(o.filter("market = 'M0'").select("product", "day").distinct(), ["product", "day"], "left_semi").groupBy("market").agg(F.count("*").alias("overlapping"))
+    return join_on(o.filter("market <> 'M0'"), o.filter("market = 'M0'").select("product", "day").distinct(), ["product", "day"], "left_semi").groupBy("market").agg(F.count("*").alias("overlapping"))
 
 
 @query("match_comparable_markets", f"""WITH {OBS}, g AS (SELECT product, currency, market, nullif(variety, 'PROMO') AS v, list(DISTINCT month) AS p FROM obs GROUP BY ALL), n AS (SELECT product, currency, market, nullif(variety, 'PROMO') AS v, month, count(*) AS n FROM obs GROUP BY ALL),
  j AS (SELECT a.product, a.currency, a.v AS variety_0, b.v AS variety_1, c.v AS variety_2, list_intersect(list_intersect(a.p, b.p), c.p) AS common FROM g a JOIN g b ON a.product = b.product AND a.currency = b.currency JOIN g c ON a.product = c.product AND a.currency = c.currency
   WHERE a.market = 'M0' AND b.market = 'M1' AND c.market = 'M2' AND (a.v IS NULL OR b.v IS NULL OR a.v = b.v) AND (a.v IS NULL OR c.v IS NULL OR a.v = c.v) AND (b.v IS NULL OR c.v IS NULL OR b.v = c.v)),
- m AS (SELECT j.product, j.currency, variety_0, variety_1, variety_2, CAST(len(common) AS INTEGER) AS common_periods, unnest(common) AS month FROM j WHERE len(common) > 0)
- SELECT m.product, m.currency, variety_0, variety_1, variety_2, common_periods, CAST(sum(n.n) AS BIGINT) AS rows FROM m JOIN n ON n.product = m.product AND n.currency = m.currency AND n.month = m.month AND (n.market = 'M0' AND n.v IS NOT DISTINCT FROM variety_0 OR n.market = 'M1' AND n.v IS NOT DISTINCT FROM variety_1 OR n.market = 'M2' AND n.v IS NOT DISTINCT FROM variety_2) GROUP BY ALL""")
+ m AS (SELECT j.product, j.currency, variety_0, variety_1, variety_2, CAST(len(common) AS INTEGER) AS common_periods, unnest(common) AS month FROM j WHERE len(common) > 0), f AS (
+ SELECT m.product, m.currency, variety_0, variety_1, variety_2, common_periods, CAST(sum(n.n) AS BIGINT) AS rows FROM m JOIN n ON n.product = m.product AND n.currency = m.currency AND n.month = m.month AND (n.market = 'M0' AND n.v IS NOT DISTINCT FROM variety_0 OR n.market = 'M1' AND n.v IS NOT DISTINCT FROM variety_1 OR n.market = 'M2' AND n.v IS NOT DISTINCT FROM variety_2) GROUP BY ALL) SELECT *, row_number() OVER (PARTITION BY product, currency ORDER BY common_periods DESC, rows DESC, variety_0 NULLS FIRST, variety_1 NULLS FIRST, variety_2 NULLS FIRST) AS rank FROM f""")
 def match_comparable_markets(spark, d):
-    """Three markets whose varieties don't contradict each other, and the months that all have."""
+    """Three markets whose varieties don't contradict each other, ranked by the months that all have."""
     o = observations(spark, d).withColumn("variety", F.nullif(F.col("variety"), F.lit("PROMO")))
-    return M.comparable_combinations(o, ["product", "currency"], "market", ["variety"], "month", ["M0", "M1", "M2"])
+    return M.comparable_combinations(o, ["product", "currency"], "market", ["variety"], "month_idx", ["M0", "M1", "M2"])
 
 
 @query("match_abbreviations", """WITH l AS (SELECT DISTINCT lower(x) AS l FROM (SELECT p_name AS x FROM part UNION ALL SELECT substr(p_name, 1, 2) || '.' || split_part(p_name, ' ', 2)[1:3] || '.' FROM part)), s AS (SELECT l AS short, replace(l, '.', '') AS t FROM l WHERE contains(l, '.')), g AS (SELECT l AS long FROM l WHERE NOT contains(l, '.'))
@@ -184,7 +223,7 @@ def set_replace_source(spark, d):
 @query("set_containment", f"""WITH {OBS} SELECT product, count(DISTINCT day) AS lost FROM obs WHERE market = 'M0' AND NOT EXISTS (SELECT 1 FROM obs b WHERE b.market <> 'M0' AND b.product = obs.product AND b.day = obs.day) GROUP BY product""")
 def set_containment(spark, d):
     o = observations(spark, d)
-    return o.filter("market = 'M0'").join(o.filter("market <> 'M0'").select("product", "day").distinct(), ["product", "day"], "left_anti").groupBy("product").agg(F.countDistinct("day").alias("lost"))
+    return join_on(o.filter("market = 'M0'"), o.filter("market <> 'M0'").select("product", "day").distinct(), ["product", "day"], "left_anti").groupBy("product").agg(F.countDistinct("day").alias("lost"))
 
 
 @query("set_distinct_non_comparable", """SELECT DISTINCT p_type, p_size FROM part WHERE p_type <> 'ECONOMY' AND p_size % 9 = 0""")
@@ -225,6 +264,45 @@ def revision_ledger(spark, d):
     return ledger(o.filter("k % 4 <> 0"), new, ["k"], "v")
 
 
+@query("upserts_bucketed", """WITH o AS (SELECT o_orderkey AS k, o_totalprice AS v, o_orderstatus AS s FROM orders), b AS (SELECT k, CASE WHEN k % 6 = 0 THEN v * 2 WHEN k % 13 = 0 THEN 0 ELSE v END AS v, s FROM o WHERE k % 5 = 0) SELECT k, coalesce(b.v, o.v) AS v, s FROM o LEFT JOIN b USING (k, s) WHERE k % 4 <> 0 OR b.k IS NOT NULL""")
+def upserts_bucketed(spark, d):
+    """A table in buckets after two upserts, the second of which runs twice."""
+    return _upserted(spark, d).rows().select("k", "v", "s")
+
+
+@query("ledger_bucketed", """SELECT o_orderkey AS k, o_totalprice AS old_v, o_totalprice * 2 AS new_v, 1 AS batch FROM orders WHERE o_orderkey % 4 <> 0 AND o_orderkey % 5 = 0 AND o_orderkey % 6 = 0 AND o_totalprice > 0""")
+def ledger_bucketed(spark, d):
+    """The revisions that the same upserts left in the ledger."""
+    return _upserted(spark, d).ledger()
+
+
+def _upserted(spark, d):
+    from seriesloom.sources.tables import shared_folder
+    from seriesloom.streaming.buckets import KeyedTable
+
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"), F.col("o_orderstatus").alias("s"))
+    out = KeyedTable(spark, shared_folder(spark), ["k"], o.schema, "v", buckets=8)
+    second = o.filter("k % 5 = 0").withColumn("v", F.when(F.col("k") % 6 == 0, F.col("v") * 2).when(F.col("k") % 13 == 0, F.lit(0.0)).otherwise(F.col("v")))
+    for k, batch in ((0, o.filter("k % 4 <> 0")), (1, second), (1, second)):
+        out.upsert(batch, k)
+    return out
+
+
+@query("history_daily_changes", f"""WITH {OBS}, h AS (SELECT product, day, CAST(sum(price_c) AS BIGINT) AS v, count(*) % 2 = 0 AS method FROM obs WHERE market <> 'M1' GROUP BY ALL), c AS (SELECT product, day, CASE WHEN sum(price_c) % 10 = 0 THEN 0 ELSE CAST(sum(price_c) AS BIGINT) END AS v, count(*) % 2 = 0 AS method FROM obs WHERE market = 'M1' AND month IN ('1998-03', '1999-02', '2000-12') GROUP BY ALL),
+ m AS (SELECT * FROM h WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.product = h.product AND c.day = h.day) UNION ALL SELECT * FROM c WHERE v > 0) SELECT m.product, m.day, m.v, m.method, (CAST(m.v AS DOUBLE) / a.v - 1) * 100 AS change_7, (CAST(m.v AS DOUBLE) / b.v - 1) * 100 AS change_30, EXISTS (SELECT 1 FROM c WHERE c.product = m.product AND m.day - c.day IN (0, 7, 30)) AS recomputed
+ FROM m LEFT JOIN m a ON a.product = m.product AND a.day = m.day - 7 AND a.method = m.method AND a.v > 0 LEFT JOIN m b ON b.product = m.product AND b.day = m.day - 30 AND b.method = m.method AND b.v > 0""", dates=("day",))
+def history_daily_changes(spark, d):
+    """Revised days merged into stored daily changes; the SQL computes everything anew."""
+    o = observations(spark, d)
+    daily = lambda df: df.groupBy("product", "day").agg(F.sum("price_c").alias("v"), (F.count("*") % 2 == 0).alias("method"))
+    h = daily(o.filter("market <> 'M1'"))
+    for k in (7, 30):
+        prior = h.select("product", F.date_add("day", k).alias("day"), F.col("method").alias("m_"), F.col("v").alias("before_"))
+        h = h.join(prior, ["product", "day"], "left").withColumn(f"change_{k}", F.when((F.col("m_") == F.col("method")) & (F.col("before_") > 0), S.change(F.col("v"), F.col("before_")))).drop("m_", "before_")
+    current = daily(o.filter("market = 'M1' AND month IN ('1998-03', '1999-02', '2000-12')")).withColumn("v", F.when(F.col("v") % 10 == 0, F.lit(0).cast("bigint")).otherwise(F.col("v")))
+    return S.merge_daily(written(h), written(current), ["product"], "day", "v", "method")
+
+
 @query("history_current_merge", f"""WITH {OBS}, h AS (SELECT product, day, CAST(sum(price_c) AS BIGINT) AS v FROM obs WHERE market = 'M0' GROUP BY ALL), c AS (SELECT product, day, CAST(sum(price_c) AS BIGINT) AS v FROM obs WHERE market = 'M1' AND year = 2000 GROUP BY ALL), m AS (SELECT * FROM h WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.product = h.product AND c.day = h.day) UNION ALL SELECT * FROM c WHERE v % 10 <> 0)
  SELECT product, strftime(day, '%Y-%m') AS month, count(*) AS days, median(CAST(v AS DOUBLE)) AS median FROM m GROUP BY ALL""")
 def history_current_merge(spark, d):

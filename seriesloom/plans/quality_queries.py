@@ -145,10 +145,13 @@ def clean_unit_fanout(spark, d):
     return Q.unit_fanout(o, "price_c", {"ARS/quintal": 1, "ARS/kg": 100}, ["ARS/kg"])
 
 
-@query("clean_stable_ids", f"""WITH {OBS} SELECT event_id, line, sha256(product || '|' || currency || '|' || condition) AS series_id, sha256(sha256(product || '|' || currency || '|' || condition) || '|' || CAST(day AS VARCHAR)) AS observation_id, row_number() OVER (PARTITION BY event_id, line ORDER BY price_c, product, day, volume, variety, market) AS occurrence FROM obs""")
+@query("clean_stable_ids", f"""WITH {OBS} SELECT event_id, line, series_id, record_id, occurrence, sha256(CAST(to_json({{'record_id': record_id, 'occurrence': CAST(occurrence AS VARCHAR)}}) AS VARCHAR)) AS observation_id FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY event_id, line, price_c, volume, variety) - 1 AS occurrence FROM
+ (SELECT *, sha256(CAST(to_json({{'product': product, 'currency': currency, 'condition': condition, 'v': nullif(variety, 'PROMO')}}) AS VARCHAR)) AS series_id, sha256(CAST(to_json({{'product': product, 'market': market, 'day': CAST(day AS VARCHAR), 'v': nullif(variety, 'PROMO')}}) AS VARCHAR)) AS record_id FROM obs))""")
 def clean_stable_ids(spark, d):
-    o = Q.stable_ids(observations(spark, d), SERIES, "day", ["event_id", "line"], ["price_c", "product", "day", "volume", "variety", "market"])
-    return o.select("event_id", "line", "series_id", "observation_id", "occurrence")
+    """Ids of series with an unknown variety, of records, and of the observations of one record."""
+    o = observations(spark, d).withColumn("v", F.nullif(F.col("variety"), F.lit("PROMO")))
+    o = Q.stable_ids(o, [*SERIES, "v"], ["product", "market", "day", "v"], ["event_id", "line", "price_c", "volume", "variety"])
+    return o.select("event_id", "line", "series_id", "record_id", "occurrence", "observation_id")
 
 
 _FLAGS = {"precio_bajo": "price_c < 50000", "precio_alto": "price_c > 1500000", "volumen_unitario": "volume = 1", "condicion_abierta": "condition = 'O'", "fecha_futura": "day > DATE '2001-06-30'"}

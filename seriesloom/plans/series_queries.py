@@ -103,6 +103,31 @@ def series_adjacent_variation(spark, d):
     return S.adjacent_variation(monthly(spark, d), SERIES, "month_idx", "median").select(*SERIES, "month", "median", "variation")
 
 
+@query("series_daily_observed", f"""WITH {OBS}, dd AS (SELECT product, currency, day, CAST(sum(price_c) AS BIGINT) AS v, count(*) % 3 = 0 AS method FROM obs GROUP BY ALL), w AS (SELECT *, lag(day) OVER s AS previous_day, lag(v) OVER s AS pv, lag(method) OVER s AS pm FROM dd WHERE v > 0 WINDOW s AS (PARTITION BY product, currency ORDER BY day))
+ SELECT product, currency, day, v, method, previous_day, CASE WHEN method = pm THEN (CAST(v AS DOUBLE) / pv - 1) * 100 END AS variation FROM w""", dates=("day", "previous_day"))
+def series_daily_observed(spark, d):
+    """Change of each day from the series' previous observed day, unless the method changed."""
+    dd = observations(spark, d).groupBy("product", "currency", "day").agg(F.sum("price_c").alias("v"), (F.count("*") % 3 == 0).alias("method"))
+    return S.observed_variation(dd, ["product", "currency"], "day", "v", "method")
+
+
+@query("series_coarse_stats", f"""WITH {OBS} SELECT currency, count(*) AS n, CAST(sum(price_c) AS DOUBLE) / count(*) AS mean, median(CAST(price_c AS DOUBLE)) AS median, min(price_c) AS low, max(price_c) AS high FROM obs GROUP BY ALL""")
+def series_coarse_stats(spark, d):
+    """Statistics of three groups that hold a third of all rows each."""
+    return S.coarse_stats(observations(spark, d), ["currency"], "price_c")
+
+
+@query("series_reconciled_shares", f"""WITH {OBS}, p AS (SELECT year, product, CAST(sum(volume) AS BIGINT) AS v FROM obs GROUP BY ALL), t AS (SELECT year, sum(v) + CASE WHEN year % 3 = 0 THEN 1 ELSE 0 END AS total FROM p GROUP BY year UNION ALL SELECT year, 1 FROM p WHERE year % 4 = 1 GROUP BY year),
+ one AS (SELECT year, max(total) AS total FROM t GROUP BY year HAVING count(*) = 1), g AS (SELECT year, sum(v) AS s, count(*) AS n FROM p GROUP BY year), j AS (SELECT p.*, total, n, rank() OVER (PARTITION BY year ORDER BY v DESC) AS rank, row_number() OVER (PARTITION BY year ORDER BY v DESC, product) AS r FROM p JOIN one USING (year) JOIN g USING (year) WHERE s = total)
+ SELECT year, product, v, CAST(rank AS INTEGER) AS rank, CAST(v AS DOUBLE) / total AS share, CASE WHEN n >= 3 THEN CAST(sum(CASE WHEN r <= 3 THEN v END) OVER (PARTITION BY year) AS DOUBLE) / total END AS top3 FROM j""")
+def series_reconciled_shares(spark, d):
+    """Shares in a published total: years whose parts don't add up to it, or that have two totals, have none."""
+    p = observations(spark, d).groupBy("year", "product").agg(F.sum("volume").alias("v"))
+    t = p.groupBy("year").agg((F.sum("v") + F.when(F.col("year") % 3 == 0, 1).otherwise(0)).alias("total"))
+    t = t.unionByName(p.filter("year % 4 = 1").select("year").distinct().withColumn("total", F.lit(1).cast("bigint")))
+    return S.reconciled_shares(p, t, ["year"], "product", "v", "total")
+
+
 @query("series_method_guard", f"""WITH {MONTHLY}, g AS (SELECT *, n % 2 = 0 AS method FROM monthly) SELECT product, currency, condition, month, CASE WHEN method = lag(method) OVER w AND month_idx - lag(month_idx) OVER w = 1 AND lag(median) OVER w > 0 THEN (median / lag(median) OVER w - 1) * 100 END AS variation
  FROM g WINDOW w AS (PARTITION BY product, currency, condition ORDER BY month_idx)""")
 def series_method_guard(spark, d):
@@ -188,17 +213,18 @@ def series_latest_revision(spark, d):
     return S.latest_revision(e, ["user_id", "day"], ["capture"]).select("event_id", "user_id", "event_type", "day", "capture")
 
 
-@query("series_year_grid", f"""WITH {OBS}, t AS (SELECT year, month_idx % 12 + 1 AS m, CAST(sum(volume) AS BIGINT) AS v FROM obs GROUP BY ALL), n AS (SELECT year, m, CAST(v - min(v) OVER () AS DOUBLE) / (max(v) OVER () - min(v) OVER ()) AS x FROM t)
+@query("series_year_grid", f"""WITH {OBS}, t AS (SELECT year, month_idx % 12 + 1 AS m, market = 'M1' AND month_idx % 7 = 0 AS apart, CAST(sum(volume) AS BIGINT) AS v FROM obs GROUP BY ALL), c AS (SELECT year, m, CASE WHEN count(*) = 1 THEN CAST(max(v) AS DOUBLE) END AS v FROM t GROUP BY ALL), n AS (SELECT year, m, (v - min(v) OVER ()) / (max(v) OVER () - min(v) OVER ()) AS x FROM c)
  SELECT year, {', '.join(f'max(CASE WHEN m = {k} THEN x END) AS m{k}' for k in range(1, 13))} FROM n GROUP BY year""")
 def series_year_grid(spark, d):
-    t = observations(spark, d).groupBy("year", (F.col("month_idx") % 12 + 1).alias("m")).agg(F.sum("volume").alias("v"))
+    """Monthly volumes; in every seventh month one market is published apart, and the cell is empty."""
+    t = observations(spark, d).groupBy("year", (F.col("month_idx") % 12 + 1).alias("m"), F.expr("market = 'M1' AND month_idx % 7 = 0").alias("apart")).agg(F.sum("volume").alias("v"))
     return S.year_grid(t, "year", "m", "v")
 
 
 @query("series_category_carry", f"""WITH l AS (SELECT l_orderkey AS o, l_linenumber AS k, min(CASE WHEN l_returnflag = 'R' THEN 'cat' || CAST(l_linenumber AS VARCHAR) END) AS cat FROM lineitem GROUP BY ALL) SELECT o, k, last_value(cat IGNORE NULLS) OVER (PARTITION BY o ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS category FROM l""")
 def series_category_carry(spark, d):
     li = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("k")).agg(F.min(F.when(F.col("l_returnflag") == "R", F.concat(F.lit("cat"), F.col("l_linenumber").cast("string")))).alias("cat"))
-    return li.select("o", "k", S.carry_forward(li, ["o"], "k", "cat").alias("category"))
+    return S.carry_forward(li, ["o"], "k", "cat").withColumnRenamed("cat", "category")
 
 
 @query("series_metrics_row", f"""WITH {OBS}, m AS (SELECT max(month) AS month FROM obs) SELECT product, CAST(sum(volume) AS BIGINT) AS volume, count(*) AS rows, max(price_c) AS high FROM obs JOIN m USING (month) GROUP BY ALL""")

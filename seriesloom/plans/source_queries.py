@@ -206,6 +206,18 @@ def snapshots_accumulated(spark, d):
     return T.accumulated_rows(spark, out, "event_id bigint, user_id bigint, event_type string, hour string, v bigint")
 
 
+@query("snapshots_streamed", """WITH e AS (SELECT event_id, nullif(user_id % 50, 7) AS user_id, event_type, strftime(ts, '%Y-%m-%d') AS day, CAST(floor(value) AS BIGINT) % 3 AS v, strftime(ts, '%d') AS k FROM events) SELECT event_id, user_id, event_type, day, v FROM e QUALIFY row_number() OVER (PARTITION BY user_id, event_type, day ORDER BY CASE WHEN k < '11' THEN 0 WHEN k < '21' THEN 1 ELSE 2 END, event_id) = 1""")
+def snapshots_streamed(spark, d):
+    """Three loads read as a stream into a table in key buckets; some identities have an unknown part."""
+    src, out, place = (IO.shared_folder(spark) for _ in range(3))
+    e = table(spark, d, "events").select("event_id", F.expr("nullif(user_id % 50, 7)").alias("user_id"), "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), (F.floor("value") % 3).alias("v"), F.date_format("ts", "dd").alias("k"))
+    for low, high in (("00", "11"), ("11", "21"), ("21", "99")):
+        e.filter((F.col("k") >= low) & (F.col("k") < high)).drop("k").write.mode("append").parquet(src)
+        stream = spark.readStream.schema(e.drop("k").schema).parquet(src)
+        T.accumulate_stream(stream, out, place, ["user_id", "event_type", "day"], ["v"], ["event_id"], buckets=16).awaitTermination()
+    return T.accumulated_rows(spark, out, e.drop("k").schema)
+
+
 @query("days_replaced", """WITH e AS (SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, 1 AS capture FROM events UNION ALL SELECT event_id, strftime(ts, '%Y-%m-%d'), 2 FROM events WHERE day(ts) % 3 = 0 AND event_id % 2 = 0) SELECT day, capture, count(*) AS n FROM (SELECT * FROM e QUALIFY capture = max(capture) OVER (PARTITION BY day)) GROUP BY ALL""")
 def days_replaced(spark, d):
     """A delta that replaces whole days of a partitioned table."""

@@ -13,6 +13,8 @@ from seriesloom.functions.text import fold
 
 
 _made: list[str] = []
+#: Parts of a publication up to which their counts are broadcast.
+FEW_PARTS = 100_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -107,12 +109,14 @@ def months_to_rows(df: DataFrame, ids: list[str], months: list[str], name: str =
     return df.unpivot(ids, months, name, value).filter(F.col(value) > 0)
 
 
-def carry_header(df: DataFrame, partition: list[str], order: str, header: str) -> DataFrame:
-    """Rows below a header row get its value: the last one above them in the same file."""
-    from pyspark.sql import Window
+def carry_header(df: DataFrame, partition: list[str], order: str, header: str, parts: int | None = None) -> DataFrame:
+    """Rows below a header row get its value: the last one above them in the same file.
 
-    w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(header, F.last(header, ignorenulls=True).over(w))
+    A file may be of any length: it is scanned in segments.
+    """
+    from seriesloom.operators.scan import carried
+
+    return carried(df, partition, [order], [header], parts)
 
 
 def partition_index(df: DataFrame, keys: list[str], day: str) -> DataFrame:
@@ -121,9 +125,25 @@ def partition_index(df: DataFrame, keys: list[str], day: str) -> DataFrame:
 
 
 def publish_partitioned(df: DataFrame, path: str, keys: list[str], day: str, max_rows: int = 5_000_000) -> DataFrame:
-    """Write by partition and return the index of what was written."""
-    df.repartition(*keys).write.mode("overwrite").option("maxRecordsPerFile", max_rows).partitionBy(*keys).parquet(path)
-    return partition_index(df.sparkSession.read.parquet(path), keys, day)
+    """Write by part in files of up to ``max_rows`` rows, and return the index of what was written.
+
+    Rows are counted by part first: a part of more rows is dealt over as many tasks as it needs files,
+    in even shares, and small parts share tasks.  The counts, one row a part, are joined with the rows by a
+    broadcast while they are few.  The index is made of the same counts and agrees with the files, as both come from one
+    written table.
+    """
+    from seriesloom.operators.keys import join_on
+
+    stored = written(df)
+    index = written(partition_index(stored, keys, day))
+    plan = index.select(*keys, F.ceil(F.col("rows") / max_rows).alias("files_"))
+    most = index.agg(F.sum(F.ceil(F.col("rows") / max_rows)).alias("n"), F.sum("rows").alias("rows")).first()
+    tasks = max(1, min(int(most.n or 1), -(-int(most.rows or 0) // max_rows) + 200))
+    share = F.pmod(F.xxhash64(*stored.columns), F.col("files_"))
+    dealt = join_on(stored, F.broadcast(plan) if index.count() <= FEW_PARTS else plan, keys).withColumn("share_", share)
+    # a share of a part is one value of the dealing key, so no task gets two shares of a hot part unless by chance
+    dealt.repartition(tasks, *keys, "share_").drop("share_", "files_").write.mode("overwrite").option("maxRecordsPerFile", max_rows).partitionBy(*keys).parquet(path)
+    return index
 
 
 def split_dimensions(df: DataFrame, dims: list[str], key: str) -> tuple[DataFrame, DataFrame]:
@@ -144,28 +164,81 @@ class StaleWriter(ValueError):
     """The published version is not the one that the candidate was built on."""
 
 
+class Versions:
+    """Numbered versions in a folder: small texts that are whole or absent.
+
+    A version's text is written under a name of its own first, then renamed to its number without
+    overwriting.  A writer that dies before the rename leaves nothing that readers see, and of two writers of
+    one number one is refused, where the file system renames so (HDFS and alike; local disks
+    test before they rename).  Readers step over versions without a text, which older writers may have left.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def _files(self, name: str = ""):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _text(self, name: str) -> str:
+        path, files = self._files(name)
+        if not files.getFileStatus(path).getLen():
+            return ""
+        return "\n".join(r.value for r in self.spark.read.text(f"{self.folder}/{name}", wholetext=True).collect())
+
+    def latest(self) -> tuple[int, str | None]:
+        """The highest number with a text, and the text; (0, None) without any."""
+        path, files = self._files()
+        names = [x.getPath().getName() for x in files.listStatus(path)] if files.exists(path) else []
+        for n in sorted((int(n[1:]) for n in names if n[0] == "v" and n[1:].isdigit()), reverse=True):
+            text = self._text(f"v{n}")
+            if text:
+                return n, text
+        return 0, None
+
+    def claim(self, number: int, text: str) -> bool:
+        """Make ``text`` the version ``number``; False if it has one."""
+        path, files = self._files(f"v{number}")
+        if files.exists(path):
+            if files.getFileStatus(path).getLen():
+                return False
+            files.delete(path, False)
+        draft, _ = self._files(f".draft-{uuid.uuid4().hex}")
+        out = files.create(draft, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+        jvm = self.spark._jvm
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), self.spark._jsc.hadoopConfiguration())
+        options = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            context.rename(files.makeQualified(draft), files.makeQualified(path), options)
+        except Exception:
+            if not files.exists(draft) or not files.exists(path):
+                raise
+            files.delete(draft, False)
+            return False
+        return True
+
+
 class Publication:
     """Versioned tables behind a pointer: a candidate that fails its gates leaves the last one in place.
 
-    Every candidate is written to a folder of its own.  A version is a file named after it, which
-    holds that folder's name and is created only if absent: of two writers that publish at once one
-    gets the version, and the other one is refused with nothing of the first touched.
+    Every candidate is written to a folder of its own; a version holds that folder's name.  Of two
+    writers that publish at once one gets the version, and the other one is refused with nothing of the first
+    touched.  A writer that dies on the way leaves the last version published.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
-
-    def _path(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        self.versions = Versions(spark, f"{root}/versions")
 
     def version(self) -> int:
-        path, files = self._path("versions")
-        names = [x.getPath().getName() for x in files.listStatus(path)] if files.exists(path) else []
-        return max([int(n[1:]) for n in names if n[0] == "v" and n[1:].isdigit()], default=0)
+        return self.versions.latest()[0]
 
     def read(self, name: str) -> DataFrame:
-        folder = self.spark.read.text(f"{self.root}/versions/v{self.version()}").first().value
+        folder = self.versions.latest()[1]
+        if folder is None:
+            raise LookupError(f"nothing is published in {self.root}")
         return self.spark.read.parquet(f"{self.root}/{folder}/{name}")
 
     def publish(self, tables: dict[str, DataFrame], check, built_on: int | None = None) -> int:
@@ -178,15 +251,8 @@ class Publication:
             df.write.parquet(f"{self.root}/{folder}/{name}")
         for name in tables:
             check(name, self.spark.read.parquet(f"{self.root}/{folder}/{name}"))
-        path, files = self._path(f"versions/v{now + 1}")
-        try:
-            out = files.create(path, False)
-        except Exception as e:
-            if files.exists(path):
-                raise StaleWriter(f"version {now + 1} was published meanwhile") from e
-            raise
-        out.writeBytes(folder)
-        out.close()
+        if not self.versions.claim(now + 1, folder):
+            raise StaleWriter(f"version {now + 1} was published meanwhile")
         return now + 1
 
 

@@ -1,17 +1,17 @@
 """Snapshots, deltas and revisions: incremental forms, batch and streaming.
 
-Streaming jobs keep what must last for ever (the first capture of an identity) in a table and
-not in operator state; each micro-batch is joined with it in ``foreachBatch``.
+Streaming jobs keep what must last for ever (the first capture of an identity, a keyed table) in tables in
+hash buckets and not in operator state; each micro-batch reads the buckets it touches in ``foreachBatch``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from seriesloom.operators.keys import join_on
+from seriesloom.streaming.buckets import FirstCaptures, KeyedTable
 
 
 def identity(source_id: Column, parts: list[str]) -> Column:
@@ -29,10 +29,10 @@ def two_way_duplicates(df: DataFrame, key: list[str], content: list[str], order:
 def keyed_upsert(stored: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """The table after the upsert, with ``state``: kept, unchanged, changed or new."""
     content = [c for c in stored.columns if c not in key]
-    digest = lambda p: F.sha2(F.to_json(F.struct(*[F.coalesce(F.col(f"{p}.{c}").cast("string"), F.lit("\0")).alias(c) for c in content])), 256)
-    j = stored.alias("a").withColumn("in_a", F.lit(1)).alias("a").join(new.alias("b").withColumn("in_b", F.lit(1)).alias("b"), key, "full")
-    state = F.when(F.col("in_a").isNull(), "new").when(F.col("in_b").isNull(), "kept").when(digest("a") == digest("b"), "unchanged").otherwise("changed")
-    return j.select(*key, *[F.when(F.col("in_b").isNull(), F.col(f"a.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in content], state.alias("state"))
+    side = lambda df, name: df.select(*key, F.struct(*[F.col(c).cast(stored.schema[c].dataType).alias(c) for c in content]).alias(name))
+    j = join_on(side(stored, "old_"), side(new, "new_"), key, "full")
+    state = F.when(F.col("old_").isNull(), "new").when(F.col("new_").isNull(), "kept").when(F.col("old_").eqNullSafe(F.col("new_")), "unchanged").otherwise("changed")
+    return j.select(*key, *[F.when(F.col("new_").isNull(), F.col(f"old_.{c}")).otherwise(F.col(f"new_.{c}")).alias(c) for c in content], state.alias("state"))
 
 
 def revision_ledger(stored: DataFrame, new: DataFrame, key: list[str], value: str) -> DataFrame:
@@ -81,36 +81,32 @@ def _stored(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def accumulated_rows(spark: SparkSession, table: str, schema) -> DataFrame:
-    """The rows of a table that :func:`accumulate` has made."""
-    return _stored(spark, table, schema).drop("batch")
+    """The rows of a table that :func:`accumulate` has made; ``schema`` is that of its batches."""
+    return FirstCaptures(spark, table, [], [], schema).rows()
 
 
-def accumulate(batch: DataFrame, table: str, key: list[str], content: list[str], order: list[str], batch_id: int, counters: str | None = None) -> None:
+def accumulate(batch: DataFrame, table: str, key: list[str], content: list[str], order: list[str], batch_id: int, counters: str | None = None, buckets: int = 64) -> None:
     """Add the first captures that ``table`` lacks; count repeats and conflicts.
 
-    Each batch has a partition of its own.  A batch that runs again is compared with the other
-    batches' rows and writes the same rows and counters once more.
+    Only the key buckets that the batch touches are read (see :class:`FirstCaptures`).  Batches come with rising
+    numbers; a committed one that runs again changes nothing.
     """
-    spark = batch.sparkSession
-    state = two_way_duplicates(batch, key, content, order)
-    stored = _stored(spark, table, T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])).filter(F.col("batch") != batch_id).drop("batch")
-    first = state.filter("state = 'first'").drop("state")
-    fresh = first.join(stored.select(*key), key, "left_anti").select(*batch.columns)
-    if counters:
-        known = state.join(stored.select(*key, F.struct(*content).alias("known_")), key, "left")
-        kind = F.when(F.col("known_").isNull(), F.col("state")).when(F.col("known_") == F.struct(*content), "duplicate").otherwise("conflict")
-        known.groupBy(kind.alias("state")).agg(F.count("*").alias("n")).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{counters}/batch={batch_id}")
-    fresh.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
-
-
-def accumulate_stream(stream: DataFrame, table: str, checkpoint: str, key: list[str], content: list[str], order: list[str], counters: str | None = None) -> StreamingQuery:
+    FirstCaptures(batch.sparkSession, table, key, content, batch.schema, buckets).add(batch, order, batch_id, counters)
+
+
+def accumulate_stream(stream: DataFrame, table: str, checkpoint: str, key: list[str], content: list[str], order: list[str], counters: str | None = None, buckets: int = 64) -> StreamingQuery:
     """Structured Streaming form of :func:`accumulate`; late rows are taken whenever they come."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        accumulate(batch, table, key, content, order, batch_id, counters)
+        accumulate(batch, table, key, content, order, batch_id, counters, buckets)
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def upsert_stream(stream: DataFrame, table: KeyedTable, checkpoint: str) -> StreamingQuery:
+    """Every micro-batch, one row a key, is upserted into ``table``; its revisions go to the ledger."""
+    return stream.writeStream.foreachBatch(table.upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def replace_days(delta: DataFrame, table: str, day: str, capture: str) -> None:
     """Replace whole days by dynamic partition overwrite; a day has one capture, and one that
     isn't newer than the stored one is rejected."""
