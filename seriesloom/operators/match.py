@@ -189,7 +189,7 @@ def comparable_combinations(df: DataFrame, identity: list[str], market: str, loo
     """Combinations of one group of each of ``markets`` with the same identity, no two of which
     contradict each other in a loose attribute (unknown fits anything): the attributes of each group,
     the periods that all have, the rows in these, and ``rank`` within the identity by periods, then rows, then
-    attributes.  ``period`` is a whole number.
+    attributes.
 
     Groups meet by one equi-join a market, on the identity and the attributes that both know: a group's
     signature says which it knows, and each group stands once for every signature that it may meet, so
@@ -197,10 +197,11 @@ def comparable_combinations(df: DataFrame, identity: list[str], market: str, loo
     all have is a bitwise and.
     """
     n, every = len(loose), range(1 << len(loose))
-    span = df.agg(F.min(period).alias("low"), F.max(period).alias("high")).first()
-    low, words = span.low or 0, 0 if span.low is None else (span.high - span.low) // 62 + 1
+    rows = df.filter(F.col(market).isin(*markets) & F.col(period).isNotNull())
+    index = rows.select(period).distinct().withColumn("p_", (F.row_number().over(Window.orderBy(period)) - 1).cast("int"))  # one row a period
+    words = -(-index.count() // 62)
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    sized = df.filter(F.col(market).isin(*markets) & F.col(period).isNotNull()).groupBy(*identity, market, *loose, (F.col(period) - F.lit(low)).cast("int").alias("p_")).agg(F.count("*").alias("n_"))
+    sized = rows.groupBy(*identity, market, *loose, period).agg(F.count("*").alias("n_")).join(index, period)
     word, place = F.floor(F.col("p_") / 62), F.pmod("p_", F.lit(62)).cast("int")
     bits = [F.sum(F.when(word == w, F.call_function("shiftleft", one, place)).otherwise(none)).alias(f"w{w}_") for w in range(words)]
     known = sum((F.when(F.col(c).isNotNull(), 1 << i).otherwise(0) for i, c in enumerate(loose)), F.lit(0))

@@ -225,7 +225,7 @@ _COMPARED = "nullif(variety, 'PROMO') AS v, CASE WHEN volume > 25 THEN 'grande'
 
 
 @query("figures_comparability", f"""WITH {OBS}, o AS (SELECT *, {_COMPARED} FROM obs), g AS (SELECT product, day, market, count(*) FILTER (WHERE currency IS NULL) AS unknown, list(DISTINCT v) FILTER (WHERE v IS NOT NULL) AS v, list(DISTINCT pack) AS pack FROM o WHERE market IN ('M0', 'M1') GROUP BY ALL),
- p AS (SELECT product, day, count(DISTINCT market) AS markets, count(DISTINCT currency) AS currencies, count(DISTINCT condition) AS units, count(DISTINCT prec) AS precisions, count(DISTINCT coalesce(variety, '')) AS d1, count(DISTINCT pack) AS d2, count(DISTINCT coalesce(calidad, '')) AS d3 FROM o WHERE market IN ('M0', 'M1') GROUP BY ALL),
+ p AS (SELECT product, day, count(DISTINCT market) AS markets, count(DISTINCT currency) AS currencies, count(DISTINCT coalesce(condition, '-')) AS units, count(DISTINCT prec) AS precisions, count(DISTINCT coalesce(variety, '')) AS d1, count(DISTINCT pack) AS d2, count(DISTINCT coalesce(calidad, '')) AS d3 FROM o WHERE market IN ('M0', 'M1') GROUP BY ALL),
  c AS (SELECT a.product, a.day, coalesce(len(list_intersect(a.v, b.v)), 0) AS cv, len(list_intersect(a.pack, b.pack)) AS cp FROM g a JOIN g b ON a.product = b.product AND a.day = b.day AND a.market = 'M0' AND b.market = 'M1')
  SELECT product, day, CASE WHEN markets < 2 THEN 'sin datos' WHEN currencies <> 1 THEN 'moneda' WHEN units > 1 THEN 'unidad' WHEN cv = 0 THEN 'variedad' WHEN cp = 0 THEN 'presentacion' WHEN precisions > 1 THEN 'frecuencia' WHEN d1 > 1 OR d2 > 1 OR d3 > 1 THEN 'dimensiones' ELSE 'comparable' END AS verdict FROM p LEFT JOIN c USING (product, day)""", dates=("day",))
 def figures_comparability(spark, d):
@@ -246,7 +246,7 @@ def figures_comparability_monthly(spark, d):
     return A.comparability(o, ["product", "month"], "market", ["M0", "M1"], "currency", "condition", "v", "pack", "p2", ["condition"], F.col("volume") > 20, "DIARIA")
 
 
-@query("figures_single_markets", f"""WITH {OBS}, o AS (SELECT *, nullif(variety, 'PROMO') AS v, CASE WHEN line > 1 THEN currency END AS cur FROM obs) SELECT market, day, product, CASE WHEN count(DISTINCT coalesce(cur, '-')) > 1 THEN 'moneda' WHEN count(DISTINCT condition) > 1 THEN 'unidad' WHEN count(DISTINCT coalesce(v, '-')) > 1 THEN 'dimensiones' ELSE 'un mercado' END AS verdict FROM o GROUP BY ALL""", dates=("day",))
+@query("figures_single_markets", f"""WITH {OBS}, o AS (SELECT *, nullif(variety, 'PROMO') AS v, CASE WHEN line > 1 THEN currency END AS cur FROM obs) SELECT market, day, product, CASE WHEN count(DISTINCT coalesce(cur, '-')) > 1 THEN 'moneda' WHEN count(DISTINCT coalesce(condition, '-')) > 1 THEN 'unidad' WHEN count(DISTINCT coalesce(v, '-')) > 1 THEN 'dimensiones' ELSE 'un mercado' END AS verdict FROM o GROUP BY ALL""", dates=("day",))
 def figures_single_markets(spark, d):
     """Whether the prices of one market can be drawn together, for every day and product."""
     o = observations(spark, d).withColumn("v", F.nullif(F.col("variety"), F.lit("PROMO"))).withColumn("cur", F.when(F.col("line") > 1, F.col("currency")))
@@ -269,7 +269,7 @@ def figures_latest_comparable(spark, d):
     return last.select("market", "product", F.col("day").cast("string").alias("day"), "price_c", F.col("place").cast("bigint").alias("place"))
 
 
-@query("figures_market_origin", f"""WITH {OBS}, g AS (SELECT product, market, variety, month_idx, median(CAST(price_c AS DOUBLE)) AS m FROM obs GROUP BY ALL), n AS (SELECT product, market, variety, count(*) AS k, min(month_idx) AS a, max(month_idx) AS b FROM g GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY product, market ORDER BY k DESC, variety) AS place FROM n), c AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY product ORDER BY place, k DESC, market, variety) <= 8), f AS (SELECT product, market, variety, unnest(range(a, b + 1)) AS month_idx FROM c) SELECT product, market, variety, CAST(month_idx AS INTEGER) AS month_idx, m AS median FROM f LEFT JOIN g USING (product, market, variety, month_idx)""")
+@query("figures_market_origin", f"""WITH {OBS}, g AS (SELECT product, market, variety, month_idx, median(CAST(price_c AS DOUBLE)) AS m FROM obs GROUP BY ALL), n AS (SELECT product, market, variety, count(*) AS k, min(month_idx) AS a, max(month_idx) AS b FROM g GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY product, market ORDER BY k DESC, variety NULLS FIRST) AS place FROM n), c AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY product ORDER BY place, k DESC, market, variety NULLS FIRST) <= 8), f AS (SELECT product, market, variety, unnest(range(a, b + 1)) AS month_idx FROM c) SELECT f.product, f.market, f.variety, CAST(f.month_idx AS INTEGER) AS month_idx, m AS median FROM f LEFT JOIN g ON f.product = g.product AND f.market = g.market AND f.variety IS NOT DISTINCT FROM g.variety AND f.month_idx = g.month_idx""")
 def figures_market_origin(spark, d):
     """Eight combinations of market and origin for every product, one of each market first."""
     return G.market_origin(observations(spark, d), "product", "market", "variety", "month_idx", "price_c", 8)

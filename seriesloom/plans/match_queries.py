@@ -176,7 +176,7 @@ def match_share_denominators(spark, d):
 
 
 @query("match_year_ago", f"""WITH {OBS}, b AS (SELECT product, market, currency, condition, month_idx, CASE WHEN count(*) = 1 THEN max(price_c) END AS base FROM obs GROUP BY ALL) SELECT o.event_id, o.line, o.product, o.price_c, CASE WHEN base > 0 THEN (CAST(o.price_c AS DOUBLE) / base - 1) * 100 END AS variation
- FROM obs o LEFT JOIN b ON o.product = b.product AND o.market = b.market AND o.currency = b.currency AND o.condition = b.condition AND b.month_idx = o.month_idx - 12""")
+ FROM obs o LEFT JOIN b ON o.product = b.product AND o.market = b.market AND o.currency = b.currency AND o.condition IS NOT DISTINCT FROM b.condition AND b.month_idx = o.month_idx - 12""")
 def match_year_ago(spark, d):
     return M.year_ago(observations(spark, d), ["product", "market", "currency", "condition"], "month_idx", "price_c").select("event_id", "line", "product", "price_c", "variation")
 

@@ -237,12 +237,12 @@ def filter_trailing_months(spark, d):
 
 
 @query("filter_publication_subset", f"""WITH {OBS}, t AS (SELECT *, CASE currency WHEN 'A' THEN 'faena' WHEN 'N' THEN 'produccion' ELSE 'peso' END AS family, CASE condition WHEN 'F' THEN 'mensual' ELSE 'anual' END AS frequency FROM obs)
- SELECT family, frequency, product, month, CAST(sum(volume) AS BIGINT) AS volume FROM t WHERE NOT (variety = 'PROMO' OR price_c < 20000) AND (family = 'faena' AND frequency = 'mensual' AND market = 'M0' OR family = 'faena' AND frequency = 'anual' AND market = 'M1' OR family = 'produccion' AND market = 'M2') GROUP BY ALL""")
+ SELECT family, frequency, product, month, CAST(sum(volume) AS BIGINT) AS volume FROM t WHERE NOT (variety IS NULL OR price_c < 20000) AND (family = 'faena' AND frequency = 'mensual' AND market = 'M0' OR family = 'faena' AND frequency = 'anual' AND market = 'M1' OR family = 'produccion' AND market = 'M2') GROUP BY ALL""")
 def filter_publication_subset(spark, d):
     """One published table for each family and frequency before summing; families without a rule,
     entity rows and unverified scales stay out."""
     o = observations(spark, d).withColumn("family", F.when(F.col("currency") == "A", "faena").when(F.col("currency") == "N", "produccion").otherwise("peso")).withColumn("frequency", F.when(F.col("condition") == "F", "mensual").otherwise("anual"))
-    o = Q.with_reasons(o, {"entidad": F.col("variety") == "PROMO", "escala": F.col("price_c") < 20000}).filter(F.size("reasons") == 0)
+    o = Q.with_reasons(o, {"entidad": F.col("variety").isNull(), "escala": F.col("price_c") < 20000}).filter(F.size("reasons") == 0)
     rules = [({"family": "faena", "frequency": "mensual"}, F.col("market") == "M0"), ({"family": "faena", "frequency": "anual"}, F.col("market") == "M1"), ({"family": "produccion"}, F.col("market") == "M2")]
     return Q.published_table(o, rules).groupBy("family", "frequency", "product", "month").agg(F.sum("volume").alias("volume"))
 
@@ -260,7 +260,7 @@ def quality_outliers_wholesale(spark, d):
     return Q.outliers(observations(spark, d), ["product", "currency"], "price_c", 3.0).select("event_id", "line", "price_c")
 
 
-@query("quality_extremes", f"""WITH {OBS}, m AS (SELECT product, variety, median(CAST(price_c AS DOUBLE)) AS m FROM obs GROUP BY ALL HAVING count(*) >= 5) SELECT event_id, line, price_c, m AS group_median FROM obs JOIN m USING (product, variety) WHERE price_c > m * 10 OR price_c * 10 < m""")
+@query("quality_extremes", f"""WITH {OBS}, m AS (SELECT product, variety, median(CAST(price_c AS DOUBLE)) AS m FROM obs GROUP BY ALL HAVING count(*) >= 5) SELECT event_id, line, price_c, m AS group_median FROM obs JOIN m ON obs.product = m.product AND obs.variety IS NOT DISTINCT FROM m.variety WHERE price_c > m * 10 OR price_c * 10 < m""")
 def quality_extremes(spark, d):
     return Q.extremes(observations(spark, d), ["product", "variety"], "price_c").select("event_id", "line", "price_c", "group_median")
 

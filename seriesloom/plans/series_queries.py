@@ -11,7 +11,7 @@ from seriesloom.plans.base import MONTHLY, OBS, SERIES, observations, query, set
 from seriesloom.sources.tables import written
 
 _STATE = "CASE WHEN {v} IS NULL THEN 'Sin dato' WHEN abs({v}) > 50 THEN 'Revisar' WHEN {v} < -5 THEN 'Baja' WHEN {v} <= 5 THEN 'Estable' WHEN {v} <= 20 THEN 'Suba moderada' ELSE 'Suba fuerte' END"
-_PRIOR = "LEFT JOIN {t} {a} ON {a}.product = m.product AND {a}.currency = m.currency AND {a}.condition = m.condition AND {a}.{i} = m.{i} - {k} AND {a}.{v} > 0"
+_PRIOR = "LEFT JOIN {t} {a} ON {a}.product = m.product AND {a}.currency = m.currency AND {a}.condition IS NOT DISTINCT FROM m.condition AND {a}.{i} = m.{i} - {k} AND {a}.{v} > 0"
 
 
 def monthly(spark, d):
@@ -38,8 +38,8 @@ def series_daily_exact(spark, d):
 
 @query("series_at_or_before", f"""WITH {OBS}, dd AS (SELECT product, currency, condition, day, CAST(sum(price_c) AS BIGINT) AS v FROM obs GROUP BY ALL),
  l AS (SELECT product, currency, condition, max(day) AS last_day, arg_max(v, day) AS last_value FROM dd GROUP BY ALL),
- e AS (SELECT dd.product, dd.currency, dd.condition, max(day) AS prior_day, arg_max(v, day) AS prior_value FROM dd JOIN l USING (product, currency, condition) WHERE day <= last_day - 7 GROUP BY ALL)
- SELECT *, CASE WHEN prior_value > 0 THEN (CAST(last_value AS DOUBLE) / prior_value - 1) * 100 END AS variation FROM l LEFT JOIN e USING (product, currency, condition)""", dates=("last_day", "prior_day"))
+ e AS (SELECT dd.product, dd.currency, dd.condition, max(day) AS prior_day, arg_max(v, day) AS prior_value FROM dd JOIN l ON dd.product = l.product AND dd.currency = l.currency AND dd.condition IS NOT DISTINCT FROM l.condition WHERE day <= last_day - 7 GROUP BY ALL)
+ SELECT l.*, prior_day, prior_value, CASE WHEN prior_value > 0 THEN (CAST(last_value AS DOUBLE) / prior_value - 1) * 100 END AS variation FROM l LEFT JOIN e ON e.product = l.product AND e.currency = l.currency AND e.condition IS NOT DISTINCT FROM l.condition""", dates=("last_day", "prior_day"))
 def series_at_or_before(spark, d):
     daily = observations(spark, d).groupBy(*SERIES, "day").agg(F.sum("price_c").alias("v"))
     return S.at_or_before(daily, SERIES, "day", "v", 7)
@@ -136,7 +136,7 @@ def series_method_guard(spark, d):
 
 
 @query("series_filled_months", f"""WITH {MONTHLY}, s AS (SELECT product, currency, condition, unnest(range(min(month_idx), max(month_idx) + 1)) AS month_idx FROM monthly GROUP BY product, currency, condition)
- SELECT s.product, s.currency, s.condition, CAST(s.month_idx AS INTEGER) AS month_idx, n, median FROM s LEFT JOIN monthly USING (product, currency, condition, month_idx)""")
+ SELECT s.product, s.currency, s.condition, CAST(s.month_idx AS INTEGER) AS month_idx, n, median FROM s LEFT JOIN monthly m ON m.product = s.product AND m.currency = s.currency AND m.condition IS NOT DISTINCT FROM s.condition AND m.month_idx = s.month_idx""")
 def series_filled_months(spark, d):
     return S.fill_months(monthly(spark, d), SERIES, "month_idx").select(*SERIES, "month_idx", "n", "median")
 
