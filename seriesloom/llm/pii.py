@@ -93,10 +93,15 @@ def base_spans(text: bytes, buf: np.ndarray) -> list[tuple[int, int, int]]:
 
 
 def labelled_values(text: bytes, buf: np.ndarray) -> list[tuple[bytes, int, int]]:
-    """(label, start, end) in bytes of the values behind a label and ``=`` or ``:``."""
+    """(label, start, end) in bytes of the values, of four characters or more, behind a label and ``=`` or ``:``."""
     found, last = [], 0
     for p in np.flatnonzero((buf == 61) | (buf == 58)).tolist():
-        if p >= last and (label := _LABEL.search(text[max(0, p - 24) : p])) and (value := _VALUE.match(text, p)):
+        if p < last:
+            continue
+        q = p  # any number of blanks may stand before the sign
+        while q > last and text[q - 1] in b" \t":
+            q -= 1
+        if (label := _LABEL.search(text[max(0, q - 24) : q])) and (value := _VALUE.match(text, p)):
             found.append((re.sub(rb"[^a-z]", b"", label.group(1).lower()), value.start(1), value.end(1)))
             last = value.end(1)
     return found
