@@ -117,7 +117,8 @@ def quality_rules(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     out = out.join(removed, out.key.eqNullSafe(removed.who), "left").withColumn("n_removed_words", F.coalesce(F.col("removed") / F.col("copies"), F.lit(0)).cast("bigint"))
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_share * F.col("n_words"))
-    depleted = F.col("n_words") - F.col("n_removed_words") < min_share * F.col("n_words")
+    left = F.col("n_words") - F.col("n_removed_words")
+    depleted = (F.col("n_removed_words") > 0) & ((left < min_words) | (left < min_share * F.col("n_words")))
     return out.withColumn("base_failed", failed).withColumn("depleted", depleted).select("doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words", "depleted", "base_failed", (~failed & ~depleted).alias("kept"))
 
 
@@ -143,6 +144,6 @@ m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_str
       CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(n_removed_words, 0) AS BIGINT) AS n_removed_words
       FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN cov USING (doc_id) LEFT JOIN rem USING (doc_id))
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (n_words - n_removed_words < 0.3 * n_words) AS kept
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (n_removed_words > 0 AND (n_words - n_removed_words < 50 OR n_words - n_removed_words < 0.3 * n_words)) AS kept
 FROM m
 """
