@@ -204,7 +204,10 @@ def scored(model: OrdinalModel, buf: np.ndarray, offs: np.ndarray, cut: float) -
     score, n = model.scores(buf, offs)
     above = model.above(score)
     level = np.concatenate([1 - above[:, :1], above[:, :-1] - above[:, 1:], above[:, -1:]], axis=1)
-    return [pa.array(n.astype(np.int64)), pa.array(above[:, 0]), pa.array(above @ np.diff(model.grades).astype(float)), pa.array(model.grades[level.argmax(axis=1)].astype(np.int64)), pa.array((above[:, 0] >= cut) & (n > 0))]
+    toxic = (above[:, 0] >= cut) & (n > 0)
+    # one rule for both: a toxic text has the likeliest grade above the first, any other the first
+    grade = np.where(toxic, model.grades[1 + level[:, 1:].argmax(axis=1)], model.grades[0])
+    return [pa.array(n.astype(np.int64)), pa.array(above[:, 0]), pa.array(above @ np.diff(model.grades).astype(float)), pa.array(grade.astype(np.int64)), pa.array(toxic)]
 
 
 def without_toxic(documents: DataFrame, model: OrdinalModel, text_col: str = "text", cut: float = CUT) -> DataFrame:
