@@ -24,6 +24,8 @@ action); repeated rows each get a row; other columns are ignored; an empty table
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -52,7 +54,10 @@ class Automaton:
             rest, literal, stay = glob.encode(), None, ""
             while rest:
                 stars = len(rest) - len(rest.lstrip(b"*"))
-                if stars:
+                if rest[:1] == b"\\" and len(rest) > 1:  # the byte behind stands for itself
+                    places.append((literal, stay))
+                    literal, stay, rest = rest[1], "", rest[2:]
+                elif stars:
                     stay = "**" if stars > 1 or stay == "**" else "*"
                     rest = rest[stars:]
                 else:
@@ -96,6 +101,11 @@ class Automaton:
         return hit
 
 
+def escaped(text: str) -> str:
+    """A glob that matches the text itself."""
+    return re.sub(r"([*?\\])", r"\\\1", text)
+
+
 def _stated(table, columns: list[str]) -> list:
     """The rows of a table of bounded size, as tuples (or values of one column); lists as they are."""
     if not isinstance(table, DataFrame):
@@ -121,7 +131,7 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     d = d.withColumn("canonical", F.concat("host", "path"))
     ranked = sorted(rules, key=lambda r: -len((r[1] + r[2]).encode()))  # stable: of equal length, the first stated
     literal = [r[1] + r[2] for r in ranked]
-    shared = pages.sparkSession.sparkContext.broadcast(Automaton([g for x in literal for g in (f"{x}**", f"*.{x}**")] + block_globs))
+    shared = pages.sparkSession.sparkContext.broadcast(Automaton([g for x in map(escaped, literal) for g in (f"{x}**", f"*.{x}**")] + block_globs))
     names = pa.array([*literal, None], pa.string())
     actions = pa.array([*(r[0] for r in ranked), "allow", "block"], pa.string())
     globs = np.array([*block_globs, ""], dtype=object)
