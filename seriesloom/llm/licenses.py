@@ -22,6 +22,7 @@ are ignored; an empty table gives no rows.  Nothing is shuffled.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from functools import lru_cache
 
 import numpy as np
@@ -72,10 +73,30 @@ TEMPLATES = [
     ("ODbL-1.0", "This database is made available under the Open Database License."),
     ("GFDL-1.3", "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License, Version 1.3 or any later version published by the Free Software Foundation."),
     ("Proprietary", "Copyright. All rights reserved."),
+    ("MIT", "SPDX-License-Identifier: MIT"),
+    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0"),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0"),
+    ("LGPL-3.0", "SPDX-License-Identifier: LGPL-3.0"),
+    ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("MIT", "The MIT License (MIT)"),
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", "Licensed under MIT."),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("MPL-2.0", "Licensed under the Mozilla Public License 2.0."),
+    ("GPL-2.0", "This code is licensed under GPLv2."),
+    ("GPL-3.0", "This code is licensed under GPLv3."),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
 ]
 #: Words that make a line a candidate, and words that name a license.
 TRIGGER = rb"licen[cs]|copyright|all rights reserved|permission is|is hereby granted|redistribution and use|creative commons|public domain".replace(b" ", rb"[^0-9a-z\x80-\xff]+")
-NAMING = {"apache", "mit", "gnu", "general", "lesser", "affero", "public", "mozilla", "cc", "by", "nc", "nd", "sa", "cc0", "creative", "commons", "redistribution", "rights", "reserved", "permission", "1", "2", "3", "4", "0", "attribution", "noncommercial", "noderivatives", "sharealike", "neither", "nor", "eclipse", "boost", "artistic", "sil", "font", "database", "documentation", "library", "unencumbered", "fuck"}
+NAMING = {"apache", "mit", "gnu", "general", "lesser", "affero", "public", "mozilla", "cc", "by", "nc", "nd", "sa", "cc0", "creative", "commons", "redistribution", "rights", "reserved", "permission", "1", "2", "3", "4", "0", "attribution", "noncommercial", "noderivatives", "sharealike", "neither", "nor", "eclipse", "boost", "artistic", "sil", "font", "database", "documentation", "library", "unencumbered", "fuck", "bsd", "clause", "gpl", "gplv2", "gplv3", "lgpl", "mpl", "spdx"}
 #: Words on either side of a trigger that belong to its block in a line.
 AROUND = 40
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -112,6 +133,10 @@ def closest_words(a: list[bytes], b: list[bytes]) -> list[int]:
     return min(ahead, back, key=lambda places: places[-1] - places[0] if places else 0)
 
 
+#: Surroundings of triggers (some 20 kB each) whose windows a task remembers.
+AROUND_KEPT = 256
+
+
 class Scanner:
     """Templates with their compressors."""
 
@@ -169,16 +194,19 @@ class Scanner:
 
 def _apart(verdicts: set[tuple]) -> list[tuple]:
     """The best of the (license, reduction, saved, missing, extra, first word, end word) that overlap, in order."""
-    kept = []
+    begins, kept = [], {}  # the kept ones don't overlap, so only the neighbours of a place can
     for v in sorted(verdicts, key=lambda v: (2 * v[4] + v[3] - (v[6] - v[5]), -v[2], -v[1], v[5], v[0])):
-        if all(v[6] <= k[5] or k[6] <= v[5] for k in kept):
-            kept.append(v)
-    return sorted(kept, key=lambda v: v[5])
+        at = bisect_left(begins, v[6])  # the last that begins before its end
+        if at and kept[begins[at - 1]][6] > v[5]:
+            continue
+        insort(begins, v[5])
+        kept[v[5]] = v
+    return [kept[x] for x in begins]
 
 
 def _rows(templates, max_missing, min_reduction):
     def rows(batches):
-        scanner, trigger = Scanner(templates, max_missing, min_reduction), re.compile(TRIGGER)
+        scanner, trigger, around = Scanner(templates, max_missing, min_reduction), re.compile(TRIGGER), {}
         for batch in batches:
             for lo, hi, buf, offs in K.chunks(batch.column(1)):
                 n = hi - lo
@@ -201,8 +229,12 @@ def _rows(templates, max_missing, min_reduction):
                         count[own] += 1
                         done = int(end[b - 1])
                     x, y = max(first, at - scanner.reach), min(last, at + scanner.reach)
-                    near = [text[s:e] for s, e in zip(start[x:y].tolist(), end[x:y].tolist())]
-                    for a, b in {(a, b)} | {(x + a, x + b) for a, b in scanner.windows(m.group()[:5], near, at - x)}:
+                    place = m.group()[:5], text[start[x] : end[y - 1]], at - x  # texts that repeat a notice repeat its surroundings
+                    if place not in around:
+                        if len(around) >= AROUND_KEPT:
+                            around.clear()
+                        around[place] = scanner.windows(place[0], [text[s:e] for s, e in zip(start[x:y].tolist(), end[x:y].tolist())], at - x)
+                    for a, b in {(a, b)} | {(x + a, x + b) for a, b in around[place]}:
                         if verdict := scanner.judge(_BREAK.sub(b" ", text[start[a] : end[b - 1]])):
                             *what, i, j = verdict
                             verdicts.setdefault(own, set()).add((*what, a + i, a + j))
