@@ -427,9 +427,15 @@ def fetch(spark: SparkSession, folder: str, keys: list[int]) -> DataFrame:
     schema = "doc_id bigint, ids array<bigint>"
     if not len(wanted):
         return spark.createDataFrame([], schema)
+    def holding(batches):
+        """Shards with a wanted key between their smallest and largest one, by binary search."""
+        for batch in batches:
+            low, high = (batch.column(c).to_numpy(zero_copy_only=False) for c in (1, 2))
+            yield batch.select([0]).filter(pa.array(np.searchsorted(wanted, low, "left") < np.searchsorted(wanted, high, "right")))
+
     near = (F.col("max_key") >= int(wanted[0])) & (F.col("min_key") <= int(wanted[-1]))
-    held = F.exists(F.lit(wanted.tolist()), lambda k: (k >= F.col("min_key")) & (k <= F.col("max_key")))
-    paths = [r.path for r in spark.read.parquet(f"{folder}/files").filter(near & held).select("path").collect()]
+    files = spark.read.parquet(f"{folder}/files").filter(near).select("path", "min_key", "max_key")
+    paths = [r.path for r in files.mapInArrow(holding, "path string").collect()]
     if not paths:
         return spark.createDataFrame([], schema)
 
