@@ -230,3 +230,67 @@ def test_crc_of_words_and_pairs():
     one = R.word_crcs(buf, start, end)
     assert one.tolist() == [zlib.crc32(w) for w in words]
     assert R.pair_crcs(one[:-1], one[1:], (end - start)[1:]).tolist() == [zlib.crc32(a + b) for a, b in pairwise(words)]
+
+
+# --- earlier operators
+
+
+def test_license_notices_take_time_in_proportion_to_their_number():
+    import time
+
+    from seriesloom.llm.licenses import TEMPLATES, _rows
+
+    took = {}
+    for n in (500, 8000):
+        batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["Released under the MIT License. " * n])], ["doc_id", "text"])
+        began = time.process_time()
+        (out,) = _rows(TEMPLATES, 0.2, 0.25)([batch])
+        took[n] = time.process_time() - began
+        assert len(out.column(2)[0]) == n
+    assert took[8000] < 20 + 64 * took[500]
+
+
+def test_common_short_notices(spark):
+    from seriesloom.llm.licenses import license_scan
+
+    want = {
+        "SPDX-License-Identifier: MIT": "MIT", "# SPDX-License-Identifier: GPL-3.0": "GPL-3.0", "The MIT License (MIT)": "MIT", "BSD 3-Clause License": "BSD-3-Clause", "Licensed under MIT": "MIT",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/": "Apache-2.0", "Licensed under the Mozilla Public License 2.0.": "MPL-2.0", "This code is licensed under GPLv3": "GPL-3.0",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007": "LGPL-3.0", "A licensed public driver under the common law": None, "License: see the file": None,
+    }
+    got = {r.doc_id: [x.license for x in r.found] for r in license_scan(spark.createDataFrame(list(enumerate(want)), "doc_id bigint, text string")).collect()}
+    assert [got[i] for i in range(len(want))] == [[] if x is None else [x] for x in want.values()]
+
+
+def test_rules_are_no_globs(spark):
+    from seriesloom.llm.url_filter import Automaton, filter_urls
+
+    pages = spark.createDataFrame([(1, "http://h.com/x*y/1"), (2, "http://h.com/xzy/1"), (3, "http://a.h.com/x*y/?q"), (4, "http://h.com/q?"), (5, "http://h.com/z\\/1")], "page_id bigint, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in filter_urls(pages, rules=[("block", "h.com", "/x*y/"), ("block", "h.com", "/z\\/")], block_globs=[]).collect()}
+    assert got == {1: ("h.com/x*y/", "block"), 2: (None, "allow"), 3: ("h.com/x*y/", "block"), 4: (None, "allow"), 5: ("h.com/z\\/", "block")}
+    raw = np.frombuffer(b"a*ba?ba\\*baxb", dtype=np.uint8)
+    assert Automaton(["a\\*b", "a*b", "a\\?b"]).run(raw, np.array([0, 3, 6, 10, 13])).tolist() == [[True, True, False], [False, True, True], [False, True, False], [False, True, False]]
+
+
+def test_labels_reach_over_blanks():
+    from seriesloom.llm.pii import labelled_values
+
+    for text in (b"token" + b" " * 40 + b"= abcd1234", b"password \t\t:   'hunter22'", b"api_key\"" + b" " * 90 + b": zzzz"):
+        assert len(labelled_values(text, np.frombuffer(text, dtype=np.uint8))) == 1
+    for text in (b"tokens" + b" " * 40 + b"= abcd1234", b"token = abc", b"= = = =" * 50, b" " * 100 + b"="):
+        assert labelled_values(text, np.frombuffer(text, dtype=np.uint8)) == []
+
+
+def test_grade_and_toxic_agree(spark, sql):
+    rows = registry.QUERIES["op2_toxicity"](spark, sql[1]).collect()
+    assert rows and all(r.toxic == (r.grade > 0) for r in rows)
+
+
+def test_documents_with_few_words_left_are_depleted(spark):
+    from seriesloom.llm.quality import quality_rules
+
+    line = "this line is in very many documents of the host and says nothing at all really"
+    body = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n))
+    docs = [(k, f"{line}\n{body(k, 45 if k % 2 else 60)}", "h") for k in range(20)]
+    got = {r.doc_id: (r.base_failed, r.kept) for r in quality_rules(spark.createDataFrame(docs, "doc_id bigint, text string, source string")).collect()}
+    assert got == {k: (False, k % 2 == 0) for k in range(20)}
