@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,16 +42,33 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def discard_intermediates(spark: SparkSession) -> int:
-    """Delete the folders that this process has made so far; results that read them must have been
-    written elsewhere.  Returns their number."""
+def _delete(spark: SparkSession, folders: list[str]) -> int:
     files, n = spark._jvm.org.apache.hadoop.fs, 0
-    while _made:
-        path = files.Path(_made.pop())
+    for folder in folders:
+        path = files.Path(folder)
         n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
     return n
 
 
+def discard_intermediates(spark: SparkSession) -> int:
+    """Delete the folders that this process has made so far; results that read them must have been
+    written elsewhere.  Returns their number."""
+    folders = _made[:]
+    _made.clear()
+    return _delete(spark, folders)
+
+
+@contextmanager
+def last_table_only(spark: SparkSession):
+    """Of the tables written inside, only the last one stays: for steps whose result is their last
+    written table, or reads no other."""
+    before = set(_made)
+    yield
+    inside = [x for x in _made if x not in before]
+    _made[:] = [x for x in _made if x not in inside[:-1]]
+    _delete(spark, inside[:-1])
+
+
 def read_delimited(spark: SparkSession, path: str, columns: list[str], sep: str = ",", encoding: str = "UTF-8", header: bool = True) -> DataFrame:
     """All columns as text, with quoted line ends; the schema is declared, never inferred."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])

@@ -120,3 +120,18 @@ def test_a_hot_part_is_written_in_even_files(spark, tmp_path):
     sizes = [r.n for r in back.filter("part = 'hot'").groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
     assert sum(sizes) == 4000 and 8 <= len(sizes) <= 16 and max(sizes) <= 500
     assert back.filter("part = 'p1'").select(F.input_file_name()).distinct().count() == 1
+
+
+def test_only_the_last_table_of_a_step_stays(spark):
+    outer = tables.written(spark.range(2))
+    with tables.last_table_only(spark):
+        first = tables.written(spark.range(3))
+        with tables.last_table_only(spark):
+            tables.written(spark.range(4))
+            inner = tables.written(first.unionByName(spark.range(5)))
+        last = tables.written(inner.filter("id > 1"))
+    gone = [x for df in (first, inner) for x in df.inputFiles()]
+    assert last.count() == 4 and outer.count() == 2 and gone and not any(os.path.exists(x.removeprefix("file://")) for x in gone)
+    with tables.last_table_only(spark):
+        pass
+    assert last.count() == 4
