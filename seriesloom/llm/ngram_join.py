@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.llm import bloom
 from seriesloom.llm import textkit as K
-from seriesloom.sources.tables import written
+from seriesloom.sources.tables import last_table_only, written
 
 #: Counters of the sketch that orders n-grams: 2 to this power (a byte each when shared).
 SKETCH_BITS = 22
@@ -431,9 +431,10 @@ def jaccard_links(docs: DataFrame, classes: DataFrame, sketch: np.ndarray, n: in
     shared = docs.sparkSession.sparkContext.broadcast(sketch)  # 4 MB at any size
 
     def found(units: DataFrame) -> DataFrame:
-        units = written(_pruned(written(units), docs, classes, n, percent))
-        sets = _members(docs, classes, units.select("member").distinct(), n, np.ndarray.tobytes, "grams")
-        return written(_placed(units, sets, ["block", "member"]).mapInArrow(_walker(percent, shared), "pivot bigint, a bigint, b bigint").distinct())
+        with last_table_only(docs.sparkSession):
+            units = written(_pruned(written(units), docs, classes, n, percent))
+            sets = _members(docs, classes, units.select("member").distinct(), n, np.ndarray.tobytes, "grams")
+            return written(_placed(units, sets, ["block", "member"]).mapInArrow(_walker(percent, shared), "pivot bigint, a bigint, b bigint").distinct())
 
     members, pairs = _blocks(_groups(docs, n, percent, shared), percent)
     links = found(_units(_part(members, ALL), _pair(pairs.filter("near"), ALL, ALL)))
@@ -467,7 +468,8 @@ def ngram_jaccard(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     key = ["n", "node", "sign"]
     classes = written(slim.filter(F.col("n") > 0).groupBy(*key).agg(F.min("doc_id").alias("class_id"), F.count("*").alias("rows")))
     known = classes.filter(F.col("class_id").isNotNull())
-    found = components(jaccard_links(docs, known, _sketch(table.filter(F.col("slice").isNotNull()).select("slice", "counts")), n, percent))
+    with last_table_only(documents.sparkSession):
+        found = components(jaccard_links(docs, known, _sketch(table.filter(F.col("slice").isNotNull()).select("slice", "counts")), n, percent))
     linked = classes.join(found, "node").select(*key, "class_id", "component")
     least = linked.groupBy("component").agg(F.min("class_id").alias("component_id"))
     linked = linked.join(least, "component").select(*key, "component", "component_id")
