@@ -51,8 +51,9 @@ from seriesloom.llm import textkit as K
 from seriesloom.sources.tables import shared_folder
 
 MAGIC = b"SLTOKEN1"
-#: Bytes of ids after which a shard is closed; a task holds a few copies of one shard.
-SHARD_BYTES = 1 << 20
+#: Least and most bytes of ids after which a shard is closed (a task holds some five times as much), and the
+#: number of shards that its size is chosen for between these.
+SHARD_BYTES, MOST_SHARD_BYTES, SHARDS = 1 << 20, 1 << 26, 200_000
 #: Bits per key of a level of the hash.
 GAMMA = 2.0
 #: Words that a worker remembers the ids of (some 30 bytes each); beyond, it starts over.
@@ -358,15 +359,18 @@ def _encode_rows(path: str, end_id: int, id_bytes: int, shard_bytes: int):
     return K.tidied(encode)
 
 
-def write_tokens(documents: DataFrame, folder: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None, shard_bytes: int = SHARD_BYTES) -> None:
+def write_tokens(documents: DataFrame, folder: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None, shard_bytes: int | None = None) -> None:
     """Write all documents' ids below ``folder``, in ascending order of id, and the tables of
     documents and files.
 
-    ``tokenizer`` is the path of a tokenizer file that every machine has.  For very large
-    corpora a larger ``shard_bytes`` makes fewer files; a task holds some five times as much.
+    ``tokenizer`` is the path of a tokenizer file that every machine has.  Without ``shard_bytes`` a
+    shard's size follows the texts' bytes, so that very large corpora don't become very many small files.
     """
     from tokenizers import Tokenizer
 
+    if shard_bytes is None:  # ids take some half of a text's bytes
+        total = documents.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+        shard_bytes = min(max(SHARD_BYTES, total // (2 * SHARDS)), MOST_SHARD_BYTES)
     id_bytes = 2 if max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     order = [F.col("doc_id").asc_nulls_first(), F.col("text_hash")]
     d = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
