@@ -13,7 +13,7 @@ from seriesloom.operators.keys import join_on
 CELL = 4096
 
 
-def _candidates(rows: DataFrame, keys: list[str], tolerance: int, conflict: bool, left_id: Column, right_id: Column) -> DataFrame:
+def _candidates(rows: DataFrame, keys: list[str], tolerance: int, conflict: bool) -> DataFrame:
     """Per distinct (keys, x_, group_): for a left row there, how many right rows are its candidates (``right_n``), and
     the one it has if it is also that one's only candidate (``right_only``); likewise for a right row.
 
@@ -21,9 +21,10 @@ def _candidates(rows: DataFrame, keys: list[str], tolerance: int, conflict: bool
     ``tolerance`` above it, less those below it by more.  Sums of ids give the single candidate's id, so no pair of
     rows is ever built.  A value's sums lie in its cell; cells also hold the values near their edges.
     """
-    n = lambda side: F.count_if(F.col("side_") == side)
-    total = lambda side, i: F.coalesce(F.sum(F.when(F.col("side_") == side, i.cast("decimal(38,0)"))), F.lit(0).cast("decimal(38,0)"))
-    p = rows.groupBy(*keys, "x_", "group_").agg(n("left").alias("nl"), n("right").alias("nr"), total("left", left_id).alias("sl"), total("right", right_id).alias("sr"))
+    on = lambda side, column: F.sum(F.when(F.col("side_") == side, column).otherwise(0))
+    # ids are added up in halves, which can't overflow; only sums of one id are read
+    upper, lower = F.shiftright("id_", 32), F.col("id_").bitwiseAND(F.lit((1 << 32) - 1))
+    p = rows.groupBy(*keys, "x_", "group_").agg(*[on(side, c).alias(f"{name}{side[0]}") for side in ("left", "right") for name, c in (("n", F.lit(1)), ("u", upper), ("d", lower))])
     if tolerance:
         width = max(CELL, 64 * (tolerance + 1))
         cell = lambda by: F.floor((F.col("x_") + by) / width)
@@ -35,8 +36,7 @@ def _candidates(rows: DataFrame, keys: list[str], tolerance: int, conflict: bool
         if not tolerance:
             return F.sum(column).over(Window.partitionBy(*keys, "x_", *parts))
         w = Window.partitionBy(*keys, "cell_", *parts).orderBy("x_")
-        none = F.lit(0).cast("decimal(38,0)")
-        return F.coalesce(F.sum(column).over(w.rangeBetween(Window.unboundedPreceding, tolerance)), none) - F.coalesce(F.sum(column).over(w.rangeBetween(Window.unboundedPreceding, -tolerance - 1)), none)
+        return F.sum(column).over(w.rangeBetween(Window.unboundedPreceding, tolerance)) - F.coalesce(F.sum(column).over(w.rangeBetween(Window.unboundedPreceding, -tolerance - 1)), F.lit(0))
 
     unknown = F.col("group_").isNull()
 
@@ -50,11 +50,11 @@ def _candidates(rows: DataFrame, keys: list[str], tolerance: int, conflict: bool
             return column if alone else over(column)
         return F.when(unknown, 0).otherwise(over(column, "group_")) + over(F.when(unknown, column).otherwise(0))
 
-    c = p.withColumns({"right_n": of_right(F.col("nr")), "right_sum": of_right(F.col("sr")), "left_n": of_left(F.col("nl")), "left_sum": of_left(F.col("sl"))})
+    c = p.withColumns({f"{side}_{name}": of(F.col(f"{name}{side[0]}")) for side, of in (("right", of_right), ("left", of_left)) for name in "nud"})
     c = c.withColumns({"right_other": of_right(F.col("nr") * F.col("left_n")), "left_other": of_left(F.col("nl") * F.col("right_n"))})
     if tolerance:
         c = c.filter("cell_ = own_")
-    only = lambda side: F.when((F.col(f"{side}_n") == 1) & (F.col(f"{side}_other") == 1), F.col(f"{side}_sum").cast("bigint")).alias(f"{side}_only")
+    only = lambda side: F.when((F.col(f"{side}_n") == 1) & (F.col(f"{side}_other") == 1), F.shiftleft(f"{side}_u", 32) + F.col(f"{side}_d")).alias(f"{side}_only")
     return c.select(*keys, "x_", "group_", "right_n", "left_n", only("right"), only("left"))
 
 
@@ -70,19 +70,21 @@ def mutual_unique(left: DataFrame, right: DataFrame, stages: list[tuple[str, lis
     between stages.
     """
 
+    pairs = list(dict.fromkeys(tuple(p) for _, keys, _ in stages for p in keys))  # both sides' columns under one name
+    values = list(dict.fromkeys((near[0], near[1]) for _, _, near in stages if near))
+
     def side(df: DataFrame, k: int, own: str) -> DataFrame:
-        columns = [F.lit(("left", "right")[k]).alias("side_"), F.col(own).cast("bigint").alias("id_"), (F.col(conflict[k]) if conflict else F.lit(None).cast("string")).alias("group_")]
-        for n, (_, keys, near) in enumerate(stages):
-            columns += [F.col(pair[k]).alias(f"s{n}_{i}") for i, pair in enumerate(keys)]
-            columns.append((F.col(near[k]).cast("bigint") if near else F.lit(0).cast("bigint")).alias(f"s{n}_x"))
-        return df.select(*columns)
-
-    pool, out = side(left, 0, left_id).unionByName(side(right, 1, right_id)), None
-    for n, (name, keys, near) in enumerate(stages):
-        by, tolerance = [f"s{n}_{i}" for i in range(len(keys))], near[2] if near else 0
-        x = F.col(f"s{n}_x") if tolerance is not None else F.when(F.col(f"s{n}_x").isNotNull(), F.lit(0).cast("bigint"))
+        group = F.col(conflict[k]) if conflict else F.lit(None).cast("string")
+        return df.select(F.lit(("left", "right")[k]).alias("side_"), F.col(own).cast("bigint").alias("id_"), group.alias("group_"), *[F.col(p[k]).alias(f"k{i}_") for i, p in enumerate(pairs)], *[F.col(v[k]).cast("bigint").alias(f"v{i}_") for i, v in enumerate(values)])
+
+    pool, out = materialise(side(left, 0, left_id).unionByName(side(right, 1, right_id))), None
+    for name, keys, near in stages:
+        by, tolerance = [f"k{pairs.index(tuple(p))}_" for p in keys], near[2] if near else 0
+        x = F.col(f"v{values.index(near[:2])}_") if near else F.lit(0).cast("bigint")
+        if tolerance is None:
+            x, tolerance = F.when(x.isNotNull(), F.lit(0).cast("bigint")), 0
         pool = pool.withColumn("x_", x)
-        found = _candidates(pool.filter("x_ IS NOT NULL"), by, tolerance or 0, conflict is not None, F.col("id_"), F.col("id_"))
+        found = _candidates(pool.filter("x_ IS NOT NULL"), by, tolerance, conflict is not None)
         of = lambda s: F.when(F.col("side_") == "left", F.col(f"right_{s}")).otherwise(F.col(f"left_{s}"))
         pool = materialise(join_on(pool, found, [*by, "x_", "group_"], "left").withColumns({"n_": of("n"), "other_": of("only")}).drop("x_", "right_n", "left_n", "right_only", "left_only"))
         here = pool.filter("n_ > 0").select(F.col("side_").alias("side"), F.col("id_").alias("id"), F.col("other_").alias("other_id"), F.when(F.col("other_").isNotNull(), "matched").otherwise("ambiguous").alias("state"), F.lit(name).alias("stage"))
