@@ -109,7 +109,12 @@ def upsert_stream(stream: DataFrame, table: KeyedTable, checkpoint: str) -> Stre
 
 def replace_days(delta: DataFrame, table: str, day: str, capture: str) -> None:
     """Replace whole days by dynamic partition overwrite; a day has one capture, and one that
-    isn't newer than the stored one is rejected."""
+    is older than the stored one is rejected.
+
+    A capture equal to the stored one is taken again, so that a delta whose write died can be repeated; it must
+    be the same rows.  While days are exchanged readers may see some old and some new ones: where that matters, write below a
+    :class:`~seriesloom.sources.tables.Publication`.
+    """
     spark = delta.sparkSession
     days = delta.groupBy(day).agg(F.countDistinct(capture).alias("captures"), F.max(capture).alias("new"))
     if not days.filter("captures > 1").isEmpty():
