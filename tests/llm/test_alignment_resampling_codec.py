@@ -311,3 +311,83 @@ def test_shards_follow_the_size_of_the_input(spark, tmp_path, monkeypatch):
         got = {r.doc_id: len(r.ids) for r in T.fetch(spark, str(tmp_path / str(shards)), [3, 399, 1000, -5]).collect()}
         assert got == {3: 201, 399: 201}
     assert count[4] <= 6 and 20 <= count[40] <= 60
+
+
+def test_every_template_is_ranked_and_its_differences_counted(sql):
+    """Windows of licenses, garbled and mixed, and all candidate lines of the table: all templates are compressed and ranked
+    here, and the differences of the first that fits are counted by a plain longest common subsequence."""
+    import zstandard
+
+    from seriesloom.llm.licenses import NAMING, TEMPLATES, Scanner
+
+    def common(a, b):
+        best = [0] * (len(b) + 1)
+        for x in a:
+            row = [0]
+            for j, y in enumerate(b):
+                row.append(best[j] + 1 if x == y else max(row[j], best[j + 1]))
+            best = row
+        return best[-1]
+
+    use = Scanner(TEMPLATES, 0.2, 0.25)
+    packed = []
+    for name, wording in TEMPLATES:
+        text = wording.encode().lower()
+        packed.append((name, re.findall(rb"[0-9a-z\x80-\xff]+", text), zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(b"\n" * 8 + text, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_checksum=False, write_dict_id=False)))
+    plain = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False)
+
+    def winner(block):
+        words = re.findall(rb"[0-9a-z\x80-\xff]+", block)
+        sizes = sorted((len(c.compress(block)), -len(w), k) for k, (_, w, c) in enumerate(packed))
+        for size, _, k in sizes:
+            if 1 - size / len(plain.compress(block)) < 0.25:
+                return None
+            name, wording, _ = packed[k]
+            held = common(words, wording)
+            if held and len(wording) - held <= 0.2 * len(wording) and not {w.decode() for w in wording} & NAMING - {w.decode(errors="replace") for w in words}:
+                return name, len(wording) - held
+
+    pick = random.Random(9)
+    blocks = [t.encode().lower() for _, t in TEMPLATES]
+    for _ in range(150):
+        words = pick.choice(TEMPLATES)[1].lower().split()[:60]
+        for _ in range(pick.randrange(4)):
+            words[pick.randrange(len(words))] = pick.choice(["other", "license", "public", "version", "4", "mit"])
+        blocks.append(" ".join(words + pick.choice([[], ["some", "more"], pick.choice(TEMPLATES)[1].lower().split()[:20]])).encode())
+    blocks += [line.lower().encode() for _, t in documents(sql) for line in (t or "").split("\n") if re.search("licen|copyright|creative commons", line.lower()) and len(line) < 400]
+    got = [use.judge(b) for b in blocks]
+    want = [winner(b) for b in blocks]
+    same = [(g and (g[0], g[3])) == w for g, w in zip(got, want)]
+    # a verdict's naming words must be among those that are in place, which is stricter than being in the window
+    assert all(s or g is None or g[3] >= w[1] for s, g, w in zip(same, got, want)) and sum(same) >= 0.97 * len(same) and sum(w is not None for w in want) > 60
+
+
+def test_toxicity_query_equals_plain_sums(spark, sql):
+    """p_toxic, expected severity and grade of the query, word by word from the fitted weights."""
+    from seriesloom.llm.toxicity import CUT, PREFIXES, train
+
+    model = train(spark.read.parquet(f"{sql[1]}/documents.parquet"), spark.read.parquet(f"{sql[1]}/labels.parquet"))
+    weights, known = dict(zip(model.words.tolist(), model.weights.tolist())), {}
+
+    def feature(part, beginning):
+        if (part, beginning) not in known:
+            data = np.frombuffer(part, dtype=np.uint8)
+            hashed = K.span_hashes(data, np.array([0]), np.array([len(part)]), True)[0]
+            known[part, beginning] = int(hashed ^ K.MIX_A) if beginning else int(hashed)
+        return known[part, beginning]
+
+    by_id = dict(documents(sql))
+    for r in registry.QUERIES["op2_toxicity"](spark, sql[1]).collect():
+        words, times = [w.encode() for w in WORDS.findall((by_id[r.doc_id] or "").translate(LOWER))], {}
+        for w in words:
+            for f in [feature(w, False), *(feature(w[:k], True) for k in PREFIXES if len(w) > k)]:
+                if f in weights:
+                    times[f] = times.get(f, 0) + 1
+        score = sum(weights[f] * (1 + math.log1p(100 * n / len(words))) for f, n in times.items())
+        above = [1 / (1 + math.exp(t - score)) for t in model.thresholds]
+        level = [a - b for a, b in pairwise([1, *above, 0])]
+        toxic = bool(words) and above[0] >= CUT
+        grades = model.grades.tolist()
+        assert r.n_words == len(words) and math.isclose(r.p_toxic, above[0], abs_tol=1e-6) and r.toxic == toxic
+        assert math.isclose(r.expected_severity, sum(a * (h - g) for a, (g, h) in zip(above, pairwise(grades))), abs_tol=1e-6)
+        assert r.grade == (grades[1 + max(range(len(level) - 1), key=lambda k: level[1 + k])] if toxic else grades[0])
