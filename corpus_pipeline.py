@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from seriesloom.llm.decontaminate import without_contaminated
 from seriesloom.llm.mixing import mixed_documents
 from seriesloom.llm.ngram_join import ngram_jaccard
-from seriesloom.sources.tables import written
+from seriesloom.sources.tables import last_table_only, written
 from seriesloom.llm.token_ids import tokenized
 from seriesloom.llm.toxicity import train, without_toxic
 
@@ -74,5 +74,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+        with last_table_only(spark):  # a stage's own tables go once its rows are written
+            docs = written(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
