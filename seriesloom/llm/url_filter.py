@@ -66,10 +66,15 @@ class Automaton:
             places.append((literal, stay))
             self.last.append(len(places) - 1)
         n_words = max(1, -(-len(places) // 64))
-        self.enter = np.zeros((256, n_words), dtype=np.uint64)
-        self.stay = np.zeros((256, n_words), dtype=np.uint64)
+        # masks by kinds of bytes: each literal byte, the slash, and all others
+        literals = sorted({x for x, _ in places if isinstance(x, int)} | {ord("/")})
+        self.kind = np.zeros(256, dtype=np.intp)
+        self.kind[literals] = np.arange(1, len(literals) + 1)
+        kinds = np.arange(len(literals) + 1)
+        self.enter = np.zeros((len(kinds), n_words), dtype=np.uint64)
+        self.stay = np.zeros((len(kinds), n_words), dtype=np.uint64)
         self.begin = np.zeros(n_words, dtype=np.uint64)
-        every, plain = np.arange(256), np.arange(256) != ord("/")
+        plain = kinds != self.kind[ord("/")]
         for at, (literal, stay) in enumerate(places):
             word, bit = at // 64, np.uint64(1) << np.uint64(at % 64)
             if literal is None:
@@ -77,9 +82,9 @@ class Automaton:
             elif literal == "?":
                 self.enter[plain, word] |= bit
             else:
-                self.enter[literal, word] |= bit
+                self.enter[self.kind[literal], word] |= bit
             if stay:
-                self.stay[every if stay == "**" else plain, word] |= bit
+                self.stay[kinds if stay == "**" else plain, word] |= bit
         self.last = np.array(self.last, dtype=np.int64)
 
     def run(self, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -91,7 +96,7 @@ class Automaton:
         one, carry = np.uint64(1), np.uint64(63)
         for step in range(int(length.max(initial=0))):
             active = int(np.searchsorted(descending, -step, "left"))  # strings longer than step
-            byte = buf[start[:active] + step]
+            byte = self.kind[buf[start[:active] + step]]
             now = state[:active]
             moved = now << one
             moved[:, 1:] |= now[:, :-1] >> carry
