@@ -8,11 +8,17 @@ over all documents.  Documents' shingles are joined with the prefix shingles; le
 and positional bounds drop starts at which the window can't fit; what is left is
 verified word by word over the item-sized window.
 
+A benchmark of up to ``INDEX_WORDS`` words of distinct windows is one index that all workers hold; a larger
+one is joined by shuffles, with two scans of the documents whatever its size: the first counts the
+shingles that the benchmark has, the second emits the places of prefix shingles with the words around
+them, which meet the windows of that prefix.  Both give the same rows.  The items that own a window are
+joined to what was found, so a window may have any number of them.
+
 Defined results: null or empty texts have no words; texts of any length are read whole; an item
 without words has no window; of a window's shingles that are equally rare the one with the least hash,
 then the first is its prefix; rows with a null item id mark words as hit but aren't listed; repeated items
-are listed once; repeated document rows each get a row; other columns of either table
-are ignored, so their names can't clash.
+are listed once; repeated document rows, and rows without an id, each get a row; an empty benchmark hits
+nothing, and no documents give no rows; other columns of either table are ignored, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -21,51 +27,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from seriesloom.llm import bloom
 from seriesloom.llm import textkit as K
 from seriesloom.sources.tables import written
 
-#: Words of distinct windows that one broadcast index holds; a larger benchmark is joined in
-#: blocks of windows of about this size, each against all documents.
+#: Words of distinct windows that one broadcast index holds (some 20 MB); a larger benchmark is joined by shuffles.
 INDEX_WORDS = 1_000_000
+#: Parts in which a prefix or a window that very many documents have is joined.
+SALT = 16
 #: Words of a shingle within a window.
 SHINGLE = 3
 _FLAGS = 1 << 20
 
 
 class _Index:
-    """One block of windows, in arrays of bounded size."""
+    """The windows of a benchmark of bounded size, in arrays."""
 
-    def __init__(self, items: list[tuple[str | None, np.ndarray]], size: int):
+    def __init__(self, windows: list[tuple[int, bytes]], size: int):
         self.size = size
-        self.items = sorted({i for i, _ in items if i is not None})
-        number = {x: k for k, x in enumerate(self.items)}
-        found: dict[bytes, set[int]] = {}
-        for item, hashes in items:
-            for at in range(max(1, len(hashes) - size + 1) if len(hashes) else 0):
-                found.setdefault(hashes[at : at + size].tobytes(), set()).add(number[item] if item is not None else -1)
-        keys = sorted(found)
-        self.length = np.array([len(k) // 8 for k in keys], dtype=np.int64)
-        self.words = np.zeros((len(keys), size), dtype=np.uint64)
-        for row, key in enumerate(keys):
-            self.words[row, : len(key) // 8] = np.frombuffer(key, dtype=np.uint64)
-        owners = [sorted(x for x in found[k] if x >= 0) for k in keys]
-        self.owner_at = np.concatenate([[0], np.cumsum([len(x) for x in owners])]).astype(np.int64)
-        self.owner = np.array([y for x in owners for y in x], dtype=np.int64)
+        self.window = np.array([w for w, _ in windows], dtype=np.int64)
+        self.words, self.length = _padded(np.frombuffer(b"".join(x for _, x in windows), dtype=np.uint64), np.array([len(x) // 8 for _, x in windows], dtype=np.int64), size)
         # shingles of each window, by shingle length (below SHINGLE only in very short items)
         self.shingles: dict[int, np.ndarray] = {}
         self.inside: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        for k in sorted({int(min(SHINGLE, n)) for n in self.length}):
-            rows = np.flatnonzero(np.minimum(self.length, SHINGLE) == k)
-            value, row, offset = [], [], []
-            for at in range(size - k + 1):
-                fits = rows[self.length[rows] >= at + k]
-                value.append(shingle(self.words[fits], np.full(len(fits), at), k))
-                row.append(fits)
-                offset.append(np.full(len(fits), at))
-            value, row, offset = map(np.concatenate, (value, row, offset))
+        for k, value, row, offset in shingles_of(self.words, self.length):
             self.shingles[k], code = np.unique(value, return_inverse=True)
             self.inside[k] = code, row, offset
         self.prefix: dict[int, tuple] = {}
@@ -89,6 +77,26 @@ class _Index:
         return near[same], place[same]
 
 
+def _padded(flat: np.ndarray, length: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of ``length`` words each, joined in ``flat``, as rows of ``size`` columns."""
+    words = np.zeros((len(length), size), dtype=np.uint64)
+    words[np.arange(size) < length[:, None]] = flat
+    return words, length
+
+
+def shingles_of(words: np.ndarray, length: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(k, hash, row, offset) of all shingles of windows, by their number of words k."""
+    for k in sorted({int(min(SHINGLE, n)) for n in length}):
+        rows = np.flatnonzero(np.minimum(length, SHINGLE) == k)
+        value, row, offset = [], [], []
+        for at in range(words.shape[1] - k + 1):
+            fits = rows[length[rows] >= at + k]
+            value.append(shingle(words[fits], np.full(len(fits), at), k))
+            row.append(fits)
+            offset.append(np.full(len(fits), at))
+        yield k, np.concatenate(value), np.concatenate(row), np.concatenate(offset)
+
+
 def shingle(words: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
     """Shingle hash of k words from column ``at`` of each row."""
     rows, value = np.arange(len(words)), np.zeros(len(words), dtype=np.uint64)
@@ -124,19 +132,25 @@ def _window_rows(size: int):
     return K.tidied(rows)
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, size: int, index_words: int) -> Iterator[_Index]:
-    """Distinct windows with the items that own them, in blocks by the windows' hash: neither a
-    repeated item nor a very long one makes a block larger."""
+def _windows(benchmark: DataFrame, item_col: str, text_col: str, size: int) -> tuple[DataFrame, DataFrame]:
+    """((window, words): the distinct windows; (window, item): the items that own them)."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
-    windows = written(items.mapInArrow(_window_rows(size), "item string, words array<bigint>").distinct())
-    n = -(-windows.select("words").distinct().count() * size // index_words) or 1
-    for i in range(n):
-        rows = windows.filter(F.pmod(F.xxhash64("words"), F.lit(n)) == i).collect()
-        yield _Index([(r.item, np.array(r.words, dtype=np.int64).view(np.uint64)) for r in rows], size)
+    owned = written(items.mapInArrow(_window_rows(size), "item string, words array<bigint>").distinct())
+    windows = written(owned.select("words").distinct().select(F.monotonically_increasing_id().alias("window"), "words"))
+    return windows, owned.filter(F.col("item").isNotNull()).join(windows, "words").select("window", "item")
+
+
+def _index(windows: DataFrame, docs: DataFrame, size: int, index_words: int) -> _Index | None:
+    """The index of a benchmark that fits in one."""
+    if windows.count() * size > index_words:
+        return None
+    index = _Index([(r.window, np.array(r.words, dtype=np.int64).tobytes()) for r in windows.collect()], size)
+    index.choose(_counts(docs, index))
+    return index
 
 
 def _counts(documents: DataFrame, index: _Index) -> dict[int, np.ndarray]:
-    """How often each shingle of the block occurs in all documents."""
+    """How often each shingle of the index occurs in all documents."""
     shared = documents.sparkSession.sparkContext.broadcast({k: (v, _flags(v)) for k, v in index.shingles.items()})
 
     def count(batches):
@@ -156,6 +170,7 @@ def _counts(documents: DataFrame, index: _Index) -> dict[int, np.ndarray]:
     counts = {k: np.zeros(len(v), dtype=np.int64) for k, v in index.shingles.items()}
     for r in documents.select(F.col("text")).mapInArrow(count, "k bigint, code bigint, n bigint").groupBy("k", "code").agg(F.sum("n").alias("n")).collect():
         counts[r.k][r.code] = r.n
+    shared.unpersist()
     return counts
 
 
@@ -189,13 +204,17 @@ def occurrences(index: _Index, flags: dict, buf: np.ndarray, offs: np.ndarray) -
 
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 10, index_words: int = INDEX_WORDS) -> DataFrame:
-    """The rows of ``documents`` in which no benchmark window occurs, as they are."""
-    at, kept = documents.columns.index(text_col), documents
+    """The rows of ``documents`` in which no benchmark window occurs, as they are; rows of one text stay or go together."""
     texts = documents.select(F.col(text_col).cast("string").alias("text"))
-    for index in _blocks(benchmark, item_col, item_text_col, size, index_words):
-        index.choose(_counts(texts, index))
-        kept = kept.mapInArrow(_keeper(documents.sparkSession.sparkContext.broadcast((index, {k: _flags(p[0]) for k, p in index.prefix.items()})), at), documents.schema)
-    return kept
+    windows, _ = _windows(benchmark, item_col, item_text_col, size)
+    index = _index(windows, texts, size, index_words)
+    if index:
+        shared = documents.sparkSession.sparkContext.broadcast((index, {k: _flags(p[0]) for k, p in index.prefix.items()}))
+        return documents.mapInArrow(_keeper(shared, documents.columns.index(text_col)), documents.schema)
+    name = lambda text: F.sha2(text.cast("string"), 256)
+    placed, hits = _joined(texts.withColumn("id", name(F.col("text"))), "string", windows, size)
+    gone = placed.filter("window_prefix IS NULL").join(hits.select("row").distinct(), "row", "left_semi").select(F.col("id").alias("gone_text_")).distinct()
+    return documents.join(gone, name(documents[f"`{text_col}`"]) == gone.gone_text_, "left_anti")
 
 
 def _keeper(shared, at: int):
@@ -211,13 +230,15 @@ def _keeper(shared, at: int):
     return keep
 
 
-def _matches(documents: DataFrame, index: _Index) -> DataFrame:
-    """Merged hit spans (in words) and item ids of every document row."""
-    shared = documents.sparkSession.sparkContext.broadcast((index, {k: _flags(p[0]) for k, p in index.prefix.items()}))
+_FOUND = "row bigint, doc_id bigint, n_words bigint, n_hit bigint, spans array<struct<start:bigint,end:bigint>>, windows array<bigint>"
+
+
+def _matches(docs: DataFrame, index: _Index) -> DataFrame:
+    """Merged hit spans (in words) and occurring windows of every document row, by an index."""
+    shared = docs.sparkSession.sparkContext.broadcast((index, {k: _flags(p[0]) for k, p in index.prefix.items()}))
 
     def match(batches):
         index, flags = shared.value
-        items = np.array(index.items + [""], dtype=object)
         for batch in batches:
             for lo, hi, buf, offs in K.chunks(batch.column(2)):
                 n = hi - lo
@@ -233,14 +254,112 @@ def _matches(documents: DataFrame, index: _Index) -> DataFrame:
                 stop[:-1] &= ~(hit[1:] & (doc[1:] == doc[:-1]))
                 s, e = np.flatnonzero(change), np.flatnonzero(stop) + 1
                 base = last[doc[s]] - count[doc[s]] if len(s) else s
-                n_owner = index.owner_at[row + 1] - index.owner_at[row]
-                pair = np.unique(np.stack([np.repeat(doc[begin], n_owner), K.take_pieces(index.owner, index.owner_at[row], n_owner)]), axis=1) if len(row) else np.zeros((2, 0), np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), pa.array(count), K.list_array(s - base, np.bincount(doc[s], minlength=n), pa.int64()), K.list_array(e - base, np.bincount(doc[s], minlength=n), pa.int64()), K.list_array(items[pair[1]], np.bincount(pair[0], minlength=n), pa.string())],
-                    ["doc_id", "row_key", "n_words", "hit_start", "hit_end", "items"],
-                )
+                spans = pa.ListArray.from_arrays(pa.array(K.bounds(doc[s], n), pa.int32()), pa.StructArray.from_arrays([pa.array(s - base, pa.int64()), pa.array(e - base, pa.int64())], ["start", "end"]))
+                pair = np.unique(np.stack([doc[begin], index.window[row]]), axis=1)
+                windows = K.list_array(pair[1], np.bincount(pair[0], minlength=n), pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), pa.array(count), pa.array(np.bincount(doc[hit], minlength=n)), spans, windows], ["row", "doc_id", "n_words", "n_hit", "spans", "windows"])
+
+    found = written(docs.mapInArrow(K.tidied(match), _FOUND))
+    shared.unpersist()
+    return found
+
+
+def _shingle_rows(size: int):
+    """(window, offset, value): all shingles of each window."""
+
+    def rows(batches):
+        for batch in batches:
+            lists = batch.column(1)
+            words, length = _padded(lists.flatten().to_numpy().view(np.uint64), np.diff(lists.offsets.to_numpy()).astype(np.int64), size)
+            for _, value, row, offset in shingles_of(words, length):
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(offset), pa.array(value.view(np.int64))], ["window", "offset", "value"])
+
+    return K.tidied(rows)
 
-    return documents.mapInArrow(match, "doc_id bigint, row_key bigint, n_words bigint, hit_start array<bigint>, hit_end array<bigint>, items array<string>")
+
+def _counted(shared):
+    """(value, n): shingles of a run of texts that the bits may hold, and how often."""
+
+    def count(batches):
+        kinds, bits = shared.value
+        for batch in batches:
+            for _, _, buf, offs in K.chunks(batch.column(0)):
+                start, end, doc = K.words(buf, offs, K.ALNUM)
+                hashes = K.span_hashes(buf, start, end, True)
+                for k in kinds:
+                    value, _, _ = K.window_hashes(hashes, doc, len(offs) - 1, k, short=False)
+                    value, n = np.unique(value[bloom.may_hold(bits, value.view(np.int64))], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n)], ["value", "n"])
+
+    return K.tidied(count)
+
+
+def _placed(shared, size: int):
+    """A row with its number of words for each document row, and one for each place at which it may
+    have a prefix shingle: the first word, and up to ``size`` - 1 words before and behind it."""
+
+    def place(batches):
+        kinds, bits = shared.value
+        for batch in batches:
+            row, name = batch.column(0), batch.column(1)
+            for lo, hi, buf, offs in K.chunks(batch.column(2)):
+                start, end, doc = K.words(buf, offs, K.ALNUM)
+                hashes, first = K.span_hashes(buf, start, end, True), K.bounds(doc, hi - lo)
+                blank = [pa.nulls(hi - lo, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([row.slice(lo, hi - lo), name.slice(lo, hi - lo), pa.array(np.diff(first)), *blank], names)
+                for k in kinds:
+                    value, at, own = K.window_hashes(hashes, doc, hi - lo, k, short=False)
+                    near = np.flatnonzero(bloom.may_hold(bits, value.view(np.int64)))
+                    for some in (near[i : i + (1 << 14)] for i in range(0, len(near), 1 << 14)):
+                        begin, stop = np.maximum(first[own[some]], at[some] - size + 1), np.minimum(first[own[some] + 1], at[some] + size)
+                        of = pa.array(lo + own[some])
+                        around = K.list_array(K.take_pieces(hashes.view(np.int64), begin, stop - begin), stop - begin, pa.int64())
+                        yield pa.RecordBatch.from_arrays([row.take(of), name.take(of), pa.nulls(len(some), pa.int64()), pa.array(value[some].view(np.int64)), pa.array(at[some] - first[own[some]]), pa.array(at[some] - begin), around], names)
+
+    names = ["row", "id", "n_words", "window_prefix", "at", "lead", "around"]
+    return K.tidied(place)
+
+
+def _joined(docs: DataFrame, id_type: str, windows: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """(what :func:`_placed` gives of (id, text); (row, begin, length, window): all occurrences), by shuffles.
+
+    The Bloom bits that workers hold are of bounded size.  They only spare shuffled rows: with more than some
+    30 million shingles most places pass them, and the joins decide as before.
+    """
+    spark = docs.sparkSession
+    kinds = [r.k for r in windows.select(F.least(F.size("words"), F.lit(SHINGLE)).alias("k")).distinct().collect()]
+    shingles = written(windows.mapInArrow(_shingle_rows(size), "window bigint, offset bigint, value bigint"))
+    shared = spark.sparkContext.broadcast((kinds, bloom.bits_of(shingles.select("value").distinct())))
+    counts = docs.select("text").mapInArrow(_counted(shared), "value bigint, n bigint").groupBy("value").agg(F.sum("n").alias("n"))
+    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "value", "offset"))
+    prefix = written(shingles.join(counts, "value", "left").groupBy("window").agg(rarest.alias("prefix")).select("window", "prefix.value", "prefix.offset"))
+    shared.unpersist()
+    shared = spark.sparkContext.broadcast((kinds, bloom.bits_of(prefix.select("value").distinct())))
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "id", "text")
+    placed = written(numbered.mapInArrow(_placed(shared, size), f"row bigint, id {id_type}, n_words bigint, window_prefix bigint, at bigint, lead bigint, around array<bigint>"))
+    shared.unpersist()
+    w = prefix.join(windows, "window").select("window", "value", "offset", "words", F.size("words").alias("length"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    c = placed.filter(F.col("window_prefix").isNotNull()).withColumn("part", F.pmod(F.xxhash64("row", "at"), F.lit(SALT)).cast("int"))
+    since = (F.col("lead") - F.col("offset")).cast("int")
+    fits = (since >= 0) & (since + F.col("length") <= F.size("around"))  # length and position
+    same = F.slice("around", F.greatest(since, F.lit(0)) + 1, F.col("length")) == F.col("words")
+    met = c.join(w, (c.window_prefix == w.value) & (c.part == w.salt)).filter(fits & same)
+    return placed, written(met.select("row", (F.col("at") - F.col("offset")).alias("begin"), "length", "window"))
+
+
+def _matches_joined(docs: DataFrame, windows: DataFrame, size: int) -> DataFrame:
+    """What :func:`_matches` gives, by shuffles."""
+    placed, hits = _joined(docs.select(F.col("doc_id").alias("id"), "text"), "bigint", windows, size)
+    in_row = Window.partitionBy("row").orderBy("begin", F.desc("length"), "window")  # the hits of one document
+    upto = F.max(F.col("begin") + F.col("length")).over(in_row.rowsBetween(Window.unboundedPreceding, -1))
+    islands = hits.withColumn("new", F.when(F.col("begin") <= upto, 0).otherwise(1))
+    islands = islands.withColumn("island", F.sum("new").over(in_row.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = islands.groupBy("row", "island").agg(F.min("begin").alias("start"), F.max(F.col("begin") + F.col("length")).alias("end"))
+    spans = spans.groupBy("row").agg(F.sum(F.col("end") - F.col("start")).alias("n_hit"), F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    hit = spans.join(hits.groupBy("row").agg(F.collect_set("window").alias("windows")), "row")
+    docs = placed.filter("window_prefix IS NULL").select("row", F.col("id").alias("doc_id"), "n_words").join(hit, "row", "left")
+    none = [F.coalesce(c, F.array().cast(t)).alias(c) for c, t in (("spans", "array<struct<start:bigint,end:bigint>>"), ("windows", "array<bigint>"))]
+    return written(docs.select("row", "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"), *none))
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 10, index_words: int = INDEX_WORDS) -> DataFrame:
@@ -250,25 +369,21 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
     the ids of items with an occurring window, sorted as strings; ``spans`` the merged
     hit ranges in words, end exclusive.
     """
-    docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row_key"), F.col(text_col).alias("text"))
-    parts = []
-    for index in _blocks(benchmark, item_col, item_text_col, size, index_words):
-        index.choose(_counts(docs, index))
-        parts.append(_matches(docs, index))
-    found = parts[0]
-    if len(parts) > 1:  # rows of one document and text meet again; equal rows keep their number
-        for part in parts[1:]:
-            found = found.unionByName(part)
-        found = found.groupBy("doc_id", "row_key").agg(F.first("n_words").alias("n_words"), F.flatten(F.collect_list("hit_start")).alias("hit_start"), F.flatten(F.collect_list("hit_end")).alias("hit_end"), F.flatten(F.collect_set("items")).alias("items"), (F.count("*") / len(parts)).cast("int").alias("copies"))
-        found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
-    spans = F.array_sort(F.arrays_zip(F.col("hit_start").alias("start"), F.col("hit_end").alias("end")))
-    total = F.aggregate("spans", F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("end")), lambda a, x: F.struct((a.n + F.greatest(F.lit(0).cast("bigint"), x.end - F.greatest(x.start, a.end))).alias("n"), F.greatest(a.end, x.end).alias("end")), lambda a: a.n)
-    if len(parts) > 1:  # spans of several blocks may touch
-        joined = lambda done, x: F.when((F.size(done) > 0) & (x.start <= F.element_at(done, -1).end), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(F.element_at(done, -1).start.alias("start"), F.greatest(F.element_at(done, -1).end, x.end).alias("end"))))).otherwise(F.concat(done, F.array(x)))
-        spans = F.aggregate(spans, F.array().cast("array<struct<start:bigint,end:bigint>>"), joined)
-    items = F.array_sort(F.array_distinct("items"))
-    found = found.select("doc_id", "n_words", spans.alias("spans"), items.alias("items"))
-    return found.withColumn("n_hit", total).select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), "items", "spans", (F.col("n_hit") > 0).alias("contaminated"))
+    docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    windows, owners = _windows(benchmark, item_col, item_text_col, size)
+    index = _index(windows, docs.select("text"), size, index_words)
+    if index:
+        found = _matches(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), index)
+    else:
+        found = _matches_joined(docs, windows, size)
+    # the items of what was found; rows without hits stay where they are
+    hit = found.filter("n_hit > 0").select("row", F.explode("windows").alias("window"), F.pmod(F.xxhash64("row"), F.lit(SALT)).cast("int").alias("salt"))
+    owners = owners.select("window", "item", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    items = hit.join(owners, ["window", "salt"]).select("row", "item").distinct().groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    names, none = ["doc_id", "n_words", "n_hit", "items", "spans"], F.array().cast("array<string>")
+    hit = found.filter("n_hit > 0").join(items, "row", "left").withColumn("items", F.coalesce("items", none))
+    found = found.filter("n_hit = 0").withColumn("items", none).select(*names).unionByName(hit.select(*names))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), "items", "spans", (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -107,9 +107,44 @@ def test_decontamination_cases(spark, docs, empty):
     assert {(1, 17, 10, ("1",), True), (None, 17, 10, ("1",), True), (3, 0, 0, (), False), (5, 2, 2, ("10",), True), (8, 2, 1, (), True), (7, 0, 0, (), False)} <= got
     long = items.unionByName(spark.createDataFrame([(7, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi", 0)], items.schema))
     one, many = (sorted(((r.doc_id, r.n_hit, tuple(r["items"]), tuple(r.spans)) for r in decontaminate(docs, long, index_words=k).collect()), key=str) for k in (10**6, 3))
-    assert one == many and len(one) == docs.count()  # several blocks give the same rows
-    assert sorted((r.doc_id for r in without_contaminated(docs, items).collect()), key=str) == sorted([3, 4, None, 6, 7], key=str)
+    assert one == many and len(one) == docs.count()  # the joined form gives the same rows
+    for k in (10**6, 3):
+        kept = without_contaminated(docs, items, index_words=k)
+        assert kept.columns == docs.columns and sorted((r.doc_id for r in kept.collect()), key=str) == sorted([3, 4, None, 6, 7], key=str)
     assert decontaminate(empty, items).count() == 0 and decontaminate(docs, items.limit(0)).filter("contaminated").count() == 0
+    assert decontaminate(empty, long, index_words=3).count() == 0 and without_contaminated(empty, long, index_words=3).count() == 0
+
+
+def test_decontamination_of_any_size_against_plain_python(spark):
+    """Windows that many items own, passages that many documents hold, overlapping and touching hits, short items."""
+    pick = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(12)]  # few words, so shingles and windows repeat
+    some = lambda n: " ".join(pick.choice(words, n))
+    passage = some(25)
+    items = [(f"i{k}", passage if k % 3 == 0 else some(int(pick.integers(0, 30)))) for k in range(90)] + [("short", "only here"), ("one", "w3x"), (None, "nobody owns this")]
+    texts = [some(int(pick.integers(0, 60))) for _ in range(60)] + [some(5) + " " + passage + " " + passage] * 40
+    texts += [items[int(k)][1] + " ONLY, here w3x " + some(9) for k in pick.integers(0, 90, 40)] + ["nobody owns this", None, "", passage.upper()]
+    windows = {}
+    for item, text in items:
+        w = text.split()
+        for i in range(max(1, len(w) - 9) if w else 0):
+            windows.setdefault(tuple(w[i : i + 10]), set()).add(item)
+    expected = []
+    for i, text in enumerate(texts):
+        w, hit, owners = (text or "").lower().replace(",", "").split(), set(), set()
+        for k in {len(x) for x in windows}:
+            for at in range(len(w) - k + 1):
+                if tuple(w[at : at + k]) in windows:
+                    hit |= set(range(at, at + k))
+                    owners |= windows[tuple(w[at : at + k])]
+        spans = [(a, next(b for b in range(a, len(w) + 1) if b not in hit)) for a in sorted(hit) if a - 1 not in hit]
+        expected.append((i, len(w), len(hit), tuple(sorted(owners - {None})), tuple(spans)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    for index_words in (10**6, 100):
+        found = decontaminate(docs, bench, index_words=index_words)
+        assert sorted((r.doc_id, r.n_words, r.n_hit, tuple(r["items"]), tuple((s.start, s.end) for s in r.spans)) for r in found.collect()) == expected
+        assert {r.doc_id for r in without_contaminated(docs, bench, index_words=index_words).collect()} == {x[0] for x in expected if not x[2]}
 
 
 def test_quality_cases(docs, empty):
