@@ -11,6 +11,8 @@ from seriesloom.operators.keys import join_on
 
 #: Least width of the cells in which values within a tolerance are added up.
 CELL = 4096
+#: Rows that one task of a matching gets on average, and the most that one key may have to be matched in one task.
+SHARE = 200_000
 
 
 def _candidates(rows: DataFrame, keys: list[str], tolerance: int, conflict: bool) -> DataFrame:
@@ -67,7 +69,11 @@ def mutual_unique(left: DataFrame, right: DataFrame, stages: list[tuple[str, lis
     right column that rule a pair out where the left one is known and they differ.  Null keys are keys of
     their own; ids are whole numbers.  Rows with several candidates, and their candidates, are ambiguous and
     leave the pool; rows that no stage finds a candidate for are left over.  ``materialise`` cuts lineage
-    between stages.
+    before the stages.
+
+    Rows are dealt once by the keys that all stages share, in as many shares as their number needs, and matched there.
+    Rows of a key that is more than a share, and all rows where the stages share no key, are matched stage by
+    stage over all tasks, with a shuffle and a table for each.
     """
 
     pairs = list(dict.fromkeys(tuple(p) for _, keys, _ in stages for p in keys))  # both sides' columns under one name
@@ -77,14 +83,84 @@ def mutual_unique(left: DataFrame, right: DataFrame, stages: list[tuple[str, lis
         group = F.col(conflict[k]) if conflict else F.lit(None).cast("string")
         return df.select(F.lit(("left", "right")[k]).alias("side_"), F.col(own).cast("bigint").alias("id_"), group.alias("group_"), *[F.col(p[k]).alias(f"k{i}_") for i, p in enumerate(pairs)], *[F.col(v[k]).cast("bigint").alias(f"v{i}_") for i, v in enumerate(values)])
 
-    pool, out = materialise(side(left, 0, left_id).unionByName(side(right, 1, right_id))), None
-    for name, keys, near in stages:
-        by, tolerance = [f"k{pairs.index(tuple(p))}_" for p in keys], near[2] if near else 0
-        x = F.col(f"v{values.index(near[:2])}_") if near else F.lit(0).cast("bigint")
+    pool = materialise(side(left, 0, left_id).unionByName(side(right, 1, right_id)))
+    plan = [(name, [f"k{pairs.index(tuple(p))}_" for p in keys], f"v{values.index(near[:2])}_" if near else None, near[2] if near else 0) for name, keys, near in stages]
+    common = [f"k{i}_" for i in range(len(pairs)) if all(f"k{i}_" in by for _, by, _, _ in plan)] if plan else []
+    if not common:
+        return _in_stages(pool, plan, materialise, conflict is not None)
+    counts = pool.groupBy(*common).agg(F.count("*").alias("n_"))
+    total = counts.agg(F.sum("n_").alias("rows"), F.max("n_").alias("most")).first()
+    shares = max(-(-(total.rows or 0) // SHARE), pool.sparkSession.sparkContext.defaultParallelism)
+    if (total.most or 0) <= SHARE:
+        return _in_shares(pool, common, shares, plan, conflict is not None)
+    large = F.broadcast(counts.filter(F.col("n_") > SHARE).select(*common))  # at most one key a share
+    small = _in_shares(join_on(pool, large, common, "left_anti"), common, shares, plan, conflict is not None)
+    return small.unionByName(_in_stages(materialise(join_on(pool, large, common, "left_semi")), plan, materialise, conflict is not None))
+
+
+def _in_shares(rows: DataFrame, common: list[str], shares: int, plan: list[tuple[str, list[str], str | None, int | None]], conflict: bool) -> DataFrame:
+    """All stages on rows dealt by keys that every stage has: windows only, so nothing is shuffled between them.
+
+    Rows that a stage has decided stay and count for nothing in later ones.  Candidates are counted by differences of
+    running counts; the single one of a row is the last one up to ``tolerance`` above it.
+    """
+    left, unknown = F.col("left_"), F.col("group_").isNull()
+    rows = rows.withColumn("left_", F.col("side_") == "left").drop("side_", *([] if conflict else ["group_"])).repartition(shares, *common)
+    rows = rows.withColumns({"stage_": F.lit(None).cast("int"), "other_": F.lit(None).cast("bigint")})
+    kept = rows.columns
+    for i, (_, by, value, tolerance) in enumerate(plan):
+        order, near = [value] if value and tolerance is not None else [], bool(tolerance)
+
+        def count(column: str, *parts: str) -> Column:
+            """How many rows within the tolerance have the column."""
+            if not near:
+                return F.count(column).over(Window.partitionBy(*by, *parts, *order))
+            w = Window.partitionBy(*by, *parts).orderBy(*order)
+            return F.count(column).over(w.rangeBetween(Window.unboundedPreceding, tolerance)) - F.count(column).over(w.rangeBetween(Window.unboundedPreceding, -tolerance - 1))
+
+        def single(column: Column, *parts: str) -> Column:
+            """The column of the only row within the tolerance that has it."""
+            if not near:
+                return F.max(column).over(Window.partitionBy(*by, *parts, *order))
+            return F.last(column, ignorenulls=True).over(Window.partitionBy(*by, *parts).orderBy(*order).rangeBetween(Window.unboundedPreceding, tolerance))
+
+        free = F.col("stage_").isNull() & (F.col(value).isNotNull() if value else F.lit(True))
+        rows = rows.withColumns({"l_": F.when(free & left, F.col("id_")), "r_": F.when(free & ~left, F.col("id_"))})
+        degree = lambda side: F.when(F.col(side).isNotNull(), F.struct(F.col(side).alias("id"), F.col("n_").alias("n")))
+        if conflict:
+            # all rows are met by left rows of no group, left rows of no group by all; else rows of one group meet
+            rows = rows.withColumn("u_", F.when(unknown, F.col("l_"))).withColumns({"nr_": count("r_"), "nu_": count("u_")})
+            rows = rows.withColumns({"nrg_": count("r_", "group_"), "nlg_": count("l_", "group_")})
+            rows = rows.withColumn("nlg_", F.when(unknown, 0).otherwise(F.col("nlg_")))
+            rows = rows.withColumn("n_", F.when(left, F.when(unknown, F.col("nr_")).otherwise(F.col("nrg_"))).otherwise(F.col("nlg_") + F.col("nu_"))).drop("nr_", "nrg_", "nu_")
+            rows = rows.withColumns({"rg_": single(degree("r_"), "group_"), "lg_": single(degree("l_"), "group_")})
+            rows = rows.withColumn("one_", F.when(left, F.when(~unknown, F.col("rg_"))).otherwise(F.when(F.col("nlg_") > 0, F.col("lg_")))).drop("rg_", "lg_")
+            rows = rows.withColumns({"ra_": single(degree("r_")), "ua_": single(degree("u_"))})
+            rows = rows.withColumn("one_", F.coalesce("one_", F.when(left, F.when(unknown, F.col("ra_"))).otherwise(F.col("ua_"))))
+        elif near:
+            rows = rows.withColumns({"nl_": count("l_"), "nr_": count("r_")}).withColumn("n_", F.when(left, F.col("nr_")).otherwise(F.col("nl_")))
+            rows = rows.withColumns({"ra_": single(degree("r_")), "la_": single(degree("l_"))}).withColumn("one_", F.when(left, F.col("ra_")).otherwise(F.col("la_")))
+        else:
+            # rows of a value meet all of the other side's there, so each one's candidates have its own side's number
+            rows = rows.withColumns({"nl_": count("l_"), "nr_": count("r_"), "la_": single(F.col("l_")), "ra_": single(F.col("r_"))})
+            rows = rows.withColumn("n_", F.when(left, F.col("nr_")).otherwise(F.col("nl_")))
+            rows = rows.withColumn("one_", F.struct(F.when(left, F.col("ra_")).otherwise(F.col("la_")).alias("id"), F.when(left, F.col("nl_")).otherwise(F.col("nr_")).alias("n")))
+        found = free & (F.col("n_") > 0)
+        rows = rows.withColumns({"other_": F.when(found, F.when((F.col("n_") == 1) & (F.col("one_.n") == 1), F.col("one_.id"))).otherwise(F.col("other_")), "stage_": F.when(found, i).otherwise(F.col("stage_"))}).select(*kept)
+    state = F.when(F.col("stage_").isNull(), "left over").when(F.col("other_").isNotNull(), "matched").otherwise("ambiguous")
+    stage = F.get(F.array(*[F.lit(name) for name, _, _, _ in plan]), F.col("stage_"))
+    return rows.select(F.when(left, "left").otherwise("right").alias("side"), F.col("id_").alias("id"), F.col("other_").alias("other_id"), state.alias("state"), stage.alias("stage"))
+
+
+def _in_stages(pool: DataFrame, plan: list[tuple[str, list[str], str | None, int | None]], materialise, conflict: bool) -> DataFrame:
+    """Stage by stage for keys of any size: values are counted over all tasks and joined with the rows."""
+    out = None
+    for name, by, value, tolerance in plan:
+        x = F.col(value) if value else F.lit(0).cast("bigint")
         if tolerance is None:
             x, tolerance = F.when(x.isNotNull(), F.lit(0).cast("bigint")), 0
         pool = pool.withColumn("x_", x)
-        found = _candidates(pool.filter("x_ IS NOT NULL"), by, tolerance, conflict is not None)
+        found = _candidates(pool.filter("x_ IS NOT NULL"), by, tolerance, conflict)
         of = lambda s: F.when(F.col("side_") == "left", F.col(f"right_{s}")).otherwise(F.col(f"left_{s}"))
         pool = materialise(join_on(pool, found, [*by, "x_", "group_"], "left").withColumns({"n_": of("n"), "other_": of("only")}).drop("x_", "right_n", "left_n", "right_only", "left_only"))
         here = pool.filter("n_ > 0").select(F.col("side_").alias("side"), F.col("id_").alias("id"), F.col("other_").alias("other_id"), F.when(F.col("other_").isNotNull(), "matched").otherwise("ambiguous").alias("state"), F.lit(name).alias("stage"))
@@ -94,10 +170,12 @@ def mutual_unique(left: DataFrame, right: DataFrame, stages: list[tuple[str, lis
     return rest if out is None else out.unionByName(rest)
 
 
-def on_common_days(left: DataFrame, right: DataFrame, left_day: str, right_day: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(left and right rows of days that both sides have, left and right rows of other days)."""
+def on_common_days(left: DataFrame, right: DataFrame, left_day: str, right_day: str, materialise=lambda df: df) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(left and right rows of days that both sides have, left and right rows of other days).
+
+    ``materialise`` may write the days, so that they are found once and the planner knows how few they are."""
     a, b = left.select(F.col(left_day).alias("day_")).distinct(), right.select(F.col(right_day).alias("day_")).distinct()
-    common = join_on(a, b, ["day_"], "left_semi")
+    common = materialise(join_on(a, b, ["day_"], "left_semi"))
     keep = lambda df, day, how: df.join(common, df[day].eqNullSafe(common["day_"]), how)
     return keep(left, left_day, "left_semi"), keep(right, right_day, "left_semi"), keep(left, left_day, "left_anti"), keep(right, right_day, "left_anti")
 

@@ -28,15 +28,15 @@ _MATCHED = f"""{_LEFT}, {_RIGHT}, l0 AS MATERIALIZED (SELECT * FROM l WHERE day
 
 def _matched(spark, d):
     o = table(spark, d, "orders")
-    day, c = F.date_format("o_orderdate", "yyyy-MM-dd"), F.round(F.col("o_totalprice") * 100).cast("bigint")
-    left = o.select(F.col("o_orderkey").alias("left_id"), F.col("o_custkey").alias("cust"), day.alias("day"), F.substring(day, 1, 7).alias("month"), F.col("o_orderpriority").alias("pri"), F.lower("o_orderpriority").alias("lpri"), c.alias("c"))
+    day, c = F.to_date("o_orderdate"), F.round(F.col("o_totalprice") * 100).cast("bigint")
+    left = o.select(F.col("o_orderkey").alias("left_id"), F.col("o_custkey").alias("cust"), day.alias("day"), month_index(day).alias("month"), F.col("o_orderpriority").alias("pri"), F.lower("o_orderpriority").alias("lpri"), c.alias("c"))
     k = F.col("o_orderkey")
-    day = F.date_format(F.when(k % 4 == 0, F.col("o_orderdate") + F.expr("INTERVAL 400 DAY")).otherwise(F.col("o_orderdate")), "yyyy-MM-dd")
+    day = F.to_date(F.when(k % 4 == 0, F.col("o_orderdate") + F.expr("INTERVAL 400 DAY")).otherwise(F.col("o_orderdate")))
     pri = F.when(k % 5 == 0, F.lower("o_orderpriority")).otherwise(F.col("o_orderpriority"))
-    right = o.select(k.alias("right_id"), F.col("o_custkey").alias("cust2"), day.alias("day2"), F.substring(day, 1, 7).alias("month2"), pri.alias("pri2"), F.lower(pri).alias("lpri2"), (c + F.when(k % 11 == 0, 900).otherwise(k % 2)).alias("c2"))
+    right = o.select(k.alias("right_id"), F.col("o_custkey").alias("cust2"), day.alias("day2"), month_index(day).alias("month2"), pri.alias("pri2"), F.lower(pri).alias("lpri2"), (c + F.when(k % 11 == 0, 900).otherwise(k % 2)).alias("c2"))
     same = [("cust", "cust2"), ("day", "day2")]
     stages = [(_NAMES[0], [*same, ("pri", "pri2")], ("c", "c2", 0)), (_NAMES[1], [*same, ("lpri", "lpri2")], ("c", "c2", 0)), (_NAMES[2], same, ("c", "c2", 1)), (_NAMES[3], [("cust", "cust2"), ("month", "month2")], None)]
-    left, right, alone_left, alone_right = M.on_common_days(left, right, "day", "day2")
+    left, right, alone_left, alone_right = M.on_common_days(left, right, "day", "day2", written)
     out = M.mutual_unique(left, right, stages, materialise=written)
     for side, df, own in (("left", alone_left, "left_id"), ("right", alone_right, "right_id")):
         out = out.unionByName(df.select(F.lit(side).alias("side"), F.col(own).alias("id"), F.lit(None).cast("bigint").alias("other_id"), F.lit("day not common").alias("state"), F.lit(None).cast("string").alias("stage")))

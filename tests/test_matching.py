@@ -57,3 +57,18 @@ def test_a_hot_key_builds_no_pairs(spark):
     crowd = match.mutual_unique(left, right, [("key", [("k", "k")], None)], conflict=None)
     assert {(r.state, r["count"]) for r in crowd.groupBy("state").count().collect()} == {("ambiguous", 80_000)}
     assert time.time() - start < 60
+
+
+@pytest.mark.parametrize("seed,conflict,share", [(5, None, 200_000), (6, ("cur", "cur"), 200_000), (7, None, 70), (8, ("cur", "cur"), 70)])
+def test_stages_that_share_a_key_need_one_table(spark, monkeypatch, seed, conflict, share):
+    """The rows are written and dealt once, whatever the number of stages, unless a key is more than a share."""
+    monkeypatch.setattr(match, "SHARE", share)
+    pick = random.Random(seed)
+    row = lambda i: {"id": i, "k": pick.choice(["a", "a", "a", "b", "c", None, None, None]), "l": pick.choice(["x", "y", None]), "p": pick.choice([None, *range(-30, 200)]), "q": pick.choice([None, 1, 2]), "cur": pick.choice(["ARS", "USD", None])}
+    left, right = [row(i - 60) for i in range(120)], [row((1 << 40) + i) for i in range(120)]
+    table = lambda rows, name: spark.createDataFrame([(r["id"], r["k"], r["l"], r["p"], r["q"], r["cur"]) for r in rows], f"{name} long, k string, l string, p long, q long, cur string")
+    stages = [("exact", [("l", "l"), ("k", "k")], ("p", "p", 0)), ("near", [("k", "k"), ("l", "l")], ("p", "p", 2)), ("wide", [("k", "k")], ("p", "p", 5)), ("there", [("k", "k"), ("l", "l")], ("q", "q", None)), ("any", [("k", "k")], None)]
+    tables = []
+    got = match.mutual_unique(table(left, "left_id"), table(right, "right_id"), stages, materialise=lambda df: tables.append(1) or written(df), conflict=conflict).collect()
+    assert sorted((tuple(r) for r in got), key=str) == by_pairs(left, right, stages, conflict)
+    assert len(tables) == (1 if share > 240 else 2 + len(stages))
