@@ -72,3 +72,16 @@ def test_stages_that_share_a_key_need_one_table(spark, monkeypatch, seed, confli
     got = match.mutual_unique(table(left, "left_id"), table(right, "right_id"), stages, materialise=lambda df: tables.append(1) or written(df), conflict=conflict).collect()
     assert sorted((tuple(r) for r in got), key=str) == by_pairs(left, right, stages, conflict)
     assert len(tables) == (1 if share > 240 else 2 + len(stages))
+
+
+@pytest.mark.parametrize("conflict", [None, ("cur", "cur")])
+def test_shares_follow_the_input(spark, monkeypatch, conflict):
+    """Twice the rows are matched in twice the tasks, not in larger ones."""
+    monkeypatch.setattr(match, "SHARE", 500)
+    tasks = []
+    for n in (2_000, 4_000):
+        side = lambda name, by: spark.range(n).selectExpr(f"id + {by} AS {name}", "id div 5 AS k", "id AS p", "CASE WHEN id % 3 > 0 THEN 'ARS' END AS cur")
+        got = match.mutual_unique(side("left_id", 0), side("right_id", 1_000_000), [("exact", [("k", "k")], ("p", "p", 0)), ("near", [("k", "k")], ("p", "p", 1))], materialise=written, conflict=conflict)
+        assert got.filter("state = 'matched'").count() == 2 * n
+        tasks.append(got.rdd.getNumPartitions())
+    assert tasks == [8, 16]
