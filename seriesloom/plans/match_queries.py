@@ -26,6 +26,11 @@ _MATCHED = f"""{_LEFT}, {_RIGHT}, l0 AS MATERIALIZED (SELECT * FROM l WHERE day
  UNION ALL SELECT 'left', left_id, NULL, 'left over', NULL FROM l4 UNION ALL SELECT 'right', right_id, NULL, 'left over', NULL FROM r4 UNION ALL SELECT 'left', left_id, NULL, 'day not common', NULL FROM l WHERE day NOT IN (SELECT day2 FROM r) UNION ALL SELECT 'right', right_id, NULL, 'day not common', NULL FROM r WHERE day2 NOT IN (SELECT day FROM l))"""
 
 
+def _pool(df):
+    """A matching's rows, written in files of a share at most, so that a task that deals them out holds few."""
+    return written(df, M.SHARE)
+
+
 def _matched(spark, d):
     o = table(spark, d, "orders")
     day, c = F.to_date("o_orderdate"), F.round(F.col("o_totalprice") * 100).cast("bigint")
@@ -37,7 +42,7 @@ def _matched(spark, d):
     same = [("cust", "cust2"), ("day", "day2")]
     stages = [(_NAMES[0], [*same, ("pri", "pri2")], ("c", "c2", 0)), (_NAMES[1], [*same, ("lpri", "lpri2")], ("c", "c2", 0)), (_NAMES[2], same, ("c", "c2", 1)), (_NAMES[3], [("cust", "cust2"), ("month", "month2")], None)]
     left, right, alone_left, alone_right = M.on_common_days(left, right, "day", "day2", written)
-    out = M.mutual_unique(left, right, stages, materialise=written)
+    out = M.mutual_unique(left, right, stages, materialise=_pool)
     for side, df, own in (("left", alone_left, "left_id"), ("right", alone_right, "right_id")):
         out = out.unionByName(df.select(F.lit(side).alias("side"), F.col(own).alias("id"), F.lit(None).cast("bigint").alias("other_id"), F.lit("day not common").alias("state"), F.lit(None).cast("string").alias("stage")))
     return out
@@ -88,7 +93,7 @@ def match_currency_conflict(spark, d):
     left = o.select(k.alias("left_id"), F.col("o_custkey").alias("cust"), c.alias("c"), F.when(k % 6 > 0, F.col("o_orderstatus")).alias("cur"))
     right = o.select(k.alias("right_id"), F.col("o_custkey").alias("cust2"), (c + k % 3).alias("c2"), F.when(k % 10 == 0, "X").when(k % 15 > 1, F.col("o_orderstatus")).alias("cur2"))
     stages = [(f"s{i + 1}", [("cust", "cust2")], ("c", "c2", t)) for i, t in enumerate((0, 1, 400))]
-    return M.mutual_unique(left, right, stages, materialise=written, conflict=("cur", "cur2"))
+    return M.mutual_unique(left, right, stages, materialise=_pool, conflict=("cur", "cur2"))
 
 
 @query("match_route_daily", f"""WITH {OBS}, f AS (SELECT * FROM obs WHERE market = 'M0' AND variety <> 'PROMO'), l AS (SELECT * FROM obs WHERE market = 'M1') SELECT 'official' AS origin, product, count(*) AS n, CAST(sum(price_c) AS BIGINT) AS total FROM f GROUP BY ALL

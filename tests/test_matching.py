@@ -6,6 +6,8 @@ import time
 import pytest
 
 from seriesloom.operators import match
+from seriesloom.plans import registry
+from seriesloom.sources import tables
 from seriesloom.sources.tables import written
 
 
@@ -85,3 +87,15 @@ def test_shares_follow_the_input(spark, monkeypatch, conflict):
         assert got.filter("state = 'matched'").count() == 2 * n
         tasks.append(got.rdd.getNumPartitions())
     assert tasks == [8, 16]
+
+
+@pytest.mark.parametrize("query", ["match_currency_conflict", "match_mutual_unique"])
+def test_rows_are_dealt_from_files_of_a_share(spark, sql, monkeypatch, query):
+    """A task that deals rows out holds what it reads: some files, none of which may have more rows than a share."""
+    monkeypatch.setattr(match, "SHARE", 400)
+    before = len(tables._made)
+    got = registry.QUERIES[query](spark, sql[1])
+    pools = [p for p in map(spark.read.parquet, tables._made[before:]) if "side_" in p.columns]
+    files = [r["count"] for p in pools[:1] for r in p.groupBy("_metadata.file_path").count().collect()]
+    assert len(files) > 3 and max(files) <= 400
+    assert got.count() == 2 * spark.read.parquet(f"{sql[1]}/orders.parquet").count()
